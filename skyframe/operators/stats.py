@@ -226,9 +226,10 @@ def duplicate_profile(df, cols=None):
     combined map-side, and AQE splits a hot key on the join."""
     cols = list(cols or df.columns)
     groups = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
-              .filter(F.col("copies") > 1))
-    cond = [df[c].eqNullSafe(groups[c]) for c in cols]
-    return df.join(groups, cond, "inner").select(*[df[c] for c in df.columns], groups["copies"])
+              .filter(F.col("copies") > 1)
+              .select(*[F.col(c).alias(f"_d{i}") for i, c in enumerate(cols)], "copies"))
+    cond = [F.col(c).eqNullSafe(F.col(f"_d{i}")) for i, c in enumerate(cols)]
+    return df.join(groups, cond, "inner").select(*df.columns, "copies")
 
 
 # C30
