@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from skyframe.plans import q_flights, q_stats  # noqa: F401
+from skyframe.plans import q_flights, q_samples, q_stats  # noqa: F401
 from skyframe.plans.registry import ORACLE, QUERIES  # noqa: F401
