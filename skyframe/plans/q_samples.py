@@ -213,3 +213,29 @@ def q_upsert(spark, sf_dir):
     up = R.upsert_by_key(target, updates, ROW_KEYS, ["dep_delay"])
     return present(up.agg(F.count(F.lit(1)).alias("rows"), F.count("dep_delay").alias("predicted"),
                           F.sum("dep_delay").alias("delay_sum")))
+
+
+@query("drift_set")
+def q_drift_set(spark, sf_dir):
+    """The monitoring drift set (random noise: rows-only check)."""
+    from skyframe.operators import perturb as P
+    mult = {"nation_air_1_inc": 1.25, "nation_air_2_inc": 0.75}
+    d = P.make_drift_set(raw(spark, sf_dir), ROW_KEYS, SEED, mult)
+    return present(d.groupBy("airline").agg(F.count(F.lit(1)).alias("rows"), F.avg("temp").alias("temp"),
+                                            F.max("humid").alias("max_humid"), F.max("hour").alias("max_hour")))
+
+
+_CLOCK = 1704067200
+
+
+@query("event_envelope", with_flights(f"""
+SELECT count(*) AS rows, count(DISTINCT sha256(concat_ws('|', {KEYS}))) AS ids, min(timestamp) AS sent,
+       max(expiry_time) AS expires, count(dep_delay) AS with_target
+FROM (SELECT *, {_CLOCK} AS timestamp, {_CLOCK} + 3600 AS expiry_time, NULL::DOUBLE AS dep_delay2 FROM v_flights) t
+WHERE dep_delay2 IS NULL""".replace("count(dep_delay)", "count(dep_delay2)")))
+def q_envelope(spark, sf_dir):
+    """B23 with a given clock and repeatable ids."""
+    from skyframe.operators import perturb as P
+    e = P.event_envelope(raw(spark, sf_dir), _CLOCK, 3600, key_cols=ROW_KEYS)
+    return e.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"), F.min("timestamp").alias("sent"),
+                 F.max("expiry_time").alias("expires"), F.count("dep_delay").alias("with_target"))
