@@ -48,6 +48,21 @@ def parse_stamp(date_key_col, hhmm_col) -> Column:
     return F.try_to_timestamp(F.concat(_c(date_key_col), _c(hhmm_col)), F.lit("yyyyMMddHHmm"))
 
 
+# B6-B8, arithmetic form
+def clock_stamp(date_col, hhmm) -> Column:
+    """Stamp of a numeric ``HHMM`` clock on a date. For 0 <= HHMM < 10000 it
+    equals padding to four digits, recoding ``2400`` to ``0000`` and parsing
+    ``yyyyMMddHHmm`` (invalid hour or minute -> null), without building and
+    parsing text; other values take the text path."""
+    d = _c(date_col)
+    x = _c(hhmm).cast("int")
+    h = F.when(x == 2400, F.lit(0)).otherwise(F.floor(x / 100).cast("int"))
+    m = F.when(x == 2400, F.lit(0)).otherwise(x % 100)
+    fast = F.try_make_timestamp(F.year(d), F.month(d), F.dayofmonth(d), h, m, F.lit(0))
+    slow = parse_stamp(date_key(d), recode_2400(F.lpad(x.cast("string"), 4, "0")))
+    return F.when(x.isNull(), F.lit(None).cast("timestamp")).when((x >= 0) & (x < 10000), fast).otherwise(slow)
+
+
 # B9
 def roll_midnight(col) -> Column:
     """+1 day when the stamp's hour is 0 (the published midnight rule)."""

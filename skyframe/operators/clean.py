@@ -57,13 +57,11 @@ def normalise_column_names(df: DataFrame) -> DataFrame:
 
 
 def stamp_times(df: DataFrame) -> DataFrame:
-    """Date, date key, padded clocks, 2400 recode, stamps, midnight rule."""
+    """Date, date key, clocks as stamps (padded text, 2400 recode and
+    parse, computed arithmetically), midnight rule on the actual times."""
     df = df.withColumn("date", C.make_date_col("year", "month", "day"))
     df = df.withColumn("date_string", C.date_key("date"))
-    texts = {c: F.when(F.col(c).isNotNull(), C.pad_hhmm(c, numeric_float=True)) for c in CLOCK_FLOAT}
-    texts.update({c: C.pad_hhmm(c, numeric_float=False) for c in CLOCK_INT})
-    df = df.withColumns(texts)
-    df = df.withColumns({c: C.parse_stamp("date_string", C.recode_2400(c)) for c in STAMP_COLS})
+    df = df.withColumns({c: C.clock_stamp("date", c) for c in STAMP_COLS})
     return df.withColumns({c: C.roll_midnight(c) for c in CLOCK_FLOAT})
 
 
@@ -86,6 +84,11 @@ def clean_flights(df: DataFrame, tail: int = 10, tie=ROW_KEYS, ffill=FFILL_COLS)
     df = drop_all_null(df, OUTCOME_COLS)
     df = drop_any_null(df, ["arr_time", "arr_delay", "air_time"])
     df = stamp_times(df)
+    # One range-bucketed copy in departure order serves both ordered steps:
+    # the tail probe and anti-join read it, and the forward fill reuses its
+    # buckets (removing tail rows keeps the buckets ordered).
+    keys = ordered.total_order(df, ["dep_time"], tie)
+    df = ordered.range_buckets(df, keys)
     df = ordered.drop_tail(df, tail, ["dep_time"], tie)
     df = ordered.forward_fill(df, list(ffill), ["dep_time"], tie)
     df = keep_consistent(df)

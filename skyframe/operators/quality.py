@@ -89,64 +89,57 @@ def check_non_negative(base_prof: DataFrame, cur_prof: DataFrame) -> DataFrame:
 
 
 # J6
+def _long_values(df: DataFrame, cols, cast: str) -> DataFrame:
+    """(feature, v) rows for the listed columns, nulls dropped."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast(cast).alias("v")) for c in cols]))
+    return df.select(pairs.alias("p")).select("p.feature", "p.v").filter(F.col("v").isNotNull())
+
+
 def numeric_drift(baseline: DataFrame, current: DataFrame, cols, num_buckets: int | None = None) -> DataFrame:
     """Largest gap between the two empirical CDFs per feature (two-sample
-    Kolmogorov-Smirnov distance)."""
-    parts = []
-    for c in cols:
-        vb = baseline.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("double").alias("v")).agg(
-            F.count(F.lit(1)).alias("nb"))
-        vc = current.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("double").alias("v")).agg(
-            F.count(F.lit(1)).alias("nc"))
-        both = vb.join(vc, "v", "full_outer").fillna(0, ["nb", "nc"])
-        run = running_sums(both, "v", ["nb", "nc"], num_buckets)
-        tot = both.agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
-        gap = _attach_one(run, tot)
-        parts.append(gap.agg(F.max(F.abs(F.try_divide(F.col("cum_nb"), F.col("tb"))
-                                         - F.try_divide(F.col("cum_nc"), F.col("tc")))).alias("distance"))
-                     .select(F.lit(c).alias("feature"), "distance"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    Kolmogorov-Smirnov distance). All features go through one pass: value
+    counts per (feature, value), one range-bucketed running sum grouped by
+    feature, one aggregate."""
+    vb = _long_values(baseline, cols, "double").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("nb"))
+    vc = _long_values(current, cols, "double").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("nc"))
+    both = vb.join(vc, ["feature", "v"], "full_outer").fillna(0, ["nb", "nc"])
+    run = running_sums(both, "v", ["nb", "nc"], num_buckets, group=["feature"])
+    tot = both.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
+    gap = F.abs(F.try_divide(F.col("cum_nb"), F.col("tb")) - F.try_divide(F.col("cum_nc"), F.col("tc")))
+    return run.join(tot, "feature").groupBy("feature").agg(F.max(gap).alias("distance"))
 
 
 def _attach_one(df: DataFrame, one: DataFrame) -> DataFrame:
     return df.withColumn("_one", F.lit(1)).join(F.broadcast(one.withColumn("_one", F.lit(1))), "_one").drop("_one")
 
 
-def running_sums(df: DataFrame, order: str, cols, num_buckets: int | None = None) -> DataFrame:
-    """``cum_<c>`` = sum of ``c`` over rows with ``order`` <= this row's
-    (order values unique), computed bucket-wise (see ``plans.ordered``)."""
-    x = ordered.range_buckets(df, [order], num_buckets)
+def running_sums(df: DataFrame, order: str, cols, num_buckets: int | None = None, group=()) -> DataFrame:
+    """``cum_<c>`` = sum of ``c`` over the rows of the same group with
+    ``order`` <= this row's (order values unique inside a group), computed
+    bucket-wise (see ``plans.ordered``): a group spanning many buckets gets
+    its offsets from a table of (group, bucket) sums."""
+    group = list(group)
+    x = ordered.range_buckets(df, group + [order], num_buckets)
     B = ordered.BUCKET
-    per = x.groupBy(B).agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
-    before = Window.orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per.select(B, *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in cols])
-    w = Window.partitionBy(B).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = x.join(F.broadcast(carry), B)
+    per = x.groupBy(*group, B).agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
+    before = Window.partitionBy(*group).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select(*group, B, *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
+                                    for c in cols])
+    w = Window.partitionBy(*group, B).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = x.join(carry, [*group, B]) if group else x.join(F.broadcast(carry), B)
     return out.select(*df.columns, *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in cols])
 
 
 # J7
 def categorical_drift(baseline: DataFrame, current: DataFrame, cols) -> DataFrame:
-    """L-infinity distance between the two value-share vectors."""
-    parts = []
-    for c in cols:
-        sb = baseline.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).agg(
-            F.count(F.lit(1)).alias("nb"))
-        sc = current.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).agg(
-            F.count(F.lit(1)).alias("nc"))
-        both = sb.join(sc, "v", "full_outer").fillna(0, ["nb", "nc"])
-        tot = both.agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
-        g = _attach_one(both, tot)
-        parts.append(g.agg(F.max(F.abs(F.try_divide(F.col("nb"), F.col("tb"))
-                                       - F.try_divide(F.col("nc"), F.col("tc")))).alias("distance"))
-                     .select(F.lit(c).alias("feature"), "distance"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """L-infinity distance between the two value-share vectors (one pass
+    over all features)."""
+    sb = _long_values(baseline, cols, "string").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("nb"))
+    sc = _long_values(current, cols, "string").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("nc"))
+    both = sb.join(sc, ["feature", "v"], "full_outer").fillna(0, ["nb", "nc"])
+    tot = both.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
+    gap = F.abs(F.try_divide(F.col("nb"), F.col("tb")) - F.try_divide(F.col("nc"), F.col("tc")))
+    return both.join(tot, "feature").groupBy("feature").agg(F.max(gap).alias("distance"))
 
 
 def drift_violations(distances: DataFrame, threshold: float = 0.1, kind: str = "baseline_drift_check") -> DataFrame:

@@ -46,17 +46,19 @@ def total_order(df: DataFrame, order, tie=None) -> list[str]:
 def range_buckets(df: DataFrame, keys, num_buckets: int | None = None) -> DataFrame:
     """Rows labelled with an ordered bucket id (see module doc).
 
-    The labelled frame is checkpointed to the shared checkpoint folder:
-    the bucket ids are then fixed data that every later branch (per-bucket
-    summary, join back, window) reads identically, and the lineage above
-    it is cut, so a lost executor does not recompute the range sample.
+    The labelled frame is written as Parquet to a fresh folder under the
+    shared checkpoint folder and read back: the bucket ids are then fixed
+    data that every later branch (per-bucket summary, join back, window)
+    reads identically, and the lineage above it is cut, so a lost executor
+    never re-samples the range bounds.
     """
-    from skyframe.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
+    from skyframe.session import scratch_path
     nb = num_buckets or _default_buckets(df)
-    return (df.repartitionByRange(nb, *[F.col(k).asc_nulls_first() for k in keys])
-            .withColumn(BUCKET, F.spark_partition_id())
-            .checkpoint(eager=True))
+    path = scratch_path(df.sparkSession, "buckets")
+    (df.repartitionByRange(nb, *[F.col(k).asc_nulls_first() for k in keys])
+     .withColumn(BUCKET, F.spark_partition_id())
+     .write.parquet(path))
+    return df.sparkSession.read.parquet(path)
 
 
 def lex_less(keys, values, schema: T.StructType) -> Column:
@@ -82,7 +84,11 @@ def lex_equal(keys, values, schema: T.StructType) -> Column:
 
 def drop_tail(df: DataFrame, n: int, order, tie=None) -> DataFrame:
     """Remove the last ``n`` rows of the total order when the table has
-    more than ``n`` rows (published rule), otherwise keep everything."""
+    more than ``n`` rows (published rule), otherwise keep everything.
+
+    The last ``n + 1`` keys come from a bounded top-n; the rows to drop are
+    removed by a left-anti join with those (at most n) keys, broadcast.
+    """
     keys = total_order(df, order, tie)
     top = (df.select(*keys)
            .orderBy(*[F.col(k).desc_nulls_last() for k in keys])
@@ -90,7 +96,12 @@ def drop_tail(df: DataFrame, n: int, order, tie=None) -> DataFrame:
     if len(top) <= n:
         return df
     boundary = list(top[n - 1])
-    kept = df.filter(lex_less(keys, boundary, df.schema))
+    spark = df.sparkSession
+    key_schema = T.StructType([df.schema[k] for k in keys])
+    tail = spark.createDataFrame([tuple(r) for r in top[:n]], key_schema).distinct()
+    tail = tail.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)])
+    cond = [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)]
+    kept = df.join(F.broadcast(tail), cond, "left_anti")
     if list(top[n]) != boundary:
         return kept
     # The boundary key has more copies than the tail takes: keep the rest
@@ -99,16 +110,18 @@ def drop_tail(df: DataFrame, n: int, order, tie=None) -> DataFrame:
     equal = df.filter(lex_equal(keys, boundary, df.schema))
     extra = equal.count() - in_tail
     one = equal.limit(1).collect()[0]
-    copies = df.sparkSession.range(extra).select(
+    copies = spark.range(extra).select(
         *[F.lit(one[f.name]).cast(f.dataType).alias(f.name) for f in df.schema.fields])
     return kept.unionByName(copies)
 
 
 def forward_fill(df: DataFrame, cols, order, tie=None, num_buckets: int | None = None) -> DataFrame:
     """D3: each listed column takes the last non-null value from the start
-    of the total order up to the current row (leading nulls stay null)."""
+    of the total order up to the current row (leading nulls stay null).
+    A frame that already carries ``_bucket`` (from ``range_buckets`` on the
+    same order) is used as is."""
     keys = total_order(df, order, tie)
-    x = range_buckets(df, keys, num_buckets)
+    x = df if BUCKET in df.columns else range_buckets(df, keys, num_buckets)
     okey = F.struct(*[F.col(k) for k in keys])
     per_bucket = x.groupBy(BUCKET).agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"_last_{c}") for c in cols])
@@ -119,7 +132,7 @@ def forward_fill(df: DataFrame, cols, order, tie=None, num_buckets: int | None =
          .rowsBetween(Window.unboundedPreceding, 0))
     out = x.join(F.broadcast(carry), BUCKET).withColumns(
         {c: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_carry_{c}")) for c in cols})
-    return out.select(*df.columns)
+    return out.select(*[c for c in df.columns if c != BUCKET])
 
 
 def with_rank(df: DataFrame, order, group=(), tie=None, num_buckets: int | None = None,

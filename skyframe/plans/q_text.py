@@ -105,3 +105,16 @@ def q_retrain(spark, sf_dir):
     preds = df.filter(F.col("year") >= 1999).withColumn("dep_delay", F.round("dep_delay", 2))
     out = M.retrain_set(sample, preds, cols, ROW_KEYS)
     return out.groupBy("airline").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("explain_predictions")
+def q_explain(spark, sf_dir):
+    """Kernel explanations of test-row predictions against the mean
+    training vector (C39 baseline), reported as global mean |value|."""
+    from skyframe.operators import stats as ST
+    split, inputs = _feature_splits(spark, sf_dir)
+    train = split.filter(F.col("split") == "train")
+    model = M.train_regressor(train, inputs, params={"num_round": 20, "max_depth": 2})
+    base = ST.mean_vector(train, inputs).first().asDict()
+    local = M.explain(model, split.filter(F.col("split") == "test"), inputs, base, ROW_KEYS, samples=10)
+    return M.global_importance(local)

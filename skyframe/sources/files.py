@@ -187,15 +187,42 @@ def decode_attribute_map(col, schema: T.StructType) -> Column:
 
 
 # A16
+def _remove_files(spark: SparkSession, paths, archive_dir: str | None = None) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if archive_dir:
+            dest = jvm.org.apache.hadoop.fs.Path(archive_dir)
+            fs.mkdirs(dest)
+            fs.rename(path, jvm.org.apache.hadoop.fs.Path(dest, path.getName()))
+        else:
+            fs.delete(path, False)
+
+
 def consume_once(spark: SparkSession, path: str, schema: T.StructType, checkpoint: str, sink,
                  clean_source: str = "delete", archive_dir: str | None = None, fmt: str = "csv"):
-    """Read each file once and then remove (or archive) it."""
+    """Read each file once (the stream's checkpoint remembers it) and remove
+    (or archive) it once its micro-batch has been handed to ``sink``.
+
+    The files of a batch are removed right after the sink returns, so a
+    failure before that leaves them in place for the retry; the source's
+    own ``cleanSource`` is set as well for long-running triggers."""
     r = spark.readStream.schema(schema).option("cleanSource", clean_source)
     if fmt == "csv":
         r = r.option("header", True)
     if archive_dir:
         r = r.option("sourceArchiveDir", archive_dir)
-    q = (r.format(fmt).load(path).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+
+    def handle(batch: DataFrame, batch_id: int):
+        # one name per file of this micro-batch (bounded by files per trigger)
+        files = [r[0] for r in batch.select(F.input_file_name()).distinct().collect()]
+        sink(batch, batch_id)
+        if clean_source in ("delete", "archive"):
+            _remove_files(spark, files, archive_dir if clean_source == "archive" else None)
+
+    q = (r.format(fmt).load(path).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
