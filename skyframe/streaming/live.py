@@ -81,13 +81,39 @@ def rate_limit(df: DataFrame, key: str = "user_id", ts: str = "ts", limit: int =
 
 # M12
 def session_spans(df: DataFrame, key: str = "user_id", ts: str = "ts", gap: str = "1 hour", ttl_s: int = 3600,
-                  watermark: str | None = None) -> DataFrame:
+                  watermark: str | None = None, tie=None, num_buckets: int | None = None) -> DataFrame:
     """Gap sessions per key: start, last activity, requests, expiry = last +
-    ttl (Spark's session window; streaming with a watermark)."""
+    ttl. A new session starts when the gap to the previous event of the key
+    is at least ``gap``.
+
+    Streaming (``watermark`` given): Spark's ``session_window``. Batch: the
+    range-bucket pattern, so one key with a third of all events is still
+    spread over many tasks: per (key, bucket) the last stamp and the number
+    of session starts are summarised, carried forward over the small
+    summary table, and sessions are aggregated with map-side combining."""
     if watermark:
-        df = df.withWatermark(ts, watermark)
-    s = df.groupBy(key, F.session_window(ts, gap).alias("s")).agg(
-        F.min(ts).alias("start"), F.max(ts).alias("last_active"), F.count(F.lit(1)).alias("requests"))
+        s = df.withWatermark(ts, watermark).groupBy(key, F.session_window(ts, gap).alias("s")).agg(
+            F.min(ts).alias("start"), F.max(ts).alias("last_active"), F.count(F.lit(1)).alias("requests"))
+        return s.select(key, "start", "last_active", "requests",
+                        (F.unix_timestamp("last_active") + ttl_s).alias("expiry_time"))
+    from skyframe.plans import ordered
+    gap_s = F.expr(f"INTERVAL {gap}")
+    tie = list(tie) if tie is not None else [c for c in df.columns if c not in (key, ts)]
+    keys = ordered.total_order(df, [key, ts], tie)
+    B = ordered.BUCKET
+    x = ordered.range_buckets(df.select(*keys), keys, num_buckets)
+    w = Window.partitionBy(key, B).orderBy(*[F.col(k) for k in keys[1:]])
+    per = x.groupBy(key, B).agg(F.max(ts).alias("_last"))
+    before = Window.partitionBy(key).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select(key, B, F.max("_last").over(before).alias("_prev_last"))
+    y = x.join(carry, [key, B]).withColumn("_prev", F.coalesce(F.lag(ts).over(w), F.col("_prev_last")))
+    y = y.withColumn("_brk", F.when(F.col("_prev").isNull() | (F.col(ts) >= F.col("_prev") + gap_s), 1).otherwise(0))
+    starts = y.groupBy(key, B).agg(F.sum("_brk").alias("_n"))
+    offs = starts.select(key, B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    run = Window.partitionBy(key, B).orderBy(*[F.col(k) for k in keys[1:]]).rowsBetween(Window.unboundedPreceding, 0)
+    z = y.join(offs, [key, B]).withColumn("_sid", F.sum("_brk").over(run) + F.col("_off"))
+    s = z.groupBy(key, "_sid").agg(F.min(ts).alias("start"), F.max(ts).alias("last_active"),
+                                   F.count(F.lit(1)).alias("requests"))
     return s.select(key, "start", "last_active", "requests",
                     (F.unix_timestamp("last_active") + ttl_s).alias("expiry_time"))
 

@@ -47,3 +47,19 @@ def test_bias_identities(spark):
     assert math.isclose(m["TVD"], abs(m["DPL"]), rel_tol=1e-9)
     assert math.isclose(m["KS"], abs(m["DPL"]), rel_tol=1e-9)
     assert m["KL"] >= 0 and m["JS"] >= 0
+
+
+def test_bucketed_sessions_equal_session_window(spark):
+    from skyframe.streaming import live as L
+    from skyframe.tables import table
+    ev = L.as_event_time(table(spark, SF_SMALL, "events")).select("user_id", "ts", "event_id")
+    # a single hot key spread over many buckets
+    hot = ev.withColumn("user_id", F.lit(1))
+    for df in (ev, hot):
+        got = L.session_spans(df, tie=["event_id"], num_buckets=9)
+        want = (df.groupBy("user_id", F.session_window("ts", "1 hour").alias("s"))
+                .agg(F.min("ts").alias("start"), F.max("ts").alias("last_active"),
+                     F.count(F.lit(1)).alias("requests"))
+                .select("user_id", "start", "last_active", "requests",
+                        (F.unix_timestamp("last_active") + 3600).alias("expiry_time")))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
