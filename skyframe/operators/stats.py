@@ -132,43 +132,70 @@ def fleet_size(df, key="airline", item="tailnum"):
             .orderBy(F.col("fleet_size").desc(), key))
 
 
-def group_quantiles(df, group, col, probs):
+def group_quantiles(df, group, col, probs, num_buckets: int | None = None):
     """Exact linear-interpolated quantiles (pandas / numpy default) of
-    ``col`` per group, computed from the distributed rank, so no group's
-    values are ever gathered into one task. Output columns ``q_i``."""
+    ``col`` per group, without gathering a group's values into one task.
+
+    Values are range-bucketed on (group, value); per (group, bucket) counts
+    give every bucket's rank range, so only the few buckets that hold a
+    wanted rank are ranked row by row. Output columns ``q_i``."""
+    from pyspark.sql import Window
     group = list(group)
-    base = df.select(*group, col).filter(F.col(col).isNotNull())
-    r = ordered.with_rank(base, [col], group=group, tie=[], rank_col="_r", size_col="_n")
-    aggs, keep = [], F.lit(False)
-    for i, p in enumerate(probs):
-        h = (F.col("_n") - 1) * p
-        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
-        keep = keep | (F.col("_r") == lo) | (F.col("_r") == hi)
-        aggs += [F.max(F.when(F.col("_r") == lo, F.col(col))).alias(f"_lo{i}"),
-                 F.max(F.when(F.col("_r") == hi, F.col(col))).alias(f"_hi{i}"),
-                 F.max(h - F.floor(h)).alias(f"_f{i}")]
-    out = r.filter(keep).groupBy(*group).agg(*aggs)
-    return out.select(*group, *[
-        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"q_{i}")
-        for i in range(len(probs))])
+    B = ordered.BUCKET
+    base = df.select(*group, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
+    x = ordered.range_buckets(base, group + ["_v"], num_buckets)
+    gw = Window.partitionBy(*group).orderBy(B)
+    counts = x.groupBy(*group, B).agg(F.count(F.lit(1)).alias("_c"))
+    counts = counts.select(*group, B, "_c",
+                           F.coalesce(F.sum("_c").over(gw.rowsBetween(Window.unboundedPreceding, -1)),
+                                      F.lit(0)).alias("_off"),
+                           F.sum("_c").over(Window.partitionBy(*group)).alias("_n"))
+    # wanted global ranks per group: floor/ceil of (n - 1) p, 1-based
+    wanted = counts.select(*group, B, "_c", "_off", "_n", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), (F.floor((F.col("_n") - 1) * p) + 1).alias("lo"),
+                 (F.ceil((F.col("_n") - 1) * p) + 1).alias("hi"), ((F.col("_n") - 1) * p).alias("h"))
+        for i, p in enumerate(probs)])).alias("w"))
+    hits = wanted.filter(((F.col("w.lo") > F.col("_off")) & (F.col("w.lo") <= F.col("_off") + F.col("_c")))
+                         | ((F.col("w.hi") > F.col("_off")) & (F.col("w.hi") <= F.col("_off") + F.col("_c"))))
+    need = hits.select(*group, B, "_off").distinct()
+    sel = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+    need_r = need.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(B).alias("_nb"), "_off")
+    rows = x.join(need_r, sel + [F.col(B) == F.col("_nb")])
+    rw = Window.partitionBy(*group, B).orderBy("_v")
+    ranked = rows.withColumn("_r", F.row_number().over(rw) + F.col("_off")).select(*group, "_r", "_v")
+    targets = wanted.select(*group, "w.i", "w.lo", "w.hi", "w.h").distinct()
+    t = targets.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "i", "lo", "hi", "h")
+    j = ranked.join(t, sel + [(F.col("_r") == F.col("lo")) | (F.col("_r") == F.col("hi"))])
+    per = j.groupBy(*[f"_g{i}" for i in range(len(group))], "i").agg(
+        F.max(F.when(F.col("_r") == F.col("lo"), F.col("_v"))).alias("_lo"),
+        F.max(F.when(F.col("_r") == F.col("hi"), F.col("_v"))).alias("_hi"),
+        F.max(F.col("h") - F.floor("h")).alias("_f"))
+    val = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")
+    out = per.groupBy(*[f"_g{i}" for i in range(len(group))]).agg(
+        *[F.max(F.when(F.col("i") == i, val)).alias(f"q_{i}") for i in range(len(probs))])
+    return out.select(*[F.col(f"_g{i}").alias(g) for i, g in enumerate(group)], *[f"q_{i}" for i in range(len(probs))])
 
 
 # C23
 def describe(df, cols):
-    """count, mean, std, min, 25 %, 50 %, 75 %, max per column (long form)."""
-    parts = []
-    for c in cols:
-        stats = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"),
-                       F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
-        q = group_quantiles(df, [], c, [0.25, 0.5, 0.75])
-        q = q.select(F.col("q_0").alias("p25"), F.col("q_1").alias("p50"), F.col("q_2").alias("p75"))
-        one = _one_row_join(stats, q)
-        parts.append(one.select(F.lit(c).alias("column"), "count", "mean", "std", "min",
-                                "p25", "p50", "p75", "max"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """count, mean, std, min, 25 %, 50 %, 75 %, max per column (long form).
+    Moments come from one wide aggregate; the quartiles of all columns from
+    one distributed ranking of the (column, value) pairs."""
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    stack = "stack({}, {}) as (column, count, mean, std, min, max)".format(
+        len(cols), ", ".join(f"'{c}', n{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols)))
+    moments = df.agg(*aggs).selectExpr(stack)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                                for c in cols]))
+    long = df.select(pairs.alias("p")).select("p.column", "p.v")
+    q = group_quantiles(long, ["column"], "v", [0.25, 0.5, 0.75]).select(
+        "column", F.col("q_0").alias("p25"), F.col("q_1").alias("p50"), F.col("q_2").alias("p75"))
+    return moments.join(q, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50",
+                                                    "p75", "max")
 
 
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -305,13 +332,22 @@ def kde(df, col, points=200, cut=3.0, chunk=25):
 
 
 # C34
-def correlation_matrix(df, cols):
-    """Pearson correlation for every unordered pair (lower triangle), long."""
+def correlation_matrix(df, cols, chunk: int = 8):
+    """Pearson correlation for every unordered pair (lower triangle), long.
+    Pairs are aggregated in chunks so each aggregate stays within
+    whole-stage codegen limits."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
-    wide = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    stack = "stack({}, {}) as (feature_a, feature_b, corr)".format(
-        len(pairs), ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs)))
-    return wide.selectExpr(stack)
+    parts = []
+    for lo in range(0, len(pairs), chunk):
+        part = pairs[lo:lo + chunk]
+        wide = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(part)])
+        stack = "stack({}, {}) as (feature_a, feature_b, corr)".format(
+            len(part), ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(part)))
+        parts.append(wide.selectExpr(stack))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # C35
