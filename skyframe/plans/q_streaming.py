@@ -72,7 +72,7 @@ f(user_id, rn, t, ws, cnt, ok) AS (
 SELECT user_id, count(*) FILTER (WHERE ok) AS accepted, count(*) FILTER (WHERE NOT ok) AS refused FROM f GROUP BY user_id""")
 def q_rate_limit(spark, sf_dir):
     """20 requests per 60 s per user, refused ones not counted."""
-    r = L.rate_limit(events(spark, sf_dir).select("user_id", "ts", "event_id"), "user_id", "ts", 20, 60)
+    r = L.rate_limit(events(spark, sf_dir).select("user_id", "ts", "event_id"), "user_id", "ts", 20, 60, "event_id")
     return r.groupBy("user_id").agg(F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("refused"))
 
 
@@ -91,7 +91,7 @@ SELECT gate, count(*) FILTER (WHERE ok) AS accepted, count(*) FILTER (WHERE NOT
 def q_rate_limit_burst(spark, sf_dir):
     """M11 where the limit bites: 20 requests per hour for three gateways."""
     ev = events(spark, sf_dir).select((F.col("user_id") % 3).alias("gate"), "ts", "event_id")
-    r = L.rate_limit(ev, "gate", "ts", 20, 3600)
+    r = L.rate_limit(ev, "gate", "ts", 20, 3600, "event_id")
     return r.groupBy("gate").agg(F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("refused"))
 
 

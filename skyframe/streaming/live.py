@@ -61,13 +61,20 @@ def _rate_fold(times, window_s: float, limit: int, state=None):
     return out, (start, count)
 
 
-def rate_limit(df: DataFrame, key: str = "user_id", ts: str = "ts", limit: int = 20, window_s: int = 60) -> DataFrame:
+def rate_limit(df: DataFrame, key: str = "user_id", ts: str = "ts", limit: int = 20, window_s: int = 60,
+               rid: str = "event_id", method: str = "chain") -> DataFrame:
     """Per key: a window opens at the first request and reopens at the first
     request at least ``window_s`` later; inside a window the first
     ``limit`` requests pass, later ones are refused and not counted.
 
-    The rule is a sequential fold per key, so the key is the parallel unit
-    (``applyInPandas``, the rows of one key sorted in its task)."""
+    ``method="chain"`` (default) computes the window chain with id-keyed
+    joins and distributed ranks (``streaming.ratelimit``), so one key may
+    hold any share of the requests. ``method="fold"`` runs the sequential
+    rule per key in ``applyInPandas`` (one key's rows in one task; for
+    small inputs)."""
+    if method == "chain":
+        from skyframe.streaming.ratelimit import rate_limit as chain
+        return chain(df, key, ts, rid, limit, window_s)
     schema = T.StructType(df.schema.fields + [T.StructField("accepted", T.BooleanType())])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -79,6 +86,29 @@ def rate_limit(df: DataFrame, key: str = "user_id", ts: str = "ts", limit: int =
     return df.groupBy(key).applyInPandas(fold, schema)
 
 
+def rate_limit_stream(stream: DataFrame, key: str = "user_id", ts: str = "ts", limit: int = 20,
+                      window_s: int = 60) -> DataFrame:
+    """Streaming form: keyed state (window start, count) per key, updated by
+    each micro-batch's requests in time order (``applyInPandasWithState``)."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    out_schema = T.StructType(stream.schema.fields + [T.StructField("accepted", T.BooleanType())])
+    state_schema = T.StructType([T.StructField("start", T.DoubleType()), T.StructField("count", T.LongType())])
+
+    def step(k, pdfs, state):
+        prev = state.get if state.exists else None
+        st = (prev[0], int(prev[1])) if prev else None
+        for pdf in pdfs:
+            pdf = pdf.sort_values([ts] + [c for c in pdf.columns if c != ts], kind="mergesort")
+            secs = pd.to_datetime(pdf[ts]).astype("int64") / 1e9
+            ok, st = _rate_fold(secs.tolist(), window_s, limit, st)
+            yield pdf.assign(accepted=ok)
+        if st is not None:
+            state.update((float(st[0]), int(st[1])))
+
+    return stream.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
+                                                      GroupStateTimeout.NoTimeout)
+
+
 # M12
 def session_spans(df: DataFrame, key: str = "user_id", ts: str = "ts", gap: str = "1 hour", ttl_s: int = 3600,
                   watermark: str | None = None, tie=None, num_buckets: int | None = None) -> DataFrame:

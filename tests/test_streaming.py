@@ -69,3 +69,29 @@ def test_session_spans_stream(spark):
     # once the final (open) sessions are added from the batch form
     batch = L.session_spans(ev)
     assert got <= batch.agg(F.sum("requests")).first()[0] == ev.count()
+
+
+def test_rate_limit_chain_equals_fold_on_hot_key(spark):
+    ev = _events(spark).select("ts", "event_id").withColumn("user_id", F.lit(7))
+    a = L.rate_limit(ev, window_s=259200, method="chain").select("event_id", F.col("accepted").alias("a"))
+    b = L.rate_limit(ev, window_s=259200, method="fold").select("event_id", F.col("accepted").alias("b"))
+    j = a.join(b, "event_id")
+    assert j.count() == ev.count() and j.filter(F.col("a") != F.col("b")).count() == 0
+    assert a.filter(~F.col("a")).count() > 0
+
+
+def test_rate_limit_stream_equals_batch(spark):
+    ev = _events(spark).select("user_id", "ts", "event_id").withColumn("gate", F.col("user_id") % 2)
+    src = tempfile.mkdtemp(prefix="sk-rl-")
+    days = sorted(r[0] for r in ev.select(F.to_date("ts")).distinct().collect())
+    for i, d in enumerate(days):          # one file per day, written in time order
+        ev.filter(F.to_date("ts") == d).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (L.rate_limit_stream(stream, "gate", "ts", 20, 86400).writeStream.outputMode("append")
+         .format("memory").queryName("rl_test").option("checkpointLocation", tempfile.mkdtemp())
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("rl_test").select("event_id", F.col("accepted").alias("s"))
+    want = L.rate_limit(ev, "gate", "ts", 20, 86400, method="fold").select("event_id", F.col("accepted").alias("b"))
+    j = got.join(want, "event_id")
+    assert j.count() == ev.count() and j.filter(F.col("s") != F.col("b")).count() == 0
