@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from skyframe.functions.columns import equals_ignore_case
 from skyframe.operators import stats
+from skyframe.plans import ordered
 
 # The supported query types and the answer texts.
 QUERY_TYPES = [
@@ -64,11 +65,6 @@ def thousands(c: Column) -> Column:
     return F.format_number(c, 0)
 
 
-def _lines(df: DataFrame, text: Column, order=None) -> DataFrame:
-    out = df.select(text.alias("answer"), *(order or []))
-    return out
-
-
 def answer(df: DataFrame, query_type: str, airline: str | None = None, route: str | None = None) -> DataFrame:
     """Rows ``(line, answer)`` for one query type over already-windowed rows."""
     spark = df.sparkSession
@@ -99,9 +95,11 @@ def answer(df: DataFrame, query_type: str, airline: str | None = None, route: st
         key = "airline" if query_type == "flights_by_airline" else "route"
         k = None if key == "airline" else 10
         title = "Flight counts by airline:" if key == "airline" else "Flight counts by route (Top 10):"
-        counts = stats.counts_by(df, key, "n", k=k)
-        rows = counts.select(
-            F.row_number().over(_order_window(key)).cast("long").alias("line"),
+        counts = stats.counts_by(df, key, "n", k=k).withColumn("_neg_n", -F.col("n"))
+        # line numbers by the distributed rank (no single-partition window)
+        ranked = ordered.with_rank(counts, ["_neg_n"], tie=[key], rank_col="line", size_col=None)
+        rows = ranked.select(
+            F.col("line").cast("long").alias("line"),
             F.concat(F.lit("- "), F.col(key), F.lit(": "), thousands(F.col("n")), F.lit(" flights")).alias("answer"))
         return msg(title).unionByName(rows)
     if query_type == "avg_delay_by_airline":
@@ -138,11 +136,6 @@ def answer(df: DataFrame, query_type: str, airline: str | None = None, route: st
     return one(res, text)
 
 
-def _order_window(key):
-    from pyspark.sql import Window
-    return Window.orderBy(F.col("n").desc(), F.col(key))
-
-
 # C13
 def run_named_query(df: DataFrame, query_type: str, start: int, end: int, airline: str | None = None,
                     route: str | None = None, ts: str = "timestamp") -> DataFrame:
