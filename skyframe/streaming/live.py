@@ -203,10 +203,21 @@ def scoring_stream(events: DataFrame, model, reference_aggs: DataFrame | None, o
                    keys, prediction: str = "dep_delay"):
     """Streaming features (stream-static join with training aggregates),
     scoring, and an idempotent upsert of each micro-batch by batch id."""
-    from skyframe.operators.features import serving_features
+    from skyframe.operators.features import group_aggregates, serving_features
+    from skyframe.session import scratch_path
+
+    aggs = None
+    if reference_aggs is not None:
+        # the training aggregates are computed once per model and written to
+        # the shared folder; every micro-batch joins the small tables
+        spark = reference_aggs.sparkSession
+        paths = [scratch_path(spark, "ref-airline"), scratch_path(spark, "ref-daily")]
+        for t, p in zip(group_aggregates(reference_aggs), paths):
+            t.write.parquet(p)
+        aggs = tuple(spark.read.parquet(p) for p in paths)
 
     def per_batch(batch: DataFrame, batch_id: int):
-        feats = serving_features(batch, reference=reference_aggs, passthrough=list(keys))
+        feats = serving_features(batch, aggregates=aggs, passthrough=list(keys))
         scored = model.transform(feats).select(*keys, F.round("prediction", 2).alias(prediction))
         scored.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
