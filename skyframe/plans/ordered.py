@@ -46,19 +46,25 @@ def total_order(df: DataFrame, order, tie=None) -> list[str]:
 def range_buckets(df: DataFrame, keys, num_buckets: int | None = None) -> DataFrame:
     """Rows labelled with an ordered bucket id (see module doc).
 
-    The labelled frame is written as Parquet to a fresh folder under the
-    shared checkpoint folder and read back: the bucket ids are then fixed
-    data that every later branch (per-bucket summary, join back, window)
-    reads identically, and the lineage above it is cut, so a lost executor
-    never re-samples the range bounds.
+    The labelled frame is written to a fresh folder under the shared
+    checkpoint folder and read back: the bucket ids are then fixed data
+    that every later branch (per-bucket summary, join back, window) reads
+    identically, and the lineage above it is cut, so a lost executor never
+    re-samples the range bounds. The folder is a table bucketed by the
+    bucket id, so the per-bucket aggregates and windows that follow read
+    co-located data and need no further shuffle.
     """
+    import uuid
+
     from skyframe.session import scratch_path
+    spark = df.sparkSession
     nb = num_buckets or _default_buckets(df)
-    path = scratch_path(df.sparkSession, "buckets")
+    path = scratch_path(spark, "buckets")
+    name = f"skyframe_buckets_{uuid.uuid4().hex[:16]}"
     (df.repartitionByRange(nb, *[F.col(k).asc_nulls_first() for k in keys])
      .withColumn(BUCKET, F.spark_partition_id())
-     .write.parquet(path))
-    return df.sparkSession.read.parquet(path)
+     .write.bucketBy(nb, BUCKET).option("path", path).saveAsTable(name))
+    return spark.table(name)
 
 
 def lex_less(keys, values, schema: T.StructType) -> Column:
