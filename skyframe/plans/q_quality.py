@@ -188,3 +188,17 @@ SELECT metric, round(value, 6) AS value FROM (
 def q_bias(spark, sf_dir):
     """K0-K9: label bias of the carrier facet C1,C2,C3 (CDDL by origin)."""
     return present(BI.bias_report(raw(spark, sf_dir), "carrier", FACET, "dep_delay", 0.0, group="origin"))
+
+
+@query("baseline_join", with_flights(PROFILE_CTES + """
+SELECT 'matched' AS kind, count(*) AS features FROM cp JOIN bp USING (feature)
+UNION ALL SELECT 'no_baseline', count(*) FROM (SELECT feature FROM cp UNION ALL SELECT 'visib') c
+  WHERE feature NOT IN (SELECT feature FROM bp)"""))
+def q_baseline_join(spark, sf_dir):
+    """Current statistics joined to the baseline by feature, with the
+    features that have no baseline (the current side also profiles visib)."""
+    from skyframe.operators import relational as R
+    base, cur = periods(spark, sf_dir)
+    matched, missing = R.join_baseline(QY.profile(cur, NUM + CAT + ["visib"]), QY.profile(base, NUM + CAT))
+    return (matched.agg(F.count(F.lit(1)).alias("features")).withColumn("kind", F.lit("matched"))
+            .unionByName(missing.agg(F.count(F.lit(1)).alias("features")).withColumn("kind", F.lit("no_baseline"))))

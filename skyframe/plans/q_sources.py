@@ -181,3 +181,64 @@ def q_metrics_doc(spark, sf_dir):
     A.write_metrics(gate, path)
     back = spark.read.schema("rows long, rmse double, passed boolean").json(path)
     return present(back)
+
+
+@query("table_contract", with_flights("""
+SELECT count(*) AS rows, 31 AS columns, count(date) AS with_date, count(DISTINCT date_string) AS days
+FROM clean_flights""", clean=True))
+def q_contract(spark, sf_dir):
+    """The processed table cut to its 31-column contract, in order."""
+    from skyframe.operators.clean import CLEAN_FIELDS, align_to_schema
+    df = align_to_schema(cleaned(spark, sf_dir), CLEAN_FIELDS)
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"),
+                  F.count("date").alias("with_date"), F.countDistinct("date_string").alias("days"))
+
+
+@query("predictions_partitioned", with_flights("""
+SELECT year, month, count(*) AS rows, round(sum(dep_delay), 6) AS delay_sum FROM clean_flights
+GROUP BY year, month""", clean=True))
+def q_predictions(spark, sf_dir):
+    """Prediction JSON lines in year=/month= folders, partition columns
+    recovered from the folder names."""
+    df = cleaned(spark, sf_dir).select("year", "month", *ROW_KEYS, "dep_delay")
+    path = scratch_path(spark, "predictions")
+    df.write.partitionBy("year", "month").json(path)
+    schema = T.StructType([df.schema[c] for c in [*ROW_KEYS, "dep_delay", "year", "month"]])
+    back = A.read_predictions(spark, path, schema)
+    return present(back.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"),
+                                                    F.sum("dep_delay").alias("delay_sum")))
+
+
+@query("consume_once_labels", """
+SELECT count(*) AS rows, count(*) FILTER (WHERE quality = 1) AS good, 0 AS files_left FROM labels""")
+def q_consume_once(spark, sf_dir):
+    """A retrain file is read once and removed after its batch."""
+    import os
+    ensure_session_conf(spark)
+    lab = table(spark, sf_dir, "labels")
+    src, out, ck = scratch_path(spark, "once-src"), scratch_path(spark, "once-out"), scratch_path(spark, "once-ck")
+    lab.write.option("header", True).csv(src)
+    A.consume_once(spark, src, lab.schema, ck, lambda b, i: b.write.mode("append").parquet(out))
+    left = len([f for f in os.listdir(src.replace("file:", "")) if f.endswith(".csv")])
+    got = spark.read.parquet(out)
+    return got.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("quality") == 1).alias("good"),
+                   F.lit(left).alias("files_left"))
+
+
+@query("landing_stream", """
+SELECT year(ts) AS year, month(ts) AS month, count(*) AS rows FROM events GROUP BY 1, 2""")
+def q_landing(spark, sf_dir):
+    """A13 + A4: events streamed in bounded batches into the gzip JSON
+    landing layout (year/month/day/hour) and read back."""
+    from skyframe.streaming.live import as_event_time
+    ensure_session_conf(spark)
+    ev = as_event_time(table(spark, sf_dir, "events"))
+    src, land, ck = scratch_path(spark, "ev-src"), scratch_path(spark, "landing"), scratch_path(spark, "land-ck")
+    ev.write.parquet(src)
+    q = A.write_landing(A.open_stream(spark, src, ev.schema, max_files=4, fmt="parquet"), land, ck,
+                        interval="1 second")
+    q.processAllAvailable()
+    q.stop()
+    back = A.read_predictions(spark, land, ev.schema)
+    return back.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows"))

@@ -118,3 +118,21 @@ def q_explain(spark, sf_dir):
     base = ST.mean_vector(train, inputs).first().asDict()
     local = M.explain(model, split.filter(F.col("split") == "test"), inputs, base, ROW_KEYS, samples=10)
     return M.global_importance(local)
+
+
+@query("scoring_stream")
+def q_scoring_stream(spark, sf_dir):
+    """M1 + M2 + M3: processed flights streamed in bounded batches, serving
+    features joined with training aggregates, scored, written per batch id."""
+    from skyframe.session import scratch_path
+    from skyframe.streaming import live as L
+    df = cleaned(spark, sf_dir)
+    train = FE.serving_features(df, passthrough=["dep_delay"])
+    model = M.train_regressor(train, FE.MODEL_INPUTS, params={"num_round": 10})
+    src, out, ck = scratch_path(spark, "live-src"), scratch_path(spark, "scored"), scratch_path(spark, "score-ck")
+    df.write.parquet(src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 4).parquet(src)
+    L.scoring_stream(stream, model, df, out, ck, ROW_KEYS).awaitTermination()
+    scored = spark.read.parquet(out)
+    return scored.agg(F.count(F.lit(1)).alias("scored"), F.count("dep_delay").alias("with_prediction"),
+                      F.countDistinct("batch_id").alias("batches"))
