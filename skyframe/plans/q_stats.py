@@ -65,7 +65,7 @@ def q_flights_by_airline(spark, sf_dir):
 
 
 AIRLINE = "nation air 7 inc."
-ROUTE = "france-germany"
+ROUTE = "nation_7-nation_3"
 
 
 @query("named_avg_delay_by_airline", _menu(f"""
@@ -128,7 +128,48 @@ def q_distance_by_route(spark, sf_dir):
     return present(stats.means_for_value(windowed(spark, sf_dir), "route", ROUTE, ["distance"]))
 
 
-@query("named_query_answers")
+_ANSWERS_SQL = _menu(f"""
+SELECT * FROM (
+  SELECT 'max_delay' AS query_type, CAST(0 AS BIGINT) AS line,
+         'The maximum departure delay is ' || printf('%.2f', max(dep_delay)) || ' minutes.' AS answer FROM win
+  UNION ALL SELECT 'min_delay', 0, 'The minimum departure delay is ' || printf('%.2f', min(dep_delay)) || ' minutes.' FROM win
+  UNION ALL SELECT 'flight_count', 0, 'There are currently ' || format('{{:,}}', count(*)) || ' flights in your session.' FROM win
+  UNION ALL SELECT 'flights_by_airline', 0, 'Flight counts by airline:'
+  UNION ALL SELECT 'flights_by_airline', row_number() OVER (ORDER BY n DESC, airline),
+                   '- ' || airline || ': ' || format('{{:,}}', n) || ' flights'
+            FROM (SELECT airline, count(*) AS n FROM win GROUP BY airline) a
+  UNION ALL SELECT 'avg_delay_by_airline', 0, CASE WHEN count(*) = 0 THEN 'No data found for airline ''{AIRLINE}''.'
+                   ELSE '{AIRLINE} has an average departure delay of '
+                   || printf('%.2f', avg(dep_delay)) || ' minutes (' || format('{{:,}}', count(*)) || ' flights).' END
+            FROM win WHERE lower(airline) = lower('{AIRLINE}')
+  UNION ALL SELECT * FROM (SELECT 'max_delay_airline', 0, 'The airline with the most delays is ' || airline
+                   || ' with an average delay of ' || printf('%.2f', avg(dep_delay)) || ' minutes.'
+            FROM win GROUP BY airline ORDER BY avg(dep_delay) DESC, airline LIMIT 1)
+  UNION ALL SELECT * FROM (SELECT 'min_delay_airline', 0, 'The airline with the least delays is ' || airline
+                   || ' with an average delay of ' || printf('%.2f', avg(dep_delay)) || ' minutes.'
+            FROM win GROUP BY airline ORDER BY avg(dep_delay) ASC, airline LIMIT 1)
+  UNION ALL SELECT 'flights_by_route', 0, 'Flight counts by route (Top 10):'
+  UNION ALL SELECT * FROM (SELECT 'flights_by_route', row_number() OVER (ORDER BY n DESC, route),
+                   '- ' || route || ': ' || format('{{:,}}', n) || ' flights'
+            FROM (SELECT route, count(*) AS n FROM win GROUP BY route) r ORDER BY n DESC, route LIMIT 10)
+  UNION ALL SELECT * FROM (SELECT 'max_flights_route', 0, 'The route with the most flights is ' || route || ' with '
+                   || format('{{:,}}', count(*)) || ' flights.' FROM win GROUP BY route ORDER BY count(*) DESC, route LIMIT 1)
+  UNION ALL SELECT * FROM (SELECT 'min_flights_route', 0, 'The route with the least flights is ' || route || ' with '
+                   || format('{{:,}}', count(*)) || ' flights.' FROM win GROUP BY route ORDER BY count(*) ASC, route LIMIT 1)
+  UNION ALL SELECT 'weather_by_route', 0, CASE WHEN count(*) = 0 THEN 'No data found for route ''{ROUTE}''.'
+                   ELSE 'For route {ROUTE}, the average temperature is ' || printf('%.1f', avg(temp))
+                   || '°F, wind speed is ' || printf('%.2f', avg(wind_speed)) || ' mph, and pressure is '
+                   || printf('%.1f', avg(pressure)) || ' hPa.' END FROM win WHERE upper(route) = upper('{ROUTE}')
+  UNION ALL SELECT 'distance_by_route', 0, CASE WHEN count(*) = 0 THEN 'No data found for route ''{ROUTE}''.'
+                   ELSE 'The average distance for route {ROUTE} is ' || printf('%.1f', avg(distance))
+                   || ' miles.' END FROM win WHERE upper(route) = upper('{ROUTE}')
+  UNION ALL SELECT 'not_a_query', 0, 'Error: Unsupported query type ''not_a_query''. Please use a valid query_type.'
+  UNION ALL SELECT 'missing_airline', 0,
+                   'Error: ''airline'' parameter is required. Example: ''alaska_airlines_inc'', ''horizon_air'''
+) t""")
+
+
+@query("named_query_answers", _ANSWERS_SQL)
 def q_named_answers(spark, sf_dir):
     """C13 + B28: every menu entry (plus a bad type and a missing
     parameter) answered as text over the whole-range window."""
