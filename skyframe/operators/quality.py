@@ -18,10 +18,6 @@ from skyframe.functions.columns import alert_severity
 from skyframe.plans import ordered
 
 
-def _numeric(df, cols):
-    return [c for c in cols if isinstance(df.schema[c].dataType, T.NumericType)]
-
-
 # J1 + J2
 def profile(df: DataFrame, cols=None) -> DataFrame:
     """Long profile: feature, inferred_type (Integral / Fractional /

@@ -19,10 +19,6 @@ from skyframe.functions.columns import equals_ignore_case
 from skyframe.plans import ordered
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def scalar(df: DataFrame, expr: Column):
     """One aggregate value, fetched to the driver as a single number."""
     return df.agg(expr.alias("v")).first()["v"]

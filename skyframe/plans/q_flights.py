@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from skyframe.operators import clean, stats
 from skyframe.plans.flights import ROW_KEYS, flights_table, materialise
 from skyframe.plans.output import present
@@ -24,9 +22,6 @@ def cleaned(spark, sf_dir):
     return materialise(spark, f"processed{sf_dir}", lambda: clean.clean_flights(raw(spark, sf_dir)))
 
 
-R6 = "round({}, 6)"
-
-
 @query("clean_flights", with_flights("""
 SELECT * REPLACE (CAST(dep_time AS VARCHAR) AS dep_time, CAST(arr_time AS VARCHAR) AS arr_time,
                   CAST(sched_dep_time AS VARCHAR) AS sched_dep_time, CAST(sched_arr_time AS VARCHAR) AS sched_arr_time,
