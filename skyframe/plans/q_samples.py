@@ -239,3 +239,21 @@ def q_envelope(spark, sf_dir):
     e = P.event_envelope(raw(spark, sf_dir), _CLOCK, 3600, key_cols=ROW_KEYS)
     return e.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"), F.min("timestamp").alias("sent"),
                  F.max("expiry_time").alias("expires"), F.count("dep_delay").alias("with_target"))
+
+
+_DRIFT_MULT = {"nation_air_1_inc": 1.25, "nation_air_2_inc": 0.75}
+_DRIFT_CASE = " ".join(
+    f"WHEN airline_key = '{k}' THEN greatest(1, least(CAST(floor(n * CAST({v} AS DOUBLE)) AS BIGINT), n * 2))"
+    for k, v in _DRIFT_MULT.items())
+
+
+@query("drift_set_sizes", with_flights(HASHED + f"""
+, r AS (SELECT airline, row_number() OVER (ORDER BY h, {KEYS}) AS rr, count(*) OVER () AS n FROM s),
+g AS (SELECT airline, replace(replace(lower(airline), ' ', '_'), '.', '') AS airline_key, count(*) AS n
+      FROM r WHERE rr <= floor(n * CAST(0.2 AS DOUBLE)) GROUP BY airline)
+SELECT airline, CASE {_DRIFT_CASE} ELSE n END AS rows FROM g"""))
+def q_drift_sizes(spark, sf_dir):
+    """H15 sizes: 20 % seeded sample, then the airline mix multipliers."""
+    from skyframe.operators import perturb as P
+    d = P.make_drift_set(raw(spark, sf_dir), ROW_KEYS, SEED, _DRIFT_MULT)
+    return d.groupBy("airline").agg(F.count(F.lit(1)).alias("rows"))
