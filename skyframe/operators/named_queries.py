@@ -45,11 +45,17 @@ def check_window(start: int, end: int) -> tuple[int, int]:
 
 
 # B19
-def in_session_window(df: DataFrame, start: int, end: int, ts="timestamp", target="dep_delay") -> DataFrame:
-    """Predicted rows (target not null) with ``start <= ts <= end``; the
-    range filter reaches the Parquet scan as a pushed predicate."""
+def in_session_window(df: DataFrame, start: int, end: int, ts="timestamp", target="dep_delay",
+                      partition_key=("data_type", "FLIGHTS")) -> DataFrame:
+    """Predicted rows (target not null) of the constant partition key with
+    ``start <= ts <= end`` (bounds included, every page: no row limit). On
+    a table with a physical stamp column the range filter reaches the
+    Parquet scan as a pushed predicate."""
     start, end = check_window(start, end)
-    return df.filter(F.col(ts).between(start, end) & F.col(target).isNotNull())
+    cond = F.col(ts).between(start, end) & F.col(target).isNotNull()
+    if partition_key and partition_key[0] in df.columns:
+        cond = cond & (F.col(partition_key[0]) == partition_key[1])
+    return df.filter(cond)
 
 
 # B28 helpers
