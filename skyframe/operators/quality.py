@@ -19,15 +19,17 @@ from skyframe.plans import ordered
 
 
 # J1 + J2
-def profile(df: DataFrame, cols=None) -> DataFrame:
+def profile(df: DataFrame, cols=None, approx_distinct: bool = False, rsd: float = 0.02) -> DataFrame:
     """Long profile: feature, inferred_type (Integral / Fractional /
-    String), completeness, mean, min, max, n_distinct, is_non_negative."""
+    String), completeness, mean, min, max, n_distinct, is_non_negative.
+    ``approx_distinct`` counts distinct values with HyperLogLog++ sketches
+    (one pass, no per-column expansion of the rows) instead of exactly."""
     cols = list(cols or df.columns)
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
         x = F.col(c)
         aggs.append(F.count(x).alias(f"_c{i}"))
-        aggs.append(F.countDistinct(x).alias(f"_d{i}"))
+        aggs.append((F.approx_count_distinct(x, rsd) if approx_distinct else F.countDistinct(x)).alias(f"_d{i}"))
         if isinstance(df.schema[c].dataType, T.NumericType):
             xd = x.cast("double")
             aggs += [F.avg(xd).alias(f"_m{i}"), F.min(xd).alias(f"_lo{i}"), F.max(xd).alias(f"_hi{i}"),

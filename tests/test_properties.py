@@ -63,3 +63,12 @@ def test_bucketed_sessions_equal_session_window(spark):
                 .select("user_id", "start", "last_active", "requests",
                         (F.unix_timestamp("last_active") + 3600).alias("expiry_time")))
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_profile_approx_distinct_close(spark):
+    from skyframe.operators import quality as QY
+    df = flights(spark, SF_SMALL)
+    ex = {r["feature"]: r["n_distinct"] for r in QY.profile(df, ["route", "tailnum", "distance"]).collect()}
+    ap = {r["feature"]: r["n_distinct"] for r in QY.profile(df, ["route", "tailnum", "distance"],
+                                                            approx_distinct=True).collect()}
+    assert all(abs(ap[k] - ex[k]) <= 0.1 * ex[k] for k in ex)
