@@ -149,24 +149,16 @@ def drift_violations(distances: DataFrame, threshold: float = 0.1, kind: str = "
 
 # J8
 def check_domain(baseline: DataFrame, current: DataFrame, cols, threshold: float = 1.0) -> DataFrame:
-    """Share of current values found in the baseline value set (semi join
-    on distinct values, no row pairs)."""
-    parts = []
-    for c in cols:
-        known = baseline.select(F.col(c).cast("string").alias("v")).distinct()
-        cur = current.filter(F.col(c).isNotNull()).select(F.col(c).cast("string").alias("v"))
-        cur_vals = cur.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-        inside = cur_vals.join(known, "v", "left_semi")
-        a = cur_vals.agg(F.sum("n").alias("total"))
-        b = inside.agg(F.sum("n").alias("inside"))
-        share = _attach_one(a, b).select(
-            F.lit(c).alias("feature"),
-            F.try_divide(F.coalesce(F.col("inside"), F.lit(0)).cast("double"), F.col("total")).alias("share"))
-        parts.append(share)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("violation", F.col("share") < threshold)
+    """Share of current values found in the baseline value set, for all
+    features in one pass: value counts per (feature, value), a semi join
+    with the baseline's distinct (feature, value) pairs, no row pairs."""
+    known = _long_values(baseline, cols, "string").distinct()
+    cur = _long_values(current, cols, "string").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
+    flagged = cur.join(known.withColumn("_known", F.lit(1)), ["feature", "v"], "left")
+    share = flagged.groupBy("feature").agg(
+        F.try_divide(F.sum(F.when(F.col("_known") == 1, F.col("n")).otherwise(0)).cast("double"),
+                     F.sum("n")).alias("share"))
+    return share.withColumn("violation", F.col("share") < threshold)
 
 
 # J9 + J10 + J11
