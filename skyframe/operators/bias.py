@@ -57,16 +57,13 @@ def bias_report(df: DataFrame, facet: str, values, label: str, threshold: float
         F.greatest(F.abs(pa1 - pd1), F.abs(pa0 - pd0)).alias("KS"),
     )
     cddl = _cddl(c if group else c.withColumn("g", F.lit(0)))
-    wide = _side_by_side(metrics, cddl)
+    from skyframe.plans.combine import side_by_side
+    wide = side_by_side(metrics, cddl)
     stack = "stack({}, {}) as (metric, value)".format(
         len(METRICS), ", ".join(f"'{m}', CAST({m} AS DOUBLE)" for m in METRICS))
     return wide.selectExpr(stack)
 
 
-def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.withColumn("_one", F.lit(1)).join(F.broadcast(b.withColumn("_one", F.lit(1))), "_one").drop("_one")
-
-
 def _cddl(c: DataFrame) -> DataFrame:
     """K8: sum over groups of n_g * DD_g / n, with
     DD_g = n_d(0)/n(0) - n_d(1)/n(1) inside the group."""

@@ -107,10 +107,6 @@ def numeric_drift(baseline: DataFrame, current: DataFrame, cols, num_buckets: in
     return run.join(tot, "feature").groupBy("feature").agg(F.max(gap).alias("distance"))
 
 
-def _attach_one(df: DataFrame, one: DataFrame) -> DataFrame:
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one.withColumn("_one", F.lit(1))), "_one").drop("_one")
-
-
 def running_sums(df: DataFrame, order: str, cols, num_buckets: int | None = None, group=()) -> DataFrame:
     """``cum_<c>`` = sum of ``c`` over the rows of the same group with
     ``order`` <= this row's (order values unique inside a group), computed

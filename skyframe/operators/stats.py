@@ -194,13 +194,6 @@ def describe(df, cols):
                                                     "p75", "max")
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Combine two one-row (or empty) aggregates side by side on a constant
-    key; both sides hold at most one row."""
-    return (a.withColumn("_one", F.lit(1))
-            .join(F.broadcast(b.withColumn("_one", F.lit(1))), "_one", "left").drop("_one"))
-
-
 # C24
 def null_profile(df, cols=None, limit=0.05):
     cols = list(cols or df.columns)
@@ -259,7 +252,8 @@ def duplicate_profile(df, cols=None):
 def loss_report(before: DataFrame, after: DataFrame):
     b = before.agg(F.count(F.lit(1)).alias("rows_before"))
     a = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    out = _one_row_join(b, a)
+    from skyframe.plans.combine import side_by_side
+    out = side_by_side(b, a)
     return out.select("rows_before", "rows_after",
                       (F.col("rows_before") - F.col("rows_after")).alias("rows_removed"),
                       F.try_divide((F.col("rows_before") - F.col("rows_after")) * 100.0,

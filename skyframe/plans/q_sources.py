@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from skyframe.operators import features as FE
 from skyframe.plans.flights import ROW_KEYS
+from skyframe.plans.combine import side_by_side
 from skyframe.plans.output import present
 from skyframe.plans.q_flights import cleaned, raw
 from skyframe.plans.registry import query, with_flights
@@ -76,11 +77,7 @@ def q_quarantine(spark, sf_dir):
     good, bad = A.quarantine(text, df.schema)
     g = good.agg(F.count(F.lit(1)).alias("parsed"), F.sum("dep_delay").alias("parsed_delay_sum"))
     b = bad.agg(F.count(F.lit(1)).alias("quarantined"))
-    return present(A_join(g, b).select("parsed", "quarantined", "parsed_delay_sum"))
-
-
-def A_join(a, b):
-    return a.withColumn("_o", F.lit(1)).join(F.broadcast(b.withColumn("_o", F.lit(1))), "_o").drop("_o")
+    return present(side_by_side(g, b).select("parsed", "quarantined", "parsed_delay_sum"))
 
 
 @query("csv_roundtrip", with_flights("""

@@ -52,6 +52,7 @@ def prediction_range(cap: DataFrame, clean: DataFrame, n_features: int) -> DataF
     a = cap.agg(F.count(F.lit(1)).alias("records_in"))
     b = clean.agg(F.count(F.lit(1)).alias("records_clean"), F.min("prediction").alias("min_prediction"),
                   F.max("prediction").alias("max_prediction"))
-    j = a.withColumn("_o", F.lit(1)).join(F.broadcast(b.withColumn("_o", F.lit(1))), "_o")
+    from skyframe.plans.combine import side_by_side
+    j = side_by_side(a, b)
     return j.select("records_in", "records_clean", F.lit(n_features).alias("feature_count"),
                     "min_prediction", "max_prediction")
