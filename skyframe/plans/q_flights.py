@@ -52,7 +52,7 @@ def q_avg_delay_ranking(spark, sf_dir):
 SELECT origin, dest, count(*) AS total_flight_count FROM clean_flights
 GROUP BY origin, dest ORDER BY total_flight_count DESC, origin, dest LIMIT 10""", clean=True))
 def q_busiest_routes(spark, sf_dir):
-    """Top 10 origin-destination pairs (ties broken by name)."""
+    """C15 + D7: top 10 origin-destination pairs (ties broken by name)."""
     return stats.counts_by(cleaned(spark, sf_dir), ["origin", "dest"], "total_flight_count", k=10)
 
 

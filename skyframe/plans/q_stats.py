@@ -41,7 +41,7 @@ def _menu(sql_body):
 
 @query("named_max_delay", _menu("SELECT round(max(dep_delay), 6) AS max_delay FROM win"))
 def q_max_delay(spark, sf_dir):
-    """C1."""
+    """C1 over the session window (B19, bounds checked by B20)."""
     return present(stats.max_of(windowed(spark, sf_dir)))
 
 
@@ -72,7 +72,7 @@ ROUTE = "nation_7-nation_3"
 SELECT round(avg(dep_delay), 6) AS avg_delay, count(*) AS flight_count FROM win
 WHERE lower(airline) = lower('{AIRLINE}')"""))
 def q_avg_delay_by_airline(spark, sf_dir):
-    """C5."""
+    """C5 (B18 case-insensitive airline match)."""
     return present(stats.avg_for_value(windowed(spark, sf_dir), "airline", AIRLINE))
 
 

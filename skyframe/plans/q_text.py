@@ -26,7 +26,7 @@ SELECT conv_id, turn, role, text, position FROM (
   SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS position
   FROM conversations WHERE length(trim(text)) > 0) t WHERE position <= 100""")
 def q_flatten(spark, sf_dir):
-    """Non-blank messages, oldest first, at most 100 per session."""
+    """N1 + D9: non-blank messages sorted by time, at most 100 per session."""
     return TX.flatten_history(convs(spark, sf_dir))
 
 
