@@ -3,13 +3,14 @@
 Per-session ordering uses the distributed rank of ``plans.ordered`` (a
 session's turns are never gathered whole into one task); the only
 collected lists are bounded by ``n``. Retrieval scores every passage
-against a small, size-checked set of query vectors held as literals and
-takes a bounded top-k per query: no join and no (query, passage) rows.
+against a small, size-checked set of query vectors held as literals in
+one scan and takes a bounded top-k per query: no join, and the (query,
+passage) scores never leave the map task beyond k per query.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyframe.plans import ordered
@@ -62,16 +63,21 @@ def centroids(df: DataFrame, key: str = "label", vec: str = "embedding", max_key
 # N4
 def top_passages(corpus: DataFrame, queries, k: int = 3, key: str = "vec_id", vec: str = "embedding") -> DataFrame:
     """Best ``k`` passages per query by dot product. ``queries`` is a list
-    of (query id, vector). Each query's score is one column; each query
-    then keeps a bounded top-k (TakeOrderedAndProject)."""
-    scored = corpus.select(key, *[
-        F.aggregate(F.zip_with(F.col(vec), F.array(*[F.lit(v) for v in q]), lambda a, b: a.cast("double") * b),
-                    F.lit(0.0), lambda acc, x: acc + x).alias(f"s{i}") for i, (_, q) in enumerate(queries)])
-    parts = []
-    for i, (qid, _) in enumerate(queries):
-        top = scored.select(key, F.col(f"s{i}").alias("score")).orderBy(F.col("score").desc(), F.col(key)).limit(k)
-        parts.append(top.select(F.lit(qid).alias("query"), key, "score"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    of (query id, vector), held as literals.
+
+    One scan of the corpus: each passage gets one score per query, the
+    scores are turned long with ``stack`` inside the same stage, and
+    ``row_number() <= k`` per query is planned by Catalyst as a partial
+    ``WindowGroupLimit`` before the shuffle, so every map task sends at
+    most ``k`` rows per query and no query group grows with the corpus.
+    """
+    scores = [F.aggregate(F.zip_with(F.col(vec), F.array(*[F.lit(v) for v in q]),
+                                     lambda a, b: a.cast("double") * b),
+                          F.lit(0.0), lambda acc, x: acc + x) for _, q in queries]
+    pairs = ", ".join(f"_q{i}, _s{i}" for i in range(len(queries)))
+    scored = corpus.select(key, *[F.lit(qid).alias(f"_q{i}") for i, (qid, _) in enumerate(queries)],
+                           *[s.alias(f"_s{i}") for i, s in enumerate(scores)])
+    long = scored.selectExpr(key, f"stack({len(queries)}, {pairs}) AS (query, score)")
+    w = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col(key))
+    return (long.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+            .select("query", key, "score"))
