@@ -19,17 +19,23 @@ from skyframe.plans import ordered
 
 
 # J1 + J2
-def profile(df: DataFrame, cols=None, approx_distinct: bool = False, rsd: float = 0.02) -> DataFrame:
+def profile(df: DataFrame, cols=None, approx_distinct: bool = False, rsd: float = 0.02,
+            distinct: bool = True) -> DataFrame:
     """Long profile: feature, inferred_type (Integral / Fractional /
     String), completeness, mean, min, max, n_distinct, is_non_negative.
     ``approx_distinct`` counts distinct values with HyperLogLog++ sketches
-    (one pass, no per-column expansion of the rows) instead of exactly."""
+    (one pass, no per-column expansion of the rows) instead of exactly.
+    ``distinct=False`` leaves ``n_distinct`` null for callers that do not
+    read it (the checks), so the aggregate is one plain hash aggregate."""
     cols = list(cols or df.columns)
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
         x = F.col(c)
         aggs.append(F.count(x).alias(f"_c{i}"))
-        aggs.append((F.approx_count_distinct(x, rsd) if approx_distinct else F.countDistinct(x)).alias(f"_d{i}"))
+        if not distinct:
+            aggs.append(F.lit(None).cast("long").alias(f"_d{i}"))
+        else:
+            aggs.append((F.approx_count_distinct(x, rsd) if approx_distinct else F.countDistinct(x)).alias(f"_d{i}"))
         if isinstance(df.schema[c].dataType, T.NumericType):
             xd = x.cast("double")
             aggs += [F.avg(xd).alias(f"_m{i}"), F.min(xd).alias(f"_lo{i}"), F.max(xd).alias(f"_hi{i}"),
@@ -56,34 +62,57 @@ def _checks_join(baseline: DataFrame, current: DataFrame) -> DataFrame:
     return current.join(b, F.col("feature") == F.col("b_feature"), "inner")
 
 
-# J3
-def check_data_type(base_prof: DataFrame, cur_prof: DataFrame, threshold: float = 1.0) -> DataFrame:
+# Each check is a (kind, violated, description) rule over the join
+# of the current profile with the baseline profile; several rules are
+# evaluated on one join.
+def _rule_data_type(threshold: float = 1.0):
     """A baseline Integral feature must stay integral; a numeric one numeric."""
-    j = _checks_join(base_prof, cur_prof)
     bad = ((F.col("b_inferred_type") == "Integral") & (F.col("inferred_type") != "Integral")) | \
           ((F.col("b_inferred_type") != "String") & (F.col("inferred_type") == "String"))
-    return j.filter(bad).select(
-        F.col("feature").alias("feature_name"), F.lit("data_type_check").alias("constraint_check_type"),
-        F.concat(F.lit("Data type match requirement is not met. Expected data type: "),
-                 F.col("b_inferred_type"), F.lit(", Observed data type: "), F.col("inferred_type"),
-                 F.lit(f", threshold {threshold}")).alias("description"))
+    desc = F.concat(F.lit("Data type match requirement is not met. Expected data type: "),
+                    F.col("b_inferred_type"), F.lit(", Observed data type: "), F.col("inferred_type"),
+                    F.lit(f", threshold {threshold}"))
+    return "data_type_check", bad, desc
+
+
+def _rule_completeness():
+    desc = F.concat(F.lit("Data completeness "), F.format_string("%.6f", F.col("completeness")),
+                    F.lit(" is below the baseline "), F.format_string("%.6f", F.col("b_completeness")))
+    return "completeness_check", F.col("completeness") < F.col("b_completeness"), desc
+
+
+def _rule_non_negative():
+    return ("non_negative_check", F.col("b_is_non_negative") & (F.col("min") < 0),
+            F.lit("Negative values found for a non-negative feature"))
+
+
+def _apply_rules(base_prof: DataFrame, cur_prof: DataFrame, rules) -> DataFrame:
+    j = _checks_join(base_prof, cur_prof)
+    found = F.array(*[F.when(bad, F.struct(F.lit(kind).alias("k"), desc.alias("d"))) for kind, bad, desc in rules])
+    return (j.select(F.col("feature").alias("feature_name"),
+                     F.explode(F.filter(found, lambda v: v.isNotNull())).alias("_v"))
+            .select("feature_name", F.col("_v.k").alias("constraint_check_type"), F.col("_v.d").alias("description")))
+
+
+# J3
+def check_data_type(base_prof: DataFrame, cur_prof: DataFrame, threshold: float = 1.0) -> DataFrame:
+    return _apply_rules(base_prof, cur_prof, [_rule_data_type(threshold)])
 
 
 # J4
 def check_completeness(base_prof: DataFrame, cur_prof: DataFrame) -> DataFrame:
-    j = _checks_join(base_prof, cur_prof)
-    return j.filter(F.col("completeness") < F.col("b_completeness")).select(
-        F.col("feature").alias("feature_name"), F.lit("completeness_check").alias("constraint_check_type"),
-        F.concat(F.lit("Data completeness "), F.format_string("%.6f", F.col("completeness")),
-                 F.lit(" is below the baseline "), F.format_string("%.6f", F.col("b_completeness"))).alias("description"))
+    return _apply_rules(base_prof, cur_prof, [_rule_completeness()])
 
 
 # J5
 def check_non_negative(base_prof: DataFrame, cur_prof: DataFrame) -> DataFrame:
-    j = _checks_join(base_prof, cur_prof)
-    return j.filter(F.col("b_is_non_negative") & (F.col("min") < 0)).select(
-        F.col("feature").alias("feature_name"), F.lit("non_negative_check").alias("constraint_check_type"),
-        F.lit("Negative values found for a non-negative feature").alias("description"))
+    return _apply_rules(base_prof, cur_prof, [_rule_non_negative()])
+
+
+def profile_checks(base_prof: DataFrame, cur_prof: DataFrame, threshold: float = 1.0) -> DataFrame:
+    """J3 + J4 + J5 from one join of the two profiles."""
+    return _apply_rules(base_prof, cur_prof, [_rule_data_type(threshold), _rule_completeness(),
+                                              _rule_non_negative()])
 
 
 # J6
@@ -125,12 +154,18 @@ def running_sums(df: DataFrame, order: str, cols, num_buckets: int | None = None
 
 
 # J7
-def categorical_drift(baseline: DataFrame, current: DataFrame, cols) -> DataFrame:
-    """L-infinity distance between the two value-share vectors (one pass
-    over all features)."""
+def categorical_counts(baseline: DataFrame, current: DataFrame, cols) -> DataFrame:
+    """(feature, v, nb, nc): value counts of both sides for all listed
+    features (map-side combined), full outer joined on (feature, v)."""
     sb = _long_values(baseline, cols, "string").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("nb"))
     sc = _long_values(current, cols, "string").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("nc"))
-    both = sb.join(sc, ["feature", "v"], "full_outer").fillna(0, ["nb", "nc"])
+    return sb.join(sc, ["feature", "v"], "full_outer").fillna(0, ["nb", "nc"])
+
+
+def categorical_drift(baseline: DataFrame, current: DataFrame, cols, counts: DataFrame | None = None) -> DataFrame:
+    """L-infinity distance between the two value-share vectors (one pass
+    over all features). ``counts`` reuses a ``categorical_counts`` frame."""
+    both = counts if counts is not None else categorical_counts(baseline, current, cols)
     tot = both.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
     gap = F.abs(F.try_divide(F.col("nb"), F.col("tb")) - F.try_divide(F.col("nc"), F.col("tc")))
     return both.join(tot, "feature").groupBy("feature").agg(F.max(gap).alias("distance"))
@@ -144,16 +179,15 @@ def drift_violations(distances: DataFrame, threshold: float = 0.1, kind: str = "
 
 
 # J8
-def check_domain(baseline: DataFrame, current: DataFrame, cols, threshold: float = 1.0) -> DataFrame:
+def check_domain(baseline: DataFrame, current: DataFrame, cols, threshold: float = 1.0,
+                 counts: DataFrame | None = None) -> DataFrame:
     """Share of current values found in the baseline value set, for all
-    features in one pass: value counts per (feature, value), a semi join
-    with the baseline's distinct (feature, value) pairs, no row pairs."""
-    known = _long_values(baseline, cols, "string").distinct()
-    cur = _long_values(current, cols, "string").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
-    flagged = cur.join(known.withColumn("_known", F.lit(1)), ["feature", "v"], "left")
-    share = flagged.groupBy("feature").agg(
-        F.try_divide(F.sum(F.when(F.col("_known") == 1, F.col("n")).otherwise(0)).cast("double"),
-                     F.sum("n")).alias("share"))
+    features in one pass over the value counts of both sides (a value is
+    in the domain when the baseline counted it): no row pairs."""
+    both = counts if counts is not None else categorical_counts(baseline, current, cols)
+    share = both.groupBy("feature").agg(
+        F.try_divide(F.sum(F.when(F.col("nb") > 0, F.col("nc")).otherwise(0)).cast("double"),
+                     F.sum("nc")).alias("share"))
     return share.withColumn("violation", F.col("share") < threshold)
 
 
@@ -193,14 +227,19 @@ def route_violations(violations: DataFrame) -> DataFrame:
 
 # J14
 def monitor_report(baseline: DataFrame, current: DataFrame, numeric, categorical, drift_threshold=0.1) -> DataFrame:
-    """All violations of J3-J8 in one long table."""
-    bp, cp = profile(baseline, numeric + categorical), profile(current, numeric + categorical)
-    dom = check_domain(baseline, current, categorical).filter("violation").select(
+    """All violations of J3-J8 in one long table. Each side is profiled
+    once (no distinct counts: no check reads them) and the three profile
+    checks share one join; the categorical value counts feed both the
+    L-infinity drift and the domain check."""
+    feats = numeric + categorical
+    bp, cp = profile(baseline, feats, distinct=False), profile(current, feats, distinct=False)
+    counts = categorical_counts(baseline, current, categorical)
+    dom = check_domain(baseline, current, categorical, counts=counts).filter("violation").select(
         F.col("feature").alias("feature_name"), F.lit("domain_content_check").alias("constraint_check_type"),
         F.concat(F.lit("Share of values in the baseline domain: "), F.format_string("%.6f", F.col("share"))).alias("description"))
-    parts = [check_data_type(bp, cp), check_completeness(bp, cp), check_non_negative(bp, cp),
+    parts = [profile_checks(bp, cp),
              drift_violations(numeric_drift(baseline, current, numeric), drift_threshold),
-             drift_violations(categorical_drift(baseline, current, categorical), drift_threshold), dom]
+             drift_violations(categorical_drift(baseline, current, categorical, counts=counts), drift_threshold), dom]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -116,7 +116,8 @@ SELECT feature, round(CASE WHEN status = 'NO_BASELINE' THEN NULL ELSE drift_pct
 def q_feature_status(spark, sf_dir):
     """J9 + J10 + J11: mean drift, range violation and status per feature."""
     base, cur = periods(spark, sf_dir)
-    return present(QY.feature_status(QY.profile(base, NUM + CAT), QY.profile(cur, NUM + CAT)))
+    return present(QY.feature_status(QY.profile(base, NUM + CAT, distinct=False),
+                                     QY.profile(cur, NUM + CAT, distinct=False)))
 
 
 @query("status_totals", with_flights(PROFILE_CTES + STATUS_SQL + """
@@ -124,7 +125,8 @@ SELECT status, count(*) AS features FROM st GROUP BY status"""))
 def q_status_totals(spark, sf_dir):
     """J11 totals."""
     base, cur = periods(spark, sf_dir)
-    return QY.status_totals(QY.feature_status(QY.profile(base, NUM + CAT), QY.profile(cur, NUM + CAT)))
+    return QY.status_totals(QY.feature_status(QY.profile(base, NUM + CAT, distinct=False),
+                                              QY.profile(cur, NUM + CAT, distinct=False)))
 
 
 REPORT_SQL = PROFILE_CTES + f"""
@@ -199,6 +201,7 @@ def q_baseline_join(spark, sf_dir):
     features that have no baseline (the current side also profiles visib)."""
     from skyframe.operators import relational as R
     base, cur = periods(spark, sf_dir)
-    matched, missing = R.join_baseline(QY.profile(cur, NUM + CAT + ["visib"]), QY.profile(base, NUM + CAT))
+    matched, missing = R.join_baseline(QY.profile(cur, NUM + CAT + ["visib"], distinct=False),
+                                      QY.profile(base, NUM + CAT, distinct=False))
     return (matched.agg(F.count(F.lit(1)).alias("features")).withColumn("kind", F.lit("matched"))
             .unionByName(missing.agg(F.count(F.lit(1)).alias("features")).withColumn("kind", F.lit("no_baseline"))))
