@@ -90,6 +90,9 @@ def clean_flights(df: DataFrame, tail: int = 10, tie=ROW_KEYS, ffill=FFILL_COLS)
     keys = ordered.total_order(df, ["dep_time"], tie)
     df = ordered.range_buckets(df, keys)
     df = ordered.drop_tail(df, tail, ["dep_time"], tie)
-    df = ordered.forward_fill(df, list(ffill), ["dep_time"], tie)
+    df = ordered.forward_fill(df, list(ffill), ["dep_time"], tie, keep_bucket=True)
     df = keep_consistent(df)
-    return dedupe(df)
+    # Whole-row copies share their ordering key, hence their bucket: the
+    # dedupe keyed by every column plus the bucket id is satisfied by the
+    # bucketed layout and needs no shuffle of the table.
+    return dedupe(df).drop(ordered.BUCKET)

@@ -126,11 +126,13 @@ def drop_tail(df: DataFrame, n: int, order, tie=None) -> DataFrame:
     return kept.unionByName(copies)
 
 
-def forward_fill(df: DataFrame, cols, order, tie=None, num_buckets: int | None = None) -> DataFrame:
+def forward_fill(df: DataFrame, cols, order, tie=None, num_buckets: int | None = None,
+                 keep_bucket: bool = False) -> DataFrame:
     """D3: each listed column takes the last non-null value from the start
     of the total order up to the current row (leading nulls stay null).
     A frame that already carries ``_bucket`` (from ``range_buckets`` on the
-    same order) is used as is."""
+    same order) is used as is; ``keep_bucket`` keeps that column so later
+    steps can use the bucketed partitioning."""
     keys = total_order(df, order, tie)
     x = df if BUCKET in df.columns else range_buckets(df, keys, num_buckets)
     okey = F.struct(*[F.col(k) for k in keys])
@@ -143,7 +145,7 @@ def forward_fill(df: DataFrame, cols, order, tie=None, num_buckets: int | None =
          .rowsBetween(Window.unboundedPreceding, 0))
     out = x.join(F.broadcast(carry), BUCKET).withColumns(
         {c: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_carry_{c}")) for c in cols})
-    return out.select(*[c for c in df.columns if c != BUCKET])
+    return out.select(*[c for c in df.columns if c != BUCKET], *([BUCKET] if keep_bucket else []))
 
 
 def with_rank(df: DataFrame, order, group=(), tie=None, num_buckets: int | None = None,
