@@ -38,13 +38,27 @@ def metric_windows(df: DataFrame, ts: str = "ts", every: str = "1 minute", value
 def breach_alarm(metrics: DataFrame, metric: str, op: str, threshold: float, periods: int,
                  order: str = "window_start", keys=()) -> DataFrame:
     """ALARM on a window when it and the ``periods - 1`` windows before it
-    all breach. The frame is over the (small) table of windows per key."""
+    (per key, in ``order``) all breach.
+
+    Windows are numbered with the distributed rank of ``plans.ordered``;
+    each window then adds its breach flag to the ``periods`` positions
+    whose run it belongs to, and one aggregate keyed by (key, position)
+    counts the run. Position keys are unique, so no task holds a whole
+    key or the whole table, however long the time span."""
+    from skyframe.plans import ordered
     ops = {">": F.col(metric) > threshold, ">=": F.col(metric) >= threshold, "<": F.col(metric) < threshold,
            "<=": F.col(metric) <= threshold}
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-(periods - 1), 0)
+    keys = list(keys)
     b = metrics.withColumn("breach", ops[op].cast("int"))
-    full = F.count(F.lit(1)).over(w) == periods
-    return b.withColumn("state", F.when(full & (F.min("breach").over(w) == 1), "ALARM").otherwise("OK"))
+    r = ordered.with_rank(b, [order], group=keys, rank_col="_pos", size_col=None)
+    runs = (r.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "breach",
+                     F.explode(F.sequence(F.col("_pos"), F.col("_pos") + (periods - 1))).alias("_end"))
+            .groupBy(*[f"_k{i}" for i in range(len(keys))], "_end")
+            .agg(F.count(F.lit(1)).alias("_n"), F.min("breach").alias("_min")))
+    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_pos") == F.col("_end")]
+    full = (F.col("_n") == periods) & (F.col("_min") == 1)
+    return (r.join(runs, cond, "left")
+            .select(*b.columns, F.when(full, "ALARM").otherwise("OK").alias("state")))
 
 
 # M11 (one session's fold; used by the batch and the streaming form)
