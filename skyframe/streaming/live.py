@@ -36,7 +36,7 @@ def metric_windows(df: DataFrame, ts: str = "ts", every: str = "1 minute", value
 
 # M10
 def breach_alarm(metrics: DataFrame, metric: str, op: str, threshold: float, periods: int,
-                 order: str = "window_start", keys=()) -> DataFrame:
+                 order: str = "window_start", keys=(), num_buckets: int | None = None) -> DataFrame:
     """ALARM on a window when it and the ``periods - 1`` windows before it
     (per key, in ``order``) all breach.
 
@@ -50,7 +50,7 @@ def breach_alarm(metrics: DataFrame, metric: str, op: str, threshold: float, per
            "<=": F.col(metric) <= threshold}
     keys = list(keys)
     b = metrics.withColumn("breach", ops[op].cast("int"))
-    r = ordered.with_rank(b, [order], group=keys, rank_col="_pos", size_col=None)
+    r = ordered.with_rank(b, [order], group=keys, num_buckets=num_buckets, rank_col="_pos", size_col=None)
     runs = (r.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "breach",
                      F.explode(F.sequence(F.col("_pos"), F.col("_pos") + (periods - 1))).alias("_end"))
             .groupBy(*[f"_k{i}" for i in range(len(keys))], "_end")
