@@ -88,8 +88,9 @@ def clean_flights(df: DataFrame, tail: int = 10, tie=ROW_KEYS, ffill=FFILL_COLS)
     # the tail probe and anti-join read it, and the forward fill reuses its
     # buckets (removing tail rows keeps the buckets ordered).
     keys = ordered.total_order(df, ["dep_time"], tie)
-    df = ordered.range_buckets(df, keys)
-    df = ordered.drop_tail(df, tail, ["dep_time"], tie)
+    nb = ordered._default_buckets(df)
+    df = ordered.range_buckets(df, keys, nb)
+    df = ordered.drop_tail(df, tail, ["dep_time"], tie, num_buckets=nb)
     df = ordered.forward_fill(df, list(ffill), ["dep_time"], tie, keep_bucket=True)
     df = keep_consistent(df)
     # Whole-row copies share their ordering key, hence their bucket: the

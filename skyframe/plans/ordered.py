@@ -13,8 +13,9 @@ one task. The helpers here keep the work distributed:
   broadcast back (its size is the bucket count we chose, a proven bound).
 * The final window is partitioned by bucket.
 
-``drop_tail`` needs only the last ``n`` rows: a top-n sort (bounded by n)
-gives the boundary row and the rest is a filter, no shuffle of the table.
+``drop_tail`` needs only the last ``n`` rows: a top-n sort (bounded by n,
+and reading only the last buckets of a bucketed frame) gives the rows to
+remove and the rest is a broadcast anti-join, no shuffle of the table.
 """
 
 from __future__ import annotations
@@ -93,17 +94,35 @@ def lex_equal(keys, values, schema: T.StructType) -> Column:
     return out
 
 
-def drop_tail(df: DataFrame, n: int, order, tie=None) -> DataFrame:
+def _last_keys(df: DataFrame, keys, n: int, num_buckets: int | None):
+    """The last ``n + 1`` keys of the total order, and the filter that
+    holds them. On a frame from ``range_buckets`` over the same keys the
+    probe reads only the highest buckets (bucket pruning on ``_bucket IN
+    (...)``), widening the range only when they hold too few rows; buckets
+    are ordered and a key never straddles two of them."""
+    desc = [F.col(k).desc_nulls_last() for k in keys]
+    if BUCKET not in df.columns or not num_buckets:
+        return df.select(*keys).orderBy(*desc).limit(n + 1).collect(), F.lit(True)
+    lo = num_buckets - 1
+    while True:
+        where = F.col(BUCKET).isin(list(range(lo, num_buckets))) if lo > 0 else F.lit(True)
+        top = df.filter(where).select(*keys).orderBy(*desc).limit(n + 1).collect()   # at most n+1 rows
+        if len(top) > n or lo == 0:
+            return top, where
+        lo = max(0, num_buckets - 2 * (num_buckets - lo))
+
+
+def drop_tail(df: DataFrame, n: int, order, tie=None, num_buckets: int | None = None) -> DataFrame:
     """Remove the last ``n`` rows of the total order when the table has
     more than ``n`` rows (published rule), otherwise keep everything.
 
-    The last ``n + 1`` keys come from a bounded top-n; the rows to drop are
-    removed by a left-anti join with those (at most n) keys, broadcast.
+    The last ``n + 1`` keys come from a bounded top-n (over the last
+    buckets only when ``df`` comes from ``range_buckets`` with
+    ``num_buckets`` on the same keys); the rows to drop are removed by a
+    left-anti join with those (at most n) keys, broadcast.
     """
     keys = total_order(df, order, tie)
-    top = (df.select(*keys)
-           .orderBy(*[F.col(k).desc_nulls_last() for k in keys])
-           .limit(n + 1).collect())                         # at most n+1 rows
+    top, where = _last_keys(df, keys, n, num_buckets)
     if len(top) <= n:
         return df
     boundary = list(top[n - 1])
@@ -118,7 +137,7 @@ def drop_tail(df: DataFrame, n: int, order, tie=None) -> DataFrame:
     # The boundary key has more copies than the tail takes: keep the rest
     # of the copies. With the default tie-break they are identical rows.
     in_tail = sum(1 for r in top[:n] if list(r) == boundary)
-    equal = df.filter(lex_equal(keys, boundary, df.schema))
+    equal = df.filter(where & lex_equal(keys, boundary, df.schema))
     extra = equal.count() - in_tail
     one = equal.limit(1).collect()[0]
     copies = spark.range(extra).select(

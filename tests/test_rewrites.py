@@ -106,3 +106,18 @@ def test_domain_share_from_shared_counts(spark):
     assert abs(dom["share"] - 2 / 3) < 1e-12 and dom["violation"]
     drift = QY.categorical_drift(base, cur, ["c"], counts=counts).collect()[0]
     assert abs(drift["distance"] - max(abs(1 / 2 - 2 / 3), abs(1 / 2 - 0), abs(0 - 1 / 3))) < 1e-12
+
+
+def test_drop_tail_bucket_probe_equals_plain(spark):
+    rnd = random.Random(11)
+    # a hot order value, nulls, and identical rows across the tail boundary
+    rows = [(rnd.choice([1, 2, 3, 3, 3, None]), i % 4) for i in range(300)] + [(9, 0)] * 6 + [(8, 1)] * 3
+    df = spark.createDataFrame(rows, "o int, t int")
+    keys = ordered.total_order(df, ["o"], ["t"])
+    for n in (1, 5, 10, 40):
+        b = ordered.range_buckets(df, keys, 8)
+        probe = ordered.drop_tail(b, n, ["o"], ["t"], num_buckets=8).drop(ordered.BUCKET)
+        plain = ordered.drop_tail(df, n, ["o"], ["t"])
+        want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:-n]
+        assert sorted(map(tuple, probe.collect()), key=repr) == sorted(want, key=repr)
+        assert sorted(map(tuple, plain.collect()), key=repr) == sorted(want, key=repr)
