@@ -121,3 +121,17 @@ def test_drop_tail_bucket_probe_equals_plain(spark):
         want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:-n]
         assert sorted(map(tuple, probe.collect()), key=repr) == sorted(want, key=repr)
         assert sorted(map(tuple, plain.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_kde_sparse_equals_dense(spark):
+    from skyframe.operators import stats
+    rnd = random.Random(5)
+    # many rows and a long tail: the 40-bandwidth reach covers few grid points
+    vals = [rnd.gauss(0, 1) for _ in range(60000)] + [rnd.uniform(50, 400) for _ in range(20)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    dense = {r["point"]: (r["x"], r["density"]) for r in stats.kde(df, "v", points=200, mode="dense").collect()}
+    sparse = {r["point"]: (r["x"], r["density"]) for r in stats.kde(df, "v", points=200, mode="sparse").collect()}
+    assert dense.keys() == sparse.keys() == set(range(200))
+    for i in range(200):
+        assert sparse[i][0] == dense[i][0]
+        assert abs(sparse[i][1] - dense[i][1]) <= 1e-12 * max(1.0, abs(dense[i][1]))
