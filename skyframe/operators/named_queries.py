@@ -9,7 +9,7 @@ of the final, already aggregated rows happens in expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyframe.functions.columns import equals_ignore_case
@@ -102,8 +102,13 @@ def answer(df: DataFrame, query_type: str, airline: str | None = None, route: st
         k = None if key == "airline" else 10
         title = "Flight counts by airline:" if key == "airline" else "Flight counts by route (Top 10):"
         counts = stats.counts_by(df, key, "n", k=k).withColumn("_neg_n", -F.col("n"))
-        # line numbers by the distributed rank (no single-partition window)
-        ranked = ordered.with_rank(counts, ["_neg_n"], tie=[key], rank_col="line", size_col=None)
+        if k:
+            # at most k rows after the bounded top-k: a plain window numbers them
+            line = F.row_number().over(Window.orderBy(F.col("_neg_n").asc(), F.col(key).asc_nulls_first()))
+            ranked = counts.withColumn("line", line)
+        else:
+            # one row per group: line numbers by the distributed rank
+            ranked = ordered.with_rank(counts, ["_neg_n"], tie=[key], rank_col="line", size_col=None)
         rows = ranked.select(
             F.col("line").cast("long").alias("line"),
             F.concat(F.lit("- "), F.col(key), F.lit(": "), thousands(F.col("n")), F.lit(" flights")).alias("answer"))
