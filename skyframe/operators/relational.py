@@ -37,11 +37,19 @@ def top_k(df: DataFrame, k: int, order, ascending: bool = False) -> DataFrame:
 # D8
 def latest_n(df: DataFrame, key: str, ts: str, n: int = 12) -> DataFrame:
     """The ``n`` most recent distinct ids; a repeated id keeps its first
-    occurrence (first seen wins). One aggregate per id (map-side
-    combined), then a bounded top-n."""
-    first = df.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.col(ts)).alias("_r"))
-    out = first.select("_r.*")
-    return out.orderBy(F.col(ts).desc(), F.col(key)).limit(n)
+    occurrence (first seen wins).
+
+    Only (id, first stamp) goes through the shuffle (one aggregate per id,
+    map-side combined); a bounded top-n picks the ids, and their rows at
+    the first stamp are fetched by a semi-join with those n keys
+    (broadcast, n rows by construction)."""
+    firsts = df.groupBy(key).agg(F.min(ts).alias("_first"))
+    top = (firsts.orderBy(F.col("_first").desc(), F.col(key)).limit(n)
+           .select(F.col(key).alias("_k"), "_first"))
+    at_first = df.join(F.broadcast(top), F.col(key).eqNullSafe(F.col("_k")) & (F.col(ts) == F.col("_first")),
+                       "left_semi")
+    one = at_first.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.col(ts)).alias("_r")).select("_r.*")
+    return one.orderBy(F.col(ts).desc(), F.col(key)).limit(n)
 
 
 # D9

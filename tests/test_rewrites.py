@@ -135,3 +135,25 @@ def test_kde_sparse_equals_dense(spark):
     for i in range(200):
         assert sparse[i][0] == dense[i][0]
         assert abs(sparse[i][1] - dense[i][1]) <= 1e-12 * max(1.0, abs(dense[i][1]))
+
+
+def test_latest_n_first_seen_equals_brute_force(spark):
+    from skyframe.operators import relational as R
+    rnd = random.Random(9)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, rnd.choice([None] + list(range(40))), t0 + dt.timedelta(minutes=rnd.randrange(500)))
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp")
+    first = {}
+    for eid, uid, ts in rows:
+        if uid not in first or ts < first[uid][0]:
+            first[uid] = (ts, eid)
+    newest = sorted(first.items(), key=lambda kv: (-kv[1][0].timestamp(), kv[0] is not None, kv[0] or 0))[:12]
+    got = R.latest_n(df, "user_id", "ts", 12).collect()
+    assert [(r["user_id"], r["ts"]) for r in got] == [(u, v[0]) for u, v in newest]
+    # the kept row is one of that id's rows at its first stamp
+    at = {(u, ts): set() for u, (ts, _) in first.items()}
+    for eid, uid, ts in rows:
+        if (uid, ts) in at:
+            at[(uid, ts)].add(eid)
+    assert all(r["event_id"] in at[(r["user_id"], r["ts"])] for r in got)
