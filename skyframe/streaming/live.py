@@ -198,12 +198,23 @@ def dedupe_stream(df: DataFrame, key, ts: str = "ts", watermark: str | None = No
 def live_board(df: DataFrame, as_of_epoch: int, key: str = "id", arrived: str = "arrived",
                predicted_at: str = "predicted_at", n: int = 12, linger_s: int = 3) -> DataFrame:
     """The board at one instant: ids arrived by then, minus those whose
-    prediction is older than ``linger_s``; newest ``n`` (first seen wins)."""
+    prediction is older than ``linger_s``; newest ``n`` (first seen wins;
+    among rows tied at an id's first arrival, the earliest prediction).
+
+    Only (id, first arrival, its prediction stamp) is shuffled; the filter
+    and a bounded top-n pick the ids, and their rows are fetched by a
+    semi-join with those n keys (broadcast, n rows by construction)."""
     seen = df.filter(F.col(arrived) <= as_of_epoch)
-    first = dedupe_stream(seen, key, arrived)
-    on = first.filter(F.col(predicted_at).isNull() | (F.col(predicted_at) > as_of_epoch)
-                      | (F.col(predicted_at) + linger_s > as_of_epoch))
-    return on.orderBy(F.col(arrived).desc(), F.col(key)).limit(n)
+    firsts = (seen.groupBy(key).agg(F.min(F.struct(F.col(arrived).alias("a"), F.col(predicted_at).alias("p")))
+                                    .alias("_f"))
+              .select(F.col(key).alias("_k"), F.col("_f.a").alias("_a"), F.col("_f.p").alias("_p")))
+    on = firsts.filter(F.col("_p").isNull() | (F.col("_p") > as_of_epoch) | (F.col("_p") + linger_s > as_of_epoch))
+    top = on.orderBy(F.col("_a").desc(), F.col("_k")).limit(n)
+    cond = (F.col(key).eqNullSafe(F.col("_k")) & (F.col(arrived) == F.col("_a"))
+            & F.col(predicted_at).eqNullSafe(F.col("_p")))
+    rows = seen.join(F.broadcast(top), cond, "left_semi")
+    one = rows.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.col(arrived)).alias("_r")).select("_r.*")
+    return one.orderBy(F.col(arrived).desc(), F.col(key)).limit(n)
 
 
 # M14

@@ -157,3 +157,28 @@ def test_latest_n_first_seen_equals_brute_force(spark):
         if (uid, ts) in at:
             at[(uid, ts)].add(eid)
     assert all(r["event_id"] in at[(r["user_id"], r["ts"])] for r in got)
+
+
+def test_live_board_equals_brute_force(spark):
+    rnd = random.Random(13)
+    rows = []
+    for i in range(500):
+        arrived = rnd.randrange(100)
+        pred = rnd.choice([None, arrived + rnd.randrange(0, 30)])
+        rows.append((i, rnd.randrange(60), arrived, pred))
+    df = spark.createDataFrame(rows, "event_id long, id long, arrived long, predicted_at long")
+    for as_of in (20, 60, 99):
+        first = {}
+        for _, k, a, p in rows:
+            if a > as_of:
+                continue
+            cand = (a, -1 if p is None else p)
+            if k not in first or cand < first[k]:
+                first[k] = cand
+        on = [(k, a, p) for k, (a, p) in first.items() if p == -1 or p > as_of or p + 3 > as_of]
+        want = [(k, a) for k, a, _ in sorted(on, key=lambda t: (-t[1], t[0]))[:12]]
+        got = L.live_board(df, as_of, n=12, linger_s=3).collect()
+        assert [(r["id"], r["arrived"]) for r in got] == want
+        for r in got:
+            p = first[r["id"]][1]
+            assert r["predicted_at"] == (None if p == -1 else p)
