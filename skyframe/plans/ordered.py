@@ -174,30 +174,47 @@ def with_rank(df: DataFrame, order, group=(), tie=None, num_buckets: int | None
     group (or the whole table) into one task.
 
     Rows are range-partitioned on (group, order, tie); a hot group spans
-    several buckets. Per (group, bucket) counts give each bucket's offset
-    inside its group; the row number inside a bucket is added to it.
+    several buckets. Inside a bucket the row number and the group's count
+    come from windows over the bucketed layout (no shuffle). Only the
+    first group of a bucket can have rows in earlier buckets and only its
+    last group can continue in later ones, so the offsets and total sizes
+    of groups that cross a bucket boundary come from a table of at most
+    two rows per bucket, broadcast (its size is bounded by the bucket
+    count), and every other group needs nothing from other buckets.
     """
     group = list(group)
     keys = total_order(df, group + list(order), tie)
     x = range_buckets(df, keys, num_buckets)
-    counts = x.groupBy(*group, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-    gw = Window.partitionBy(*group) if group else Window.partitionBy()
-    counts = counts.select(
-        *group, BUCKET,
+    w = Window.partitionBy(*group, BUCKET).orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    if not group:
+        counts = x.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+        counts = counts.select(
+            BUCKET,
+            F.coalesce(F.sum("_n").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
+                       F.lit(0)).alias("_offset"),
+            F.sum("_n").over(Window.partitionBy()).alias("_size"))
+        joined = x.join(F.broadcast(counts), BUCKET)
+        cols = {rank_col: F.row_number().over(w) + F.col("_offset")}
+        if size_col:
+            cols[size_col] = F.col("_size")
+        return joined.withColumns(cols).select(*df.columns, *cols.keys())
+
+    gs = [F.col(g).asc_nulls_first() for g in group]
+    per = x.groupBy(BUCKET, *group).agg(F.count(F.lit(1)).alias("_n"))          # co-located: no shuffle
+    by_bucket = Window.partitionBy(BUCKET)
+    edge = (per.withColumn("_a", F.row_number().over(by_bucket.orderBy(*gs)))
+            .withColumn("_z", F.row_number().over(by_bucket.orderBy(*[F.col(g).desc_nulls_last() for g in group])))
+            .filter((F.col("_a") == 1) | (F.col("_z") == 1)))                   # <= 2 rows per bucket
+    gw = Window.partitionBy(*group)
+    edge = edge.select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(BUCKET).alias("_gb"),
         F.coalesce(F.sum("_n").over(gw.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_offset"),
         F.sum("_n").over(gw).alias("_size"))
-    w = Window.partitionBy(*group, BUCKET).orderBy(*[F.col(k).asc_nulls_first() for k in keys])
-    if group:
-        # null-safe on the group keys: a null group is a group too
-        c = counts.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
-                          F.col(BUCKET).alias("_gb"), "_offset", "_size")
-        cond = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
-        joined = x.join(c, cond + [F.col(BUCKET) == F.col("_gb")])
-    else:
-        joined = x.join(F.broadcast(counts), BUCKET)
-    cols = {rank_col: F.row_number().over(w) + F.col("_offset")}
+    cond = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)] + [F.col(BUCKET) == F.col("_gb")]
+    joined = x.join(F.broadcast(edge), cond, "left")
+    in_bucket = Window.partitionBy(*group, BUCKET)
+    cols = {rank_col: F.row_number().over(w) + F.coalesce(F.col("_offset"), F.lit(0))}
     if size_col:
-        cols[size_col] = F.col("_size")
-    out = joined.withColumns(cols)
-    return out.select(*df.columns, *cols.keys())
+        cols[size_col] = F.coalesce(F.col("_size"), F.count(F.lit(1)).over(in_bucket))
+    return joined.withColumns(cols).select(*df.columns, *cols.keys())

@@ -182,3 +182,24 @@ def test_live_board_equals_brute_force(spark):
         for r in got:
             p = first[r["id"]][1]
             assert r["predicted_at"] == (None if p == -1 else p)
+
+
+def test_grouped_rank_equals_brute_force(spark):
+    rnd = random.Random(17)
+    # a hot group across many buckets, a null group, many single-row groups
+    rows = ([("hot", rnd.randrange(50), i) for i in range(400)]
+            + [(None, rnd.randrange(50), 1000 + i) for i in range(30)]
+            + [(f"g{i}", rnd.randrange(50), 2000 + i) for i in range(60)]
+            + [("mid", 7, 3000 + i) for i in range(25)])
+    df = spark.createDataFrame(rows, "g string, o int, t int")
+    for nb in (1, 3, 9):
+        got = {r["t"]: (r["row_num"], r["group_size"]) for r in
+               ordered.with_rank(df, ["o"], group=["g"], tie=["t"], num_buckets=nb).collect()}
+        by = {}
+        for g, o, t in rows:
+            by.setdefault(g, []).append((o, t))
+        want = {}
+        for g, items in by.items():
+            for i, (o, t) in enumerate(sorted(items)):
+                want[t] = (i + 1, len(items))
+        assert got == want
