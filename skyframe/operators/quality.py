@@ -139,18 +139,28 @@ def numeric_drift(baseline: DataFrame, current: DataFrame, cols, num_buckets: in
 def running_sums(df: DataFrame, order: str, cols, num_buckets: int | None = None, group=()) -> DataFrame:
     """``cum_<c>`` = sum of ``c`` over the rows of the same group with
     ``order`` <= this row's (order values unique inside a group), computed
-    bucket-wise (see ``plans.ordered``): a group spanning many buckets gets
-    its offsets from a table of (group, bucket) sums."""
+    bucket-wise (see ``plans.ordered``). Only the first group of a bucket
+    can have rows in earlier buckets, so the carried sums come from a
+    table of at most two rows per bucket (broadcast); the rows are not
+    reshuffled after bucketing."""
     group = list(group)
     x = ordered.range_buckets(df, group + [order], num_buckets)
     B = ordered.BUCKET
-    per = x.groupBy(*group, B).agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
-    before = Window.partitionBy(*group).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per.select(*group, B, *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
-                                    for c in cols])
     w = Window.partitionBy(*group, B).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = x.join(carry, [*group, B]) if group else x.join(F.broadcast(carry), B)
-    return out.select(*df.columns, *[(F.sum(c).over(w) + F.col(f"_o_{c}")).alias(f"cum_{c}") for c in cols])
+    per = x.groupBy(B, *group).agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])   # co-located: no shuffle
+    if group:
+        gs = [F.col(g).asc_nulls_first() for g in group]
+        by_bucket = Window.partitionBy(B)
+        per = (per.withColumn("_a", F.row_number().over(by_bucket.orderBy(*gs)))
+               .withColumn("_z", F.row_number().over(by_bucket.orderBy(*[F.col(g).desc_nulls_last() for g in group])))
+               .filter((F.col("_a") == 1) | (F.col("_z") == 1)))              # <= 2 rows per bucket
+    before = Window.partitionBy(*group).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(B).alias("_gb"),
+                       *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in cols])
+    cond = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)] + [F.col(B) == F.col("_gb")]
+    out = x.join(F.broadcast(carry), cond, "left")
+    return out.select(*df.columns, *[(F.sum(c).over(w) + F.coalesce(F.col(f"_o_{c}"), F.lit(0))).alias(f"cum_{c}")
+                                     for c in cols])
 
 
 # J7

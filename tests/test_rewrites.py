@@ -203,3 +203,18 @@ def test_grouped_rank_equals_brute_force(spark):
             for i, (o, t) in enumerate(sorted(items)):
                 want[t] = (i + 1, len(items))
         assert got == want
+
+
+def test_running_sums_equal_brute_force(spark):
+    rnd = random.Random(19)
+    rows = ([("hot", float(v), rnd.randrange(5)) for v in range(300)]
+            + [(None, float(v), 1) for v in range(20)]
+            + [(f"f{i}", float(rnd.randrange(100)) + i / 1000, 2) for i in range(40)])
+    df = spark.createDataFrame(rows, "feature string, v double, nb long")
+    for nb in (1, 4, 11):
+        got = {(r["feature"], r["v"]): r["cum_nb"] for r in
+               QY.running_sums(df, "v", ["nb"], nb, group=["feature"]).collect()}
+        want = {}
+        for f, v, _ in rows:
+            want[(f, v)] = sum(n for g, u, n in rows if g == f and u <= v)
+        assert got == want
