@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from skyframe.llm.quality_rules import repetition_rules
 from skyframe.llm.registry import ORACLE, QUERIES, documents, query
 from skyframe.llm.token_counts import count_tokens
 
@@ -17,3 +18,39 @@ def byte_bpe() -> str:
 @query("op5_token_counts")
 def op5_token_counts(spark, sf_dir):
     return count_tokens(documents(spark, sf_dir), byte_bpe(), limit=1024)
+
+
+def _windows(k: int) -> str:
+    return " || ' ' || ".join(["w"] + [f"lead(w, {j}) OVER o" for j in range(1, k)])
+
+
+OP1_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+a AS (SELECT doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM t),
+p AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM a),
+g AS (SELECT doc_id, i, {_windows(3)} AS w3, {_windows(10)} AS w10
+      FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+s3 AS (SELECT doc_id, i FROM g WHERE w3 IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, w3) > 1),
+s10 AS (SELECT doc_id, i, w10 FROM g WHERE w10 IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, w10) > 1),
+r3 AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS j FROM s3) GROUP BY 1),
+r10 AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 10)) AS j FROM s10) GROUP BY 1),
+pair AS (SELECT x.doc_id, x.i, y.i - x.i AS d FROM s10 x JOIN s10 y ON x.doc_id = y.doc_id AND x.w10 = y.w10 AND x.i < y.i),
+run AS (SELECT doc_id, d, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS k FROM pair),
+top AS (SELECT doc_id, max(n) + 9 AS n FROM (SELECT doc_id, count(*) AS n FROM run GROUP BY doc_id, d, k) GROUP BY 1),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
+m AS (SELECT a.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+        CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r3.n, 0) AS BIGINT) AS n_repeat_words,
+        CAST(coalesce(r10.n, 0) AS BIGINT) AS covered_words, CAST(coalesce(top.n, 0) AS BIGINT) AS longest_repeat
+      FROM a LEFT JOIN dup USING (doc_id) LEFT JOIN r3 USING (doc_id) LEFT JOIN r10 USING (doc_id) LEFT JOIN top USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND 100 * covered_words <= 30 * n_words AND longest_repeat <= 100 AS kept FROM b
+"""
+
+
+@query("op1_quality_rules", OP1_SQL)
+def op1_quality_rules(spark, sf_dir):
+    return repetition_rules(documents(spark, sf_dir), min_words=50, max_repeat_percent=50, min_repeat=10,
+                            max_covered_percent=30, max_longest=100)
