@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from skyframe.llm.exact_dedup import exact_groups
+from skyframe.llm.mixing import replicate
 from skyframe.llm.quality_rules import repetition_rules
 from skyframe.llm.registry import ORACLE, QUERIES, documents, query
 from skyframe.llm.token_counts import count_tokens
@@ -54,3 +56,37 @@ SELECT *, NOT base_failed AND 100 * covered_words <= 30 * n_words AND longest_re
 def op1_quality_rules(spark, sf_dir):
     return repetition_rules(documents(spark, sf_dir), min_words=50, max_repeat_percent=50, min_repeat=10,
                             max_covered_percent=30, max_longest=100)
+
+
+OP6_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
+                  regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents),
+k AS (SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size,
+             first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(text) DESC, doc_id) AS keep_id FROM t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k
+"""
+
+
+@query("op6_exact_dedup", OP6_SQL)
+def op6_exact_dedup(spark, sf_dir):
+    return exact_groups(documents(spark, sf_dir), digest=True)
+
+
+OP10_SQL = """
+WITH s AS (SELECT source, sum(greatest(length(coalesce(text, '')), 1)) AS c FROM documents GROUP BY source),
+r AS (SELECT source, sqrt(c) / sum(sqrt(c)) OVER () * sum(c) OVER () / c AS rate FROM s),
+k AS (SELECT source, rate, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS BIGINT) + 1)) AS k FROM r),
+f AS (SELECT source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf FROM k),
+u AS (SELECT doc_id, source, CAST('0x' || substr(md5('7:' || doc_id), 1, 13) AS BIGINT) / 4503599627370496.0 AS u FROM documents),
+n AS (SELECT u.doc_id, u.source, count(*) AS n FROM u JOIN f ON u.source IS NOT DISTINCT FROM f.source AND f.cdf <= u.u
+      GROUP BY u.doc_id, u.source),
+c AS (SELECT doc_id, source, unnest(range(1, n + 1)) AS copy FROM n)
+SELECT doc_id, source, CAST(copy AS INTEGER) AS copy,
+       CAST('0x' || substr(md5('7:' || doc_id || ':' || copy), 1, 15) AS BIGINT) AS shuffle_key FROM c
+"""
+
+
+@query("op10_mixing", OP10_SQL)
+def op10_mixing(spark, sf_dir):
+    return replicate(documents(spark, sf_dir), seed=7, temperature=0.5, epochs=1.0).select(
+        "doc_id", "source", "copy", "shuffle_key")
