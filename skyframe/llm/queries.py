@@ -6,9 +6,12 @@ import public_tokenizers
 
 from skyframe.llm.exact_dedup import exact_groups
 from skyframe.llm.mixing import replicate
+from skyframe.llm.packing import pack
 from skyframe.llm.quality_rules import repetition_rules
 from skyframe.llm.registry import ORACLE, QUERIES, documents, query
 from skyframe.llm.token_counts import count_tokens
+from skyframe.llm.token_files import read_token_files, with_crc, write_token_files
+from skyframe.session import scratch_path
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -90,3 +93,15 @@ SELECT doc_id, source, CAST(copy AS INTEGER) AS copy,
 def op10_mixing(spark, sf_dir):
     return replicate(documents(spark, sf_dir), seed=7, temperature=0.5, epochs=1.0).select(
         "doc_id", "source", "copy", "shuffle_key")
+
+
+@query("op3_token_files")
+def op3_token_files(spark, sf_dir):
+    path = scratch_path(spark, "token-files")
+    write_token_files(documents(spark, sf_dir), path, byte_bpe(), end_id=2)
+    return with_crc(read_token_files(spark, path))
+
+
+@query("op4_packing")
+def op4_packing(spark, sf_dir):
+    return pack(documents(spark, sf_dir), byte_bpe(), capacity=2048, end_id=0)
