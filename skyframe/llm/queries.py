@@ -11,6 +11,7 @@ from skyframe.llm.quality_rules import repetition_rules
 from skyframe.llm.registry import ORACLE, QUERIES, documents, query
 from skyframe.llm.token_counts import count_tokens
 from skyframe.llm.token_files import read_token_files, with_crc, write_token_files
+from skyframe.llm.toxicity import learn, score
 from skyframe.session import scratch_path
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -105,3 +106,9 @@ def op3_token_files(spark, sf_dir):
 @query("op4_packing")
 def op4_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir), byte_bpe(), capacity=2048, end_id=0)
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return score(docs, learn(docs, labels, bound=20_000), threshold=0.3)
