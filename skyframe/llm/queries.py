@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from skyframe.llm.exact_dedup import exact_groups
+from skyframe.llm.lm_scoring import score_texts
 from skyframe.llm.mixing import replicate
 from skyframe.llm.packing import pack
 from skyframe.llm.quality_rules import repetition_rules
@@ -112,3 +113,8 @@ def op4_packing(spark, sf_dir):
 def op9_toxicity(spark, sf_dir):
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     return score(docs, learn(docs, labels, bound=20_000), threshold=0.3)
+
+
+@query("op7_lm_scoring")
+def op7_lm_scoring(spark, sf_dir):
+    return score_texts(documents(spark, sf_dir), order=4)
