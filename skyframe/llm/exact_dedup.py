@@ -16,11 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyframe.llm.bitmaps import flag_members
 from skyframe.session import scratch_path
 
 PREFIX_CHARS = 64
-#: Bits of the survivor bitmap: 4 MB in rows of 4 KB.
-BITMAP_BITS = 1 << 25
 
 
 def normalised(text: Column) -> Column:
@@ -48,22 +47,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         normalised(F.col("text")).alias("norm"))
     keyed = base.select("*", F.length("norm").alias("norm_len"),
                         F.xxhash64(F.substring("norm", 1, PREFIX_CHARS)).alias("prefix_hash"))
-    bucket = F.pmod(F.xxhash64("norm_len", "prefix_hash"), F.lit(BITMAP_BITS)) + 1
 
     # group by length, then by length and prefix; keys with one row end here
     by_prefix = keyed.groupBy("norm_len", "prefix_hash").agg(F.count(F.lit(1)).alias("n"))
-    survivors = by_prefix.filter("n > 1").select(bucket.alias("b"))
-    bitmap = survivors.groupBy(F.expr("bitmap_bucket_number(b)").alias("part")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(b))").alias("bits"))
-
-    placed = keyed.select("*", bucket.alias("b")).select(
-        "*", F.expr("bitmap_bucket_number(b)").alias("part"), F.expr("bitmap_bit_position(b)").alias("pos"))
-    byte = F.conv(F.hex(F.expr("substring(bits, cast(pos div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    survives = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(pos % 8 as int))")) != 0, F.lit(False))
+    key = ["norm_len", "prefix_hash"]
     full = F.unhex(F.sha2("norm", 256))
-    hashed = placed.join(F.broadcast(bitmap), "part", "left").select(
-        "id", "n_chars", "norm_len", "prefix_hash", survives.alias("survives"),
-        (full if digest else F.when(survives, full)).alias("full_hash"))
+    hashed = flag_members(keyed, by_prefix.filter("n > 1"), key, "survives").select(
+        "id", "n_chars", *key, "survives", (full if digest else F.when(F.col("survives"), full)).alias("full_hash"))
     path = scratch_path(spark, "exact-hashes")
     hashed.write.parquet(path)
     hashed = spark.read.schema(hashed.schema).parquet(path)

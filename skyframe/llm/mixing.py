@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyframe.session import scratch_path
+
 #: Up to so many sources the rates are broadcast; more go through a plain join.
 BROADCAST_SOURCES = 10_000
 
@@ -39,10 +41,12 @@ def repetition_rates(docs: DataFrame, temperature: float = 0.5, epochs: float =
         given = F.create_map(*[F.lit(x) for kv in weights.items() for x in (kv[0], float(kv[1]))])
         weight = F.coalesce(F.element_at(given, F.coalesce(F.col("source").cast("string"), F.lit(""))), F.lit(0.0))
     by = by.select("*", weight.alias("w"))
-    total = by.agg(F.sum("w").alias("sum_w"), F.sum("n_chars").alias("sum_c"))
-    rate = F.when(F.col("sum_w") > 0, F.col("w") / F.col("sum_w") * (F.col("sum_c") * F.lit(float(epochs))) /
-                  F.col("n_chars")).otherwise(F.lit(0.0))
-    by = by.join(F.broadcast(total)).select("source", "n_chars", rate.alias("rate"))
+    path = scratch_path(docs.sparkSession, "sources")
+    by.write.parquet(path)
+    by = docs.sparkSession.read.schema(by.schema).parquet(path)
+    sum_w, sum_c = by.agg(F.sum("w"), F.sum("n_chars")).first()
+    rate = F.col("w") / F.lit(sum_w) * F.lit(sum_c * float(epochs)) / F.col("n_chars") if sum_w else F.lit(0.0)
+    by = by.select("source", "n_chars", rate.alias("rate"))
     last = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 30).cast("int")
     # log p(k) = log p(k - 1) + log(rate / k): no underflow for large rates
     step = F.aggregate(
@@ -72,7 +76,7 @@ def replicate(docs: DataFrame, seed: int = 7, temperature: float = 0.5, epochs:
     rates = repetition_rates(docs, temperature, epochs, weights, source_col, text_col).select(
         F.col("source").alias("__mix_source"), F.col("cdf").alias("__mix_cdf"))
     names = [c for c in docs.columns if c.lower() not in (copy_col.lower(), key_col.lower())]
-    few = docs.select(source_col).distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    few = rates.count() <= BROADCAST_SOURCES
     rows = docs.select(*names).join(F.broadcast(rates) if few else rates,
                                     F.col(source_col).eqNullSafe(F.col("__mix_source")))
     ident = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))

@@ -137,6 +137,16 @@ def measure(column: pa.Array, min_repeat: int, with_spans: bool) -> dict[str, pa
     return made
 
 
+def _verdict(column: pa.Array, min_words: int = 50, max_repeat_percent: int = 50, min_repeat: int = 10,
+             max_covered_percent: int = 30, max_longest: int = 100, spans: bool = False) -> dict[str, pa.Array]:
+    m = measure(column, min_repeat, spans)
+    n_words, repeat, cover, longest = (np.asarray(m[c]) for c in (
+        "n_words", "n_repeat_words", "covered_words", "longest_repeat"))
+    failed = (n_words < min_words) | (100 * repeat > max_repeat_percent * n_words)
+    kept = ~failed & (100 * cover <= max_covered_percent * n_words) & (longest <= max_longest)
+    return m | {"base_failed": pa.array(failed), "kept": pa.array(kept)}
+
+
 def repetition_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, min_repeat: int = 10,
                      max_covered_percent: int = 30, max_longest: int = 100, id_col: str = "doc_id",
                      text_col: str = "text", spans: bool = False) -> DataFrame:
@@ -167,12 +177,20 @@ def repetition_rules(docs: DataFrame, min_words: int = 50, max_repeat_percent: i
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text_col):
-                m = measure(part.column(text_col), min_repeat, spans)
-                n_words, repeat, cover, longest = (np.asarray(m[c]) for c in (
-                    "n_words", "n_repeat_words", "covered_words", "longest_repeat"))
-                failed = (n_words < min_words) | (100 * repeat > max_repeat_percent * n_words)
-                kept = ~failed & (100 * cover <= max_covered_percent * n_words) & (longest <= max_longest)
-                m |= {id_col: part.column(id_col), "base_failed": pa.array(failed), "kept": pa.array(kept)}
+                m = _verdict(part.column(text_col), min_words, max_repeat_percent, min_repeat, max_covered_percent,
+                             max_longest, spans) | {id_col: part.column(id_col)}
                 yield pa.RecordBatch.from_arrays([m[c] for c in schema.names], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(judge, schema)
+
+
+def keep_by_rules(docs: DataFrame, text_col: str = "text", **rules) -> DataFrame:
+    """The rows of ``docs`` that ``repetition_rules`` keeps, with all their columns, judged where they are read."""
+    keep = list(docs.columns).index(text_col)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text_col):
+                yield part.filter(_verdict(part.column(keep), **rules)["kept"])
+
+    return docs.mapInArrow(judge, docs.schema)

@@ -7,6 +7,7 @@ import public_tokenizers
 from skyframe.llm.exact_dedup import exact_groups
 from skyframe.llm.lm_scoring import score_texts
 from skyframe.llm.mixing import replicate
+from skyframe.llm.ngram_join import near_classes
 from skyframe.llm.packing import pack
 from skyframe.llm.quality_rules import repetition_rules
 from skyframe.llm.registry import ORACLE, QUERIES, documents, query
@@ -117,4 +118,9 @@ def op9_toxicity(spark, sf_dir):
 
 @query("op7_lm_scoring")
 def op7_lm_scoring(spark, sf_dir):
-    return score_texts(documents(spark, sf_dir), order=4)
+    return score_texts(documents(spark, sf_dir), order=5)
+
+
+@query("op2_ngram_join")
+def op2_ngram_join(spark, sf_dir):
+    return near_classes(documents(spark, sf_dir), k=5, percent=75)
