@@ -11,6 +11,7 @@ from skyframe.llm.ngram_join import near_classes
 from skyframe.llm.packing import pack
 from skyframe.llm.quality_rules import repetition_rules
 from skyframe.llm.registry import ORACLE, QUERIES, documents, query
+from skyframe.llm.substring_dedup import remove_repeats
 from skyframe.llm.token_counts import count_tokens
 from skyframe.llm.token_files import read_token_files, with_crc, write_token_files
 from skyframe.llm.toxicity import learn, score
@@ -124,3 +125,9 @@ def op7_lm_scoring(spark, sf_dir):
 @query("op2_ngram_join")
 def op2_ngram_join(spark, sf_dir):
     return near_classes(documents(spark, sf_dir), k=5, percent=75)
+
+
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark, sf_dir):
+    return remove_repeats(documents(spark, sf_dir), k=13, with_text=False).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
