@@ -48,7 +48,7 @@ from skyframe.session import scratch_path
 
 SKETCH = 1 << 20  # counters of the order sketch
 _PART = 1 << 14
-_FLUSH = 1_500_000  # prefix shingles a task merges before it hands them on
+_FLUSH = 1_000_000  # prefix shingles a task merges before it hands them on
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -290,10 +290,14 @@ def divide_skip(lists: list[list[int]], need: int) -> list[int]:
 
 
 class Groups:
-    """Inverted index from shingles to groups of sets, with union-find over the groups."""
+    """Inverted index from shingles to groups of sets, with union-find over the groups.
 
-    def __init__(self, percent: int):
-        self.percent = percent
+    ``shared`` holds the ascending shingles that more than one set of the
+    shard has; only these are indexed, by their positions.
+    """
+
+    def __init__(self, percent: int, shared: np.ndarray):
+        self.percent, self.shared = percent, shared
         self.postings: dict[int, list[int]] = {}
         self.parent: list[int] = []
         self.members: list[list[np.ndarray]] = []
@@ -324,10 +328,15 @@ class Groups:
         both = len(np.intersect1d(x, y, assume_unique=True))
         return 100 * both >= self.percent * (a + b - both)
 
+    def _places(self, x: np.ndarray) -> list[int]:
+        at = np.searchsorted(self.shared, x)
+        at = at[at < len(self.shared)]
+        return at[self.shared[at] == x[:len(at)]].tolist()
+
     def search(self, x: np.ndarray, skip: int = -1) -> list[int]:
         """Groups other than ``skip`` with a set that links to x."""
         get = self.postings.get
-        lists = [p for p in map(get, x.tolist()) if p]
+        lists = [p for p in map(get, self._places(x)) if p]
         found: list[int] = []
         tried = {self.find(skip)} if skip >= 0 else set()
         for g in divide_skip(lists, least_overlap(len(x), self.percent)):
@@ -341,7 +350,7 @@ class Groups:
     def add(self, x: np.ndarray, g: int) -> None:
         g = self.find(g)
         self.members[g].append(x)
-        for h in x.tolist():
+        for h in self._places(x):
             p = self.postings.get(h)
             if p is None:
                 self.postings[h] = [g]
@@ -351,16 +360,25 @@ class Groups:
                 insort(p, g)
 
 
+def _shared(sets) -> np.ndarray:
+    """Shingles of two sets or more, ascending."""
+    if not sets:
+        return np.zeros(0, np.uint64)
+    h, count = np.unique(np.concatenate(list(sets)), return_counts=True)
+    return h[count > 1]
+
+
 def _own_sets(table: pa.Table, k: int) -> dict[int, np.ndarray]:
     """Sets by node; rows whose text is not the node's (an id may repeat) are left out."""
     out: dict[int, np.ndarray] = {}
     nodes = table.column("node").to_pylist()
     at = 0
     for batch in table.select(["text"]).to_batches():
-        for s in shingle_sets(batch.column("text"), k):
-            if nodes[at] not in out and len(s) and signature(s) == nodes[at]:
-                out[nodes[at]] = s
-            at += 1
+        for piece in slices(batch, "text"):
+            for s in shingle_sets(piece.column("text"), k):
+                if nodes[at] not in out and len(s) and signature(s) == nodes[at]:
+                    out[nodes[at]] = s
+                at += 1
     return out
 
 
@@ -369,7 +387,7 @@ def _search_shards(rows: DataFrame, k: int, percent: int) -> DataFrame:
 
     def search(table: pa.Table) -> pa.Table:
         sets = _own_sets(table, k)
-        index, place = Groups(percent), {}
+        index, place = Groups(percent, _shared(sets.values())), {}
         for node in sorted(sets, key=lambda v: (len(sets[v]), v)):
             x = sets[node]
             found = index.search(x)
@@ -395,16 +413,17 @@ def _search_across(index_rows: DataFrame, query_rows: DataFrame, k: int, percent
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         edges = []
         if left.num_rows and right.num_rows:
-            index, slot = Groups(percent), {}
+            here, sent = _own_sets(left, k), _own_sets(right, k)
+            index, slot = Groups(percent, _shared([*here.values(), *sent.values()])), {}
             group = dict(zip(left.column("node").to_pylist(), left.column("comp").to_pylist()))
-            for node, x in sorted(_own_sets(left, k).items()):
+            for node, x in sorted(here.items()):
                 c = group[node]
                 if c not in slot:
                     slot[c] = index.new()
                 index.add(x, slot[c])
             comp_of = {s: c for c, s in slot.items()}
             group = dict(zip(right.column("node").to_pylist(), right.column("comp").to_pylist()))
-            for node, x in sorted(_own_sets(right, k).items()):
+            for node, x in sorted(sent.items()):
                 c = group[node]
                 if c not in slot:
                     slot[c] = index.new()
