@@ -22,7 +22,10 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from skyframe.llm.texts import SLICE_BYTES, buffers, ragged
+from skyframe.llm.texts import buffers, ragged
+
+#: Text bytes whose chunks are told apart together.
+SLICE_BYTES = 4 << 20
 
 _GRAPHIC = np.zeros(256, bool)
 _GRAPHIC[33:127] = True

@@ -158,7 +158,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_c
         encoder = Encoder(tokenizer)
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 8 << 20):
                 ends, ids = encoder.encode(part.column("text"))
                 n = part.num_rows
                 ends = ends + np.arange(n + 1)

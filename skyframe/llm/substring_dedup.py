@@ -42,7 +42,8 @@ from skyframe.session import scratch_path
 
 ANCHOR = 8
 _NO_ID = np.iinfo(np.int64).max  # a null id comes after every other
-_FLUSH = 16 << 20  # text bytes a task looks at together
+_FLUSH = 8 << 20  # text bytes a task looks at together
+_LOOK = 1 << 20  # and at a time while it hashes words
 
 
 class Automaton:
@@ -140,21 +141,29 @@ def stream(runs: list[tuple[int, object, int, list[int]]], k: int) -> dict[objec
     return out
 
 
+def _text_keys(word: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A hash of each text's words in their order; with the id it names a row."""
+    count = np.diff(first)
+    place = mix((np.arange(len(word)) - np.repeat(first[:-1], count)).astype(np.uint64))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(word * (2 * place + np.uint64(1)))])
+    return mix(total[first[1:]] - total[first[:-1]] + count.astype(np.uint64)).view(np.int64)
+
+
 class _Texts:
-    """Words, windows and anchors of the texts of one batch."""
+    """Word hashes, windows and anchors of many texts; their bytes are looked at in small parts."""
 
     def __init__(self, column: pa.Array, k: int):
-        self.buf, off = buffers(column)
-        self.starts, self.ends, self.first = words(self.buf, off)
-        self.word = spans_hash(self.buf, self.starts, self.ends)
+        hashes, firsts, base = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], 0
+        for part in slices(pa.RecordBatch.from_arrays([column], names=["text"]), "text", _LOOK):
+            buf, off = buffers(part.column("text"))
+            starts, ends, first = words(buf, off)
+            hashes.append(spans_hash(buf, starts, ends))
+            firsts.append(first[1:] + base)
+            base += len(starts)
+        self.word, self.first = np.concatenate(hashes), np.concatenate(firsts)
         self.at, self.text = window_positions(self.first, k)
         self.k = k
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.word * (2 * self._place() + np.uint64(1)))])
-        self.key = mix(total[self.first[1:]] - total[self.first[:-1]] + np.diff(self.first).astype(np.uint64)).view(np.int64)
-
-    def _place(self) -> np.ndarray:
-        count = np.diff(self.first)
-        return mix((np.arange(len(self.word)) - np.repeat(self.first[:-1], count)).astype(np.uint64))
+        self.key = _text_keys(self.word, self.first)
 
     def windows(self) -> np.ndarray:
         return windows_hash(self.word, self.k)[self.at]
@@ -381,13 +390,14 @@ def covered_spans(docs: DataFrame, k: int) -> DataFrame:
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     buckets = parts = max(floor, chars // (16 << 20) + 1)
+    shards = max(floor, chars // (4 << 20) + 1)
     looked = _owners(_look(docs, k, buckets), parts)
     path = scratch_path(spark, "anchors")
     looked.write.parquet(path)
     looked = spark.read.schema(looked.schema).parquet(path)
     near = looked.filter("spans is not null").select("pid", "key", "spans")
     marks = looked.filter("lows is not null").select("bucket", "part", "ids", "counts", "lows", "owners")
-    return near.unionByName(_match(_route(docs, marks, k, buckets, parts, parts), k))
+    return near.unionByName(_match(_route(docs, marks, k, buckets, parts, shards), k))
 
 
 def remove_repeats(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str = "text",
@@ -430,31 +440,34 @@ def _cut(rows: DataFrame, k: int, with_text: bool) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                t = _Texts(part.column("text"), k)
+            for part in slices(batch, "text", _LOOK):
+                buf, off = buffers(part.column("text"))
+                starts, ends, first = words(buf, off)
                 n = part.num_rows
-                gone = np.zeros(len(t.word) + 1, np.int64)
-                for i, found in enumerate(part.column("found").to_pylist()):
-                    for x in found or ():
-                        if x["key"] == int(t.key[i]):
-                            s = np.frombuffer(x["spans"], "<i4").reshape(-1, 2).astype(np.int64)
-                            np.add.at(gone, t.first[i] + s[:, 0], 1)
-                            np.add.at(gone, t.first[i] + s[:, 0] + s[:, 1], -1)
+                gone = np.zeros(len(starts) + 1, np.int64)
+                if part.column("found").null_count < n:
+                    keys = _text_keys(spans_hash(buf, starts, ends), first).tolist()
+                    for i, found in enumerate(part.column("found").to_pylist()):
+                        for x in found or ():
+                            if x["key"] == keys[i]:
+                                s = np.frombuffer(x["spans"], "<i4").reshape(-1, 2).astype(np.int64)
+                                np.add.at(gone, first[i] + s[:, 0], 1)
+                                np.add.at(gone, first[i] + s[:, 0] + s[:, 1], -1)
                 gone = np.cumsum(gone[:-1]) > 0
-                text = np.repeat(np.arange(n), np.diff(t.first))
+                text = np.repeat(np.arange(n), np.diff(first))
                 a, b = _runs(gone, np.concatenate([[True], text[1:] != text[:-1]]) if len(text) else gone)
                 spans = [[] for _ in range(n)]
                 for x, y in zip(a.tolist(), b.tolist()):
                     i = int(text[x])
-                    spans[i].append({"start": x - int(t.first[i]), "length": y - x})
-                size = (t.ends - t.starts)[~gone]
+                    spans[i].append({"start": x - int(first[i]), "length": y - x})
+                size = (ends - starts)[~gone]
                 joined = np.full(int(size.sum()) + len(size), 32, np.uint8)
                 place = np.cumsum(size + 1) - (size + 1)
-                joined[ragged(place, size)] = t.buf[ragged(t.starts[~gone], size)]
+                joined[ragged(place, size)] = buf[ragged(starts[~gone], size)]
                 kept = np.concatenate([[0], np.cumsum(np.bincount(text[~gone], minlength=n))])
                 edge = np.append(place, len(joined))
                 pieces = [joined[edge[x]:max(edge[y] - 1, edge[x])].tobytes() for x, y in zip(kept[:-1].tolist(), kept[1:].tolist())]
-                cols = [part.column("pid"), pa.array(np.diff(t.first)), pa.array(np.bincount(text[gone], minlength=n)),
+                cols = [part.column("pid"), pa.array(np.diff(first)), pa.array(np.bincount(text[gone], minlength=n)),
                         pa.array(spans, span_type), pa.array([hashlib.sha256(p).hexdigest() for p in pieces], pa.string())]
                 if with_text:
                     cols.append(pa.array([p.decode() for p in pieces], pa.string()))

@@ -55,7 +55,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         encoder = Encoder(tokenizer)
         file, done = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 8 << 20):
                 ends, ids = encoder.encode(part.column("text"))
                 n = part.num_rows
                 ends = ends + np.arange(n + 1)
