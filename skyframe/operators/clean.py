@@ -1,8 +1,8 @@
 """Cleaning of raw flight events (survey §2.2 B1-B14, plus the ordered
 steps D3/D5/D6 of the batch ETL job).
 
-``clean_flights`` is one lineage; the only eager step is the top-n probe of
-``drop_tail`` (bounded by n rows).
+``clean_flights`` is one lineage; the eager steps are the top-n probe of
+``drop_tail`` (bounded by n rows) and the bounded key sample of the fill.
 """
 
 from __future__ import annotations
@@ -84,16 +84,6 @@ def clean_flights(df: DataFrame, tail: int = 10, tie=ROW_KEYS, ffill=FFILL_COLS)
     df = drop_all_null(df, OUTCOME_COLS)
     df = drop_any_null(df, ["arr_time", "arr_delay", "air_time"])
     df = stamp_times(df)
-    # One range-bucketed copy in departure order serves both ordered steps:
-    # the tail probe and anti-join read it, and the forward fill reuses its
-    # buckets (removing tail rows keeps the buckets ordered).
-    keys = ordered.total_order(df, ["dep_time"], tie)
-    nb = ordered._default_buckets(df)
-    df = ordered.range_buckets(df, keys, nb)
-    df = ordered.drop_tail(df, tail, ["dep_time"], tie, num_buckets=nb)
-    df = ordered.forward_fill(df, list(ffill), ["dep_time"], tie, keep_bucket=True)
-    df = keep_consistent(df)
-    # Whole-row copies share their ordering key, hence their bucket: the
-    # dedupe keyed by every column plus the bucket id is satisfied by the
-    # bucketed layout and needs no shuffle of the table.
-    return dedupe(df).drop(ordered.BUCKET)
+    df = ordered.drop_tail(df, tail, ["dep_time"], tie)
+    df = ordered.forward_fill(df, list(ffill), ["dep_time"], tie)
+    return dedupe(keep_consistent(df))

@@ -24,11 +24,11 @@ QUERY_TYPES = [
 ]
 NO_DATA = ("No flight data available in your session yet. Please wait for flights to arrive "
            "and be processed by the prediction system.")
-NEED_AIRLINE = "Error: 'airline' parameter is required. Example: 'alaska_airlines_inc', 'horizon_air'"
-NEED_ROUTE = "Error: 'route' parameter is required. Example: 'SEA-SFO', 'SEA-PHX'"
-UNSUPPORTED = "Error: Unsupported query type '{}'. Please use a valid query_type."
-NO_AIRLINE = "No data found for airline '{}'."
-NO_ROUTE = "No data found for route '{}'."
+NEED_AIRLINE = "❌ Error: 'airline' parameter is required. Example: 'alaska_airlines_inc', 'horizon_air'"
+NEED_ROUTE = "❌ Error: 'route' parameter is required. Example: 'SEA-SFO', 'SEA-PHX'"
+UNSUPPORTED = "❌ Error: Unsupported query type '{}'. Please use a valid query_type."
+NO_AIRLINE = "❌ No data found for airline '{}'."
+NO_ROUTE = "❌ No data found for route '{}'."
 
 
 class WindowError(ValueError):
@@ -71,21 +71,24 @@ def thousands(c: Column) -> Column:
     return F.format_number(c, 0)
 
 
-def answer(df: DataFrame, query_type: str, airline: str | None = None, route: str | None = None) -> DataFrame:
-    """Rows ``(line, answer)`` for one query type over already-windowed rows."""
+def answer(df: DataFrame, query_type: str, airline: str | None = None, route: str | None = None,
+           empty: bool | None = None) -> DataFrame:
+    """Rows ``(line, answer)`` for one query type over already-windowed rows.
+    An empty window is answered before type and parameters are looked at;
+    callers that ask several questions of one window pass ``empty``."""
     spark = df.sparkSession
 
     def msg(text: str) -> DataFrame:
         return spark.range(1).select(F.lit(0).cast("long").alias("line"), F.lit(text).alias("answer"))
 
+    if df.isEmpty() if empty is None else empty:
+        return msg(NO_DATA)
     if query_type not in QUERY_TYPES:
         return msg(UNSUPPORTED.format(query_type))
     if query_type == "avg_delay_by_airline" and not airline:
         return msg(NEED_AIRLINE)
     if query_type in ("weather_by_route", "distance_by_route") and not route:
         return msg(NEED_ROUTE)
-    if df.limit(1).count() == 0:
-        return msg(NO_DATA)
 
     def one(agg_df: DataFrame, text: Column) -> DataFrame:
         return agg_df.select(F.lit(0).cast("long").alias("line"), text.alias("answer"))
@@ -149,8 +152,8 @@ def answer(df: DataFrame, query_type: str, airline: str | None = None, route: st
 
 # C13
 def run_named_query(df: DataFrame, query_type: str, start: int, end: int, airline: str | None = None,
-                    route: str | None = None, ts: str = "timestamp") -> DataFrame:
+                    route: str | None = None, ts: str = "timestamp", empty: bool | None = None) -> DataFrame:
     """Dispatcher: validated window (B20), predicted rows inside it (B19),
     then the requested statistic as text rows. A bad window raises
     ``WindowError``; a bad type or missing parameter is an answer row."""
-    return answer(in_session_window(df, start, end, ts), query_type, airline, route)
+    return answer(in_session_window(df, start, end, ts), query_type, airline, route, empty)

@@ -4,13 +4,13 @@ Profiles are one wide aggregate per frame, turned long with ``stack``;
 checks compare two long profiles by an equi-join on the feature name.
 The numeric drift distance needs running shares over the sorted values:
 values are first reduced to counts (map-side combined), then running
-sums use the range-bucket pattern of ``plans.ordered`` so no single task
-sorts all distinct values.
+sums and totals come from ``plans.ordered`` so no single task sorts all
+distinct values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,54 +122,29 @@ def _long_values(df: DataFrame, cols, cast: str) -> DataFrame:
     return df.select(pairs.alias("p")).select("p.feature", "p.v").filter(F.col("v").isNotNull())
 
 
+def _both_counts(baseline: DataFrame, current: DataFrame, cols, cast: str) -> DataFrame:
+    """(feature, v, nb, nc): how often each value occurs on either side. One
+    aggregate over both sides (combined map-side), no join."""
+    sides = (_long_values(baseline, cols, cast).select("feature", "v", F.lit(1).alias("b"), F.lit(0).alias("c"))
+             .unionByName(_long_values(current, cols, cast).select("feature", "v", F.lit(0).alias("b"), F.lit(1).alias("c"))))
+    return sides.groupBy("feature", "v").agg(F.sum("b").alias("nb"), F.sum("c").alias("nc"))
+
+
 def numeric_drift(baseline: DataFrame, current: DataFrame, cols, num_buckets: int | None = None) -> DataFrame:
     """Largest gap between the two empirical CDFs per feature (two-sample
     Kolmogorov-Smirnov distance). All features go through one pass: value
     counts per (feature, value), one range-bucketed running sum grouped by
     feature, one aggregate."""
-    vb = _long_values(baseline, cols, "double").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("nb"))
-    vc = _long_values(current, cols, "double").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("nc"))
-    both = vb.join(vc, ["feature", "v"], "full_outer").fillna(0, ["nb", "nc"])
-    run = running_sums(both, "v", ["nb", "nc"], num_buckets, group=["feature"])
-    tot = both.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
-    gap = F.abs(F.try_divide(F.col("cum_nb"), F.col("tb")) - F.try_divide(F.col("cum_nc"), F.col("tc")))
-    return run.join(tot, "feature").groupBy("feature").agg(F.max(gap).alias("distance"))
-
-
-def running_sums(df: DataFrame, order: str, cols, num_buckets: int | None = None, group=()) -> DataFrame:
-    """``cum_<c>`` = sum of ``c`` over the rows of the same group with
-    ``order`` <= this row's (order values unique inside a group), computed
-    bucket-wise (see ``plans.ordered``). Only the first group of a bucket
-    can have rows in earlier buckets, so the carried sums come from a
-    table of at most two rows per bucket (broadcast); the rows are not
-    reshuffled after bucketing."""
-    group = list(group)
-    x = ordered.range_buckets(df, group + [order], num_buckets)
-    B = ordered.BUCKET
-    w = Window.partitionBy(*group, B).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    per = x.groupBy(B, *group).agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])   # co-located: no shuffle
-    if group:
-        gs = [F.col(g).asc_nulls_first() for g in group]
-        by_bucket = Window.partitionBy(B)
-        per = (per.withColumn("_a", F.row_number().over(by_bucket.orderBy(*gs)))
-               .withColumn("_z", F.row_number().over(by_bucket.orderBy(*[F.col(g).desc_nulls_last() for g in group])))
-               .filter((F.col("_a") == 1) | (F.col("_z") == 1)))              # <= 2 rows per bucket
-    before = Window.partitionBy(*group).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(B).alias("_gb"),
-                       *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in cols])
-    cond = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)] + [F.col(B) == F.col("_gb")]
-    out = x.join(F.broadcast(carry), cond, "left")
-    return out.select(*df.columns, *[(F.sum(c).over(w) + F.coalesce(F.col(f"_o_{c}"), F.lit(0))).alias(f"cum_{c}")
-                                     for c in cols])
+    both = _both_counts(baseline, current, cols, "double")
+    run = ordered.running_sums(both, "v", ["nb", "nc"], num_buckets, group=["feature"])
+    gap = F.abs(F.try_divide(F.col("cum_nb"), F.col("total_nb")) - F.try_divide(F.col("cum_nc"), F.col("total_nc")))
+    return run.groupBy("feature").agg(F.max(gap).alias("distance"))
 
 
 # J7
 def categorical_counts(baseline: DataFrame, current: DataFrame, cols) -> DataFrame:
-    """(feature, v, nb, nc): value counts of both sides for all listed
-    features (map-side combined), full outer joined on (feature, v)."""
-    sb = _long_values(baseline, cols, "string").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("nb"))
-    sc = _long_values(current, cols, "string").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("nc"))
-    return sb.join(sc, ["feature", "v"], "full_outer").fillna(0, ["nb", "nc"])
+    """(feature, v, nb, nc): value counts of both sides for all listed features."""
+    return _both_counts(baseline, current, cols, "string")
 
 
 def categorical_drift(baseline: DataFrame, current: DataFrame, cols, counts: DataFrame | None = None) -> DataFrame:
@@ -178,7 +153,8 @@ def categorical_drift(baseline: DataFrame, current: DataFrame, cols, counts: Dat
     both = counts if counts is not None else categorical_counts(baseline, current, cols)
     tot = both.groupBy("feature").agg(F.sum("nb").alias("tb"), F.sum("nc").alias("tc"))
     gap = F.abs(F.try_divide(F.col("nb"), F.col("tb")) - F.try_divide(F.col("nc"), F.col("tc")))
-    return both.join(tot, "feature").groupBy("feature").agg(F.max(gap).alias("distance"))
+    # one row per listed feature, so the totals are broadcast
+    return both.join(F.broadcast(tot), "feature").groupBy("feature").agg(F.max(gap).alias("distance"))
 
 
 def drift_violations(distances: DataFrame, threshold: float = 0.1, kind: str = "baseline_drift_check") -> DataFrame:
@@ -224,14 +200,14 @@ def status_totals(status: DataFrame) -> DataFrame:
 
 # J12 + J13
 def route_violations(violations: DataFrame) -> DataFrame:
-    """Split a violation list into data-quality and drift issues and grade
-    the alert by the issue count."""
-    dq = (F.col("constraint_check_type").contains("data_type_check") | F.col("feature_name").contains("null")
-          | F.col("constraint_check_type").contains("completeness") | F.col("constraint_check_type").contains("non_negative"))
-    kinds = violations.select(F.when(dq, "data_quality").otherwise("drift").alias("kind"))
-    counts = kinds.agg(F.count(F.lit(1)).alias("issues"),
-                       F.count_if(F.col("kind") == "data_quality").alias("data_quality"),
-                       F.count_if(F.col("kind") == "drift").alias("drift"))
+    """Data-quality issues (a data type or null check) and drift issues (a
+    baseline drift check) of a violation list; other kinds count only in
+    ``issues``, which grades the alert."""
+    kind = F.col("constraint_check_type")
+    counts = violations.agg(
+        F.count(F.lit(1)).alias("issues"),
+        F.count_if(kind.contains("data_type_check") | kind.contains("null")).alias("data_quality"),
+        F.count_if(kind.contains("baseline_drift_check")).alias("drift"))
     return counts.withColumn("severity", alert_severity("issues"))
 
 

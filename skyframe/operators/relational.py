@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyframe.plans.ordered import total_order
+
 
 def _null_safe_cond(keys, prefix):
     return [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(keys)]
@@ -37,7 +39,7 @@ def top_k(df: DataFrame, k: int, order, ascending: bool = False) -> DataFrame:
 # D8
 def latest_n(df: DataFrame, key: str, ts: str, n: int = 12) -> DataFrame:
     """The ``n`` most recent distinct ids; a repeated id keeps its first
-    occurrence (first seen wins).
+    occurrence (first seen wins; on equal stamps the smallest row).
 
     Only (id, first stamp) goes through the shuffle (one aggregate per id,
     map-side combined); a bounded top-n picks the ids, and their rows at
@@ -48,7 +50,8 @@ def latest_n(df: DataFrame, key: str, ts: str, n: int = 12) -> DataFrame:
            .select(F.col(key).alias("_k"), "_first"))
     at_first = df.join(F.broadcast(top), F.col(key).eqNullSafe(F.col("_k")) & (F.col(ts) == F.col("_first")),
                        "left_semi")
-    one = at_first.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.col(ts)).alias("_r")).select("_r.*")
+    one = at_first.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.struct(*total_order(df, [ts]))).alias("_r"))
+    one = one.select("_r.*")
     return one.orderBy(F.col(ts).desc(), F.col(key)).limit(n)
 
 

@@ -3,8 +3,8 @@
 Everything is a hash aggregate with Spark's own partial (map-side) and
 final phases, so a hot group is combined before the shuffle. Scalars that
 a later step needs (a table total, a min/max) are fetched as one number
-and inlined as a literal rather than joined back. Exact quantiles use the
-distributed rank of ``plans.ordered.with_rank`` instead of collecting a
+and inlined as a literal rather than joined back. Exact quantiles use value
+counts and the running sums of ``plans.ordered`` instead of collecting a
 group's values into one task.
 """
 
@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,8 +120,11 @@ def value_counts(df, col, normalize=True):
 
 # C21
 def distinct_counts(df, cols, approx=False, rsd=0.02):
-    f = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.countDistinct
-    return df.agg(*[f(c).alias(f"n_{c}") for c in cols])
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c, rsd).alias(f"n_{c}") for c in cols])
+    # one narrow scan per column instead of every row once per column
+    from skyframe.plans.combine import side_by_side
+    return side_by_side(*[df.select(c).distinct().agg(F.count(c).alias(f"n_{c}")) for c in cols])
 
 
 # C22
@@ -132,44 +137,24 @@ def group_quantiles(df, group, col, probs, num_buckets: int | None = None):
     """Exact linear-interpolated quantiles (pandas / numpy default) of
     ``col`` per group, without gathering a group's values into one task.
 
-    Values are range-bucketed on (group, value); per (group, bucket) counts
-    give every bucket's rank range, so only the few buckets that hold a
-    wanted rank are ranked row by row. Output columns ``q_i``."""
-    from pyspark.sql import Window
+    Values are first reduced to counts per (group, value), so a value that
+    most rows share is combined map-side; running sums over the distinct
+    values then tell which value holds each wanted rank, and one aggregate
+    picks them: no join. Output columns ``q_i``."""
     group = list(group)
-    B = ordered.BUCKET
-    base = df.select(*group, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
-    x = ordered.range_buckets(base, group + ["_v"], num_buckets)
-    gw = Window.partitionBy(*group).orderBy(B)
-    counts = x.groupBy(*group, B).agg(F.count(F.lit(1)).alias("_c"))
-    counts = counts.select(*group, B, "_c",
-                           F.coalesce(F.sum("_c").over(gw.rowsBetween(Window.unboundedPreceding, -1)),
-                                      F.lit(0)).alias("_off"),
-                           F.sum("_c").over(Window.partitionBy(*group)).alias("_n"))
-    # wanted global ranks per group: floor/ceil of (n - 1) p, 1-based
-    wanted = counts.select(*group, B, "_c", "_off", "_n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), (F.floor((F.col("_n") - 1) * p) + 1).alias("lo"),
-                 (F.ceil((F.col("_n") - 1) * p) + 1).alias("hi"), ((F.col("_n") - 1) * p).alias("h"))
-        for i, p in enumerate(probs)])).alias("w"))
-    hits = wanted.filter(((F.col("w.lo") > F.col("_off")) & (F.col("w.lo") <= F.col("_off") + F.col("_c")))
-                         | ((F.col("w.hi") > F.col("_off")) & (F.col("w.hi") <= F.col("_off") + F.col("_c"))))
-    need = hits.select(*group, B, "_off").distinct()
-    sel = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
-    need_r = need.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(B).alias("_nb"), "_off")
-    rows = x.join(need_r, sel + [F.col(B) == F.col("_nb")])
-    rw = Window.partitionBy(*group, B).orderBy("_v")
-    ranked = rows.withColumn("_r", F.row_number().over(rw) + F.col("_off")).select(*group, "_r", "_v")
-    targets = wanted.select(*group, "w.i", "w.lo", "w.hi", "w.h").distinct()
-    t = targets.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "i", "lo", "hi", "h")
-    j = ranked.join(t, sel + [(F.col("_r") == F.col("lo")) | (F.col("_r") == F.col("hi"))])
-    per = j.groupBy(*[f"_g{i}" for i in range(len(group))], "i").agg(
-        F.max(F.when(F.col("_r") == F.col("lo"), F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_r") == F.col("hi"), F.col("_v"))).alias("_hi"),
-        F.max(F.col("h") - F.floor("h")).alias("_f"))
-    val = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")
-    out = per.groupBy(*[f"_g{i}" for i in range(len(group))]).agg(
-        *[F.max(F.when(F.col("i") == i, val)).alias(f"q_{i}") for i in range(len(probs))])
-    return out.select(*[F.col(f"_g{i}").alias(g) for i, g in enumerate(group)], *[f"q_{i}" for i in range(len(probs))])
+    values = df.select(*group, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
+    counts = values.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("c"))
+    run = ordered.running_sums(counts, "_v", ["c"], num_buckets, group=group)
+    picks = []
+    for i, p in enumerate(probs):
+        at = (F.col("total_c") - 1) * F.lit(float(p))          # 0-based position, between two ranks
+        for name, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            holds = (F.col("cum_c") - F.col("c") <= rank) & (rank < F.col("cum_c"))
+            picks.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{name}{i}"))
+        picks.append(F.max(at - F.floor(at)).alias(f"_f{i}"))
+    out = run.groupBy(*group).agg(*picks)
+    return out.select(*group, *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"q_{i}")
+                                for i in range(len(probs))])
 
 
 # C23
@@ -289,76 +274,69 @@ def box_stats(df, col, whisker=1.5):
 
 
 # C33
-def kde(df, col, points=200, cut=3.0, chunk=25, mode: str = "auto"):
+def kde(df, col, points=200, cut=3.0):
     """Gaussian kernel density on an even grid (Scott bandwidth, grid from
-    min - cut*bw to max + cut*bw). Values are first reduced to value counts,
-    written once to the shared checkpoint folder.
-
-    ``dense``: every grid point is one weighted sum in an aggregate over the
-    value counts (chunks of ``chunk`` points): no join and no expansion.
-    ``sparse``: a kernel term is exactly 0.0 in double precision beyond 40
-    bandwidths (exp(-800) underflows), so each value adds its terms only to
-    the grid points within that reach, summed per point (at most ``points``
-    keys, combined map-side). The bandwidth shrinks as n^(-1/5), so on
-    large inputs a value reaches a small share of the grid. ``auto`` picks
-    sparse when the reach spans less than half of the grid."""
+    min - cut*bw to max + cut*bw). Values are first reduced to value counts.
+
+    A kernel term is exactly 0.0 in double precision beyond 40 bandwidths
+    (exp(-800) underflows), so each value adds its terms only to the grid
+    points within that reach, summed per point (at most ``points`` keys,
+    combined map-side). The bandwidth shrinks as n^(-1/5), so on large
+    inputs a value reaches a small share of the grid."""
     n, sd, lo, hi = df.agg(F.count(col), F.stddev_samp(col), F.min(col), F.max(col)).first()
     spark = df.sparkSession
     if not n or sd is None or sd == 0:
         return spark.createDataFrame([], "point int, x double, density double")
     bw = sd * n ** (-1.0 / 5.0)
     start, stop = lo - cut * bw, hi + cut * bw
-    grid = [start + (stop - start) * i / (points - 1) for i in range(points)]
-    from skyframe.session import scratch_path
-    vc_path = scratch_path(spark, "kde-counts")
-    df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("w")).write.parquet(vc_path)
-    vc = spark.read.parquet(vc_path)
+    vc = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("w"))
     norm = 1.0 / (n * bw * math.sqrt(2 * math.pi))
     step = (stop - start) / (points - 1)
     reach = 40.0 * bw
-    if mode == "sparse" or (mode == "auto" and 2 * reach / step + 1 < points / 2):
-        v = F.col(col)
-        i0 = F.greatest(F.lit(0), F.ceil((v - reach - start) / step).cast("int"))
-        i1 = F.least(F.lit(points - 1), F.floor((v + reach - start) / step).cast("int"))
-        near = vc.select("w", col, F.explode(F.when(i0 <= i1, F.sequence(i0, i1))
-                                             .otherwise(F.array().cast("array<int>"))).alias("point"))
-        x = F.lit(start) + F.lit(stop - start) * F.col("point") / F.lit(points - 1)
-        terms = near.select("point", (F.col("w") * F.exp(-0.5 * F.pow((v - x) / F.lit(bw), 2))).alias("t"))
-        every = spark.range(points).select(F.col("id").cast("int").alias("point"), F.lit(0.0).alias("t"))
-        return (terms.unionByName(every).groupBy("point").agg((F.sum("t") * norm).alias("density"))
-                .select("point", x.alias("x"), "density"))
-    parts = []
-    # grid points in chunks, so each aggregate stays inside whole-stage codegen
-    for lo_i in range(0, points, chunk):
-        idx = list(range(lo_i, min(points, lo_i + chunk)))
-        sums = [(F.sum(F.col("w") * F.exp(-0.5 * F.pow((F.col(col) - F.lit(grid[i])) / F.lit(bw), 2))) * norm)
-                .alias(f"d{i}") for i in idx]
-        stack = "stack({}, {}) as (point, x, density)".format(
-            len(idx), ", ".join(f"{i}, CAST({grid[i]!r} AS DOUBLE), d{i}" for i in idx))
-        parts.append(vc.agg(*sums).selectExpr(stack))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    v = F.col(col)
+    i0 = F.greatest(F.lit(0), F.ceil((v - reach - start) / step).cast("int"))
+    i1 = F.least(F.lit(points - 1), F.floor((v + reach - start) / step).cast("int"))
+    near = vc.select("w", col, F.explode(F.when(i0 <= i1, F.sequence(i0, i1))
+                                         .otherwise(F.array().cast("array<int>"))).alias("point"))
+    x = F.lit(start) + F.lit(stop - start) * F.col("point") / F.lit(points - 1)
+    terms = near.select("point", (F.col("w") * F.exp(-0.5 * F.pow((v - x) / F.lit(bw), 2))).alias("t"))
+    every = spark.range(points).select(F.col("id").cast("int").alias("point"), F.lit(0.0).alias("t"))
+    return (terms.unionByName(every).groupBy("point").agg((F.sum("t") * norm).alias("density"))
+            .select("point", x.alias("x"), "density"))
 
 
 # C34
-def correlation_matrix(df, cols, chunk: int = 8):
-    """Pearson correlation for every unordered pair (lower triangle), long.
-    Pairs are aggregated in chunks so each aggregate stays within
-    whole-stage codegen limits."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
-    parts = []
-    for lo in range(0, len(pairs), chunk):
-        part = pairs[lo:lo + chunk]
-        wide = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(part)])
-        stack = "stack({}, {}) as (feature_a, feature_b, corr)".format(
-            len(part), ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(part)))
-        parts.append(wide.selectExpr(stack))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def correlation_matrix(df, cols):
+    """Pearson correlation for every unordered pair (lower triangle), long,
+    over the rows where both are present.
+
+    One scan for the means and one for all pairs: each Arrow batch gives, by
+    matrix products, the pair counts, sums, squares and cross products of
+    the values around those means; Spark adds them up per pair."""
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    mean = np.array([0.0 if m is None else m for m in means])
+    lower = np.tril_indices(len(cols), -1)
+    names = ["n", "sa", "sb", "saa", "sbb", "sab"]
+
+    def moments(batches):
+        for batch in batches:
+            x = np.stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in batch.columns], 1)
+            have = ~np.isnan(x)
+            x, have = np.where(have, x - mean, 0.0), have.astype(float)
+            sums = {"n": have.T @ have, "sa": x.T @ have, "saa": (x * x).T @ have, "sab": x.T @ x}
+            sums |= {"sb": sums["sa"].T, "sbb": sums["saa"].T}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lower[0], pa.int32()), pa.array(lower[1], pa.int32())] + [pa.array(sums[k][lower]) for k in names],
+                names=["a", "b", *names])
+
+    parts = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]).mapInArrow(
+        moments, "a int, b int, " + ", ".join(f"{k} double" for k in names))
+    s = parts.groupBy("a", "b").agg(*[F.sum(k).alias(k) for k in names])
+    n, sa, sb, saa, sbb, sab = (F.col(k) for k in names)
+    spread = F.sqrt((n * saa - sa * sa) * (n * sbb - sb * sb))
+    labels = F.array(*[F.lit(c) for c in cols])
+    return s.select(F.get(labels, F.col("a")).alias("feature_a"), F.get(labels, F.col("b")).alias("feature_b"),
+                    F.try_divide(n * sab - sa * sb, spread).alias("corr"))
 
 
 # C35

@@ -2,36 +2,53 @@
 
 Per-session ordering uses the distributed rank of ``plans.ordered`` (a
 session's turns are never gathered whole into one task); the only
-collected lists are bounded by ``n``. Retrieval scores every passage
-against a small, size-checked set of query vectors held as literals in
-one scan and takes a bounded top-k per query: no join, and the (query,
-passage) scores never leave the map task beyond k per query.
+collected lists are bounded by ``n``. Retrieval multiplies passages with
+blocks of query vectors where they are read and takes a bounded top-k per
+query: no join, and the (query, passage) scores never leave the map task
+beyond k per query.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from skyframe.plans import ordered
 
 
 # N1
+def explode_events(events: DataFrame) -> DataFrame:
+    """One row per conversational message of history events
+    (``session_id``, ``eventId``, ``eventTimestamp``, ``payload`` array of
+    ``conversational{role, content{text}}``); payloads without one and empty
+    texts give no row."""
+    m = events.select("session_id", "eventId", "eventTimestamp", F.posexplode("payload").alias("part", "p"))
+    return m.select("session_id", "eventId", F.col("eventTimestamp").alias("timestamp"), "part",
+                    F.col("p.conversational.role").alias("role"), F.col("p.conversational.content.text").alias("text")
+                    ).filter(F.length("text") > 0)
+
+
 def flatten_history(df: DataFrame, session: str = "conv_id", time: str = "turn", role: str = "role",
-                    text: str = "text", max_events: int = 100) -> DataFrame:
-    """Messages with non-blank text, oldest first, at most ``max_events``
-    per session (the oldest ones)."""
-    x = df.filter(F.length(F.trim(F.col(text))) > 0).select(session, time, role, text)
+                    text: str = "text", max_events: int | None = None) -> DataFrame:
+    """Messages with text, oldest first with their position; all of them
+    unless a page size is given (then the oldest ``max_events`` per session)."""
+    x = df.filter(F.length(F.col(text)) > 0).select(session, time, role, text)
     r = ordered.with_rank(x, [time], group=[session], tie=[role, text], rank_col="position", size_col=None)
-    return r.filter(F.col("position") <= max_events)
+    return r if max_events is None else r.filter(F.col("position") <= max_events)
 
 
 # N2
 def recent_context(df: DataFrame, session: str = "conv_id", time: str = "turn", role: str = "role",
                    text: str = "text", n: int = 20) -> DataFrame:
-    """``role: text`` lines of the last ``n`` messages of each session,
-    oldest first, joined by newlines."""
-    x = df.filter(F.length(F.trim(F.col(text))) > 0).select(session, time, role, text)
+    """``role: text`` lines (role in lower case) of the last ``n`` messages
+    of each session, oldest first, joined by newlines."""
+    x = df.filter(F.length(F.col(text)) > 0).select(session, time, F.lower(role).alias(role), text)
     x = x.withColumn("_neg", -F.col(time))
     r = ordered.with_rank(x, ["_neg"], group=[session], tie=[role, text], rank_col="_back", size_col=None)
     last = r.filter(F.col("_back") <= n)
@@ -49,35 +66,66 @@ def history_counts(df: DataFrame, session: str = "conv_id", role: str = "role")
                                    F.count_if(F.col(role) == "assistant").alias("assistant_messages"))
 
 
-def centroids(df: DataFrame, key: str = "label", vec: str = "embedding", max_keys: int = 1000):
-    """Mean vector per key (the query vectors used by ``top_passages``);
-    returned to the driver, so the key count is checked."""
-    dim = df.select(F.size(vec).alias("d")).agg(F.max("d")).first()[0]
-    rows = (df.groupBy(key).agg(F.array(*[F.avg(F.col(vec)[i]) for i in range(dim)]).alias("q"))
-            .orderBy(key).limit(max_keys + 1).collect())
-    if len(rows) > max_keys:
-        raise ValueError(f"more than {max_keys} query vectors")
-    return [(r[key], [float(v) for v in r["q"]]) for r in rows]
+def centroids(df: DataFrame, key: str = "label", vec: str = "embedding") -> DataFrame:
+    """(query, q): the mean vector of each key, as a table of query vectors."""
+    long = df.select(key, F.posexplode(vec).alias("i", "v")).groupBy(key, "i").agg(F.avg(F.col("v").cast("double")).alias("m"))
+    return long.groupBy(F.col(key).alias("query")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda x: x["m"]).alias("q"))
 
 
 # N4
-def top_passages(corpus: DataFrame, queries, k: int = 3, key: str = "vec_id", vec: str = "embedding") -> DataFrame:
-    """Best ``k`` passages per query by dot product. ``queries`` is a list
-    of (query id, vector), held as literals.
-
-    One scan of the corpus: each passage gets one score per query, the
-    scores are turned long with ``stack`` inside the same stage, and
-    ``row_number() <= k`` per query is planned by Catalyst as a partial
-    ``WindowGroupLimit`` before the shuffle, so every map task sends at
-    most ``k`` rows per query and no query group grows with the corpus.
-    """
-    scores = [F.aggregate(F.zip_with(F.col(vec), F.array(*[F.lit(v) for v in q]),
-                                     lambda a, b: a.cast("double") * b),
-                          F.lit(0.0), lambda acc, x: acc + x) for _, q in queries]
-    pairs = ", ".join(f"_q{i}, _s{i}" for i in range(len(queries)))
-    scored = corpus.select(key, *[F.lit(qid).alias(f"_q{i}") for i, (qid, _) in enumerate(queries)],
-                           *[s.alias(f"_s{i}") for i, s in enumerate(scores)])
-    long = scored.selectExpr(key, f"stack({len(queries)}, {pairs}) AS (query, score)")
+QUERY_BLOCK = 1024
+
+
+def top_passages(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str = "vec_id", vec: str = "embedding") -> DataFrame:
+    """Best ``k`` passages per query by dot product; ``queries`` is a table
+    (query, q).
+
+    Queries are taken in blocks of ``QUERY_BLOCK`` vectors, each block one
+    scan of the corpus: an Arrow batch of passages is multiplied with the
+    block and hands on at most ``k`` rows per query and task, so neither the
+    plan nor a query's group grows with the corpus or the query set. Equal
+    scores are ordered by passage id."""
+    kind = queries.schema["query"].dataType
+    schema = T.StructType([T.StructField("query", kind), corpus.schema[key], T.StructField("score", T.DoubleType())])
+    blocks, block = [], []
+    for r in queries.select("query", "q").toLocalIterator():
+        block.append((r["query"], list(r["q"])))
+        if len(block) == QUERY_BLOCK:
+            blocks.append(_best_of_block(corpus, block, k, key, vec, schema))
+            block = []
+    if block or not blocks:
+        blocks.append(_best_of_block(corpus, block, k, key, vec, schema))
+    best = reduce(lambda a, b: a.unionByName(b), blocks)
     w = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col(key))
-    return (long.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-            .select("query", key, "score"))
+    return best.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+
+
+def _best_of_block(corpus: DataFrame, block: list, k: int, key: str, vec: str, schema: T.StructType) -> DataFrame:
+    names = [q for q, _ in block]
+    query_type = to_arrow_type(schema.fields[0].dataType)
+    matrix = np.array([v for _, v in block], float)
+
+    def score(batches):
+        top = [[] for _ in names]
+        keys_type = None
+        for batch in batches:
+            rows = batch.num_rows
+            keys_type = batch.column(0).type
+            if not rows or not names:
+                continue
+            x = np.asarray(batch.column(1).flatten(), float).reshape(rows, -1)
+            # sums in the vectors' order, the same for every batch size
+            s = np.einsum("ij,kj->ik", x, matrix)
+            keys = batch.column(0).to_pylist()
+            for q in range(len(names)):
+                cut = np.partition(s[:, q], rows - k)[rows - k] if rows > k else -np.inf
+                top[q] += [(-float(s[i, q]), keys[i]) for i in np.flatnonzero(s[:, q] >= cut)]
+                top[q] = sorted(top[q])[:k]
+        out = [(names[q], p, -s) for q in range(len(names)) for s, p in top[q]]
+        if out:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in out], query_type), pa.array([r[1] for r in out], keys_type),
+                 pa.array([r[2] for r in out], pa.float64())], names=schema.names)
+
+    return corpus.filter(F.col(vec).isNotNull()).select(key, F.col(vec).cast("array<double>").alias(vec)).mapInArrow(score, schema)

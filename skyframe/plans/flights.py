@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from skyframe.tables import table
 
-# Raw event fields in their published order, then the four row keys.
+# The raw event fields in their published order, then the four row keys.
 RAW_FIELDS = [
     "year", "month", "day", "dep_time", "sched_dep_time", "dep_delay", "arr_time",
     "sched_arr_time", "arr_delay", "carrier", "flight", "tailnum", "origin", "dest",
@@ -157,12 +157,11 @@ def materialise(spark: SparkSession, key: str, build) -> DataFrame:
     as Parquet and read it back (the lake table of the batch ETL). Later
     queries scan physical columns: filters and projections reach the
     scan instead of re-deriving every column from the star schema."""
-    import os
-
     from skyframe.session import scratch_path
+    from skyframe.sources.files import path_exists
     ck = (spark.sparkContext.applicationId, key)
     path = _MATERIALISED.get(ck)
-    if path is None or not os.path.exists(os.path.join(path.replace("file:", ""), "_SUCCESS")):
+    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
         path = scratch_path(spark, key.replace("/", "_"))
         build().write.mode("overwrite").parquet(path)
         _MATERIALISED[ck] = path

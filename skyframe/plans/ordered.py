@@ -3,19 +3,23 @@
 A plain ``Window.orderBy`` without a partition key moves every row into
 one task. The helpers here keep the work distributed:
 
-* ``range_buckets`` range-partitions on the full ordering key (order
+* ``range_buckets`` labels each row with an ordered bucket number. The
+  bucket bounds come from a bounded sample of the full ordering key (order
   columns + tie-break columns, so even one hot order value is split) and
-  labels each row with its partition number. Partition numbers are
-  monotone in the total order, so buckets are ordered and disjoint and of
-  roughly equal size whatever the skew of the order column.
-* Per-bucket summaries (row counts, last non-null value) form a table of
-  at most ``num_buckets`` rows; running sums over it are cheap and it is
-  broadcast back (its size is the bucket count we chose, a proven bound).
-* The final window is partitioned by bucket.
-
-``drop_tail`` needs only the last ``n`` rows: a top-n sort (bounded by n,
-and reading only the last buckets of a bucketed frame) gives the rows to
-remove and the rest is a broadcast anti-join, no shuffle of the table.
+  are held as literals: a row's bucket is a plain expression of its key,
+  found by binary search, the same in every branch, retry and recomputation.
+  No copy of the table is written and nothing has to be dropped afterwards.
+* Per-bucket summaries (row counts, last non-null value) read only the
+  columns they need, are combined map-side and form a table of at most
+  ``num_buckets`` rows; running sums over it are cheap and it is broadcast
+  back (its size is the bucket count we chose, a proven bound).
+* The final window is partitioned by bucket: one shuffle of the rows.
+
+``drop_tail`` needs only the last ``n`` rows: a top-n sort (bounded by n)
+gives the boundary key and the rest is a filter with literals.
+
+The input of these operators must give the same rows whenever it is
+computed (no unseeded random columns).
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKET = "_bucket"
+#: Sampled keys per bucket: the bounds of a bucket are then off by a few percent.
+SAMPLE_PER_BUCKET = 60
 
 
 def _default_buckets(df: DataFrame) -> int:
@@ -32,59 +38,66 @@ def _default_buckets(df: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return isinstance(t, (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType,
+                          T.BooleanType, T.BinaryType))
+
+
 def total_order(df: DataFrame, order, tie=None) -> list[str]:
     """Order columns followed by tie-break columns (default: every other
     orderable column, which makes rows that still tie identical)."""
     order = list(order)
     if tie is None:
-        orderable = (T.NumericType, T.StringType, T.DateType, T.TimestampType,
-                     T.TimestampNTZType, T.BooleanType)
-        tie = [f.name for f in df.schema.fields
-               if f.name not in order and isinstance(f.dataType, orderable)]
+        tie = [f.name for f in df.schema.fields if f.name not in order and _orderable(f.dataType)]
     return order + [c for c in tie if c not in order]
 
 
-def range_buckets(df: DataFrame, keys, num_buckets: int | None = None) -> DataFrame:
-    """Rows labelled with an ordered bucket id (see module doc).
-
-    The labelled frame is written to a fresh folder under the shared
-    checkpoint folder and read back: the bucket ids are then fixed data
-    that every later branch (per-bucket summary, join back, window) reads
-    identically, and the lineage above it is cut, so a lost executor never
-    re-samples the range bounds. The folder is a table bucketed by the
-    bucket id, so the per-bucket aggregates and windows that follow read
-    co-located data and need no further shuffle.
-    """
-    import uuid
+def _key(names) -> Column:
+    return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(names)])
 
-    from skyframe.session import scratch_path
-    spark = df.sparkSession
+
+def _literal_key(values, types) -> Column:
+    return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(values, types))])
+
+
+def range_bounds(df: DataFrame, keys, num_buckets: int) -> list[tuple]:
+    """At most ``num_buckets - 1`` ascending keys that cut the table into
+    parts of about equal size, from a sample bounded by the bucket count."""
+    narrow = df.select(*keys)
+    rows, wanted = narrow.count(), num_buckets * SAMPLE_PER_BUCKET
+    sample = narrow if rows <= wanted else narrow.sample(False, min(1.0, wanted / rows), 17)
+    got = [tuple(r) for r in sample.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).collect()]
+    cuts = [got[i * len(got) // num_buckets] for i in range(1, num_buckets)] if got else []
+    return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
+
+
+def range_buckets(df: DataFrame, keys, num_buckets: int | None = None) -> DataFrame:
+    """Rows labelled with an ordered bucket id (see module doc)."""
     nb = num_buckets or _default_buckets(df)
-    path = scratch_path(spark, "buckets")
-    name = f"skyframe_buckets_{uuid.uuid4().hex[:16]}"
-    labelled = (df.repartitionByRange(nb, *[F.col(k).asc_nulls_first() for k in keys])
-                .withColumn(BUCKET, F.spark_partition_id()))
-    try:
-        labelled.write.bucketBy(nb, BUCKET).option("path", path).saveAsTable(name)
-        return spark.table(name)
-    except Exception:  # a catalog that cannot hold the table: plain files
-        fallback = path + "-plain"
-        labelled.write.parquet(fallback)
-        return spark.read.parquet(fallback)
+    bounds = range_bounds(df, keys, nb)
+    if not bounds:
+        return df.withColumn(BUCKET, F.lit(0))
+    types = [df.schema[k].dataType for k in keys]
+    table, key = F.array(*[_literal_key(b, types) for b in bounds]), _key(keys)
+
+    def halve(s, _):
+        mid = F.shiftright(s["lo"] + s["hi"], 1)
+        right = F.get(table, mid) <= key
+        return F.when(s["lo"] >= s["hi"], s).otherwise(F.struct(
+            F.when(right, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(right, s["hi"]).otherwise(mid).alias("hi")))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+    return df.withColumn(BUCKET, F.aggregate(steps, start, halve, lambda s: s["lo"]))
 
 
 def lex_less(keys, values, schema: T.StructType) -> Column:
     """Row key < given literal key, ascending with nulls first."""
-    acc = F.lit(False)
-    for k, v in reversed(list(zip(keys, values))):
-        c = F.col(k)
-        if v is None:
-            lt, eq = F.lit(False), c.isNull()
-        else:
-            lit = F.lit(v).cast(schema[k].dataType)
-            lt, eq = c.isNull() | (c < lit), F.coalesce(c == lit, F.lit(False))
-        acc = lt | (eq & acc)
-    return acc
+    return _key(keys) < _literal_key(values, [schema[k].dataType for k in keys])
 
 
 def lex_equal(keys, values, schema: T.StructType) -> Column:
@@ -94,66 +107,34 @@ def lex_equal(keys, values, schema: T.StructType) -> Column:
     return out
 
 
-def _last_keys(df: DataFrame, keys, n: int, num_buckets: int | None):
-    """The last ``n + 1`` keys of the total order, and the filter that
-    holds them. On a frame from ``range_buckets`` over the same keys the
-    probe reads only the highest buckets (bucket pruning on ``_bucket IN
-    (...)``), widening the range only when they hold too few rows; buckets
-    are ordered and a key never straddles two of them."""
-    desc = [F.col(k).desc_nulls_last() for k in keys]
-    if BUCKET not in df.columns or not num_buckets:
-        return df.select(*keys).orderBy(*desc).limit(n + 1).collect(), F.lit(True)
-    lo = num_buckets - 1
-    while True:
-        where = F.col(BUCKET).isin(list(range(lo, num_buckets))) if lo > 0 else F.lit(True)
-        top = df.filter(where).select(*keys).orderBy(*desc).limit(n + 1).collect()   # at most n+1 rows
-        if len(top) > n or lo == 0:
-            return top, where
-        lo = max(0, num_buckets - 2 * (num_buckets - lo))
-
-
-def drop_tail(df: DataFrame, n: int, order, tie=None, num_buckets: int | None = None) -> DataFrame:
+def drop_tail(df: DataFrame, n: int, order, tie=None) -> DataFrame:
     """Remove the last ``n`` rows of the total order when the table has
     more than ``n`` rows (published rule), otherwise keep everything.
 
-    The last ``n + 1`` keys come from a bounded top-n (over the last
-    buckets only when ``df`` comes from ``range_buckets`` with
-    ``num_buckets`` on the same keys); the rows to drop are removed by a
-    left-anti join with those (at most n) keys, broadcast.
+    The order is (order, tie, every other orderable column). A bounded
+    top-n finds the key of the ``n``-th last row; rows before it stay, by a
+    filter with literals. Rows that share that key are equal in every
+    orderable column; as many copies of them stay as are not in the tail.
     """
-    keys = total_order(df, order, tie)
-    top, where = _last_keys(df, keys, n, num_buckets)
+    keys = total_order(df, total_order(df, order, tie or ()), None)
+    desc = [F.col(k).desc_nulls_last() for k in keys]
+    top = [tuple(r) for r in df.select(*keys).orderBy(*desc).limit(n + 1).collect()]     # at most n + 1 rows
     if len(top) <= n:
         return df
-    boundary = list(top[n - 1])
-    spark = df.sparkSession
-    key_schema = T.StructType([df.schema[k] for k in keys])
-    tail = spark.createDataFrame([tuple(r) for r in top[:n]], key_schema).distinct()
-    tail = tail.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)])
-    cond = [F.col(k).eqNullSafe(F.col(f"_t{i}")) for i, k in enumerate(keys)]
-    kept = df.join(F.broadcast(tail), cond, "left_anti")
-    if list(top[n]) != boundary:
-        return kept
-    # The boundary key has more copies than the tail takes: keep the rest
-    # of the copies. With the default tie-break they are identical rows.
-    in_tail = sum(1 for r in top[:n] if list(r) == boundary)
-    equal = df.filter(where & lex_equal(keys, boundary, df.schema))
-    extra = equal.count() - in_tail
-    one = equal.limit(1).collect()[0]
-    copies = spark.range(extra).select(
-        *[F.lit(one[f.name]).cast(f.dataType).alias(f.name) for f in df.schema.fields])
-    return kept.unionByName(copies)
-
-
-def forward_fill(df: DataFrame, cols, order, tie=None, num_buckets: int | None = None,
-                 keep_bucket: bool = False) -> DataFrame:
+    edge = top[n - 1]
+    before = df.filter(lex_less(keys, edge, df.schema))
+    if top[n] != edge:
+        return before
+    equal = df.filter(lex_equal(keys, edge, df.schema))
+    spare = equal.count() - sum(r == edge for r in top[:n])
+    return before.unionByName(equal.limit(spare))
+
+
+def forward_fill(df: DataFrame, cols, order, tie=None, num_buckets: int | None = None) -> DataFrame:
     """D3: each listed column takes the last non-null value from the start
-    of the total order up to the current row (leading nulls stay null).
-    A frame that already carries ``_bucket`` (from ``range_buckets`` on the
-    same order) is used as is; ``keep_bucket`` keeps that column so later
-    steps can use the bucketed partitioning."""
+    of the total order up to the current row (leading nulls stay null)."""
     keys = total_order(df, order, tie)
-    x = df if BUCKET in df.columns else range_buckets(df, keys, num_buckets)
+    x = range_buckets(df, keys, num_buckets)
     okey = F.struct(*[F.col(k) for k in keys])
     per_bucket = x.groupBy(BUCKET).agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"_last_{c}") for c in cols])
@@ -164,7 +145,33 @@ def forward_fill(df: DataFrame, cols, order, tie=None, num_buckets: int | None =
          .rowsBetween(Window.unboundedPreceding, 0))
     out = x.join(F.broadcast(carry), BUCKET).withColumns(
         {c: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_carry_{c}")) for c in cols})
-    return out.select(*[c for c in df.columns if c != BUCKET], *([BUCKET] if keep_bucket else []))
+    return out.select(*df.columns)
+
+
+def _edge_sums(x: DataFrame, group, sums: dict[str, Column]) -> DataFrame:
+    """Per (group, bucket) at the ends of buckets: sums of the group in
+    earlier buckets (``_before_*``) and in all (``_total_*``).
+
+    Only the first group of a bucket can have rows in earlier buckets and
+    only its last group can continue in later ones, so at most two rows per
+    bucket are kept; group columns are renamed ``_g<i>``, the bucket ``_gb``."""
+    per = x.groupBy(BUCKET, *group).agg(*[c.alias(f"_s_{n}") for n, c in sums.items()])
+    if group:
+        here = Window.partitionBy(BUCKET)
+        up, down = ([f(F.col(g)) for g in group] for f in (lambda c: c.asc_nulls_first(), lambda c: c.desc_nulls_last()))
+        per = (per.withColumn("_a", F.row_number().over(here.orderBy(*up)))
+               .withColumn("_z", F.row_number().over(here.orderBy(*down))).filter("_a = 1 OR _z = 1"))
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    return per.select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(BUCKET).alias("_gb"),
+        *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in sums],
+        *[F.sum(f"_s_{n}").over(whole).alias(f"_total_{n}") for n in sums])
+
+
+def _with_edges(x: DataFrame, edges: DataFrame, group) -> DataFrame:
+    cond = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)] + [F.col(BUCKET) == F.col("_gb")]
+    return x.join(F.broadcast(edges), cond, "left")
 
 
 def with_rank(df: DataFrame, order, group=(), tie=None, num_buckets: int | None = None,
@@ -173,48 +180,34 @@ def with_rank(df: DataFrame, order, group=(), tie=None, num_buckets: int | None
     and ``count(*) OVER (PARTITION BY group)`` without putting a whole
     group (or the whole table) into one task.
 
-    Rows are range-partitioned on (group, order, tie); a hot group spans
-    several buckets. Inside a bucket the row number and the group's count
-    come from windows over the bucketed layout (no shuffle). Only the
-    first group of a bucket can have rows in earlier buckets and only its
-    last group can continue in later ones, so the offsets and total sizes
-    of groups that cross a bucket boundary come from a table of at most
-    two rows per bucket, broadcast (its size is bounded by the bucket
-    count), and every other group needs nothing from other buckets.
+    Buckets cut (group, order, tie), so a hot group spans several of them.
+    Inside a bucket the row number and the group's count come from windows;
+    groups that cross a bucket boundary get their offsets and total sizes
+    from a broadcast table of at most two rows per bucket.
     """
     group = list(group)
     keys = total_order(df, group + list(order), tie)
     x = range_buckets(df, keys, num_buckets)
-    w = Window.partitionBy(*group, BUCKET).orderBy(*[F.col(k).asc_nulls_first() for k in keys])
-    if not group:
-        counts = x.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-        counts = counts.select(
-            BUCKET,
-            F.coalesce(F.sum("_n").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
-                       F.lit(0)).alias("_offset"),
-            F.sum("_n").over(Window.partitionBy()).alias("_size"))
-        joined = x.join(F.broadcast(counts), BUCKET)
-        cols = {rank_col: F.row_number().over(w) + F.col("_offset")}
-        if size_col:
-            cols[size_col] = F.col("_size")
-        return joined.withColumns(cols).select(*df.columns, *cols.keys())
-
-    gs = [F.col(g).asc_nulls_first() for g in group]
-    per = x.groupBy(BUCKET, *group).agg(F.count(F.lit(1)).alias("_n"))          # co-located: no shuffle
-    by_bucket = Window.partitionBy(BUCKET)
-    edge = (per.withColumn("_a", F.row_number().over(by_bucket.orderBy(*gs)))
-            .withColumn("_z", F.row_number().over(by_bucket.orderBy(*[F.col(g).desc_nulls_last() for g in group])))
-            .filter((F.col("_a") == 1) | (F.col("_z") == 1)))                   # <= 2 rows per bucket
-    gw = Window.partitionBy(*group)
-    edge = edge.select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(BUCKET).alias("_gb"),
-        F.coalesce(F.sum("_n").over(gw.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_offset"),
-        F.sum("_n").over(gw).alias("_size"))
-    cond = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)] + [F.col(BUCKET) == F.col("_gb")]
-    joined = x.join(F.broadcast(edge), cond, "left")
+    edges = _edge_sums(x, group, {"n": F.count(F.lit(1))})
+    joined = _with_edges(x, edges, group)
     in_bucket = Window.partitionBy(*group, BUCKET)
-    cols = {rank_col: F.row_number().over(w) + F.coalesce(F.col("_offset"), F.lit(0))}
+    w = in_bucket.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    cols = {rank_col: F.row_number().over(w) + F.coalesce(F.col("_before_n"), F.lit(0))}
     if size_col:
-        cols[size_col] = F.coalesce(F.col("_size"), F.count(F.lit(1)).over(in_bucket))
+        cols[size_col] = F.coalesce(F.col("_total_n"), F.count(F.lit(1)).over(in_bucket))
     return joined.withColumns(cols).select(*df.columns, *cols.keys())
+
+
+def running_sums(df: DataFrame, order: str, cols, num_buckets: int | None = None, group=()) -> DataFrame:
+    """``cum_<c>`` = sum of ``c`` over the rows of the same group with
+    ``order`` <= this row's (order values unique inside a group) and
+    ``total_<c>`` = its sum over the group, bucket-wise."""
+    group = list(group)
+    x = range_buckets(df, group + [order], num_buckets)
+    out = _with_edges(x, _edge_sums(x, group, {c: F.sum(c) for c in cols}), group)
+    here = Window.partitionBy(*group, BUCKET)
+    upto = here.orderBy(F.col(order).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    return out.select(
+        *df.columns,
+        *[(F.sum(c).over(upto) + F.coalesce(F.col(f"_before_{c}"), F.lit(0))).alias(f"cum_{c}") for c in cols],
+        *[F.coalesce(F.col(f"_total_{c}"), F.sum(c).over(here)).alias(f"total_{c}") for c in cols])

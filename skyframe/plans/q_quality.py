@@ -16,12 +16,20 @@ NUM = ["dep_delay", "arr_delay", "distance", "temp", "humid", "wind_dir", "wind_
 CAT = ["airline", "route", "origin"]
 PERIODS = """
 , base AS (SELECT * FROM v_flights WHERE year <= 1998),
-cur AS (SELECT * FROM v_flights WHERE year >= 1999)"""
+cur AS (SELECT * REPLACE (temp + 0.5 AS temp, distance * 1.3 AS distance,
+    CASE WHEN l_orderkey % 7 = 0 THEN humid - 100 ELSE humid END AS humid,
+    CASE WHEN l_orderkey % 10 = 0 THEN 'ATLANTIS' ELSE origin END AS origin) FROM v_flights WHERE year >= 1999)"""
 
 
 def periods(spark, sf_dir):
+    """Flights up to 1998, and later ones with a shifted type (temp), scale
+    (distance), sign (humid) and an origin the baseline does not know."""
     df = raw(spark, sf_dir)
-    return df.filter(F.col("year") <= 1998), df.filter(F.col("year") >= 1999)
+    cur = df.filter(F.col("year") >= 1999).withColumns({
+        "temp": F.col("temp") + 0.5, "distance": F.col("distance") * 1.3,
+        "humid": F.when(F.col("l_orderkey") % 7 == 0, F.col("humid") - 100).otherwise(F.col("humid")),
+        "origin": F.when(F.col("l_orderkey") % 10 == 0, "ATLANTIS").otherwise(F.col("origin"))})
+    return df.filter(F.col("year") <= 1998), cur
 
 
 def _profile_sql(src, cols_num, cols_cat):
@@ -151,10 +159,8 @@ def q_monitor_report(spark, sf_dir):
 
 @query("alert_routing", with_flights(REPORT_SQL + """
 SELECT count(*) AS issues,
-       count(*) FILTER (WHERE constraint_check_type IN ('data_type_check', 'completeness_check', 'non_negative_check')
-                        OR feature_name LIKE '%null%') AS data_quality,
-       count(*) FILTER (WHERE NOT (constraint_check_type IN ('data_type_check', 'completeness_check', 'non_negative_check')
-                        OR feature_name LIKE '%null%')) AS drift,
+       count(*) FILTER (WHERE constraint_check_type LIKE '%data_type_check%' OR constraint_check_type LIKE '%null%') AS data_quality,
+       count(*) FILTER (WHERE constraint_check_type LIKE '%baseline_drift_check%') AS drift,
        CASE WHEN count(*) <= 0 THEN 'CLEAR' WHEN count(*) <= 2 THEN 'INFO' WHEN count(*) <= 5 THEN 'WARNING'
             ELSE 'CRITICAL' END AS severity FROM rep"""))
 def q_alert_routing(spark, sf_dir):

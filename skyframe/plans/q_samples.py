@@ -8,7 +8,6 @@ from skyframe.functions.columns import normalise_name
 from skyframe.operators import features as FE
 from skyframe.operators import relational as R
 from skyframe.operators import sampling as S
-from skyframe.plans import ordered
 from skyframe.plans.flights import ROW_KEYS
 from skyframe.plans.output import present
 from skyframe.plans.q_flights import cleaned, raw
@@ -54,12 +53,16 @@ r2 AS (SELECT airline_key, {KEYS}, row_number() OVER (PARTITION BY airline_key O
 m AS (SELECT * FROM (VALUES {_MULT_SQL}) t(mk, mult)),
 c AS (SELECT r2.*, mult, greatest(1, least(CAST(floor(n * mult) AS BIGINT), CAST(n * 2.0 AS BIGINT))) AS new_n
       FROM r2 LEFT JOIN m ON airline_key = mk),
-d AS (SELECT *, CASE WHEN mult IS NULL THEN 1
-                     WHEN new_n >= n THEN 1 + CASE WHEN rr <= new_n - n THEN 1 ELSE 0 END
-                     ELSE CASE WHEN rr <= new_n THEN 1 ELSE 0 END END AS copies FROM c)
+x AS (SELECT airline_key, 1 + CAST('0x' || substr(md5(concat_ws('|', '{SEED}', airline_key, j)), 1, 12) AS BIGINT) % n AS rr
+      FROM (SELECT airline_key, n, unnest(generate_series(1, new_n - n)) AS j
+            FROM (SELECT DISTINCT airline_key, n, new_n FROM c WHERE new_n > n) g) y),
+dr AS (SELECT airline_key, rr, count(*) AS drawn FROM x GROUP BY ALL),
+d AS (SELECT c.*, CASE WHEN mult IS NULL THEN 1 WHEN new_n >= n THEN 1 + coalesce(drawn, 0)
+                       ELSE CASE WHEN c.rr <= new_n THEN 1 ELSE 0 END END AS copies
+      FROM c LEFT JOIN dr ON c.airline_key = dr.airline_key AND c.rr = dr.rr)
 SELECT airline_key, {KEYS}, CAST(unnest(generate_series(1, copies)) AS BIGINT) AS copy FROM d WHERE copies > 0"""))
 def q_resample(spark, sf_dir):
-    """H3: airline mix drift by per-group multipliers (cap 2x)."""
+    """H3: airline mix drift by per-group multipliers (cap 2x), up-sampled with replacement."""
     df = raw(spark, sf_dir).select(normalise_name("airline").alias("airline_key"), *ROW_KEYS)
     out = S.resample_groups(df, "airline_key", MULTIPLIERS, ROW_KEYS, SEED)
     return out.withColumn("copy", F.col("copy").cast("long"))
@@ -104,8 +107,7 @@ def q_kfold(spark, sf_dir):
 SELECT {KEYS}, row_number() OVER (ORDER BY h, {KEYS}) AS position FROM s"""))
 def q_shuffle(spark, sf_dir):
     """The seeded file order, as an exact distributed position."""
-    df = raw(spark, sf_dir).select(*ROW_KEYS).withColumn(S.HASH, S.seeded_hash(ROW_KEYS, SEED))
-    return ordered.with_rank(df, [S.HASH], tie=ROW_KEYS, rank_col="position", size_col=None).drop(S.HASH)
+    return S.hash_rank(raw(spark, sf_dir).select(*ROW_KEYS), ROW_KEYS, SEED, rank="position", size=None)
 
 
 _LEVELS = sorted(f"nation_air_{k}_inc" for k in range(25))[1:]
@@ -177,13 +179,13 @@ def q_latest_users(spark, sf_dir):
 
 @query("new_user_events", """
 SELECT event_id, user_id, event_type FROM events e
-WHERE ts >= TIMESTAMP '2024-01-16' AND NOT EXISTS (
-  SELECT 1 FROM events p WHERE p.ts < TIMESTAMP '2024-01-16' AND p.user_id = e.user_id)""")
+WHERE ts >= TIMESTAMP '2024-01-02' AND NOT EXISTS (
+  SELECT 1 FROM events p WHERE p.ts < TIMESTAMP '2024-01-02' AND p.user_id = e.user_id)""")
 def q_new_user_events(spark, sf_dir):
-    """Later events of ids never seen in the first half (anti join)."""
+    """Later events of ids never seen on the first day (anti join)."""
     ensure_session_conf(spark)
     ev = table(spark, sf_dir, "events")
-    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    cut = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
     return R.duplicate_guard(ev.filter(F.col("ts") >= cut), ev.filter(F.col("ts") < cut), "user_id").select(
         "event_id", "user_id", "event_type")
 

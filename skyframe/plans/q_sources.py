@@ -26,7 +26,7 @@ WHERE dep_delay IS NOT NULL GROUP BY airline"""))
 def q_lake(spark, sf_dir):
     """A6 partitioned lake write + A7 catalog table + A8 SQL database view."""
     path = scratch_path(spark, "lake")
-    A.write_lake(raw(spark, sf_dir), path, by=("year", "month"))
+    A.write_lake(raw(spark, sf_dir), path, by=("year", "month", "day"))
     A.register_table(spark, path, "flight_events")
     A.register_database(spark, "flightdb", {"flight_events": "flight_events"})
     return present(spark.sql("""SELECT airline, avg(dep_delay) AS avg_dep_delay, count(*) AS flights
@@ -61,7 +61,8 @@ def q_concat(spark, sf_dir):
         F.concat_ws("", F.collect_list(F.to_json(F.struct(*df.columns)))).alias("value"))
     path = scratch_path(spark, "concat")
     lines.select("value").write.text(path)
-    return _agg(A.read_concatenated_json(spark, path, df.schema))
+    good, _ = A.read_concatenated_json(spark, path, df.schema)
+    return _agg(good)
 
 
 @query("quarantine_split", with_flights("""
@@ -110,22 +111,29 @@ def q_capture(spark, sf_dir):
     predictions dropped) + C38 prediction range."""
     feats = FE.serving_features(cleaned(spark, sf_dir), passthrough=["dep_delay", "l_linenumber"])
     path = scratch_path(spark, "capture")
-    CP.write_capture(feats, path)
+    # line 7 of an order is logged with a feature missing, line 6 with a non-numeric prediction
+    line = F.col("l_linenumber")
+    text = F.format_string("%.2f", F.col("dep_delay"))
+    CP.write_capture(feats, path, FE.MODEL_INPUTS, F.when(line == 6, F.lit("n/a")).otherwise(text),
+                     F.when(line == 7, len(FE.MODEL_INPUTS) - 1).otherwise(len(FE.MODEL_INPUTS)))
     parsed, _ = CP.parse_capture(A.read_capture(spark, path), FE.MODEL_INPUTS)
     return present(CP.prediction_range(A.read_capture(spark, path), parsed, len(FE.MODEL_INPUTS)))
 
 
 @query("attribute_map_decode", with_flights("""
 SELECT count(*) AS rows, count(dep_delay) AS with_delay, round(sum(dep_delay), 6) AS delay_sum,
-       count(DISTINCT airline) AS airlines, CAST(sum(flight) AS BIGINT) AS flight_sum FROM v_flights"""))
+       count(DISTINCT airline) AS airlines, CAST(sum(flight) AS BIGINT) AS flight_sum,
+       CAST(sum(hour) AS BIGINT) AS hour_sum, count(DISTINCT dest) AS stops FROM v_flights"""))
 def q_attr(spark, sf_dir):
-    """Typed attribute maps (S / N / NULL) decoded to typed columns."""
-    df = raw(spark, sf_dir).select("airline", "route", "dep_delay", "flight")
+    """Typed attribute maps (S / N / NULL, nested M and L) decoded to typed columns."""
+    df = raw(spark, sf_dir).select("airline", "route", "dep_delay", "flight", F.struct("hour", "minute").alias("clock"),
+                                   F.array("origin", "dest").alias("stops"))
     enc = df.select(A.encode_attribute_map(df, df.columns).alias("item"))
     dec = enc.select(A.decode_attribute_map("item", df.schema).alias("r")).select("r.*")
     return present(dec.agg(F.count(F.lit(1)).alias("rows"), F.count("dep_delay").alias("with_delay"),
                            F.sum("dep_delay").alias("delay_sum"), F.countDistinct("airline").alias("airlines"),
-                           F.sum("flight").alias("flight_sum")))
+                           F.sum("flight").alias("flight_sum"), F.sum("clock.hour").alias("hour_sum"),
+                           F.countDistinct(F.get("stops", 1)).alias("stops")))
 
 
 @query("source_fallback", with_flights("""
@@ -195,12 +203,12 @@ def q_contract(spark, sf_dir):
 SELECT year, month, count(*) AS rows, round(sum(dep_delay), 6) AS delay_sum FROM clean_flights
 GROUP BY year, month""", clean=True))
 def q_predictions(spark, sf_dir):
-    """Prediction JSON lines in year=/month= folders, partition columns
-    recovered from the folder names."""
-    df = cleaned(spark, sf_dir).select("year", "month", *ROW_KEYS, "dep_delay")
+    """Prediction JSON lines in year=/month=/day= folders, partition
+    columns recovered from the folder names."""
+    df = cleaned(spark, sf_dir).select("year", "month", "day", *ROW_KEYS, "dep_delay")
     path = scratch_path(spark, "predictions")
-    df.write.partitionBy("year", "month").json(path)
-    schema = T.StructType([df.schema[c] for c in [*ROW_KEYS, "dep_delay", "year", "month"]])
+    df.repartitionByRange("year", "month", "day").write.partitionBy("year", "month", "day").json(path)
+    schema = T.StructType([df.schema[c] for c in [*ROW_KEYS, "dep_delay", "year", "month", "day"]])
     back = A.read_predictions(spark, path, schema)
     return present(back.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"),
                                                     F.sum("dep_delay").alias("delay_sum")))
@@ -210,13 +218,12 @@ def q_predictions(spark, sf_dir):
 SELECT count(*) AS rows, count(*) FILTER (WHERE quality = 1) AS good, 0 AS files_left FROM labels""")
 def q_consume_once(spark, sf_dir):
     """A retrain file is read once and removed after its batch."""
-    import os
     ensure_session_conf(spark)
     lab = table(spark, sf_dir, "labels")
     src, out, ck = scratch_path(spark, "once-src"), scratch_path(spark, "once-out"), scratch_path(spark, "once-ck")
     lab.write.option("header", True).csv(src)
     A.consume_once(spark, src, lab.schema, ck, lambda b, i: b.write.mode("append").parquet(out))
-    left = len([f for f in os.listdir(src.replace("file:", "")) if f.endswith(".csv")])
+    left = len(A.list_files(spark, src, ".csv"))
     got = spark.read.parquet(out)
     return got.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("quality") == 1).alias("good"),
                    F.lit(left).alias("files_left"))

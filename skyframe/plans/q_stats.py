@@ -9,26 +9,28 @@ from skyframe.functions import columns as C
 from skyframe.operators import named_queries as NQ
 from skyframe.operators import stats
 from skyframe.plans.output import present
+from skyframe.plans.flights import materialise
 from skyframe.plans.q_flights import cleaned, raw
 from skyframe.plans.registry import query, with_flights
 
-# Whole-range session window used by the registered menu queries.
-WINDOW = (1, 4102444800)
+# Session window of the registered menu queries: a part of the flights' time range.
+WINDOW = (800000000, 900000000)
 NUMERIC = ["dep_delay", "arr_delay", "distance", "air_time", "temp", "dewp", "humid",
            "wind_speed", "wind_gust", "pressure", "precip", "visib"]
 
 
 def live(spark, sf_dir):
     """Raw flights as live events: epoch ``timestamp`` of the scheduled
-    departure and the constant partition key ``data_type``."""
-    df = raw(spark, sf_dir)
+    departure and the constant partition key ``data_type``. The stamp is
+    stored, in files by stamp ranges, so a window's bounds reach the scan."""
     ts = (F.unix_date(C.make_date_col()).cast("long") * 86400 + F.col("hour") * 3600 + F.col("minute") * 60)
-    return df.withColumns({"timestamp": ts, "data_type": F.lit("FLIGHTS")})
+    return materialise(spark, f"live{sf_dir}", lambda: raw(spark, sf_dir).withColumns(
+        {"timestamp": ts, "data_type": F.lit("FLIGHTS")}).repartitionByRange("timestamp"))
 
 
 LIVE_CTE = """live AS (SELECT *, CAST(date_diff('day', DATE '1970-01-01', make_date(year, month, day)) AS BIGINT) * 86400
                       + hour * 3600 + minute * 60 AS timestamp, 'FLIGHTS' AS data_type FROM v_flights),
-win AS (SELECT * FROM live WHERE timestamp BETWEEN 1 AND 4102444800 AND dep_delay IS NOT NULL)"""
+win AS (SELECT * FROM live WHERE timestamp BETWEEN 800000000 AND 900000000 AND dep_delay IS NOT NULL)"""
 
 
 def windowed(spark, sf_dir):
@@ -138,7 +140,7 @@ SELECT * FROM (
   UNION ALL SELECT 'flights_by_airline', row_number() OVER (ORDER BY n DESC, airline),
                    '- ' || airline || ': ' || format('{{:,}}', n) || ' flights'
             FROM (SELECT airline, count(*) AS n FROM win GROUP BY airline) a
-  UNION ALL SELECT 'avg_delay_by_airline', 0, CASE WHEN count(*) = 0 THEN 'No data found for airline ''{AIRLINE}''.'
+  UNION ALL SELECT 'avg_delay_by_airline', 0, CASE WHEN count(*) = 0 THEN '❌ No data found for airline ''{AIRLINE}''.'
                    ELSE '{AIRLINE} has an average departure delay of '
                    || printf('%.2f', avg(dep_delay)) || ' minutes (' || format('{{:,}}', count(*)) || ' flights).' END
             FROM win WHERE lower(airline) = lower('{AIRLINE}')
@@ -156,30 +158,35 @@ SELECT * FROM (
                    || format('{{:,}}', count(*)) || ' flights.' FROM win GROUP BY route ORDER BY count(*) DESC, route LIMIT 1)
   UNION ALL SELECT * FROM (SELECT 'min_flights_route', 0, 'The route with the least flights is ' || route || ' with '
                    || format('{{:,}}', count(*)) || ' flights.' FROM win GROUP BY route ORDER BY count(*) ASC, route LIMIT 1)
-  UNION ALL SELECT 'weather_by_route', 0, CASE WHEN count(*) = 0 THEN 'No data found for route ''{ROUTE}''.'
+  UNION ALL SELECT 'weather_by_route', 0, CASE WHEN count(*) = 0 THEN '❌ No data found for route ''{ROUTE}''.'
                    ELSE 'For route {ROUTE}, the average temperature is ' || printf('%.1f', avg(temp))
                    || '°F, wind speed is ' || printf('%.2f', avg(wind_speed)) || ' mph, and pressure is '
                    || printf('%.1f', avg(pressure)) || ' hPa.' END FROM win WHERE upper(route) = upper('{ROUTE}')
-  UNION ALL SELECT 'distance_by_route', 0, CASE WHEN count(*) = 0 THEN 'No data found for route ''{ROUTE}''.'
+  UNION ALL SELECT 'distance_by_route', 0, CASE WHEN count(*) = 0 THEN '❌ No data found for route ''{ROUTE}''.'
                    ELSE 'The average distance for route {ROUTE} is ' || printf('%.1f', avg(distance))
                    || ' miles.' END FROM win WHERE upper(route) = upper('{ROUTE}')
-  UNION ALL SELECT 'not_a_query', 0, 'Error: Unsupported query type ''not_a_query''. Please use a valid query_type.'
+  UNION ALL SELECT 'not_a_query', 0, '❌ Error: Unsupported query type ''not_a_query''. Please use a valid query_type.'
   UNION ALL SELECT 'missing_airline', 0,
-                   'Error: ''airline'' parameter is required. Example: ''alaska_airlines_inc'', ''horizon_air'''
+                   '❌ Error: ''airline'' parameter is required. Example: ''alaska_airlines_inc'', ''horizon_air'''
+  UNION ALL SELECT 'empty_window', 0, 'No flight data available in your session yet. Please wait for flights to arrive and be processed by the prediction system.'
 ) t""")
 
 
 @query("named_query_answers", _ANSWERS_SQL)
 def q_named_answers(spark, sf_dir):
     """C13 + B28: every menu entry (plus a bad type and a missing
-    parameter) answered as text over the whole-range window."""
+    parameter) answered as text over the window."""
     df = live(spark, sf_dir)
+    empty = NQ.in_session_window(df, *WINDOW).isEmpty()
     parts = []
     for qt in NQ.QUERY_TYPES + ["not_a_query"]:
-        a = NQ.run_named_query(df, qt, *WINDOW, airline=AIRLINE, route=ROUTE)
+        a = NQ.run_named_query(df, qt, *WINDOW, airline=AIRLINE, route=ROUTE, empty=empty)
         parts.append(a.select(F.lit(qt).alias("query_type"), "line", "answer"))
-    parts.append(NQ.run_named_query(df, "avg_delay_by_airline", *WINDOW)
+    parts.append(NQ.run_named_query(df, "avg_delay_by_airline", *WINDOW, empty=empty)
                  .select(F.lit("missing_airline").alias("query_type"), "line", "answer"))
+    # before the first flight: the empty window is answered whatever is asked
+    parts.append(NQ.run_named_query(df, "avg_delay_by_airline", 1, 1000)
+                 .select(F.lit("empty_window").alias("query_type"), "line", "answer"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

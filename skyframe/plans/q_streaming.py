@@ -23,11 +23,14 @@ def events(spark, sf_dir):
 SELECT CAST(time_bucket(INTERVAL 1 minute, ts) AS VARCHAR) AS window_start, count(*) AS events,
        round(sum(value), 6) AS value_sum, round(avg(value), 6) AS value_avg, round(max(value), 6) AS value_max,
        CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors,
-       round(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) * 100.0 / count(*), 6) AS error_pct
+       round(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) * 100.0 / count(*), 6) AS error_pct,
+       round((sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) + max(value)) / sum(value), 6) AS load_ratio
 FROM events GROUP BY 1""")
 def q_metric_windows(spark, sf_dir):
-    """M8 + M9: one-minute tumbling metrics and the error ratio."""
-    return present(L.metric_windows(events(spark, sf_dir), every="1 minute"))
+    """M8 + M9: one-minute tumbling metrics, the error ratio m1 / m2 and a
+    ratio (m1 + m2) / m3."""
+    m = L.metric_windows(events(spark, sf_dir), every="1 minute")
+    return present(L.metric_ratio(m, ["errors", "value_max"], "value_sum", "load_ratio", 1.0))
 
 
 _W5 = """WITH m AS (SELECT time_bucket(INTERVAL 5 minute, ts) AS ws, count(*) AS events,
@@ -83,15 +86,15 @@ f(gate, rn, t, ws, cnt, ok) AS (
   SELECT gate, rn, t, t, 1, true FROM r WHERE rn = 1
   UNION ALL
   SELECT r.gate, r.rn, r.t,
-         CASE WHEN r.t >= f.ws + 3600 THEN r.t ELSE f.ws END,
-         CASE WHEN r.t >= f.ws + 3600 THEN 1 WHEN f.cnt < 20 THEN f.cnt + 1 ELSE f.cnt END,
-         CASE WHEN r.t >= f.ws + 3600 THEN true ELSE f.cnt < 20 END
+         CASE WHEN r.t >= f.ws + 86400 THEN r.t ELSE f.ws END,
+         CASE WHEN r.t >= f.ws + 86400 THEN 1 WHEN f.cnt < 20 THEN f.cnt + 1 ELSE f.cnt END,
+         CASE WHEN r.t >= f.ws + 86400 THEN true ELSE f.cnt < 20 END
   FROM f JOIN r ON r.gate = f.gate AND r.rn = f.rn + 1)
 SELECT gate, count(*) FILTER (WHERE ok) AS accepted, count(*) FILTER (WHERE NOT ok) AS refused FROM f GROUP BY gate""")
 def q_rate_limit_burst(spark, sf_dir):
-    """M11 where the limit bites: 20 requests per hour for three gateways."""
+    """M11 where the limit bites: 20 requests per day for three gateways."""
     ev = events(spark, sf_dir).select((F.col("user_id") % 3).alias("gate"), "ts", "event_id")
-    r = L.rate_limit(ev, "gate", "ts", 20, 3600, "event_id")
+    r = L.rate_limit(ev, "gate", "ts", 20, 86400, "event_id")
     return r.groupBy("gate").agg(F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("refused"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skyframe.operators import features as FE
 from skyframe.operators import models as M
+from skyframe.operators import relational as R
 from skyframe.operators import sampling as S
 from skyframe.operators import text as TX
 from skyframe.plans.flights import ROW_KEYS
@@ -24,21 +25,40 @@ def convs(spark, sf_dir):
 @query("flatten_history", """
 SELECT conv_id, turn, role, text, position FROM (
   SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS position
-  FROM conversations WHERE length(trim(text)) > 0) t WHERE position <= 100""")
+  FROM conversations WHERE length(text) > 0) t""")
 def q_flatten(spark, sf_dir):
-    """N1 + D9: non-blank messages sorted by time, at most 100 per session."""
-    return TX.flatten_history(convs(spark, sf_dir))
+    """N1 + D9: messages with text in time order."""
+    return R.sort_by_time(TX.flatten_history(convs(spark, sf_dir)), "turn", ["conv_id", "position"])
+
+
+@query("nested_history", """
+SELECT conv_id AS session_id, conv_id || '-' || turn AS "eventId", turn AS timestamp, role, text, part
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, text) - 1 AS part FROM conversations) t
+WHERE length(text) > 0""")
+def q_nested_history(spark, sf_dir):
+    """History events with nested payloads, exploded to messages (one
+    payload in eight has no conversational part and gives none)."""
+    events = convs(spark, sf_dir).groupBy("conv_id", "turn").agg(
+        F.sort_array(F.collect_list(F.struct("role", "text"))).alias("m"))
+    blank = F.array(F.struct(F.lit(None).cast("struct<role:string,content:struct<text:string>>").alias("conversational")))
+    payload = F.transform("m", lambda x: F.struct(F.struct(
+        x["role"].alias("role"), F.struct(x["text"].alias("text")).alias("content")).alias("conversational")))
+    events = events.select(F.col("conv_id").alias("session_id"), F.concat_ws("-", "conv_id", "turn").alias("eventId"),
+                           F.col("turn").alias("eventTimestamp"),
+                           F.when(F.col("turn") % 8 == 7, F.concat(payload, blank)).otherwise(payload).alias("payload"))
+    return TX.explode_events(events)
 
 
 @query("recent_context", """
-WITH r AS (SELECT conv_id, turn, role || ': ' || text AS l,
-                  row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role, text) AS back
-           FROM conversations WHERE length(trim(text)) > 0)
+WITH r AS (SELECT conv_id, turn, lower(role) || ': ' || text AS l,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, lower(role), text) AS back
+           FROM conversations WHERE length(text) > 0)
 SELECT conv_id, string_agg(l, chr(10) ORDER BY turn, l) AS context, count(*) AS messages
-FROM r WHERE back <= 20 GROUP BY conv_id""")
+FROM r WHERE back <= 4 GROUP BY conv_id""")
 def q_recent(spark, sf_dir):
-    """The last 20 messages per session as ``role: text`` lines."""
-    return TX.recent_context(convs(spark, sf_dir))
+    """The last 4 messages per session (sessions have up to 8) as
+    ``role: text`` lines."""
+    return TX.recent_context(convs(spark, sf_dir), n=4)
 
 
 @query("history_counts", """
@@ -57,7 +77,7 @@ s AS (SELECT c.label AS query, x.vec_id, sum(CAST(x.v AS DOUBLE) * c.q) AS score
 SELECT query, vec_id, round(score, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS rn FROM s) t WHERE rn <= 3""")
 def q_top_passages(spark, sf_dir):
-    """Best 3 passages per query vector (queries = label centroids)."""
+    """Best 3 passages per query vector (queries = a table of label centroids)."""
     ensure_session_conf(spark)
     emb = table(spark, sf_dir, "embeddings")
     return present(TX.top_passages(emb, TX.centroids(emb), k=3))
@@ -78,9 +98,9 @@ def q_train_score(spark, sf_dir):
     split, inputs = _feature_splits(spark, sf_dir)
     params = M.parse_params({"max_depth": "2", "learning_rate": "0.09", "n_estimators": "50",
                              "colsample_bytree": "0.9"})
-    tv = split.filter(F.col("split") != "test").withColumn("is_val", F.col("split") == "validation")
-    M.train_regressor(tv, inputs, params=params, validation_col="is_val")
-    final = M.train_final(split, inputs, params)
+    first = M.train_regressor(split.filter(F.col("split") == "train"), inputs, params=params)
+    rounds = M.early_stopped_rounds(first, split.filter(F.col("split") == "validation"))
+    final = M.train_final(split, inputs, params | {"num_round": rounds})
     scored = M.score_batch(final, split.filter(F.col("split") == "test"))
     return M.quality_gate(M.rmse(scored, "dep_delay", "prediction"), "<=", 15.0)
 
@@ -120,22 +140,31 @@ def q_explain(spark, sf_dir):
     return M.global_importance(local)
 
 
-@query("scoring_stream")
+@query("scoring_stream", with_flights("""
+SELECT count(*) AS records, count(dep_delay) AS with_prediction, count(DISTINCT airline) AS airlines,
+       count(DISTINCT date_string) AS days, round(sum(distance), 6) AS distance_sum, count(wind_gust) AS with_gust
+FROM (SELECT DISTINCT ON (l_orderkey, l_linenumber, l_partkey, l_suppkey) * FROM clean_flights)""", clean=True))
 def q_scoring_stream(spark, sf_dir):
     """M1 + M2 + M3: processed flights streamed in bounded batches, serving
-    features joined with training aggregates, scored, written per batch id."""
+    features joined with training aggregates, scored, and each whole record
+    with its prediction set on the table by key; the stream is run twice
+    from the start, the second pass changes nothing."""
     from skyframe.session import scratch_path
     from skyframe.streaming import live as L
     df = cleaned(spark, sf_dir)
     train = FE.serving_features(df, passthrough=["dep_delay"])
     model = M.train_regressor(train, FE.MODEL_INPUTS, params={"num_round": 10})
-    src, out, ck = scratch_path(spark, "live-src"), scratch_path(spark, "scored"), scratch_path(spark, "score-ck")
-    df.write.parquet(src)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 4).parquet(src)
-    L.scoring_stream(stream, model, df, out, ck, ROW_KEYS).awaitTermination()
-    scored = spark.read.parquet(out)
-    return scored.agg(F.count(F.lit(1)).alias("scored"), F.count("dep_delay").alias("with_prediction"),
-                      F.countDistinct("batch_id").alias("batches"))
+    src, out = scratch_path(spark, "live-src"), scratch_path(spark, "scored")
+    live = df.withColumn("dep_delay", F.lit(None).cast("double"))
+    live.repartitionByRange(8, "date").write.parquet(src)
+    for _ in range(2):
+        stream = spark.readStream.schema(live.schema).option("maxFilesPerTrigger", 4).parquet(src)
+        L.scoring_stream(stream, model, df, out, scratch_path(spark, "score-ck"), ROW_KEYS, part="year").awaitTermination()
+    scored = spark.read.schema(live.schema).parquet(out)
+    return present(scored.agg(
+        F.count(F.lit(1)).alias("records"), F.count("dep_delay").alias("with_prediction"),
+        F.countDistinct("airline").alias("airlines"), F.countDistinct("date_string").alias("days"),
+        F.sum("distance").alias("distance_sum"), F.count("wind_gust").alias("with_gust")))
 
 
 @query("cross_validate")

@@ -54,13 +54,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator of the cluster and points at
-    shared storage; we only read it. When it is unset (local runs, tests)
-    we create a fresh folder once and register it as the checkpoint dir.
+    shared storage; we only read it, and refuse to go on without it: a
+    folder of this machine would not be seen by the executors. On a local
+    master (tests) a fresh folder is created once and registered.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
         or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="skyframe-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
@@ -74,4 +77,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     if root.startswith("file:"):
         root = root[len("file:"):]
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every scratch folder handed out so far (results read from
+    them must be consumed or written elsewhere first); the number deleted.
+    Long sessions call it between jobs; a cluster's checkpoint folder is
+    otherwise cleaned with the application."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone

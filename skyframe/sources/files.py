@@ -40,13 +40,23 @@ def read_events_incremental(spark: SparkSession, path: str, schema: T.StructType
 
 
 # A3
-def read_concatenated_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Lines holding several flat JSON objects back to back (``{..}{..}``):
-    split at object boundaries, then parse each object."""
-    text = spark.read.text(path)
-    parts = F.split(F.regexp_replace(F.col("value"), r"\}\s*\{", "}\u0001{"), "\u0001")
-    objs = text.select(F.explode(parts).alias("obj")).filter(F.length(F.trim("obj")) > 0)
-    return objs.select(F.from_json("obj", schema).alias("r")).select("r.*")
+# One flat object: text in quotes may hold braces and escaped quotes.
+_OBJECT = r'\{(?:[^{}"]++|"(?:[^"\\]++|\\.)*+")*+\}'
+
+
+def split_concatenated_json(lines: DataFrame, col: str = "value") -> DataFrame:
+    """One row per flat JSON object of lines like ``{..}{..}``; what a line
+    holds besides whole objects (a cut one, say) is a row of its own."""
+    objects = F.regexp_extract_all(F.col(col), F.lit(_OBJECT), F.lit(0))
+    rest = F.trim(F.regexp_replace(F.col(col), _OBJECT, " "))
+    parts = F.concat(objects, F.when(F.length(rest) > 0, F.array(rest)).otherwise(F.array().cast("array<string>")))
+    return lines.select(F.explode(parts).alias(col))
+
+
+def read_concatenated_json(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(parsed objects, text that is not one) of lines holding several flat
+    JSON objects back to back."""
+    return quarantine(split_concatenated_json(spark.read.text(path)), schema)
 
 
 # A5 / M13
@@ -88,10 +98,8 @@ def register_table(spark: SparkSession, path: str, name: str, fmt: str = "parque
     """Catalog table over the lake folder with its partitions discovered."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source=fmt)
-    try:
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
-    except Exception:  # non-partitioned tables have nothing to recover
-        pass
     return spark.table(name)
 
 
@@ -159,36 +167,47 @@ def open_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
 
 
 # A15
-ATTR = T.StructType([T.StructField("S", T.StringType()), T.StructField("N", T.StringType()),
-                     T.StructField("NULL", T.BooleanType()), T.StructField("BOOL", T.BooleanType())])
+def _encoded(col: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        pairs = [F.concat(F.lit(f'"{f.name}":'), _encoded(col[f.name], f.dataType)) for f in kind.fields]
+        body = F.concat(F.lit('{"M":{'), F.concat_ws(",", *pairs), F.lit("}}"))
+    elif isinstance(kind, T.ArrayType):
+        items = F.transform(col, lambda x: _encoded(x, kind.elementType))
+        body = F.concat(F.lit('{"L":['), F.array_join(items, ","), F.lit("]}"))
+    elif isinstance(kind, T.BooleanType):
+        body = F.to_json(F.struct(col.alias("BOOL")))
+    else:
+        body = F.to_json(F.struct(col.cast("string").alias("N" if isinstance(kind, T.NumericType) else "S")))
+    return F.when(col.isNull(), F.lit('{"NULL":true}')).otherwise(body)
 
 
 def encode_attribute_map(df: DataFrame, cols) -> Column:
-    """Row -> typed attribute map JSON (strings S, numbers N as text, nulls NULL)."""
-    entries = []
-    for c in cols:
-        tag = "N" if isinstance(df.schema[c].dataType, T.NumericType) else "S"
-        entries.append(F.when(F.col(c).isNull(), F.lit('{"NULL":true}'))
-                       .otherwise(F.to_json(F.struct(F.col(c).cast("string").alias(tag)))))
-    pairs = [F.concat(F.lit(f'"{c}":'), e) for c, e in zip(cols, entries)]
+    """Row -> typed attribute map JSON: strings S, numbers N as text,
+    booleans BOOL, structs M, arrays L, nulls NULL."""
+    pairs = [F.concat(F.lit(f'"{c}":'), _encoded(F.col(c), df.schema[c].dataType)) for c in cols]
     return F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
 
 
+def _decoded(v: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[_decoded(F.try_variant_get(v, f"$.M['{f.name}']", "variant"), f.dataType).alias(f.name)
+                           for f in kind.fields])
+        return F.when(F.try_variant_get(v, "$.M", "variant").isNotNull(), inner)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(F.try_variant_get(v, "$.L", "array<variant>"), lambda x: _decoded(x, kind.elementType))
+    if isinstance(kind, T.BooleanType):
+        return F.try_variant_get(v, "$.BOOL", "boolean")
+    if isinstance(kind, T.NumericType):
+        return F.try_variant_get(v, "$.N", "string").try_cast(kind)
+    return F.try_variant_get(v, "$.S", "string").cast(kind)
+
+
 def decode_attribute_map(col, schema: T.StructType) -> Column:
     """Typed attribute map JSON -> struct of plain columns: S as text, N cast
-    to the target numeric type, NULL as null (flat attributes)."""
-    m = F.from_json(col if isinstance(col, Column) else F.col(col), T.MapType(T.StringType(), ATTR))
-    fields = []
-    for f in schema.fields:
-        a = m.getItem(f.name)
-        if isinstance(f.dataType, T.NumericType):
-            v = a["N"].try_cast(f.dataType)
-        elif isinstance(f.dataType, T.BooleanType):
-            v = a["BOOL"]
-        else:
-            v = a["S"]
-        fields.append(F.when(a["NULL"] == F.lit(True), F.lit(None).cast(f.dataType)).otherwise(v).alias(f.name))
-    return F.struct(*fields)
+    to the target numeric type, BOOL, nested M and L, NULL as null."""
+    item = F.parse_json(col if isinstance(col, Column) else F.col(col))
+    return F.struct(*[_decoded(F.try_variant_get(item, f"$['{f.name}']", "variant"), f.dataType).alias(f.name)
+                      for f in schema.fields])
 
 
 # A16
@@ -203,33 +222,60 @@ def _remove_files(spark: SparkSession, paths, archive_dir: str | None = None) ->
             fs.mkdirs(dest)
             fs.rename(path, jvm.org.apache.hadoop.fs.Path(dest, path.getName()))
         else:
-            fs.delete(path, False)
+            fs.delete(path, True)
+
+
+def _committed(spark: SparkSession, checkpoint: str) -> set[str]:
+    """Batch ids that the stream's checkpoint lists as committed."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in fs.listStatus(p)} if fs.exists(p) else set()
+
+
+def _remove_committed(spark: SparkSession, checkpoint: str, consumed: str, archive_dir: str | None) -> None:
+    """Remove the files of every committed batch, read from the lists that
+    the batches left under ``consumed``."""
+    if not path_exists(spark, consumed):
+        return
+    done = _committed(spark, checkpoint)
+    lists = spark.read.parquet(consumed)
+    for batch_id in [str(r[0]) for r in lists.select("batch_id").distinct().collect()]:
+        if batch_id in done:
+            names = lists.filter(F.col("batch_id") == int(batch_id)).select("file")
+            _remove_files(spark, (r[0] for r in names.toLocalIterator()), archive_dir)
+            _remove_files(spark, [f"{consumed}/batch_id={batch_id}"])
 
 
 def consume_once(spark: SparkSession, path: str, schema: T.StructType, checkpoint: str, sink,
-                 clean_source: str = "delete", archive_dir: str | None = None, fmt: str = "csv"):
+                 clean_source: str = "delete", archive_dir: str | None = None, fmt: str = "csv",
+                 max_files: int = 1000):
     """Read each file once (the stream's checkpoint remembers it) and remove
-    (or archive) it once its micro-batch has been handed to ``sink``.
-
-    The files of a batch are removed right after the sink returns, so a
-    failure before that leaves them in place for the retry; the source's
-    own ``cleanSource`` is set as well for long-running triggers."""
-    r = spark.readStream.schema(schema).option("cleanSource", clean_source)
+    (or archive) it after its micro-batch is committed.
+
+    A batch writes the list of its files next to the checkpoint before its
+    sink runs. Files are removed only for batches that the checkpoint lists
+    as committed, at the end of the run and at the start of the next one, so
+    a crash at any point leaves files of unfinished batches for the retry.
+    A batch holds at most ``max_files`` files."""
+    consumed = f"{checkpoint}-consumed"
+    archive = archive_dir if clean_source == "archive" else None
+    if clean_source in ("delete", "archive"):
+        _remove_committed(spark, checkpoint, consumed, archive)
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if fmt == "csv":
         r = r.option("header", True)
-    if archive_dir:
-        r = r.option("sourceArchiveDir", archive_dir)
 
     def handle(batch: DataFrame, batch_id: int):
-        # one name per file of this micro-batch (bounded by files per trigger)
-        files = [r[0] for r in batch.select(F.input_file_name()).distinct().collect()]
+        (batch.select(F.input_file_name().alias("file")).distinct()
+         .write.mode("overwrite").parquet(f"{consumed}/batch_id={batch_id}"))
         sink(batch, batch_id)
-        if clean_source in ("delete", "archive"):
-            _remove_files(spark, files, archive_dir if clean_source == "archive" else None)
 
     q = (r.format(fmt).load(path).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if clean_source in ("delete", "archive"):
+        _remove_committed(spark, checkpoint, consumed, archive)
     return q
 
 
@@ -248,6 +294,15 @@ def source_or_fallback(spark: SparkSession, primary: DataFrame, extra_path: str,
     return primary
 
 
+def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
+    """Names of the files directly in a folder of any Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(p) if f.isFile()]
+    return sorted(n for n in names if n.endswith(suffix) and not n.startswith((".", "_")))
+
+
 # A18
 def write_metrics(df: DataFrame, path: str) -> None:
     """A small result document (one JSON object per row, one file)."""

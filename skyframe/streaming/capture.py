@@ -6,24 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_capture(feats: DataFrame, path: str, inputs=None, prediction: str = "dep_delay") -> None:
+def write_capture(feats: DataFrame, path: str, inputs, prediction, n_inputs=None) -> None:
     """Capture files as the scoring endpoint logs them: the input vector as
-    one CSV string and the prediction as text, in year/month folders.
-    Line 7 of an order is logged with a feature missing and line 6 with a
-    non-numeric prediction, so the parser's rejects are exercised."""
-    from skyframe.operators.features import MODEL_INPUTS
-    inputs = list(inputs or MODEL_INPUTS)
-    csv = F.concat_ws(",", *[F.col(c).cast("string") for c in inputs])
-    short = F.concat_ws(",", *[F.col(c).cast("string") for c in inputs[:-1]])
-    ln = F.col("l_linenumber")
+    one CSV string and the prediction as text, in year/month/day/hour
+    folders of the scoring time (the columns ``day`` and ``hour`` of one
+    fixed month). ``n_inputs`` gives how many of the inputs were logged."""
+    csv = F.concat_ws(",", F.slice(F.array(*[F.col(c).cast("string") for c in inputs]), F.lit(1),
+                                   F.lit(len(inputs)) if n_inputs is None else n_inputs))
+    day, hour = F.col("day").cast("int"), F.col("hour").cast("int")
+    stamp = F.make_timestamp(F.lit(2024), F.lit(1), day, hour, F.lit(0), F.lit(0))
     rec = F.struct(
-        F.struct(F.struct(F.when(ln == 7, short).otherwise(csv).alias("data")).alias("endpointInput"),
-                 F.struct(F.when(ln == 6, F.lit("n/a")).otherwise(F.format_string("%.2f", F.col(prediction)))
-                          .alias("data")).alias("endpointOutput")).alias("captureData"),
-        F.struct(F.lit("2024-01-01T00:00:00Z").alias("inferenceTime"), F.expr("uuid()").alias("eventId"))
+        F.struct(F.struct(csv.alias("data")).alias("endpointInput"),
+                 F.struct(prediction.alias("data")).alias("endpointOutput")).alias("captureData"),
+        F.struct(F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("inferenceTime"), F.expr("uuid()").alias("eventId"))
         .alias("eventMetadata"))
-    out = feats.select(rec.alias("r"), F.col("year").alias("y"), F.col("month").alias("m")).select("r.*", "y", "m")
-    out.write.partitionBy("y", "m").json(path)
+    parts = [F.date_format(stamp, f).alias(c) for c, f in (("y", "yyyy"), ("m", "MM"), ("d", "dd"), ("h", "HH"))]
+    out = feats.select(rec.alias("r"), *parts).select("r.*", "y", "m", "d", "h")
+    out.repartitionByRange("y", "m", "d", "h").write.partitionBy("y", "m", "d", "h").json(path)
 
 
 # B24

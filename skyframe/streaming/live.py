@@ -34,6 +34,14 @@ def metric_windows(df: DataFrame, ts: str = "ts", every: str = "1 minute", value
                     F.try_divide(F.col("errors") * 100.0, F.col("events")).alias("error_pct")))
 
 
+# M9
+def metric_ratio(metrics: DataFrame, above, below: str, alias: str, scale: float = 100.0) -> DataFrame:
+    """``scale`` times the sum of the metrics ``above`` over ``below``:
+    m1 / m2 with one name, (m1 + m2) / m3 with two; null over zero."""
+    total = sum((F.col(c) for c in ([above] if isinstance(above, str) else above)), F.lit(0))
+    return metrics.withColumn(alias, F.try_divide(total * F.lit(scale), F.col(below)))
+
+
 # M10
 def breach_alarm(metrics: DataFrame, metric: str, op: str, threshold: float, periods: int,
                  order: str = "window_start", keys=(), num_buckets: int | None = None) -> DataFrame:
@@ -76,7 +84,7 @@ def _rate_fold(times, window_s: float, limit: int, state=None):
 
 
 def rate_limit(df: DataFrame, key: str = "user_id", ts: str = "ts", limit: int = 20, window_s: int = 60,
-               rid: str = "event_id", method: str = "chain") -> DataFrame:
+               rid: str = "event_id", method: str = "chain", starts: DataFrame | None = None) -> DataFrame:
     """Per key: a window opens at the first request and reopens at the first
     request at least ``window_s`` later; inside a window the first
     ``limit`` requests pass, later ones are refused and not counted.
@@ -88,12 +96,12 @@ def rate_limit(df: DataFrame, key: str = "user_id", ts: str = "ts", limit: int =
     small inputs)."""
     if method == "chain":
         from skyframe.streaming.ratelimit import rate_limit as chain
-        return chain(df, key, ts, rid, limit, window_s)
+        return chain(df, key, ts, rid, limit, window_s, starts=starts)
     schema = T.StructType(df.schema.fields + [T.StructField("accepted", T.BooleanType())])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([ts] + [c for c in pdf.columns if c != ts], kind="mergesort")
-        secs = pd.to_datetime(pdf[ts]).astype("int64") / 1e9
+        secs = pdf[ts].astype("datetime64[us]").astype("int64") / 1e6
         ok, _ = _rate_fold(secs.tolist(), window_s, limit)
         return pdf.assign(accepted=ok)
 
@@ -101,26 +109,32 @@ def rate_limit(df: DataFrame, key: str = "user_id", ts: str = "ts", limit: int =
 
 
 def rate_limit_stream(stream: DataFrame, key: str = "user_id", ts: str = "ts", limit: int = 20,
-                      window_s: int = 60) -> DataFrame:
+                      window_s: int = 60, ttl_s: int = 3600) -> DataFrame:
     """Streaming form: keyed state (window start, count) per key, updated by
-    each micro-batch's requests in time order (``applyInPandasWithState``)."""
+    each micro-batch's requests in time order, however they are chunked
+    (``applyInPandasWithState``; it holds one key's requests of one
+    micro-batch). A key's state is dropped ``ttl_s`` seconds after its last
+    micro-batch, when its session has expired."""
     from pyspark.sql.streaming.state import GroupStateTimeout
     out_schema = T.StructType(stream.schema.fields + [T.StructField("accepted", T.BooleanType())])
     state_schema = T.StructType([T.StructField("start", T.DoubleType()), T.StructField("count", T.LongType())])
 
     def step(k, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         prev = state.get if state.exists else None
         st = (prev[0], int(prev[1])) if prev else None
-        for pdf in pdfs:
-            pdf = pdf.sort_values([ts] + [c for c in pdf.columns if c != ts], kind="mergesort")
-            secs = pd.to_datetime(pdf[ts]).astype("int64") / 1e9
-            ok, st = _rate_fold(secs.tolist(), window_s, limit, st)
-            yield pdf.assign(accepted=ok)
-        if st is not None:
-            state.update((float(st[0]), int(st[1])))
+        pdf = pd.concat(list(pdfs))
+        pdf = pdf.sort_values([ts] + [c for c in pdf.columns if c != ts], kind="mergesort")
+        secs = pdf[ts].astype("datetime64[us]").astype("int64") / 1e6
+        ok, st = _rate_fold(secs.tolist(), window_s, limit, st)
+        state.update((float(st[0]), int(st[1])))
+        state.setTimeoutDuration(ttl_s * 1000)
+        yield pdf.assign(accepted=ok)
 
     return stream.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                      GroupStateTimeout.NoTimeout)
+                                                      GroupStateTimeout.ProcessingTimeTimeout)
 
 
 # M12
@@ -190,7 +204,9 @@ def dedupe_stream(df: DataFrame, key, ts: str = "ts", watermark: str | None = No
     key = [key] if isinstance(key, str) else list(key)
     if watermark:
         return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(key)
-    first = df.groupBy(*key).agg(F.min_by(F.struct(*df.columns), F.col(ts)).alias("_r"))
+    from skyframe.plans.ordered import total_order
+    # on equal stamps the smallest row, so a recomputation keeps the same one
+    first = df.groupBy(*key).agg(F.min_by(F.struct(*df.columns), F.struct(*total_order(df, [ts]))).alias("_r"))
     return first.select("_r.*")
 
 
@@ -213,7 +229,9 @@ def live_board(df: DataFrame, as_of_epoch: int, key: str = "id", arrived: str =
     cond = (F.col(key).eqNullSafe(F.col("_k")) & (F.col(arrived) == F.col("_a"))
             & F.col(predicted_at).eqNullSafe(F.col("_p")))
     rows = seen.join(F.broadcast(top), cond, "left_semi")
-    one = rows.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.col(arrived)).alias("_r")).select("_r.*")
+    from skyframe.plans.ordered import total_order
+    one = rows.groupBy(key).agg(F.min_by(F.struct(*df.columns), F.struct(*total_order(df, [arrived]))).alias("_r"))
+    one = one.select("_r.*")
     return one.orderBy(F.col(arrived).desc(), F.col(key)).limit(n)
 
 
@@ -223,11 +241,50 @@ def source_lag(df: DataFrame, ts: str = "ts", now=None) -> DataFrame:
     return df.agg((F.unix_timestamp(now_c) - F.unix_timestamp(F.max(ts))).alias("lag_seconds"))
 
 
+# M3
+def upsert_batch(updates: DataFrame, table_path: str, keys, cols, part: str) -> None:
+    """Set ``cols`` of a micro-batch's records on the rows of a Parquet table
+    with the same ``keys``, and add records the table does not hold.
+
+    The table is partitioned by ``part``, a column that the key decides (a
+    record's day): only the partitions of the batch are read, staged and
+    overwritten. Setting the same values again changes nothing, so a batch
+    that is replayed after a crash leaves the table as it was."""
+    from skyframe.operators.relational import upsert_by_key
+    from skyframe.session import scratch_path
+    from skyframe.sources.files import path_exists
+
+    spark = updates.sparkSession
+    stage = scratch_path(spark, "upsert")
+    updates = updates.dropDuplicates(list(keys))
+    if path_exists(spark, table_path):
+        touched = updates.select(F.col(part).alias("_part")).distinct()     # the days of one micro-batch
+        target = spark.read.schema(updates.schema).parquet(table_path)
+        old = target.join(F.broadcast(touched), F.col(part).eqNullSafe(F.col("_part")), "left_semi")
+        known = upsert_by_key(old, updates, keys, cols)
+        rest = [c for c in updates.columns if c not in (*keys, *cols)]
+        new = updates.select(*[F.col(c).alias(f"_x{i}") for i, c in enumerate(updates.columns)])
+        at = {c: F.col(f"_x{i}") for i, c in enumerate(updates.columns)}
+        joined = known.join(new, [F.col(k).eqNullSafe(at[k]) for k in keys], "left")
+        absent = F.lit(True)
+        for c in rest:
+            absent = absent & F.col(c).isNull()
+        joined.select(*[F.when(absent, at[c]).otherwise(F.col(c)).alias(c) if c in rest else F.col(c)
+                        for c in updates.columns]).write.parquet(stage)
+    else:
+        updates.write.parquet(stage)
+    staged = spark.read.schema(updates.schema).parquet(stage)
+    (staged.repartition(part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part).parquet(table_path))
+
+
 # M1 + M2 + M3 (the streaming pipeline)
 def scoring_stream(events: DataFrame, model, reference_aggs: DataFrame | None, out_path: str, checkpoint: str,
-                   keys, prediction: str = "dep_delay"):
+                   keys, prediction: str = "dep_delay", part: str = "date"):
     """Streaming features (stream-static join with training aggregates),
-    scoring, and an idempotent upsert of each micro-batch by batch id."""
+    scoring of whole records (every field is kept, the prediction is put
+    into it), and an upsert of each micro-batch into the table at
+    ``out_path`` by ``keys`` (see ``upsert_batch``)."""
     from skyframe.operators.features import group_aggregates, serving_features
     from skyframe.session import scratch_path
 
@@ -243,8 +300,12 @@ def scoring_stream(events: DataFrame, model, reference_aggs: DataFrame | None, o
 
     def per_batch(batch: DataFrame, batch_id: int):
         feats = serving_features(batch, aggregates=aggs, passthrough=list(keys))
-        scored = model.transform(feats).select(*keys, F.round("prediction", 2).alias(prediction))
-        scored.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        scored = model.transform(feats).select(
+            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.round("prediction", 2).alias("_p"))
+        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+        records = batch.join(scored.dropDuplicates([f"_k{i}" for i in range(len(keys))]), same, "left")
+        records = records.withColumn(prediction, F.col("_p")).select(*batch.columns)
+        upsert_batch(records, out_path, keys, [prediction], part)
 
     return (events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -63,7 +63,7 @@ def test_top_passages_equals_brute_force(spark):
     queries = [(q, [float(x) for x in rng.normal(size=8)]) for q in range(5)]
     queries.append((5, [float(x) for x in vecs[10].astype(np.float64)]))
     got = {}
-    for r in TX.top_passages(corpus, queries, k=3).collect():
+    for r in TX.top_passages(corpus, spark.createDataFrame(queries, "query long, q array<double>"), k=3).collect():
         got.setdefault(r["query"], []).append((r["score"], r["vec_id"]))
     for qid, q in queries:
         scores = vecs.astype(np.float64) @ np.array(q)
@@ -89,13 +89,21 @@ def test_profile_checks_equal_single_checks(spark):
     assert {r["feature"]: r["n_distinct"] for r in QY.profile(base).collect()} == {"a": 3, "b": 2, "c": 3}
 
 
-def test_bucket_keyed_dedupe_equals_global(spark):
-    rows = [(i % 7, i % 3, float(i % 5)) for i in range(200)] * 2 + [(None, 1, 0.0)] * 3
-    df = spark.createDataFrame(rows, "k int, j int, v double")
-    b = ordered.range_buckets(df, ["k", "j", "v"], 5)
-    local = b.dropDuplicates().drop(ordered.BUCKET)
-    assert "Exchange hashpartitioning(k" not in local._jdf.queryExecution().executedPlan().toString()
-    assert sorted(map(tuple, local.collect()), key=repr) == sorted(map(tuple, df.distinct().collect()), key=repr)
+def test_range_buckets_are_ordered_even_and_repeatable(spark):
+    rnd = random.Random(4)
+    # one order value holds most rows; the tie-break splits it
+    rows = [(rnd.choice([1, 2, 2, 2, 2, 2, None]), rnd.random()) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "o int, t double").repartition(5)
+    b = ordered.range_buckets(df, ["o", "t"], 8)
+    got = [(r["o"], r["t"], r[ordered.BUCKET]) for r in b.collect()]
+    in_order = [x[2] for x in sorted(got, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))]
+    assert in_order == sorted(in_order) and set(in_order) == set(range(8))
+    sizes = [in_order.count(i) for i in range(8)]
+    assert max(sizes) < 2 * min(sizes)
+    # the bucket is an expression of the key: no shuffle, no copy
+    assert "Exchange" not in b._jdf.queryExecution().optimizedPlan().toString()
+    one = spark.createDataFrame([(3, 0.5)] * 50, "o int, t double")
+    assert one.count() == ordered.range_buckets(one, ["o", "t"], 8).filter("_bucket >= 0").count()
 
 
 def test_domain_share_from_shared_counts(spark):
@@ -108,33 +116,98 @@ def test_domain_share_from_shared_counts(spark):
     assert abs(drift["distance"] - max(abs(1 / 2 - 2 / 3), abs(1 / 2 - 0), abs(0 - 1 / 3))) < 1e-12
 
 
-def test_drop_tail_bucket_probe_equals_plain(spark):
+def test_drop_tail_keeps_every_other_row(spark):
     rnd = random.Random(11)
-    # a hot order value, nulls, and identical rows across the tail boundary
-    rows = [(rnd.choice([1, 2, 3, 3, 3, None]), i % 4) for i in range(300)] + [(9, 0)] * 6 + [(8, 1)] * 3
-    df = spark.createDataFrame(rows, "o int, t int")
-    keys = ordered.total_order(df, ["o"], ["t"])
-    for n in (1, 5, 10, 40):
-        b = ordered.range_buckets(df, keys, 8)
-        probe = ordered.drop_tail(b, n, ["o"], ["t"], num_buckets=8).drop(ordered.BUCKET)
-        plain = ordered.drop_tail(df, n, ["o"], ["t"])
-        want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:-n]
-        assert sorted(map(tuple, probe.collect()), key=repr) == sorted(want, key=repr)
-        assert sorted(map(tuple, plain.collect()), key=repr) == sorted(want, key=repr)
-
-
-def test_kde_sparse_equals_dense(spark):
+    # a hot order value, nulls, identical rows, and rows that share order and tie but not the rest
+    rows = [(rnd.choice([1, 2, 3, 3, 3, None]), i % 4, i) for i in range(300)] + [(9, 0, 7)] * 6 + [
+        (8, 1, 100), (8, 1, 200), (8, 1, 300)]
+    df = spark.createDataFrame(rows, "o int, t int, v int")
+    in_order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    for n in (1, 5, 6, 7, 8, 10, 40):
+        got = ordered.drop_tail(df, n, ["o"], ["t"])
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(in_order[:-n], key=repr)
+
+
+def test_kde_equals_direct_sums(spark):
+    import numpy as np
+
     from skyframe.operators import stats
     rnd = random.Random(5)
     # many rows and a long tail: the 40-bandwidth reach covers few grid points
-    vals = [rnd.gauss(0, 1) for _ in range(60000)] + [rnd.uniform(50, 400) for _ in range(20)]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    dense = {r["point"]: (r["x"], r["density"]) for r in stats.kde(df, "v", points=200, mode="dense").collect()}
-    sparse = {r["point"]: (r["x"], r["density"]) for r in stats.kde(df, "v", points=200, mode="sparse").collect()}
-    assert dense.keys() == sparse.keys() == set(range(200))
-    for i in range(200):
-        assert sparse[i][0] == dense[i][0]
-        assert abs(sparse[i][1] - dense[i][1]) <= 1e-12 * max(1.0, abs(dense[i][1]))
+    vals = np.array([rnd.gauss(0, 1) for _ in range(20000)] + [rnd.uniform(50, 400) for _ in range(20)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    bw = vals.std(ddof=1) * len(vals) ** -0.2
+    for r in stats.kde(df, "v", points=200).collect():
+        want = np.exp(-0.5 * ((vals - r["x"]) / bw) ** 2).sum() / (len(vals) * bw * np.sqrt(2 * np.pi))
+        assert abs(r["density"] - want) <= 1e-9 * max(1.0, want)
+
+
+def test_quantiles_with_a_value_in_most_rows(spark):
+    import numpy as np
+
+    from skyframe.operators import stats
+    rnd = random.Random(23)
+    rows = [("hot", 5.0)] * 900 + [("hot", rnd.random() * 10) for _ in range(100)] + [("one", 2.0), (None, 1.0), (None, 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    out = stats.group_quantiles(df, ["g"], "v", [0.0, 0.25, 0.5, 0.9, 1.0])
+    for r in out.collect():
+        v = [x for g, x in rows if g == r["g"]]
+        assert np.allclose(list(r)[1:], np.quantile(v, [0.0, 0.25, 0.5, 0.9, 1.0]))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    # equal values are combined before the first shuffle
+    assert "partial_count" in plan
+
+
+def test_correlations_equal_numpy(spark):
+    import numpy as np
+
+    from skyframe.operators import stats
+    rng = np.random.default_rng(1)
+    x = rng.normal(1e6, 1, 500)
+    m = np.stack([x, x + rng.normal(0, 2, 500), rng.normal(0, 1, 500), np.full(500, 3.0)], 1)
+    rows = [tuple(None if rng.random() < 0.1 and j == 2 else float(v) for j, v in enumerate(r)) for r in m]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(4)
+    got = {(r["feature_a"], r["feature_b"]): r["corr"] for r in stats.correlation_matrix(df, ["a", "b", "c", "d"]).collect()}
+    arr = np.array([[np.nan if v is None else v for v in r] for r in rows])
+    for i, p in enumerate("abc"):
+        for j, q in enumerate("abc"[:i]):
+            ok = ~np.isnan(arr[:, i]) & ~np.isnan(arr[:, j])
+            assert abs(got[(p, q)] - np.corrcoef(arr[ok, i], arr[ok, j])[0, 1]) < 1e-9
+    assert got[("d", "a")] is None
+
+
+def test_cuts_of_repeated_keys_have_exact_sizes(spark):
+    from skyframe.operators import sampling as S
+    # most rows share one key, so every cut falls inside it
+    rows = [(1, i) for i in range(700)] + [(k, 0) for k in range(2, 302)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(6)
+    assert S.sample_n(df, ["k"], 0.35).count() == 350
+    sizes = {r["split"]: r["count"] for r in S.split_3way(df, ["k"]).groupBy("split").count().collect()}
+    assert (sizes["train"], sizes["validation"], sizes["test"]) == S.split_sizes(1000)
+    folds = sorted(r["count"] for r in S.kfold(df, ["k"], k=7).groupBy("fold").count().collect())
+    assert folds == [142] + [143] * 6
+    assert S.kfold(df, ["k"], k=7).select("k", "v").exceptAll(df).count() == 0
+
+
+def test_cut_descends_into_full_bins(spark, monkeypatch):
+    from skyframe.operators import sampling as S
+    monkeypatch.setattr(S, "CUT_ROWS", 3)
+    monkeypatch.setattr(S, "_DIGITS", 1)
+    df = spark.range(500).withColumnRenamed("id", "k")
+    whole = [r["k"] for r in df.orderBy(S.seeded_hash(["k"], 42), "k").collect()]
+    assert {r["k"] for r in S.sample_n(df, ["k"], 0.3).collect()} == set(whole[:150])
+
+
+def test_upsampling_draws_with_replacement(spark):
+    from skyframe.operators import sampling as S
+    df = spark.createDataFrame([("a", i) for i in range(200)] + [("b", i) for i in range(100)] + [("c", i) for i in range(5)]
+                               + [(None, 1)], "g string, k int")
+    out = S.resample_groups(df, "g", {"a": 1.5, "b": 0.3, "zz": 2.0}, ["g", "k"])
+    n = {r["g"]: r["count"] for r in out.groupBy("g").count().collect()}
+    assert n == {"a": 300, "b": 30, "c": 5, None: 1}
+    per_row = [r["count"] for r in out.filter("g = 'a'").groupBy("k").count().collect()]
+    assert len(per_row) == 200 and max(per_row) > 2      # a row may be drawn more than once
 
 
 def test_latest_n_first_seen_equals_brute_force(spark):
@@ -212,9 +285,9 @@ def test_running_sums_equal_brute_force(spark):
             + [(f"f{i}", float(rnd.randrange(100)) + i / 1000, 2) for i in range(40)])
     df = spark.createDataFrame(rows, "feature string, v double, nb long")
     for nb in (1, 4, 11):
-        got = {(r["feature"], r["v"]): r["cum_nb"] for r in
-               QY.running_sums(df, "v", ["nb"], nb, group=["feature"]).collect()}
+        got = {(r["feature"], r["v"]): (r["cum_nb"], r["total_nb"]) for r in
+               ordered.running_sums(df, "v", ["nb"], nb, group=["feature"]).collect()}
         want = {}
         for f, v, _ in rows:
-            want[(f, v)] = sum(n for g, u, n in rows if g == f and u <= v)
+            want[(f, v)] = (sum(n for g, u, n in rows if g == f and u <= v), sum(n for g, _, n in rows if g == f))
         assert got == want
