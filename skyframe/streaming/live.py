@@ -109,18 +109,20 @@ def rate_limit(df: DataFrame, key: str = "user_id", ts: str = "ts", limit: int =
 
 
 def rate_limit_stream(stream: DataFrame, key: str = "user_id", ts: str = "ts", limit: int = 20,
-                      window_s: int = 60, ttl_s: int = 3600) -> DataFrame:
+                      window_s: int = 60, ttl_s: int | None = None) -> DataFrame:
     """Streaming form: keyed state (window start, count) per key, updated by
     each micro-batch's requests in time order, however they are chunked
     (``applyInPandasWithState``; it holds one key's requests of one
-    micro-batch). A key's state is dropped ``ttl_s`` seconds after its last
-    micro-batch, when its session has expired."""
+    micro-batch). With ``ttl_s`` (3,600 s for a session) a key's state is
+    dropped that many seconds after its last micro-batch; Spark then runs
+    batches without data for as long as the query is up, so it is for
+    queries that stay up, not for ``availableNow``."""
     from pyspark.sql.streaming.state import GroupStateTimeout
     out_schema = T.StructType(stream.schema.fields + [T.StructField("accepted", T.BooleanType())])
     state_schema = T.StructType([T.StructField("start", T.DoubleType()), T.StructField("count", T.LongType())])
 
     def step(k, pdfs, state):
-        if state.hasTimedOut:
+        if ttl_s and state.hasTimedOut:
             state.remove()
             return
         prev = state.get if state.exists else None
@@ -130,11 +132,13 @@ def rate_limit_stream(stream: DataFrame, key: str = "user_id", ts: str = "ts", l
         secs = pdf[ts].astype("datetime64[us]").astype("int64") / 1e6
         ok, st = _rate_fold(secs.tolist(), window_s, limit, st)
         state.update((float(st[0]), int(st[1])))
-        state.setTimeoutDuration(ttl_s * 1000)
+        if ttl_s:
+            state.setTimeoutDuration(ttl_s * 1000)
         yield pdf.assign(accepted=ok)
 
     return stream.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                      GroupStateTimeout.ProcessingTimeTimeout)
+                                                      GroupStateTimeout.ProcessingTimeTimeout if ttl_s
+                                                      else GroupStateTimeout.NoTimeout)
 
 
 # M12

@@ -66,11 +66,15 @@ def test_scoring_stream(spark):
     src, out, ck = (tempfile.mkdtemp(prefix=p) for p in ("sk-live-", "sk-pred-", "sk-ck-"))
     cleaned.repartition(3).write.mode("overwrite").parquet(src)
     stream = spark.readStream.schema(cleaned.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    q = L.scoring_stream(stream, model, cleaned, out, ck, ROW_KEYS)
+    out += "/table"
+    q = L.scoring_stream(stream, model, cleaned, out, ck, ROW_KEYS, part="year")
     q.awaitTermination()
-    scored = spark.read.parquet(out)
-    assert scored.count() == cleaned.count()
+    scored = spark.read.schema(cleaned.schema).parquet(out)
+    assert scored.count() == cleaned.dropDuplicates(ROW_KEYS).count()
     assert scored.filter(F.col("dep_delay").isNull()).count() == 0
+    # every other field of the record is kept
+    rest = [c for c in cleaned.columns if c != "dep_delay"]
+    assert scored.select(rest).exceptAll(cleaned.select(rest)).count() == 0
 
 
 def test_consume_once_removes_files(spark):
