@@ -29,11 +29,11 @@ def order_by(df: DataFrame, cols, tie=()) -> DataFrame:
 
 
 # D7
-def top_k(df: DataFrame, k: int, order, ascending: bool = False) -> DataFrame:
-    """Top (or bottom) k rows: each partition keeps k, one merge of k rows
-    per partition (TakeOrderedAndProject)."""
+def top_k(df: DataFrame, k: int, order, ascending: bool = False, tie=()) -> DataFrame:
+    """Top (or bottom) k rows, ties by ``tie``: each partition keeps k, one
+    merge of k rows per partition (TakeOrderedAndProject)."""
     cols = [F.col(c).asc_nulls_last() if ascending else F.col(c).desc_nulls_last() for c in order]
-    return df.orderBy(*cols).limit(k)
+    return df.orderBy(*cols, *tie).limit(k)
 
 
 # D8

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from skyframe.operators import clean, stats
-from skyframe.plans.flights import ROW_KEYS, flights_table, materialise
+from skyframe.operators import relational as R
+from skyframe.plans.flights import RAW_FIELDS, ROW_KEYS, WEATHER_COLS, flights_table, materialise
 from skyframe.plans.output import present
 from skyframe.plans.registry import query, with_flights
 from skyframe.session import ensure_session_conf
@@ -74,3 +77,30 @@ def q_preview(spark, sf_dir):
     """C17: first 10 rows of the processed table in departure order."""
     df = stats.preview(cleaned(spark, sf_dir), ["dep_time", *ROW_KEYS])
     return present(df.select("year", "month", "day", "airline", "route", "dep_delay", *ROW_KEYS))
+
+
+_KEYS = ", ".join(ROW_KEYS)
+
+
+@query("longest_flights", with_flights(f"""
+SELECT {_KEYS}, round(distance, 6) AS distance FROM v_flights ORDER BY distance DESC, {_KEYS} LIMIT 10"""))
+def q_longest(spark, sf_dir):
+    """The ten longest flights (ties by row key)."""
+    return present(R.top_k(raw(spark, sf_dir).select(*ROW_KEYS, "distance"), 10, ["distance"], tie=ROW_KEYS))
+
+
+@query("departures_in_order", with_flights(f"""
+SELECT {_KEYS}, CAST(dep_time AS VARCHAR) AS dep_time FROM clean_flights ORDER BY dep_time, {_KEYS}""", clean=True))
+def q_departures(spark, sf_dir):
+    """The processed table in departure order (a distributed sort)."""
+    return R.order_by(present(cleaned(spark, sf_dir).select(*ROW_KEYS, "dep_time")), ["dep_time"], ROW_KEYS)
+
+
+@query("without_weather", with_flights(f"""
+SELECT count(*) AS rows, {len(RAW_FIELDS) + len(ROW_KEYS) - len(WEATHER_COLS)} AS columns, round(sum(distance), 6) AS distance
+FROM v_flights"""))
+def q_without_weather(spark, sf_dir):
+    """B13 + B15: weather columns dropped, column names normalised."""
+    df = clean.normalise_column_names(clean.drop_columns(raw(spark, sf_dir), WEATHER_COLS))
+    return present(df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"),
+                          F.sum("distance").alias("distance")))
