@@ -490,9 +490,10 @@ def near_classes(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str = "
     links = found.select("node", F.col("label").alias("comp"))
 
     if largest > shard_sets:
+        split = found.filter("split").select("node", "shard", "id")
+        texts = _table(spark, _texts(docs, split.select("node", "id")).select("node", "text"), "split-texts")
         for every in (False, True):
-            links = _join_shards(spark, docs, members, found.filter("split").drop("label").join(links, "node"), links,
-                                 every, k, percent)
+            links = _join_shards(spark, texts, members, split.join(links, "node"), links, every, k, percent)
     return _classes(spark, rows, classes, links, id_col)
 
 
@@ -500,7 +501,7 @@ def least_overlap_col(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100)
 
 
-def _join_shards(spark, docs, members, split, links, every: bool, k: int, percent: int) -> DataFrame:
+def _join_shards(spark, texts, members, split, links, every: bool, k: int, percent: int) -> DataFrame:
     """Links of nodes to groups after searching across the shards of split blocks.
 
     First one set of each group in the first shard of its lists; then, with
@@ -521,10 +522,10 @@ def _join_shards(spark, docs, members, split, links, every: bool, k: int, percen
         routes = mine.filter("shard != target").groupBy("comp", "target").agg(F.min("node").alias("node")).select("node", "target")
     routes = _table(spark, routes, "routes")
     wanted = routes.select(F.col("target").alias("shard")).distinct()
-    index = split.join(wanted, "shard", "left_semi").select("id", "shard", "node", "comp")
-    queries = routes.join(split.select("id", "node", "comp"), "node").select("id", F.col("target").alias("shard"), "node", "comp")
-    edges = _search_across(_texts(docs, index).select("shard", "node", "comp", "text"),
-                           _texts(docs, queries).select("shard", "node", "comp", "text"), k, percent)
+    index = split.join(wanted, "shard", "left_semi").join(texts, "node")
+    queries = routes.join(split.select("node", "comp"), "node").join(texts, "node").select(
+        F.col("target").alias("shard"), "node", "comp", "text")
+    edges = _search_across(index.select("shard", "node", "comp", "text"), queries, k, percent)
     roots = components(spark, _table(spark, edges, "links")).select(F.col("node").alias("comp"), "root")
     roots = _table(spark, roots, "roots")
     return _table(spark, links.join(roots, "comp", "left").select(
