@@ -35,7 +35,7 @@ from skyframe.llm.texts import buffers, lower, ragged, slices, spans_hash, words
 from skyframe.session import scratch_path
 
 START, END, SYMBOLS = 0xFF, 0xFE, 257  # marks that UTF-8 never holds; 256 byte values and the end
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -46,7 +46,7 @@ class Table:
     """Open-addressing hash table from 64-bit keys to their positions, looked up in bulk."""
 
     def __init__(self, keys: np.ndarray):
-        bits = max(4, int(np.ceil(np.log2(2 * len(keys) + 2))))
+        bits = max(4, int(np.ceil(np.log2(1.5 * len(keys) + 2))))
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.index = np.full(1 << bits, -1, np.int32)
         self.keys = np.zeros(1 << bits, np.uint64)
@@ -100,7 +100,7 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys[head], np.add.reduceat(counts, head)
 
 
-def gather(docs: DataFrame, order: int, id_col: str, text_col: str, held: int = 3_000_000) -> DataFrame:
+def gather(docs: DataFrame, order: int, id_col: str, text_col: str, held: int = 800_000) -> DataFrame:
     """kind, key, n: strings of ``order`` + 1 bytes (kind 0), word hashes (1) and texts (2) of the training rows.
 
     Counts are merged within a task and handed on when more than ``held`` keys have come together.
@@ -128,7 +128,7 @@ def gather(docs: DataFrame, order: int, id_col: str, text_col: str, held: int =
                 for kind, keys in ((0, strings(buf, off, order)[0]), (1, spans_hash(buf, starts, ends))):
                     k, c = np.unique(keys, return_counts=True)
                     kept[kind].append((k, c.astype(np.int64)))
-                    if len(kept[kind]) >= 8:
+                    if len(kept[kind]) >= 4:
                         kept[kind] = [_merge(kept[kind])]
                 if sum(len(x[0]) for kind in kept for x in kind) > held:
                     yield from flush()
@@ -215,18 +215,35 @@ class Trie:
         return out
 
 
-def _bounded_trie(counts: DataFrame, order: int, max_nodes: int) -> Trie:
-    """The trie of the highest order, at most ``order``, whose strings number at most ``max_nodes``."""
+def _columns(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """key and n of a frame of bounded size, as arrays."""
+    got = df.select("key", "n").toArrow()
+    return got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
+
+
+def _bounded_strings(counts: DataFrame, order: int, max_nodes: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys, counts and length of the longest strings, of at most ``order`` + 1 bytes, that number at most ``max_nodes``."""
     strings_ = counts.filter("kind = 0").select("key", "n")
     while order > 1 and strings_.count() > max_nodes:
         order -= 1
         strings_ = strings_.groupBy((F.col("key").bitwiseAND((1 << 8 * (order + 1)) - 1)).alias("key")).agg(
             F.sum("n").alias("n"))
-    got = strings_.toPandas()
-    return Trie(got["key"].to_numpy().view(np.uint64), got["n"].to_numpy().astype(float), order)
+    return *_columns(strings_), order
+
+
+_MODEL: dict[str, tuple] = {}
+
+
+def _model(shared) -> tuple[Trie, Table, np.ndarray]:
+    """Trie, table of frequent words and their logs, built once in each worker from the broadcast counts."""
+    if shared.value[-1] not in _MODEL:
+        _MODEL.clear()
+        (keys, counts, order), (words_, seen), name = shared.value
+        _MODEL[name] = Trie(keys, counts.astype(float), order), Table(words_), np.log10(seen + 1.0)
+    return _MODEL[shared.value[-1]]
 
 
-def score_texts(docs: DataFrame, order: int = 4, max_nodes: int = 4_000_000, frequent: int = 1_000_000,
+def score_texts(docs: DataFrame, order: int = 4, max_nodes: int = 4_000_000, frequent: int = 300_000,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of ``docs``.
 
@@ -260,10 +277,8 @@ def score_texts(docs: DataFrame, order: int = 4, max_nodes: int = 4_000_000, fre
         if held > frequent:
             break
         least = 1 << b
-    top = by_word.filter(F.col("n") >= least).toPandas()
     shared = spark.sparkContext.broadcast((
-        _bounded_trie(counts, order, max_nodes), Table(top["key"].to_numpy().view(np.uint64)),
-        np.log10(top["n"].to_numpy() + 1.0)))
+        _bounded_strings(counts, order, max_nodes), _columns(by_word.filter(F.col("n") >= least)), path))
 
     schema = T.StructType([
         T.StructField("uid", T.LongType()), T.StructField("id", docs.schema[id_col].dataType),
@@ -272,7 +287,7 @@ def score_texts(docs: DataFrame, order: int = 4, max_nodes: int = 4_000_000, fre
         T.StructField("rare", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, table, log_count = shared.value
+        trie, table, log_count = _model(shared)
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text", _SLICE):
