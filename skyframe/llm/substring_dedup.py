@@ -361,14 +361,16 @@ def _route(docs: DataFrame, marks: DataFrame, k: int, buckets: int, parts: int,
 
 
 def _ids(marks: DataFrame) -> DataFrame:
-    """The ids packed in the marks."""
+    """The ids packed in the marks, each once: those of a part meet in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(0, np.int64)
         for batch in batches:
-            for x in batch.column("ids").to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, "<i8"))], names=["pid"])
+            packed = [np.frombuffer(x, "<i8") for x in batch.column("ids").to_pylist()]
+            found = np.unique(np.concatenate([found, *packed]))
+        yield pa.RecordBatch.from_arrays([pa.array(found)], names=["pid"])
 
-    return marks.select("ids").mapInArrow(run, "pid long")
+    return marks.select("part", "ids").repartition("part").mapInArrow(run, "pid long")
 
 
 def _match(routed: DataFrame, k: int) -> DataFrame:
