@@ -356,6 +356,28 @@ def test_lm_order_falls_when_the_trie_is_large(spark):
         assert math.isclose(r["score"], want[r["doc_id"]][5], abs_tol=1e-6)
 
 
+@pytest.mark.parametrize("frequent_strings", [0, 40, 4_000_000])
+def test_lm_keeps_its_order_when_strings_are_joined(spark, frequent_strings):
+    rnd = random.Random(12)
+    texts = [t for t in odd_texts() if t is None or len(t) < 2000] + [
+        " ".join(rnd.choice(["The", "tin", "ten", "cat", "sat", "é", f"w{i}"]) for _ in range(rnd.randint(0, 30)))
+        for i in range(40)] + ["never seen zq zq zq"] * 9
+    for order in (2, 3, 5):
+        want = dict(plain_lm(texts, range(len(texts)), order))
+        got = lm_scoring.score_texts(clashing(documents(spark, texts)), order=order, frequent_strings=frequent_strings)
+        for r in got.collect():
+            assert math.isclose(r["score"], want[r["doc_id"]][5], abs_tol=1e-6)
+
+
+def test_lm_keeps_its_order_beyond_four_million_strings(spark):
+    rnd = np.random.default_rng(13)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8)
+    texts = [rnd.choice(letters, 60_000).tobytes().decode() for _ in range(100)]
+    got = {r["doc_id"]: r for r in lm_scoring.score_texts(documents(spark, texts), order=5).collect()}
+    # nearly every string of a training text is its context's only one: a byte costs log10(2) then, far more at order 4
+    assert all(r["held_out"] or -r["score"] < 0.4 * 60_000 for r in got.values()) and len(got) == 100
+
+
 # 8 ------------------------------------------------------------------------------------------------------------------
 
 def plain_repeats(texts, ids, k=13):
