@@ -124,8 +124,8 @@ def _sample(docs: DataFrame, labels: DataFrame, bound: int, id_col: str, text_co
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
 
 
-def _counts(rows: DataFrame, known: frozenset[str] | None, pairs: bool = False) -> DataFrame:
-    """feature, n: texts that hold it. Only features of ``known``, if given; ``pairs`` takes word pairs with an entry instead."""
+def _counts(rows: DataFrame, entries: frozenset[str] | None = None) -> DataFrame:
+    """feature, n: texts that hold it. With ``entries``, word pairs that hold one of them instead."""
     schema = "feature string, n long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,25 +133,41 @@ def _counts(rows: DataFrame, known: frozenset[str] | None, pairs: bool = False)
             c: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
                 folded = fold(text)
-                if pairs:
+                if entries is not None:
                     words = folded.split()
-                    hit = [not known.isdisjoint(features(f" {w} ")) for w in words]
+                    hit = [not entries.isdisjoint(features(f" {w} ")) for w in words]
                     c.update({f" {words[i]} {words[i + 1]} " for i in range(len(words) - 1) if hit[i] or hit[i + 1]})
                 else:
-                    own = features(folded)
-                    c.update(own if known is None else own & known)
+                    c.update(features(folded))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())],
                                              names=["feature", "n"])
 
     return rows.select("text").mapInArrow(count, schema).groupBy("feature").agg(F.sum("n").alias("n"))
 
 
-def learn(docs: DataFrame, labels: DataFrame, bound: int = 20_000, size: int = 5_000, least: int = 5,
+def _against(one: DataFrame, other: DataFrame, n_one: int, n_other: int) -> DataFrame:
+    """feature, n, other, odds, chance: counts in both classes of the features of ``one``.
+
+    ``odds`` are the smoothed log odds; ``chance`` is the log of Chernoff's bound on the probability that so large a
+    share of the feature's texts, or a larger one, falls into the first class when it says nothing of the class.
+    """
+    both = one.join(other.select("feature", F.col("n").alias("other")), "feature", "left").select(
+        "feature", "n", F.coalesce("other", F.lit(0)).alias("other"))
+    share = n_one / (n_one + n_other)
+    part = F.col("n") / (F.col("n") + F.col("other"))
+    rest = F.when(F.col("other") > 0, F.col("other") * F.log((1 - part) / F.lit(1 - share))).otherwise(F.lit(0.0))
+    chance = F.when(part > share, -(F.col("n") * F.log(part / F.lit(share)) + rest)).otherwise(F.lit(0.0))
+    odds = F.log((F.col("n") + 0.5) / F.lit(n_one + 1.0)) - F.log((F.col("other") + 0.5) / F.lit(n_other + 1.0))
+    return both.select("*", odds.alias("odds"), chance.alias("chance"))
+
+
+def learn(docs: DataFrame, labels: DataFrame, bound: int = 20_000, least: int = 5,
           log_odds: float = 3.0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Lexicon:
-    """Lexicon of at most ``size`` entries from about ``bound`` training rows of each class.
+    """Lexicon from about ``bound`` training rows of each class.
 
-    Entries occur in ``least`` toxic texts and one in 100 of them, and have smoothed log odds of ``log_odds``
-    against the clean texts. A stem whose own shorter stem is an entry is
+    Entries occur in ``least`` toxic texts, have smoothed log odds of ``log_odds`` against the clean texts, and are
+    too rare among those for chance: of all features tested less than one would be expected to pass. Exceptions
+    occur in ``least`` clean texts. A stem whose own shorter stem is an entry is
     left out. Without labels of both classes the lexicon is empty and every
     score the same.
     """
@@ -162,26 +178,23 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = 20_000, size: int = 5
         if not n_toxic or not n_clean:
             return Lexicon()
         toxic, clean = sample.filter("label = 1"), sample.filter("label = 0")
-        least = max(least, n_toxic // 100)
-        often = _counts(toxic, None).filter(F.col("n") >= least).orderBy(F.desc("n"), "feature").limit(100_000).collect()
-        in_toxic = {r["feature"]: r["n"] for r in often}
-        in_clean = {r["feature"]: r["n"] for r in _counts(clean, frozenset(in_toxic)).collect()}
-        odds = {f: float(np.log((n + 0.5) / (n_toxic + 1)) - np.log((in_clean.get(f, 0) + 0.5) / (n_clean + 1)))
-                for f, n in in_toxic.items()}
+        tested = _counts(toxic).filter(F.col("n") >= least).persist()
+        try:
+            limit = -float(np.log(max(tested.count(), 1)))
+            passed = _against(tested, _counts(clean), n_toxic, n_clean).filter(
+                (F.col("odds") >= log_odds) & (F.col("chance") <= limit)).collect()
+        finally:
+            tested.unpersist()
+        odds = {r["feature"]: r["odds"] for r in passed}
         lexicon: dict[str, float] = {}
-        for f in sorted((f for f in odds if odds[f] >= log_odds), key=lambda f: (len(f.rstrip()), -len(f), f)):
+        for f in sorted(odds, key=lambda f: (len(f.rstrip()), -len(f), f)):
             w = f.strip()
             if not any(f" {w[:n]}" in lexicon for n in STEMS if n < len(w)):
                 lexicon[f] = odds[f]
-        lexicon = dict(sorted(lexicon.items(), key=lambda x: (-in_toxic[x[0]] * x[1], x[0]))[:size])
         entries = frozenset(lexicon)
-        seen = {r["feature"]: r["n"] for r in _counts(clean, entries, True).filter(F.col("n") >= least).orderBy(
-            F.desc("n"), "feature").limit(size).collect()}
-        bad = {r["feature"]: r["n"] for r in _counts(toxic, entries, True).filter(
-            F.col("feature").isin(list(seen))).collect()} if seen else {}
-        exceptions = [p for p, n in seen.items()
-                      if np.log((n + 0.5) / (n_clean + 1)) > np.log((bad.get(p, 0) + 0.5) / (n_toxic + 1))]
-        out = Lexicon(lexicon, sorted(exceptions))
+        exceptions = _against(_counts(clean, entries).filter(F.col("n") >= least), _counts(toxic, entries),
+                              n_clean, n_toxic).filter("odds > 0").collect()
+        out = Lexicon(lexicon, sorted(r["feature"] for r in exceptions))
         # the curve is fitted to counts per 0.01 of density and class
         bins = _densities(sample.select("id", "text", "label"), out, ["label"]).groupBy(
             F.round("density", 2).alias("x"), "label").count().collect()

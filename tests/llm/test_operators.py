@@ -483,6 +483,21 @@ def test_toxicity_on_held_out_labels(spark):
     assert toxicity.learn(df, labels.limit(0)).weights == {}
 
 
+def test_toxicity_learns_terms_of_less_than_one_toxic_text_in_a_hundred(spark):
+    rnd = random.Random(14)
+    neutral = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    toxic = [1] * 2400 + [0] * 2400
+    texts = [" ".join([rnd.choice(neutral) for _ in range(4)] + (["vermin" if i % 150 == 0 else "idiot"] if t else []))
+             for i, t in enumerate(toxic)]
+    texts[2400:2415] = ["idiot proof"] * 15  # an exception that fewer than one clean text in a hundred holds
+    df = documents(spark, texts)
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    lexicon = toxicity.learn(df, labels)
+    assert any("verm" in e for e in lexicon.weights) and any("idio" in e for e in lexicon.weights)
+    assert not any("word" in e for e in lexicon.weights)
+    assert " idiot proof " in lexicon.exceptions
+
+
 # 10 -----------------------------------------------------------------------------------------------------------------
 
 def test_mixing(spark):
