@@ -2,7 +2,9 @@
 
 Folding undoes what hides a word: case, look-alike letters of other scripts,
 full-width forms, invisible characters and digits or signs that stand for
-letters inside a word. The lexicon (whole words and word stems) and its
+letters inside a word. At the edge of a word such signs may be punctuation or
+numbers, and accents may be spelling: there a word has further forms, of
+which one is taken where it matches more of the lexicon. The lexicon (whole words and word stems) and its
 weights are learned from labelled texts; phrases that hold a lexicon entry
 but occur in clean texts are exceptions and cancel the entries inside them.
 The sum of weights is normalised by the length of the text and put through
@@ -12,6 +14,7 @@ a fitted logistic curve.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,6 +39,9 @@ _TABLE = {ord(k): v for k, v in HOMOGLYPHS.items()} | {ord(c): None for c in INV
     | {0xFF01 + i: chr(0x21 + i) for i in range(94)}
 _ODD = re.compile("[" + "".join(map(re.escape, HOMOGLYPHS)) + INVISIBLE + "！-～]")
 _SUB = re.compile(r"(?<=[^\W\d_])[" + re.escape("".join(SUBSTITUTES)) + r"]+(?=[^\W\d_])")
+_LEAD = re.compile("[" + re.escape("".join(SUBSTITUTES)) + r"]+(?=[^\W\d_])")
+_TRAIL = re.compile(r"(?<=[^\W\d_])[" + re.escape("".join(SUBSTITUTES)) + "]+")
+_TOKEN = re.compile(r"[\w" + re.escape("".join(SUBSTITUTES)) + "\u0300-\u036f" + INVISIBLE + "！-～]+")
 _HAS_SUB = re.compile("[" + re.escape("".join(SUBSTITUTES)) + "]")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 
@@ -50,6 +56,21 @@ def fold(text: str | None) -> str:
     return f" {_NOT_LETTER.sub(' ', t).strip()} "
 
 
+def second_forms(token: str) -> list[str]:
+    """Folded like a text, but without accents and with signs before, after or at both edges of words taken for letters."""
+    t = unicodedata.normalize("NFKD", token.lower().translate(_TABLE))
+    t = "".join(c for c in t if not unicodedata.combining(c)).lower().translate(_TABLE)
+    if not _HAS_SUB.search(t):
+        return [fold(t)]
+    out = []
+    for edges in ((_LEAD,), (_TRAIL,), (_LEAD, _TRAIL)):
+        form = t
+        for edge in edges:
+            form = edge.sub(lambda m: "".join(SUBSTITUTES[c] for c in m.group()), form)
+        out.append(fold(form))
+    return out
+
+
 STEMS = range(4, 9)
 
 
@@ -85,11 +106,43 @@ class Lexicon:
         return a
 
 
+def unmask(automaton, text: str | None, chosen: dict[str, str] | None = None) -> str:
+    """The folded text, its words in another form where that matches more of the lexicon.
+
+    ``chosen`` keeps the forms of short tokens from call to call, for one automaton.
+    """
+    text, chosen = text or "", {} if chosen is None else chosen
+    if not len(automaton) or (text.isascii() and not _HAS_SUB.search(text)):
+        return fold(text)
+
+    def choose(match: re.Match) -> str:
+        token = match.group()
+        if token.isascii() and not _HAS_SUB.search(token):
+            return token
+        if token in chosen:
+            return chosen[token]
+        best, out = max(second_forms(token), key=lambda f: _matched(automaton, f)), token
+        if _matched(automaton, best) > 0.0 and _matched(automaton, best) > _matched(automaton, fold(token)):
+            out = best
+        if len(token) <= 40:
+            if len(chosen) >= 100_000:
+                chosen.clear()
+            chosen[token] = out
+        return out
+
+    return fold(_TOKEN.sub(choose, text))
+
+
 def density(automaton, folded: str) -> float:
     """Sum of the weights of matched words over the root of the number of words.
 
     A word counts once, with its strongest entry; a word inside an exception phrase does not count.
     """
+    return _matched(automaton, folded) / max(folded.count(" ") - 1, 1) ** 0.5
+
+
+def _matched(automaton, folded: str) -> float:
+    """Sum of the weights of matched words."""
     if not len(automaton):
         return 0.0
     best: dict[int, float] = {}
@@ -102,8 +155,7 @@ def density(automaton, folded: str) -> float:
             best[begin] = weight
     if not best:
         return 0.0
-    total = sum(w for at, w in best.items() if not any(a <= at < b for a, b in shields))
-    return total / max(folded.count(" ") - 1, 1) ** 0.5
+    return sum(w for at, w in best.items() if not any(a <= at < b for a, b in shields))
 
 
 def _id_crc(id_col: str) -> Column:
@@ -224,9 +276,9 @@ def _densities(rows: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
     schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField("density", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = lexicon.matcher()
+        automaton, chosen = lexicon.matcher(), {}
         for batch in batches:
-            d = [density(automaton, fold(t)) for t in batch.column("text").to_pylist()]
+            d = [density(automaton, unmask(automaton, t, chosen)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(d, pa.float64())],
                                              names=schema.names)
 

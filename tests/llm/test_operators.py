@@ -483,6 +483,19 @@ def test_toxicity_on_held_out_labels(spark):
     assert toxicity.learn(df, labels.limit(0)).weights == {}
 
 
+def test_toxicity_finds_words_masked_at_their_edges_or_by_accents(spark):
+    lexicon = toxicity.Lexicon({" idiot ": 3.0, " scum ": 3.0, " ass ": 3.0, " loser ": 3.0, " vermi": 3.0}, [], 1.0, -2.0)
+    a = lexicon.matcher()
+    for text in ("1diot", "$cum", "a55", "1d10t!", "ídiöt", "i\u0301diot", "scum!", "loser!", "loser1", "ｌoserｓ loser!"):
+        assert toxicity.density(a, toxicity.unmask(a, f"so {text}, yes")) > 0, text
+    for text in ("2024 $$$", "a1", "$5", "covid19", "", None, "55 a"):
+        assert toxicity.density(a, toxicity.unmask(a, text)) == 0, text
+    assert toxicity.unmask(a, "loser! 1diot") == " loser idiot "
+    assert toxicity.unmask(a, "café 5th great!") == toxicity.fold("café 5th great!")
+    out = toxicity.score(documents(spark, ["a $cum b", "a sum b"]), lexicon).orderBy("doc_id").collect()
+    assert out[0]["score"] > out[1]["score"]
+
+
 def test_toxicity_learns_terms_of_less_than_one_toxic_text_in_a_hundred(spark):
     rnd = random.Random(14)
     neutral = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
