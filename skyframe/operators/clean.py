@@ -1,8 +1,9 @@
 """Cleaning of raw flight events (survey §2.2 B1-B14, plus the ordered
 steps D3/D5/D6 of the batch ETL job).
 
-``clean_flights`` is one lineage; the eager steps are the top-n probe of
-``drop_tail`` (bounded by n rows) and the bounded key sample of the fill.
+``clean_flights`` writes the stamped rows once; the top-n probe of
+``drop_tail`` (bounded by n rows), the bounded key sample, the carried
+values and the rows of the fill all read that table.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from skyframe.functions import columns as C
 from skyframe.plans import ordered
 from skyframe.plans.flights import OUTCOME_COLS, RAW_FIELDS, ROW_KEYS
+from skyframe.session import written
 
 CLOCK_FLOAT = ["dep_time", "arr_time"]
 CLOCK_INT = ["sched_dep_time", "sched_arr_time"]
@@ -80,10 +82,12 @@ def clean_flights(df: DataFrame, tail: int = 10, tie=ROW_KEYS, ffill=FFILL_COLS)
     wind columns are forward filled in departure order, rows whose reported
     delay disagrees with the stamps are dropped, and duplicates removed.
     ``tie`` completes the departure order so results are deterministic.
+    The result reads the stamped rows from the shared folder; a caller that
+    has written it elsewhere drops them (``session.scratch_scope``).
     """
     df = drop_all_null(df, OUTCOME_COLS)
     df = drop_any_null(df, ["arr_time", "arr_delay", "air_time"])
-    df = stamp_times(df)
+    df = written(stamp_times(df), "stamped")
     df = ordered.drop_tail(df, tail, ["dep_time"], tie)
     df = ordered.forward_fill(df, list(ffill), ["dep_time"], tie)
     return dedupe(keep_consistent(df))

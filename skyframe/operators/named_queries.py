@@ -110,8 +110,7 @@ def answer(df: DataFrame, query_type: str, airline: str | None = None, route: st
             line = F.row_number().over(Window.orderBy(F.col("_neg_n").asc(), F.col(key).asc_nulls_first()))
             ranked = counts.withColumn("line", line)
         else:
-            # one row per group: line numbers by the distributed rank
-            ranked = ordered.with_rank(counts, ["_neg_n"], tie=[key], rank_col="line", size_col=None)
+            ranked = ordered.number_rows(counts, ["_neg_n"], tie=[key], name="line")
         rows = ranked.select(
             F.col("line").cast("long").alias("line"),
             F.concat(F.lit("- "), F.col(key), F.lit(": "), thousands(F.col("n")), F.lit(" flights")).alias("answer"))

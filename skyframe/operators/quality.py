@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from skyframe.functions.columns import alert_severity
 from skyframe.plans import ordered
+from skyframe.session import written
 
 
 # J1 + J2
@@ -135,7 +136,7 @@ def numeric_drift(baseline: DataFrame, current: DataFrame, cols, num_buckets: in
     Kolmogorov-Smirnov distance). All features go through one pass: value
     counts per (feature, value), one range-bucketed running sum grouped by
     feature, one aggregate."""
-    both = _both_counts(baseline, current, cols, "double")
+    both = written(_both_counts(baseline, current, cols, "double"), "value-counts")
     run = ordered.running_sums(both, "v", ["nb", "nc"], num_buckets, group=["feature"])
     gap = F.abs(F.try_divide(F.col("cum_nb"), F.col("total_nb")) - F.try_divide(F.col("cum_nc"), F.col("total_nc")))
     return run.groupBy("feature").agg(F.max(gap).alias("distance"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from skyframe.functions.columns import equals_ignore_case
 from skyframe.plans import ordered
+from skyframe.session import written
 
 
 def scalar(df: DataFrame, expr: Column):
@@ -143,7 +144,7 @@ def group_quantiles(df, group, col, probs, num_buckets: int | None = None):
     picks them: no join. Output columns ``q_i``."""
     group = list(group)
     values = df.select(*group, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
-    counts = values.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("c"))
+    counts = written(values.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("c")), "value-counts")
     run = ordered.running_sums(counts, "_v", ["c"], num_buckets, group=group)
     picks = []
     for i, p in enumerate(probs):

@@ -157,13 +157,14 @@ def materialise(spark: SparkSession, key: str, build) -> DataFrame:
     as Parquet and read it back (the lake table of the batch ETL). Later
     queries scan physical columns: filters and projections reach the
     scan instead of re-deriving every column from the star schema."""
-    from skyframe.session import scratch_path
+    from skyframe.session import scratch_path, scratch_scope
     from skyframe.sources.files import path_exists
     ck = (spark.sparkContext.applicationId, key)
     path = _MATERIALISED.get(ck)
     if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
-        path = scratch_path(spark, key.replace("/", "_"))
-        build().write.mode("overwrite").parquet(path)
+        path = scratch_path(spark, key.replace("/", "_"), lasting=True)
+        with scratch_scope(spark):
+            build().write.mode("overwrite").parquet(path)
         _MATERIALISED[ck] = path
     return spark.read.parquet(path)
 

@@ -6,7 +6,7 @@ one task. The helpers here keep the work distributed:
 * ``range_buckets`` labels each row with an ordered bucket number. The
   bucket bounds come from a bounded sample of the full ordering key (order
   columns + tie-break columns, so even one hot order value is split) and
-  are held as literals: a row's bucket is a plain expression of its key,
+  are held as one literal: a row's bucket is a plain expression of its key,
   found by binary search, the same in every branch, retry and recomputation.
   No copy of the table is written and nothing has to be dropped afterwards.
 * Per-bucket summaries (row counts, last non-null value) read only the
@@ -19,7 +19,9 @@ one task. The helpers here keep the work distributed:
 gives the boundary key and the rest is a filter with literals.
 
 The input of these operators must give the same rows whenever it is
-computed (no unseeded random columns).
+computed (no unseeded random columns). They read it several times (bounds,
+summaries, rows), so callers write an input that is dear to compute once
+(``session.written``) and hand in the table.
 """
 
 from __future__ import annotations
@@ -64,40 +66,63 @@ def _literal_key(values, types) -> Column:
     return F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(values, types))])
 
 
-def range_bounds(df: DataFrame, keys, num_buckets: int) -> list[tuple]:
-    """At most ``num_buckets - 1`` ascending keys that cut the table into
-    parts of about equal size, from a sample bounded by the bucket count."""
-    narrow = df.select(*keys)
+def _plain(name: str, t: T.DataType) -> Column:
+    """A key column in a form that JSON carries exactly and that orders alike; always nullable."""
+    c = F.col(name)
+    if isinstance(t, T.TimestampNTZType):
+        c = F.unix_micros(c.cast("timestamp"))
+    elif isinstance(t, T.TimestampType):
+        c = F.unix_micros(c)
+    elif isinstance(t, T.DateType):
+        c = F.unix_date(c)
+    return F.when(F.col(name).isNotNull(), c)
+
+
+def _plain_key(df: DataFrame, keys) -> Column:
+    return F.struct(*[_plain(k, df.schema[k].dataType).alias(f"k{i}") for i, k in enumerate(keys)])
+
+
+def range_bounds(df: DataFrame, keys, num_buckets: int) -> list[str]:
+    """At most ``num_buckets - 1`` ascending keys (as JSON) that cut the
+    table into parts of about equal size, from a sample bounded by the
+    bucket count."""
+    narrow = df.select(_plain_key(df, keys).alias("k"))
     rows, wanted = narrow.count(), num_buckets * SAMPLE_PER_BUCKET
     sample = narrow if rows <= wanted else narrow.sample(False, min(1.0, wanted / rows), 17)
-    got = [tuple(r) for r in sample.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).collect()]
+    got = [r[0] for r in sample.orderBy(F.col("k").asc_nulls_first()).select(F.to_json("k")).collect()]
     cuts = [got[i * len(got) // num_buckets] for i in range(1, num_buckets)] if got else []
     return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
 
 
 def range_buckets(df: DataFrame, keys, num_buckets: int | None = None) -> DataFrame:
-    """Rows labelled with an ordered bucket id (see module doc)."""
+    """Rows labelled with an ordered bucket id (see module doc): how many
+    bounds are not above the row's key, by binary search in steps of
+    halving powers of two. The bounds are one constant-folded literal, so
+    their number does not blow up the plan."""
     nb = num_buckets or _default_buckets(df)
     bounds = range_bounds(df, keys, nb)
     if not bounds:
         return df.withColumn(BUCKET, F.lit(0))
-    types = [df.schema[k].dataType for k in keys]
-    table, key = F.array(*[_literal_key(b, types) for b in bounds]), _key(keys)
+    n, key = len(bounds), _plain_key(df, keys)
+    kind = T.ArrayType(df.select(key.alias("k")).schema["k"].dataType)
+    table = F.from_json(F.lit("[" + ",".join(bounds) + "]"), kind)
 
-    def halve(s, _):
-        mid = F.shiftright(s["lo"] + s["hi"], 1)
-        right = F.get(table, mid) <= key
-        return F.when(s["lo"] >= s["hi"], s).otherwise(F.struct(
-            F.when(right, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(right, s["hi"]).otherwise(mid).alias("hi")))
+    def step(at, size):
+        return F.when((at + size <= n) & (F.get(table, at + size - 1) <= key), at + size).otherwise(at)
 
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
-    return df.withColumn(BUCKET, F.aggregate(steps, start, halve, lambda s: s["lo"]))
+    steps = [1 << i for i in reversed(range(n.bit_length()))]
+    return df.withColumn(BUCKET, F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step))
 
 
 def lex_less(keys, values, schema: T.StructType) -> Column:
-    """Row key < given literal key, ascending with nulls first."""
-    return _key(keys) < _literal_key(values, [schema[k].dataType for k in keys])
+    """Row key < given literal key, ascending with nulls first. The first
+    column decides most rows; the others are compared only where it ties."""
+    types = [schema[k].dataType for k in keys]
+    first, edge = F.col(keys[0]), F.lit(values[0]).cast(types[0])
+    less = F.lit(False) if values[0] is None else F.coalesce(first < edge, F.lit(True))
+    if len(keys) == 1:
+        return less
+    return less | (first.eqNullSafe(edge) & (_key(keys[1:]) < _literal_key(values[1:], types[1:])))
 
 
 def lex_equal(keys, values, schema: T.StructType) -> Column:
@@ -113,23 +138,39 @@ def drop_tail(df: DataFrame, n: int, order, tie=None) -> DataFrame:
 
     The order is (order, tie, every other orderable column). A bounded
     top-n finds the key of the ``n``-th last row; rows before it stay, by a
-    filter with literals. Rows that share that key are equal in every
-    orderable column; as many copies of them stay as are not in the tail.
+    filter with literals. The other columns are only looked at when rows on
+    both sides of the cut share (order, tie). Rows that share the whole key
+    are equal in every orderable column; as many copies of them stay as are
+    not in the tail.
     """
-    keys = total_order(df, total_order(df, order, tie or ()), None)
-    desc = [F.col(k).desc_nulls_last() for k in keys]
-    top = [tuple(r) for r in df.select(*keys).orderBy(*desc).limit(n + 1).collect()]     # at most n + 1 rows
-    if len(top) <= n:
-        return df
-    edge = top[n - 1]
+    short = total_order(df, order, tie or ())
+    for keys in (short, total_order(df, short, None)):
+        desc = [F.col(k).desc_nulls_last() for k in keys]
+        top = [tuple(r) for r in df.select(*keys).orderBy(*desc).limit(n + 1).collect()]     # at most n + 1 rows
+        if len(top) <= n:
+            return df
+        edge = top[n - 1]
+        if top[n] != edge:
+            return df.filter(lex_less(keys, edge, df.schema))
     before = df.filter(lex_less(keys, edge, df.schema))
-    if top[n] != edge:
-        return before
     equal = df.filter(lex_equal(keys, edge, df.schema))
     spare = equal.count() - sum(r == edge for r in top[:n])
     return before.unionByName(equal.limit(spare))
 
 
+def number_rows(df: DataFrame, order, tie=None, name: str = "row_num", small: int = 100_000) -> DataFrame:
+    """``df`` numbered from 1 in the total order. The rows are written once;
+    up to ``small`` of them (their number is known then) are numbered by a
+    plain window, more by the distributed rank."""
+    from skyframe.session import written
+    keys = total_order(df, order, tie)
+    df = written(df, "to-number")
+    if df.count() > small:
+        return with_rank(df, order, tie=tie, rank_col=name, size_col=None)
+    w = Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    return df.withColumn(name, F.row_number().over(w))
+
+
 def forward_fill(df: DataFrame, cols, order, tie=None, num_buckets: int | None = None) -> DataFrame:
     """D3: each listed column takes the last non-null value from the start
     of the total order up to the current row (leading nulls stay null)."""

@@ -12,8 +12,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -72,17 +73,36 @@ def checkpoint_root(spark: SparkSession) -> str:
     return base
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared checkpoint folder."""
+def scratch_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
+    """A fresh, unique sub-folder of the shared checkpoint folder; a
+    ``lasting`` one outlives ``scratch_scope``."""
     root = checkpoint_root(spark)
     if root.startswith("file:"):
         root = root[len("file:"):]
     path = os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
-    _SCRATCH.append(path)
+    (_LASTING if lasting else _SCRATCH).append(path)
     return path
 
 
 _SCRATCH: list[str] = []
+_LASTING: list[str] = []
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: its plan runs once,
+    however many branches and retries read it afterwards."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _drop(spark: SparkSession, paths: list[str], keep: int) -> int:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while len(paths) > keep:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def drop_scratch(spark: SparkSession) -> int:
@@ -90,9 +110,15 @@ def drop_scratch(spark: SparkSession) -> int:
     them must be consumed or written elsewhere first); the number deleted.
     Long sessions call it between jobs; a cluster's checkpoint folder is
     otherwise cleaned with the application."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    gone = 0
-    while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        gone += bool(path.getFileSystem(conf).delete(path, True))
-    return gone
+    return _drop(spark, _SCRATCH, 0) + _drop(spark, _LASTING, 0)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes the scratch folders that were handed out inside the block.
+    For jobs whose result is written elsewhere before the block ends."""
+    outer = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        _drop(spark, _SCRATCH, outer)

@@ -54,11 +54,12 @@ def breach_alarm(metrics: DataFrame, metric: str, op: str, threshold: float, per
     counts the run. Position keys are unique, so no task holds a whole
     key or the whole table, however long the time span."""
     from skyframe.plans import ordered
+    from skyframe.session import written
     ops = {">": F.col(metric) > threshold, ">=": F.col(metric) >= threshold, "<": F.col(metric) < threshold,
            "<=": F.col(metric) <= threshold}
     keys = list(keys)
     b = metrics.withColumn("breach", ops[op].cast("int"))
-    r = ordered.with_rank(b, [order], group=keys, num_buckets=num_buckets, rank_col="_pos", size_col=None)
+    r = ordered.with_rank(written(b, "metric-windows"), [order], group=keys, num_buckets=num_buckets, rank_col="_pos", size_col=None)
     runs = (r.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "breach",
                      F.explode(F.sequence(F.col("_pos"), F.col("_pos") + (periods - 1))).alias("_end"))
             .groupBy(*[f"_k{i}" for i in range(len(keys))], "_end")
@@ -159,11 +160,12 @@ def session_spans(df: DataFrame, key: str = "user_id", ts: str = "ts", gap: str
         return s.select(key, "start", "last_active", "requests",
                         (F.unix_timestamp("last_active") + ttl_s).alias("expiry_time"))
     from skyframe.plans import ordered
+    from skyframe.session import written
     gap_s = F.expr(f"INTERVAL {gap}")
     tie = list(tie) if tie is not None else [c for c in df.columns if c not in (key, ts)]
     keys = ordered.total_order(df, [key, ts], tie)
     B = ordered.BUCKET
-    x = ordered.range_buckets(df.select(*keys), keys, num_buckets)
+    x = ordered.range_buckets(written(df.select(*keys), "session-keys"), keys, num_buckets)
     w = Window.partitionBy(key, B).orderBy(*[F.col(k) for k in keys[1:]])
     per = x.groupBy(key, B).agg(F.max(ts).alias("_last"))
     before = Window.partitionBy(key).orderBy(B).rowsBetween(Window.unboundedPreceding, -1)

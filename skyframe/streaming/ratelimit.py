@@ -85,6 +85,8 @@ def rate_limit(df: DataFrame, key: str = "user_id", ts: str = "ts", rid: str = "
                            int(round(window_s * 1_000_000)))
     y = x.join(opened.select(F.col("at").alias("_sid")), F.col("_at") == F.col("_sid"), "left").withColumnRenamed(
         "_sid", "_wstart")
+    y = _persist(y, "rl-opened")
     y = ordered.forward_fill(y, ["_wstart"], ["_at"], tie=[], num_buckets=num_buckets).filter("_login = 0")
+    y = _persist(y, "rl-windows")
     r = ordered.with_rank(y, ["_at"], group=["_wstart"], tie=[], num_buckets=num_buckets, rank_col="_pos", size_col=None)
     return r.select(*df.columns, (F.col("_pos") <= limit).alias("accepted"))
