@@ -217,14 +217,61 @@ def q_upsert(spark, sf_dir):
                           F.sum("dep_delay").alias("delay_sum")))
 
 
-@query("drift_set")
+_DRIFT_MULT = {"nation_air_1_inc": 1.25, "nation_air_2_inc": 0.75}
+_DRIFT_VALUES = ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in _DRIFT_MULT.items())
+
+
+def _uniform_sql(name):
+    return (f"(CAST('0x' || substr(md5(concat_ws('|', '{SEED}', '{name}', {KEYS}, copy)), 1, 13) AS BIGINT)"
+            " / 4503599627370496.0e0)")
+
+
+def _normal_sql(name, mu, sigma):
+    return (f"(CAST({mu} AS DOUBLE) + CAST({sigma} AS DOUBLE) * sqrt(-2.0e0 * ln(1.0e0 - {_uniform_sql(name + ':r')}))"
+            f" * cos(2.0e0 * pi() * {_uniform_sql(name + ':a')}))")
+
+
+def _pick_sql(values, name):
+    return f"list_extract([{', '.join(map(str, values))}], CAST(floor({_uniform_sql(name)} * {len(values)}) AS BIGINT) + 1)"
+
+
+@query("drift_set", with_flights(HASHED + f"""
+, smp AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY h, {KEYS}) AS place, count(*) OVER () AS every FROM s)
+          WHERE place <= floor(every * CAST(0.2 AS DOUBLE))),
+r AS (SELECT *, replace(replace(lower(airline), ' ', '_'), '.', '') AS airline_key FROM smp),
+r2 AS (SELECT *, row_number() OVER (PARTITION BY airline_key ORDER BY h, {KEYS}) AS rr,
+              count(*) OVER (PARTITION BY airline_key) AS n FROM r),
+m AS (SELECT * FROM (VALUES {_DRIFT_VALUES}) t(mk, mult)),
+c AS (SELECT r2.*, mult, greatest(1, least(CAST(floor(n * mult) AS BIGINT), CAST(n * 2.0 AS BIGINT))) AS new_n
+      FROM r2 LEFT JOIN m ON airline_key = mk),
+x AS (SELECT airline_key, 1 + CAST('0x' || substr(md5(concat_ws('|', '{SEED}', airline_key, j)), 1, 12) AS BIGINT) % n AS rr
+      FROM (SELECT airline_key, n, unnest(generate_series(1, new_n - n)) AS j
+            FROM (SELECT DISTINCT airline_key, n, new_n FROM c WHERE new_n > n) g) y),
+dr AS (SELECT airline_key, rr, count(*) AS drawn FROM x GROUP BY ALL),
+d AS (SELECT c.*, CASE WHEN mult IS NULL THEN 1 WHEN new_n >= n THEN 1 + coalesce(drawn, 0)
+                       ELSE CASE WHEN c.rr <= new_n THEN 1 ELSE 0 END END AS copies
+      FROM c LEFT JOIN dr ON c.airline_key = dr.airline_key AND c.rr = dr.rr),
+e AS (SELECT *, unnest(generate_series(1, copies)) AS copy FROM d WHERE copies > 0),
+z AS (SELECT airline, {KEYS}, copy, temp + {_normal_sql('temp', 5.0, 2.0)} AS temp,
+             dewp + 0.7e0 * {_normal_sql('temp', 5.0, 2.0)} AS dewp,
+             greatest(0e0, least(100e0, humid * {_normal_sql('humid', 1.12, 0.03)})) AS humid,
+             wind_speed * {_normal_sql('wind_speed', 1.18, 0.05)} AS wind_speed,
+             distance * {_normal_sql('distance', 1.12, 0.08)} AS distance,
+             air_time * pow(greatest({_normal_sql('distance', 1.12, 0.08)}, 0e0), 0.8e0) AS air_time,
+             pressure + {_normal_sql('pressure', -2.5, 1.5)} AS pressure,
+             CASE WHEN {_uniform_sql('jitter')} < 0.15e0
+                  THEN greatest(0, least(23, hour + {_pick_sql((-2, -1, 1, 2), 'shift')})) ELSE hour END AS hour,
+             CASE WHEN {_uniform_sql('jitter')} < 0.15e0 THEN {_pick_sql((0, 15, 30, 45), 'minute')} ELSE minute END AS minute
+      FROM e)
+SELECT airline, {KEYS}, CAST(copy AS BIGINT) AS copy, round(temp, 6) AS temp, round(dewp, 6) AS dewp, round(humid, 6) AS humid,
+       round(wind_speed, 6) AS wind_speed, round(distance, 6) AS distance, round(air_time, 6) AS air_time,
+       round(pressure, 6) AS pressure, hour, minute FROM z"""))
 def q_drift_set(spark, sf_dir):
-    """The monitoring drift set (random noise: rows-only check)."""
+    """The rows of the monitoring drift set."""
     from skyframe.operators import perturb as P
-    mult = {"nation_air_1_inc": 1.25, "nation_air_2_inc": 0.75}
-    d = P.make_drift_set(raw(spark, sf_dir), ROW_KEYS, SEED, mult)
-    return present(d.groupBy("airline").agg(F.count(F.lit(1)).alias("rows"), F.avg("temp").alias("temp"),
-                                            F.max("humid").alias("max_humid"), F.max("hour").alias("max_hour")))
+    d = P.make_drift_set(raw(spark, sf_dir), ROW_KEYS, SEED, _DRIFT_MULT)
+    return present(d.select("airline", *ROW_KEYS, F.col("copy").cast("long").alias("copy"), "temp", "dewp", "humid",
+                            "wind_speed", "distance", "air_time", "pressure", "hour", "minute"))
 
 
 _CLOCK = 1704067200
@@ -243,7 +290,6 @@ def q_envelope(spark, sf_dir):
                  F.max("expiry_time").alias("expires"), F.count("dep_delay").alias("with_target"))
 
 
-_DRIFT_MULT = {"nation_air_1_inc": 1.25, "nation_air_2_inc": 0.75}
 _DRIFT_CASE = " ".join(
     f"WHEN airline_key = '{k}' THEN greatest(1, least(CAST(floor(n * CAST({v} AS DOUBLE)) AS BIGINT), n * 2))"
     for k, v in _DRIFT_MULT.items())

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -80,12 +81,12 @@ def scratch_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
     if root.startswith("file:"):
         root = root[len("file:"):]
     path = os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
-    (_LASTING if lasting else _SCRATCH).append(path)
+    (_SCRATCH if lasting else getattr(_SCOPE, "paths", _SCRATCH)).append(path)
     return path
 
 
 _SCRATCH: list[str] = []
-_LASTING: list[str] = []
+_SCOPE = threading.local()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -96,10 +97,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _drop(spark: SparkSession, paths: list[str], keep: int) -> int:
+def _drop(spark: SparkSession, paths: list[str]) -> int:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     gone = 0
-    while len(paths) > keep:
+    while paths:
         path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         gone += bool(path.getFileSystem(conf).delete(path, True))
     return gone
@@ -110,15 +111,19 @@ def drop_scratch(spark: SparkSession) -> int:
     them must be consumed or written elsewhere first); the number deleted.
     Long sessions call it between jobs; a cluster's checkpoint folder is
     otherwise cleaned with the application."""
-    return _drop(spark, _SCRATCH, 0) + _drop(spark, _LASTING, 0)
+    return _drop(spark, _SCRATCH)
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession):
-    """Deletes the scratch folders that were handed out inside the block.
-    For jobs whose result is written elsewhere before the block ends."""
-    outer = len(_SCRATCH)
+    """Deletes the scratch folders that this thread was handed out inside the
+    block. For jobs whose result is written elsewhere before the block ends."""
+    outer, _SCOPE.paths = getattr(_SCOPE, "paths", None), []
     try:
         yield
     finally:
-        _drop(spark, _SCRATCH, outer)
+        _drop(spark, _SCOPE.paths)
+        if outer is None:
+            del _SCOPE.paths
+        else:
+            _SCOPE.paths = outer

@@ -216,6 +216,16 @@ def dedupe_stream(df: DataFrame, key, ts: str = "ts", watermark: str | None = No
     return first.select("_r.*")
 
 
+def one_per_key(df: DataFrame, keys) -> DataFrame:
+    """The smallest row (all orderable columns, in their order) of every key:
+    which of several rows of a key is taken never depends on their order."""
+    from skyframe.plans.ordered import total_order
+    keys = list(keys)
+    first = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.min_by(F.struct(*df.columns), F.struct(*total_order(df, []))).alias("_r"))
+    return first.select("_r.*")
+
+
 # M7
 def live_board(df: DataFrame, as_of_epoch: int, key: str = "id", arrived: str = "arrived",
                predicted_at: str = "predicted_at", n: int = 12, linger_s: int = 3) -> DataFrame:
@@ -255,14 +265,15 @@ def upsert_batch(updates: DataFrame, table_path: str, keys, cols, part: str) ->
     The table is partitioned by ``part``, a column that the key decides (a
     record's day): only the partitions of the batch are read, staged and
     overwritten. Setting the same values again changes nothing, so a batch
-    that is replayed after a crash leaves the table as it was."""
+    that is replayed after a crash leaves the table as it was. Of several
+    records with the same key in one micro-batch the smallest counts."""
     from skyframe.operators.relational import upsert_by_key
-    from skyframe.session import scratch_path
+    from skyframe.session import scratch_path, written
     from skyframe.sources.files import path_exists
 
     spark = updates.sparkSession
     stage = scratch_path(spark, "upsert")
-    updates = updates.dropDuplicates(list(keys))
+    updates = written(one_per_key(updates, keys), "updates")
     if path_exists(spark, table_path):
         touched = updates.select(F.col(part).alias("_part")).distinct()     # the days of one micro-batch
         target = spark.read.schema(updates.schema).parquet(table_path)
@@ -292,7 +303,7 @@ def scoring_stream(events: DataFrame, model, reference_aggs: DataFrame | None, o
     into it), and an upsert of each micro-batch into the table at
     ``out_path`` by ``keys`` (see ``upsert_batch``)."""
     from skyframe.operators.features import group_aggregates, serving_features
-    from skyframe.session import scratch_path
+    from skyframe.session import scratch_path, scratch_scope, written
 
     aggs = None
     if reference_aggs is not None:
@@ -305,11 +316,16 @@ def scoring_stream(events: DataFrame, model, reference_aggs: DataFrame | None, o
         aggs = tuple(spark.read.parquet(p) for p in paths)
 
     def per_batch(batch: DataFrame, batch_id: int):
+        with scratch_scope(batch.sparkSession):
+            score_and_set(one_per_key(batch, keys))
+
+    def score_and_set(batch: DataFrame):
+        batch = written(batch, "batch")
         feats = serving_features(batch, aggregates=aggs, passthrough=list(keys))
         scored = model.transform(feats).select(
             *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.round("prediction", 2).alias("_p"))
         same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-        records = batch.join(scored.dropDuplicates([f"_k{i}" for i in range(len(keys))]), same, "left")
+        records = batch.join(scored, same, "left")
         records = records.withColumn(prediction, F.col("_p")).select(*batch.columns)
         upsert_batch(records, out_path, keys, [prediction], part)
 

@@ -12,7 +12,7 @@ from skyframe.operators import clean
 from skyframe.operators import features as FE
 from skyframe.operators import models as M
 from skyframe.operators import sampling as S
-from skyframe.plans.flights import ROW_KEYS, flights
+from skyframe.plans.flights import ROW_KEYS, flights, materialise
 from skyframe.sources import files as A
 from skyframe.streaming import live as L
 from skyframe.tables import table
@@ -20,7 +20,8 @@ from tests.conftest import SF_SMALL
 
 
 def _cleaned(spark):
-    return clean.clean_flights(flights(spark, SF_SMALL))
+    """The processed table, written once: model fits read it many times."""
+    return materialise(spark, "test-processed", lambda: clean.clean_flights(flights(spark, SF_SMALL)))
 
 
 def test_parse_params():
