@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from skyframe.llm.exact_dedup import exact_groups
+from skyframe.llm.hard_negatives import mine
 from skyframe.llm.lm_scoring import score_texts
 from skyframe.llm.mixing import replicate
 from skyframe.llm.ngram_join import near_classes
 from skyframe.llm.packing import pack
+from skyframe.llm.prefix_trie import prefix_trie
 from skyframe.llm.quality_rules import repetition_rules
 from skyframe.llm.registry import ORACLE, QUERIES, documents, query
 from skyframe.llm.substring_dedup import remove_repeats
@@ -131,3 +134,34 @@ def op2_ngram_join(spark, sf_dir):
 def op8_substring_dedup(spark, sf_dir):
     return remove_repeats(documents(spark, sf_dir), k=13, with_text=False).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op11_prefix_trie")
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), family=20, most=4)
+
+
+OP13_SQL = """
+WITH r AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same,
+             CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.id % 50 = 0 AND a.id <> b.id),
+pos AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM p WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score,
+       score AS negative_score
+FROM pos JOIN p USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13_hard_negatives(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows, F.col("id") % 50 == 0, label=moved, positives=5, negatives=3, low=50, high=95, scale=256)
