@@ -143,9 +143,9 @@ def op11_prefix_trie(spark, sf_dir):
 
 OP13_SQL = """
 WITH r AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                  list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+                  [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 p AS (SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same,
              CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
       FROM r a JOIN r b ON a.id % 50 = 0 AND a.id <> b.id),
