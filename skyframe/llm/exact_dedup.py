@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyframe.llm.bitmaps import flag_members
+from skyframe.llm.bitmaps import flag_members, keep_rows
 from skyframe.session import scratch_path
 
 PREFIX_CHARS = 64
@@ -73,6 +73,27 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Rows without an id stay."""
-    gone = exact_groups(docs, id_col, text_col).filter("not kept").select(id_col)
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """One row of each group of equal texts, with all columns.
+
+    The row with the most code points stays, then the smallest id (null ids
+    first), then the smallest row by hash. Rows that repeat an id and a text
+    are one. An empty table stays empty. Other columns may have any name but
+    those that begin with two underscores.
+    """
+    spark = docs.sparkSession
+    text = F.col(text_col)
+    keyed = docs.select(
+        F.col(id_col).alias("id"), F.coalesce(F.length(text), F.lit(0)).alias("n_chars"), F.xxhash64(id_col, text_col).alias("row"),
+        normalised(text).alias("norm"))
+    keyed = keyed.select("*", F.length("norm").alias("norm_len"), F.xxhash64(F.substring("norm", 1, PREFIX_CHARS)).alias("prefix_hash"))
+    key = ["norm_len", "prefix_hash"]
+    several = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    twins = flag_members(keyed, several, key, "survives").filter("survives").select(
+        "id", "row", "n_chars", F.unhex(F.sha2("norm", 256)).alias("full_hash"))
+    path = scratch_path(spark, "exact-rows")
+    twins.write.parquet(path)
+    twins = spark.read.schema(twins.schema).parquet(path)
+    best = twins.groupBy("full_hash").agg(F.min(F.struct((-F.col("n_chars")).alias("order"), "id", "row")).alias("b")).select(
+        "full_hash", F.col("b.row").alias("best"))
+    fate = twins.groupBy("full_hash", "row").agg(F.count(F.lit(1)).alias("copies")).join(best, "full_hash")
+    return keep_rows(docs, fate.select("row", (F.col("row") == F.col("best")).alias("kept"), "copies"), id_col, text_col)

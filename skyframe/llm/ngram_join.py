@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyframe.llm.bitmaps import flag_members
+from skyframe.llm.bitmaps import flag_members, keep_rows
 from skyframe.llm.components import components
 from skyframe.llm.texts import buffers, lower, mix, slices, spans_hash, window_positions, windows_hash, words
 from skyframe.session import scratch_path
@@ -95,9 +95,10 @@ def _table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def _profile(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """(id, n, node) of every row, and the parts of every task's sketch."""
+    """(id, row, n, node) of every row, and the parts of every task's sketch."""
     spark = docs.sparkSession
-    schema = T.StructType([docs.schema["id"], T.StructField("n", T.LongType()), T.StructField("node", T.LongType()),
+    schema = T.StructType([docs.schema["id"], T.StructField("row", T.LongType()), T.StructField("n", T.LongType()),
+                           T.StructField("node", T.LongType()),
                            T.StructField("part", T.IntegerType()), T.StructField("counts", T.BinaryType()),
                            T.StructField("kind", T.IntegerType())])
 
@@ -113,21 +114,21 @@ def _profile(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
                     slot = np.concatenate(sets) & np.uint64(SKETCH - 1)
                     sketch += np.bincount(slot.astype(np.int64), minlength=SKETCH).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays([
-                    piece.column("id"), pa.array([len(s) for s in sets], pa.int64()),
+                    piece.column("id"), piece.column("row"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([signature(s) for s in sets], pa.int64()), pa.nulls(m, pa.int32()),
                     pa.nulls(m, pa.binary()), pa.array(np.zeros(m, np.int32))], names=schema.names)
         if id_type is not None:
             parts = range(SKETCH // _PART)
             m = len(parts)
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(m, id_type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(parts, pa.int32()),
+                pa.nulls(m, id_type), *[pa.nulls(m, pa.int64())] * 3, pa.array(parts, pa.int32()),
                 pa.array([sketch[p * _PART:(p + 1) * _PART].astype("<u8").tobytes() for p in parts], pa.binary()),
                 pa.array(np.ones(m, np.int32))], names=schema.names)
 
     path = scratch_path(spark, "shingle-profile")
     docs.mapInArrow(run, schema).write.partitionBy("kind").parquet(path)
     rows = spark.read.schema(schema).parquet(path)
-    return rows.filter("kind = 0").select("id", "n", "node"), rows.filter("kind = 1").select("part", "counts")
+    return rows.filter("kind = 0").select("id", "row", "n", "node"), rows.filter("kind = 1").select("part", "counts")
 
 
 def _sum_sketch(parts: DataFrame) -> np.ndarray:
@@ -151,33 +152,37 @@ def _sum_sketch(parts: DataFrame) -> np.ndarray:
     return out
 
 
+PACKED = "bucket int, hot boolean, nodes binary, sizes binary, counts binary, shingles binary"
+
+
+def pack_prefixes(runs: list, buckets: int, salt: int) -> pa.RecordBatch:
+    """One row per bucket of runs (shingles, nodes, sizes, hot); hot shingles are spread by ``salt``."""
+    h = np.concatenate([r[0] for r in runs])
+    node = np.concatenate([r[1] for r in runs])
+    size = np.concatenate([r[2] for r in runs])
+    often = np.concatenate([r[3] for r in runs])
+    bucket = ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+    bucket = np.where(often, (bucket + salt) % buckets, bucket) * 2 + often
+    o = np.lexsort((node, bucket))
+    h, node, size, bucket = h[o], node[o], size[o], bucket[o]
+    head = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (node[1:] != node[:-1])]))
+    count = np.diff(np.append(head, len(h))).astype("<u4")
+    of = bucket[head]
+    cut = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]]))
+    low = np.append(head, len(h))
+    rows = [(int(of[a]) >> 1, bool(of[a] & 1), node[head[a:b]].tobytes(), size[head[a:b]].tobytes(),
+             count[a:b].tobytes(), h[low[a]:low[b]].tobytes() if of[a] & 1 else
+             (h[low[a]:low[b]] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
+            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+    cols = list(zip(*rows))
+    kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)],
+                                      names=["bucket", "hot", "nodes", "sizes", "counts", "shingles"])
+
+
 def _prefixes(docs: DataFrame, order: np.ndarray, k: int, percent: int, buckets: int, hot: int) -> DataFrame:
     """Packed prefix shingles: one row per bucket and merged run of texts; shingles counted ``hot`` times or more apart."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
-    schema = "bucket int, hot boolean, nodes binary, sizes binary, counts binary, shingles binary"
-
-    def pack(runs: list, salt: int):
-        h = np.concatenate([r[0] for r in runs])
-        node = np.concatenate([r[1] for r in runs])
-        size = np.concatenate([r[2] for r in runs])
-        often = np.concatenate([r[3] for r in runs])
-        bucket = ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-        bucket = np.where(often, (bucket + salt) % buckets, bucket) * 2 + often
-        o = np.lexsort((node, bucket))
-        h, node, size, bucket = h[o], node[o], size[o], bucket[o]
-        head = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (node[1:] != node[:-1])]))
-        count = np.diff(np.append(head, len(h))).astype("<u4")
-        of = bucket[head]
-        cut = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]]))
-        low = np.append(head, len(h))
-        rows = [(int(of[a]) >> 1, bool(of[a] & 1), node[head[a:b]].tobytes(), size[head[a:b]].tobytes(),
-                 count[a:b].tobytes(), h[low[a]:low[b]].tobytes() if of[a] & 1 else
-                 (h[low[a]:low[b]] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
-                for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
-        cols = list(zip(*rows))
-        kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)],
-                                          names=["bucket", "hot", "nodes", "sizes", "counts", "shingles"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = shared.value
@@ -196,12 +201,12 @@ def _prefixes(docs: DataFrame, order: np.ndarray, k: int, percent: int, buckets:
                     runs.append((s[o], np.full(len(o), node, "<i8"), np.full(len(o), n, "<i4"), count[o] >= hot))
                     held += len(o)
                 if held > _FLUSH:
-                    yield pack(runs, salt)
+                    yield pack_prefixes(runs, buckets, salt)
                     runs, held, seen, salt = [], 0, set(), salt + 1
         if runs:
-            yield pack(runs, salt)
+            yield pack_prefixes(runs, buckets, salt)
 
-    return docs.select("text").mapInArrow(run, schema)
+    return docs.select("text").mapInArrow(run, PACKED)
 
 
 def _lists(packed: DataFrame, percent: int) -> DataFrame:
@@ -382,68 +387,82 @@ def _own_sets(table: pa.Table, k: int) -> dict[int, np.ndarray]:
     return out
 
 
-def _search_shards(rows: DataFrame, k: int, percent: int) -> DataFrame:
+def _groups_of(sets: dict[int, np.ndarray], percent: int) -> dict[int, int]:
+    """The group of every set, after a search of each among those before it."""
+    index, place = Groups(percent, _shared(sets.values())), {}
+    for node in sorted(sets, key=lambda v: (len(sets[v]), v)):
+        x = sets[node]
+        found = index.search(x)
+        g = found[0] if found else index.new()
+        for other in found[1:]:
+            g = index.merge(g, other)
+        index.add(x, g)
+        place[node] = g
+    return {node: index.find(g) for node, g in place.items()}
+
+
+def _links_of(here: dict, sent: dict, comp: dict, percent: int) -> list[tuple[int, int]]:
+    """Components (``comp`` by node) that a sent set and one that lies here link."""
+    index, slot, edges = Groups(percent, _shared([*here.values(), *sent.values()])), {}, []
+    for node, x in sorted(here.items()):
+        c = comp[node]
+        if c not in slot:
+            slot[c] = index.new()
+        index.add(x, slot[c])
+    comp_of = {s: c for c, s in slot.items()}
+    for node, x in sorted(sent.items()):
+        c = comp[node]
+        if c not in slot:
+            slot[c] = index.new()
+            comp_of[slot[c]] = c
+        for g in index.search(x, slot[c]):
+            edges.append((c, comp_of[g]))
+            kept = index.merge(slot[c], g)
+            comp_of[kept] = c
+    return edges
+
+
+def _search_shards(rows: DataFrame, k: int, percent: int, groups_of=_groups_of) -> DataFrame:
     """node, label: the smallest node of each group found among the sets of a shard."""
 
     def search(table: pa.Table) -> pa.Table:
-        sets = _own_sets(table, k)
-        index, place = Groups(percent, _shared(sets.values())), {}
-        for node in sorted(sets, key=lambda v: (len(sets[v]), v)):
-            x = sets[node]
-            found = index.search(x)
-            g = found[0] if found else index.new()
-            for other in found[1:]:
-                g = index.merge(g, other)
-            index.add(x, g)
-            place[node] = g
+        group = groups_of(_own_sets(table, k), percent)
         least: dict[int, int] = {}
-        for node, g in place.items():
-            g = index.find(g)
+        for node, g in group.items():
             least[g] = min(least.get(g, node), node)
-        nodes = list(place)
-        return pa.table([pa.array(nodes, pa.int64()), pa.array([least[index.find(place[v])] for v in nodes], pa.int64())],
+        return pa.table([pa.array(list(group), pa.int64()), pa.array([least[g] for g in group.values()], pa.int64())],
                         names=["node", "label"])
 
     return rows.groupBy("shard").applyInArrow(search, "node long, label long")
 
 
-def _search_across(index_rows: DataFrame, query_rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """u, v: groups linked by a set that was sent to a shard and one that lies there."""
+def _search_across(index_rows: DataFrame, query_rows: DataFrame, k: int, percent: int, links_of=_links_of) -> DataFrame:
+    """u, v: groups linked by a set that was sent to a (shard, part) and one that lies there."""
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         edges = []
         if left.num_rows and right.num_rows:
-            here, sent = _own_sets(left, k), _own_sets(right, k)
-            index, slot = Groups(percent, _shared([*here.values(), *sent.values()])), {}
-            group = dict(zip(left.column("node").to_pylist(), left.column("comp").to_pylist()))
-            for node, x in sorted(here.items()):
-                c = group[node]
-                if c not in slot:
-                    slot[c] = index.new()
-                index.add(x, slot[c])
-            comp_of = {s: c for c, s in slot.items()}
-            group = dict(zip(right.column("node").to_pylist(), right.column("comp").to_pylist()))
-            for node, x in sorted(sent.items()):
-                c = group[node]
-                if c not in slot:
-                    slot[c] = index.new()
-                    comp_of[slot[c]] = c
-                for g in index.search(x, slot[c]):
-                    edges.append((c, comp_of[g]))
-                    kept = index.merge(slot[c], g)
-                    comp_of[kept] = c
+            comp = {n: c for t in (left, right) for n, c in zip(t.column("node").to_pylist(), t.column("comp").to_pylist())}
+            edges = links_of(_own_sets(left, k), _own_sets(right, k), comp, percent)
         return pa.table([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())],
                         names=["u", "v"])
 
     # both sides come from the same documents: fresh names tell their columns apart
     sides = [d.select(*[F.col(c).alias(c) for c in d.columns]) for d in (index_rows, query_rows)]
-    return sides[0].groupBy("shard").cogroup(sides[1].groupBy("shard")).applyInArrow(search, "u long, v long")
+    return sides[0].groupBy("shard", "part").cogroup(sides[1].groupBy("shard", "part")).applyInArrow(
+        search, "u long, v long")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The columns of ``nodes`` (with the id of one of their documents) and the text; only those texts are shuffled."""
-    few = flag_members(docs.select("id", "text"), nodes, ["id"], "__wanted").filter("__wanted").drop("__wanted")
-    return few.join(nodes, "id")
+    """The columns of ``nodes`` (with the key of one of their rows) and the text; only those texts are shuffled."""
+    few = flag_members(docs.select("row", "text"), nodes, ["row"], "__wanted").filter("__wanted")
+    return few.groupBy("row").agg(F.first("text").alias("text")).join(nodes, "row")
+
+
+def with_row_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, row): rows of the same id and text have the same key, null ids too."""
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"))
 
 
 def near_classes(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text",
@@ -459,21 +478,41 @@ def near_classes(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str = "
     component of null ids alone has a null component_id). An empty table
     gives an empty result. Other columns are neither read nor kept.
     """
+    rows, classes, links = _near_links(with_row_key(docs, id_col, text_col), k, percent, shard_sets, bucket_shingles)
+    return _classes(docs.sparkSession, rows, classes, links).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _near_links(docs: DataFrame, k: int, percent: int, shard_sets: int = 2000, bucket_shingles: int = 1_000_000):
+    """(rows, classes, links): every row, every distinct set, and the component of the sets that link."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows, sketch = _profile(docs, k)
-    classes = _table(spark, rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n")), "nodes")
-
+    classes = _table(spark, set_classes(rows), "nodes")
     order = _sum_sketch(sketch)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(parts, int(order.sum()) // bucket_shingles + 1)
     members = _table(spark, _lists(_prefixes(docs, order, k, percent, buckets, max(bucket_shingles // 4, 2)), percent), "lists")
+    need = F.floor(least_overlap_col(least_overlap_col(F.col("n"), percent), percent) / 8) + 1
+    return rows, classes, link_members(docs, classes, members, need, k, percent, shard_sets, _groups_of, _links_of)
+
+
+def set_classes(rows: DataFrame) -> DataFrame:
+    """(node, id, row, n): every distinct set with its smallest id and the key of one of its rows."""
+    return rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.min("row").alias("row"), F.max("n").alias("n"))
+
 
+def link_members(docs: DataFrame, classes: DataFrame, members: DataFrame, need: Column, k: int, percent: int,
+                 shard_sets: int, groups_of, links_of) -> DataFrame:
+    """(node, comp) of the sets that share ``need`` lists (a column of n) with others; comp is a node of the component.
+
+    ``groups_of(sets, percent)`` and ``links_of(here, sent, comp, percent)``
+    search the sets of one shard, and those sent to it.
+    """
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     near = members.groupBy("node", "low").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
     near = _table(spark, near, "near")
-    need = least_overlap_col(least_overlap_col(F.col("n"), percent), percent)
-    alive = near.groupBy("node").agg(F.sum("c").alias("c"), F.max("n").alias("n")).filter(
-        F.col("c") >= 1 + F.floor(need / 8)).select("node")
+    alive = near.groupBy("node").agg(F.sum("c").alias("c"), F.max("n").alias("n")).filter(F.col("c") >= need).select("node")
     blocks = components(spark, near.join(alive, "node", "left_semi").select(F.col("node").alias("u"), F.col("low").alias("v")))
     placed = _table(spark, alive.join(blocks, "node").select("node", F.col("root").alias("block")), "blocks")
 
@@ -484,67 +523,112 @@ def near_classes(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str = "
     placed = placed.join(sizes, "block").select(
         "node", (F.col("size") > shard_sets).alias("split"),
         F.pmod(F.xxhash64("block", salt), F.lit(shards)).cast("int").alias("shard"))
-    placed = _table(spark, placed.join(classes.select("node", "id"), "node"), "shards")
-    found = _search_shards(_texts(docs, placed).select("shard", "node", "text"), k, percent)
+    placed = _table(spark, placed.join(classes.select("node", "row"), "node"), "shards")
+    found = _search_shards(_texts(docs, placed).select("shard", "node", "text"), k, percent, groups_of)
     found = _table(spark, found.join(placed, "node"), "found")
     links = found.select("node", F.col("label").alias("comp"))
 
     if largest > shard_sets:
-        split = found.filter("split").select("node", "shard", "id")
-        texts = _table(spark, _texts(docs, split.select("node", "id")).select("node", "text"), "split-texts")
+        split = found.filter("split").select("node", "shard", "row")
+        texts = _table(spark, _texts(docs, split.select("node", "row")).select("node", "text"), "split-texts")
         for every in (False, True):
-            links = _join_shards(spark, texts, members, split.join(links, "node"), links, every, k, percent)
-    return _classes(spark, rows, classes, links, id_col)
+            links = _join_shards(spark, texts, members, split.join(links, "node"), links, every, need, k, percent,
+                                 shard_sets, links_of)
+    return links
 
 
 def least_overlap_col(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100)
 
 
-def _join_shards(spark, texts, members, split, links, every: bool, k: int, percent: int) -> DataFrame:
+#: A list that lies in more shards than this is used to route a set only where its narrower lists cannot do.
+WIDE = 8
+
+
+def _routes(spark, mine: DataFrame, need: Column) -> DataFrame:
+    """(node, target): the earlier shards that may hold a link of a set to another component.
+
+    Two sets that link share ``need`` lists. With w of a set's lists wide
+    (in many shards), a link shares need - w of its narrow ones or more, so
+    these alone say where the set can go, and a list that very many sets
+    share makes no rows. Only sets with ``need`` wide lists are routed by them.
+    """
+    there = mine.groupBy("list", "shard").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    there = _table(spark, there.select("list", F.col("shard").alias("target"), "lo", "hi"), "there")
+    width = there.groupBy("list").agg((F.count(F.lit(1)) > WIDE).alias("wide"))
+    mine = _table(spark, mine.drop("target").join(width, "list"), "mine-wide")
+    least = mine.groupBy("node").agg(F.count_if("wide").alias("w"), F.max("n").alias("n")).select(
+        "node", "w", need.alias("need"))
+    mine = _table(spark, mine.join(least, "node"), "mine-need")
+
+    def reached(rows, wanted):
+        met = rows.join(there, "list").filter("target < shard and (lo != comp or hi != comp)")
+        return met.groupBy("node", "target").agg(F.count(F.lit(1)).alias("c"), F.max(wanted).alias("least")).filter(
+            "c >= least").select("node", "target")
+
+    narrow = reached(mine.filter("not wide and w < need"), F.col("need") - F.col("w"))
+    return narrow.union(reached(mine.filter("w >= need"), F.col("need")))
+
+
+def _join_shards(spark, texts, members, split, links, every: bool, need: Column, k: int, percent: int, shard_sets: int,
+                 links_of) -> DataFrame:
     """Links of nodes to groups after searching across the shards of split blocks.
 
     First one set of each group in the first shard of its lists; then, with
-    ``every``, each set in every earlier shard with which it shares a list
-    but not yet the group.
+    ``every``, each set in every earlier shard that may hold a link to
+    another group. The sets sent to one shard are dealt to parts of about
+    ``shard_sets``, each with a copy of what lies there.
     """
     split = _table(spark, split, "split")
-    mine = _table(spark, members.select("list", "node").join(split.select("node", "shard", "comp"), "node"), "split-lists")
+    mine = _table(spark, members.select("list", "node", "n").join(split.select("node", "shard", "comp"), "node"), "split-lists")
     apart = _table(spark, mine.groupBy("list").agg(
         F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("shard").alias("target")).filter("a != b"), "apart")
     mine = _table(spark, mine.join(apart, "list"), "mine")
     if every:
-        there = mine.groupBy("list", "shard").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        there = _table(spark, there.select("list", F.col("shard").alias("target"), "lo", "hi"), "there")
-        routes = mine.drop("target").join(there, "list").filter("target < shard and (lo != comp or hi != comp)").select(
-            "node", "target").distinct()
+        routes = _routes(spark, mine, need)
     else:
         routes = mine.filter("shard != target").groupBy("comp", "target").agg(F.min("node").alias("node")).select("node", "target")
     routes = _table(spark, routes, "routes")
-    wanted = routes.select(F.col("target").alias("shard")).distinct()
-    index = split.join(wanted, "shard", "left_semi").join(texts, "node")
-    queries = routes.join(split.select("node", "comp"), "node").join(texts, "node").select(
-        F.col("target").alias("shard"), "node", "comp", "text")
-    edges = _search_across(index.select("shard", "node", "comp", "text"), queries, k, percent)
+    wanted = _table(spark, routes.groupBy(F.col("target").alias("shard")).agg(
+        F.ceil(F.count(F.lit(1)) / shard_sets).cast("int").alias("parts")), "wanted")
+    index = split.join(wanted, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    queries = routes.withColumnRenamed("target", "shard").join(wanted, "shard").join(split.select("node", "comp"), "node").select(
+        "shard", "node", "comp", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
+    columns = ["shard", "part", "node", "comp", "text"]
+    edges = _search_across(index.join(texts, "node").select(*columns), queries.join(texts, "node").select(*columns), k,
+                           percent, links_of)
     roots = components(spark, _table(spark, edges, "links")).select(F.col("node").alias("comp"), "root")
     roots = _table(spark, roots, "roots")
     return _table(spark, links.join(roots, "comp", "left").select(
         "node", F.coalesce("root", "comp").alias("comp")), "merged")
 
 
-def _classes(spark, rows: DataFrame, classes: DataFrame, links: DataFrame, id_col: str) -> DataFrame:
-    """Every row with the smallest id of its class. Tables are written before joins on keys that many rows share."""
+def _classes(spark, rows: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, row, n, comp, component_id): every row with the smallest id of its class; comp is null without shingles.
+
+    Tables are written before joins on keys that many rows share.
+    """
     named = _table(spark, classes.select("node", "id").join(links, "node", "left").select(
         "node", "id", F.coalesce("comp", "node").alias("comp")), "named")
     least = _table(spark, named.groupBy("comp").agg(F.min("id").alias("component_id")), "least")
-    named = _table(spark, named.join(least, "comp").select("node", "component_id"), "components")
-    out = rows.filter("n > 0").join(named, "node").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    named = _table(spark, named.join(least, "comp").select("node", "comp", "component_id"), "components")
+    out = rows.filter("n > 0").join(named, "node").select("id", "row", "n", "comp", "component_id")
     return out.unionByName(rows.filter("n = 0").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
+        "id", "row", "n", F.lit(None).cast("long").alias("comp"), F.col("id").alias("component_id")))
 
 
 def drop_near(docs: DataFrame, k: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each class, the one with the smallest id, with all columns. Rows without an id stay."""
-    gone = near_classes(docs, k, percent, id_col, text_col).filter(F.col(id_col) != F.col("component_id")).select(id_col)
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """One row of each class, with all columns.
+
+    The row with the smallest id stays (null ids last), of several rows with
+    that id the one with the smallest hash of id and text; rows that repeat
+    both are one, of which the smallest by all columns stays. Rows without
+    shingles stay. An empty table stays empty. Other columns may have any
+    name but those that begin with two underscores.
+    """
+    rows, classes, links = _near_links(with_row_key(docs, id_col, text_col), k, percent)
+    every = _table(docs.sparkSession, _classes(docs.sparkSession, rows, classes, links).filter("n > 0"), "near-rows")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
+    best = every.groupBy("comp").agg(first.alias("b")).select("comp", F.col("b.row").alias("best"))
+    fate = every.groupBy("comp", "row").agg(F.count(F.lit(1)).alias("copies")).join(best, "comp")
+    return keep_rows(docs, fate.select("row", (F.col("row") == F.col("best")).alias("kept"), "copies"), id_col, text_col)

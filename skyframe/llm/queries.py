@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from skyframe.llm import bottomk_join
 from skyframe.llm.exact_dedup import exact_groups
 from skyframe.llm.hard_negatives import mine
 from skyframe.llm.lm_scoring import score_texts
@@ -141,6 +142,11 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"), family=20, most=4)
 
 
+@query("op12_bottomk_join")
+def op12_bottomk_join(spark, sf_dir):
+    return bottomk_join.near_classes(documents(spark, sf_dir), k=5, percent=85)
+
+
 OP13_SQL = """
 WITH r AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                   [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
