@@ -18,6 +18,7 @@ library treats them by its own default.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,10 +53,21 @@ def cuts(buf: np.ndarray) -> np.ndarray:
     return out
 
 
+_SHARED: dict[str, "Encoder"] = {}
+
+
+def shared_encoder(path: str) -> "Encoder":
+    """One encoder per worker process and vocabulary file: a worker's tasks load it once and share its chunks."""
+    if path not in _SHARED:
+        _SHARED.clear()
+        _SHARED[path] = Encoder(path)
+    return _SHARED[path]
+
+
 class Encoder:
-    """Encodes texts; keeps a bounded number of encoded chunks between batches."""
+    """Encodes texts; keeps a bounded number of encoded chunks between batches, the often seen ones longest."""
 
-    def __init__(self, path: str, cached: int = 250_000, group: int = 50):
+    def __init__(self, path: str, cached: int = 500_000, group: int = 50):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.cached, self.group, self.path = cached, group, path
         if path.endswith(".model"):
@@ -79,6 +91,21 @@ class Encoder:
         self.counts = np.zeros(0, np.int64)
         self.begins = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.hits = np.zeros(0, np.int32)
+
+    def _forget(self, room: int) -> None:
+        """Keep the chunks that were seen again, at most half of the bound; none when ``room`` is still not there."""
+        order = np.argsort(-self.hits, kind="stable")[:self.cached // 2]
+        keep = np.sort(order[self.hits[order] > 1])
+        if len(keep) + room > self.cached:
+            self._clear()
+            return
+        names = list(self.seen)  # in the order of their numbers
+        self.seen = {names[i]: n for n, i in enumerate(keep.tolist())}
+        self.ids = self.ids[ragged(self.begins[keep], self.counts[keep])]
+        self.counts = self.counts[keep]
+        self.begins = np.cumsum(self.counts) - self.counts
+        self.hits = self.hits[keep] // 2
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         if self.piece is not None:
@@ -112,17 +139,22 @@ class Encoder:
 
     @staticmethod
     def _flat(lists: list[list[int]]) -> np.ndarray:
-        return np.fromiter((i for x in lists for i in x), np.uint32, sum(map(len, lists)))
+        return np.fromiter(chain.from_iterable(lists), np.uint32, sum(map(len, lists)))
 
-    def _look_up(self, values: list[bytes]) -> np.ndarray:
+    def _known(self, values: list[bytes]) -> np.ndarray:
         get = self.seen.get
-        at = np.fromiter((get(v, -1) for v in values), np.int64, len(values))
+        return np.fromiter((get(v, -1) for v in values), np.int64, len(values))
+
+    def _look_up(self, values: list[bytes]) -> np.ndarray:
+        at = self._known(values)
         new = np.flatnonzero(at < 0)
+        if len(new) and len(self.seen) and len(self.seen) + len(new) > self.cached:
+            self._forget(len(new))
+            at = self._known(values)
+            new = np.flatnonzero(at < 0)
+        self.hits[at[at >= 0]] += 1
         if len(new) == 0:
             return at
-        if len(self.seen) and len(self.seen) + len(new) > self.cached:
-            self._clear()
-            new = np.arange(len(values))
         fresh = [values[i] for i in new]
         ids, counts = self._distinct(fresh)
         at[new] = np.arange(len(self.counts), len(self.counts) + len(new))
@@ -130,6 +162,7 @@ class Encoder:
         self.begins = np.concatenate([self.begins, len(self.ids) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
         self.ids = np.concatenate([self.ids, ids])
+        self.hits = np.concatenate([self.hits, np.ones(len(counts), np.int32)])
         return at
 
     def _part(self, buf: np.ndarray, off: np.ndarray, want_ids: bool):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyframe.llm.encode import Encoder
+from skyframe.llm.encode import shared_encoder
 from skyframe.llm.texts import slices
 from skyframe.session import scratch_path
 
@@ -155,7 +155,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_c
         T.StructField("task_rank", T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for part in slices(batch, "text", 8 << 20):

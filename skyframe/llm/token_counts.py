@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from skyframe.llm.encode import Encoder
+from skyframe.llm.encode import shared_encoder
 from skyframe.llm.texts import buffers, slices
 
 
@@ -32,7 +32,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str
                            T.StructField("over_limit", T.BooleanType())])
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         for batch in batches:
             for part in slices(batch, text_col, batch_bytes):
                 _, off = buffers(part.column(text_col))

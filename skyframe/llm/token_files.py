@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyframe.llm.encode import Encoder
+from skyframe.llm.encode import shared_encoder
 from skyframe.llm.texts import slices
 
 ORC_OPTIONS = {
@@ -52,7 +52,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         file, done = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in slices(batch, "text", 8 << 20):
