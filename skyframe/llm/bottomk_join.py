@@ -137,88 +137,88 @@ def estimate(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return int((count[:KEEP] == 2).sum()), min(len(values), KEEP)
 
 
-def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    """Whether two sets link: by size, by the estimate, then exactly."""
-    a, b = len(x), len(y)
-    if 100 * min(a, b) < percent * max(a, b):
-        return False
+def passes(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether the estimate from two sets' sketches leaves room for a link."""
     both, of = estimate(x[:KEEP], y[:KEEP])
-    if both < min(estimate_bound(percent), least_overlap(of, percent)):
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= percent * (a + b - both)
-
-
-class _Joined:
-    """Union-find."""
-
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def find(self, g: int) -> int:
-        while self.parent[g] != g:
-            self.parent[g] = self.parent[self.parent[g]]
-            g = self.parent[g]
-        return g
-
-    def join(self, a: int, b: int) -> None:
-        self.parent[max(a, b)] = min(a, b)
+    return both >= min(estimate_bound(percent), least_overlap(of, percent))
 
 
 class Lists:
-    """Inverted lists of the retained values of some sets; positions of the sets ascend in every list."""
+    """Inverted lists of the first ``keep`` values of some sets (of all values without it)."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        sketches = [s[:KEEP] for s in sets]
-        values = np.concatenate(sketches) if sketches else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sketches])
+    def __init__(self, sets: list[np.ndarray], keep: int | None = None):
+        cut = [s[:keep] for s in sets]
+        values = np.concatenate(cut) if cut else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in cut])
         order = np.argsort(values, kind="stable")
         self.owner, self.n = owner[order], len(sets)
         self.values, self.start = np.unique(values[order], return_index=True)
         self.count = np.diff(np.append(self.start, len(order)))
 
-    def overlaps(self, sketch: np.ndarray) -> np.ndarray:
-        """How many values of a sketch each set holds."""
-        at = np.searchsorted(self.values, sketch)
-        at = at[at < len(self.values)]
-        at = at[self.values[at] == sketch[:len(at)]]
+    def overlaps(self, values: np.ndarray) -> np.ndarray:
+        """How many of the ascending values each set holds."""
+        at = np.searchsorted(self.values, values)
+        inside = at < len(self.values)
+        at = at[inside][self.values[at[inside]] == values[inside]]
         return np.bincount(self.owner[ragged(self.start[at], self.count[at])], minlength=self.n)
 
 
+#: Candidates of one set up to which each is estimated; more are verified at once by the lists of whole sets.
+FEW = 200
+
+
+class Search:
+    """Sets of one shard with their groups: retained lists for overlaps, whole lists for the exact check."""
+
+    def __init__(self, sets: list[np.ndarray], searched: int, percent: int):
+        self.sets, self.percent, self.size = sets, percent, np.array([len(s) for s in sets], np.int64)
+        self.retained, self.searched = Lists(sets[:searched], KEEP), searched
+        self.whole: Lists | None = None
+        self.group = np.arange(len(sets))
+
+    def join(self, i: int, j: int) -> None:
+        a, b = sorted((self.group[i], self.group[j]))
+        if a != b:
+            self.group[self.group == b] = a
+
+    def link(self, i: int, upto: int) -> list[int]:
+        """Join set i with the group of every set before ``upto`` that it links to; one set of each such group."""
+        x = self.sets[i]
+        near = np.flatnonzero(self.retained.overlaps(x[:KEEP])[:upto] >= int(least(len(x), self.percent)))
+        near = near[self.group[near] != self.group[i]]
+        small, large = np.minimum(self.size[near], len(x)), np.maximum(self.size[near], len(x))
+        near = near[100 * small >= self.percent * large]
+        if len(near) <= FEW:
+            near = near[[passes(x, self.sets[j], self.percent) for j in near.tolist()]] if len(near) else near
+        if not len(near):
+            return []
+        if self.whole is None:
+            self.whole = Lists(self.sets[:self.searched])
+        both = self.whole.overlaps(x)[near]
+        near = near[100 * both >= self.percent * (self.size[near] + len(x) - both)]
+        near = near[np.unique(self.group[near], return_index=True)[1]]
+        for j in near.tolist():
+            self.join(i, j)
+        return near.tolist()
+
+
 def groups_of(sets: dict[int, np.ndarray], percent: int) -> dict[int, int]:
     """The group of every set, after a search of each among those before it."""
     nodes = sorted(sets, key=lambda v: (len(sets[v]), v))
-    every = [sets[v] for v in nodes]
-    lists, groups = Lists(every), _Joined(len(every))
-    for i, x in enumerate(every):
-        _link_all(i, x, lists.overlaps(x[:KEEP])[:i], every, groups, percent, None)
-    return {v: groups.find(i) for i, v in enumerate(nodes)}
-
-
-def _link_all(i: int, x: np.ndarray, overlap: np.ndarray, every: list, groups: _Joined, percent: int, edges) -> None:
-    """Join x (number i) with each other group that has a similar set, the largest overlaps first."""
-    near = np.flatnonzero(overlap >= int(least(len(x), percent)))
-    for j in near[np.argsort(-overlap[near], kind="stable")].tolist():
-        a, b = groups.find(i), groups.find(j)
-        if a != b and similar(x, every[j], percent):
-            if edges is not None:
-                edges.append((i, j))
-            groups.join(a, b)
+    search = Search([sets[v] for v in nodes], len(nodes), percent)
+    for i in range(len(nodes)):
+        search.link(i, i)
+    return dict(zip(nodes, search.group.tolist()))
 
 
 def links_of(here: dict, sent: dict, comp: dict, percent: int) -> list[tuple[int, int]]:
     """Components (``comp`` by node) that a sent set and one that lies here link."""
-    lie, come = sorted(here), sorted(sent)
-    every = [here[v] for v in lie] + [sent[v] for v in come]
-    lists, groups, first, edges = Lists(every[:len(lie)]), _Joined(len(every)), {}, []
-    for i, v in enumerate(lie + come):
-        a, b = groups.find(i), groups.find(first.setdefault(comp[v], i))
-        if a != b:
-            groups.join(a, b)
-    for i, v in enumerate(come, len(lie)):
-        _link_all(i, every[i], lists.overlaps(every[i][:KEEP]), every, groups, percent, edges)
-    names = lie + come
-    return [(comp[names[i]], comp[names[j]]) for i, j in edges]
+    nodes = sorted(here) + sorted(sent)
+    search, first, edges = Search([*map(here.get, sorted(here)), *map(sent.get, sorted(sent))], len(here), percent), {}, []
+    search.group = np.array([first.setdefault(comp[v], i) for i, v in enumerate(nodes)])
+    for i in range(len(here), len(nodes)):
+        edges += [(comp[nodes[i]], comp[nodes[j]]) for j in search.link(i, len(here))]
+    return edges
 
 
 def near_classes(docs: DataFrame, k: int = 5, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",

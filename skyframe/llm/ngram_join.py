@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyframe.llm.bitmaps import flag_members, keep_rows
-from skyframe.llm.components import components
+from skyframe.llm.components import components, few_tasks
 from skyframe.llm.texts import buffers, lower, mix, slices, spans_hash, window_positions, windows_hash, words
 from skyframe.session import scratch_path
 
@@ -88,9 +88,10 @@ def _spare(n, percent: int):
     return least_overlap(n, percent) // 8
 
 
-def _table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _table(spark: SparkSession, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` written and read again; a narrow one of at most ``rows`` rows by few tasks."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df if rows is None else few_tasks(df, rows)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -511,19 +512,20 @@ def link_members(docs: DataFrame, classes: DataFrame, members: DataFrame, need:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     near = members.groupBy("node", "low").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
-    near = _table(spark, near, "near")
+    m = members.count()
+    near = _table(spark, near, "near", m)
     alive = near.groupBy("node").agg(F.sum("c").alias("c"), F.max("n").alias("n")).filter(F.col("c") >= need).select("node")
     blocks = components(spark, near.join(alive, "node", "left_semi").select(F.col("node").alias("u"), F.col("low").alias("v")))
-    placed = _table(spark, alive.join(blocks, "node").select("node", F.col("root").alias("block")), "blocks")
+    placed = _table(spark, alive.join(blocks, "node").select("node", F.col("root").alias("block")), "blocks", m)
 
-    sizes = _table(spark, placed.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "block-sizes")
+    sizes = _table(spark, placed.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "block-sizes", m)
     total, largest = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
     shards = max(parts, -(-total // shard_sets))
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / shard_sets).cast("long"))
     placed = placed.join(sizes, "block").select(
         "node", (F.col("size") > shard_sets).alias("split"),
         F.pmod(F.xxhash64("block", salt), F.lit(shards)).cast("int").alias("shard"))
-    placed = _table(spark, placed.join(classes.select("node", "row"), "node"), "shards")
+    placed = _table(spark, placed.join(classes.select("node", "row"), "node"), "shards", m)
     found = _search_shards(_texts(docs, placed).select("shard", "node", "text"), k, percent, groups_of)
     found = _table(spark, found.join(placed, "node"), "found")
     links = found.select("node", F.col("label").alias("comp"))
@@ -553,13 +555,14 @@ def _routes(spark, mine: DataFrame, need: Column) -> DataFrame:
     these alone say where the set can go, and a list that very many sets
     share makes no rows. Only sets with ``need`` wide lists are routed by them.
     """
+    m = mine.count()
     there = mine.groupBy("list", "shard").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    there = _table(spark, there.select("list", F.col("shard").alias("target"), "lo", "hi"), "there")
+    there = _table(spark, there.select("list", F.col("shard").alias("target"), "lo", "hi"), "there", m)
     width = there.groupBy("list").agg((F.count(F.lit(1)) > WIDE).alias("wide"))
-    mine = _table(spark, mine.drop("target").join(width, "list"), "mine-wide")
+    mine = _table(spark, mine.drop("target").join(width, "list"), "mine-wide", m)
     least = mine.groupBy("node").agg(F.count_if("wide").alias("w"), F.max("n").alias("n")).select(
         "node", "w", need.alias("need"))
-    mine = _table(spark, mine.join(least, "node"), "mine-need")
+    mine = _table(spark, mine.join(least, "node"), "mine-need", m)
 
     def reached(rows, wanted):
         met = rows.join(there, "list").filter("target < shard and (lo != comp or hi != comp)")
@@ -579,18 +582,19 @@ def _join_shards(spark, texts, members, split, links, every: bool, need: Column,
     another group. The sets sent to one shard are dealt to parts of about
     ``shard_sets``, each with a copy of what lies there.
     """
-    split = _table(spark, split, "split")
-    mine = _table(spark, members.select("list", "node", "n").join(split.select("node", "shard", "comp"), "node"), "split-lists")
+    m = members.count()
+    split = _table(spark, split, "split", m)
+    mine = _table(spark, members.select("list", "node", "n").join(split.select("node", "shard", "comp"), "node"), "split-lists", m)
     apart = _table(spark, mine.groupBy("list").agg(
-        F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("shard").alias("target")).filter("a != b"), "apart")
-    mine = _table(spark, mine.join(apart, "list"), "mine")
+        F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("shard").alias("target")).filter("a != b"), "apart", m)
+    mine = _table(spark, mine.join(apart, "list"), "mine", m)
     if every:
         routes = _routes(spark, mine, need)
     else:
         routes = mine.filter("shard != target").groupBy("comp", "target").agg(F.min("node").alias("node")).select("node", "target")
     routes = _table(spark, routes, "routes")
     wanted = _table(spark, routes.groupBy(F.col("target").alias("shard")).agg(
-        F.ceil(F.count(F.lit(1)) / shard_sets).cast("int").alias("parts")), "wanted")
+        F.ceil(F.count(F.lit(1)) / shard_sets).cast("int").alias("parts")), "wanted", m)
     index = split.join(wanted, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     queries = routes.withColumnRenamed("target", "shard").join(wanted, "shard").join(split.select("node", "comp"), "node").select(
         "shard", "node", "comp", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
@@ -598,9 +602,9 @@ def _join_shards(spark, texts, members, split, links, every: bool, need: Column,
     edges = _search_across(index.join(texts, "node").select(*columns), queries.join(texts, "node").select(*columns), k,
                            percent, links_of)
     roots = components(spark, _table(spark, edges, "links")).select(F.col("node").alias("comp"), "root")
-    roots = _table(spark, roots, "roots")
+    roots = _table(spark, roots, "roots", m)
     return _table(spark, links.join(roots, "comp", "left").select(
-        "node", F.coalesce("root", "comp").alias("comp")), "merged")
+        "node", F.coalesce("root", "comp").alias("comp")), "merged", m)
 
 
 def _classes(spark, rows: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -608,10 +612,11 @@ def _classes(spark, rows: DataFrame, classes: DataFrame, links: DataFrame) -> Da
 
     Tables are written before joins on keys that many rows share.
     """
+    m = classes.count()
     named = _table(spark, classes.select("node", "id").join(links, "node", "left").select(
-        "node", "id", F.coalesce("comp", "node").alias("comp")), "named")
-    least = _table(spark, named.groupBy("comp").agg(F.min("id").alias("component_id")), "least")
-    named = _table(spark, named.join(least, "comp").select("node", "comp", "component_id"), "components")
+        "node", "id", F.coalesce("comp", "node").alias("comp")), "named", m)
+    least = _table(spark, named.groupBy("comp").agg(F.min("id").alias("component_id")), "least", m)
+    named = _table(spark, named.join(least, "comp").select("node", "comp", "component_id"), "components", m)
     out = rows.filter("n > 0").join(named, "node").select("id", "row", "n", "comp", "component_id")
     return out.unionByName(rows.filter("n = 0").select(
         "id", "row", "n", F.lit(None).cast("long").alias("comp"), F.col("id").alias("component_id")))

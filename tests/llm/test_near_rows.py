@@ -39,8 +39,15 @@ def test_estimates_stay_near_the_similarity():
         mark = r.permutation(len(x))
         a = np.sort(x[mark[:both + one]])
         b = np.sort(np.concatenate([x[mark[:both]], x[mark[both + one:]]]))
-        shared = len(np.intersect1d(a, b))
-        assert B.similar(a, b, 85) == (100 * shared >= 85 * len(np.union1d(a, b)))
+        if 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)):
+            assert B.passes(a, b, 85)
+        got = B.groups_of({1: a, 2: b}, 85)
+        assert (got[1] == got[2]) == (100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)))
+
+
+def test_many_candidates_are_verified_at_once(monkeypatch):
+    monkeypatch.setattr(B, "FEW", 0)
+    test_estimates_stay_near_the_similarity()
 
 
 @pytest.mark.parametrize("classes", [N.near_classes, B.near_classes])
