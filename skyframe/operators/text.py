@@ -10,8 +10,6 @@ beyond k per query.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -74,58 +72,52 @@ def centroids(df: DataFrame, key: str = "label", vec: str = "embedding") -> Data
 
 
 # N4
-QUERY_BLOCK = 1024
+#: Queries of a block, and passages that meet a block in one task.
+QUERY_BLOCK, PASSAGE_GROUP = 4096, 1 << 16
+_STRIP = 256
 
 
 def top_passages(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str = "vec_id", vec: str = "embedding") -> DataFrame:
     """Best ``k`` passages per query by dot product; ``queries`` is a table
     (query, q).
 
-    Queries are taken in blocks of ``QUERY_BLOCK`` vectors, each block one
-    scan of the corpus: an Arrow batch of passages is multiplied with the
-    block and hands on at most ``k`` rows per query and task, so neither the
-    plan nor a query's group grows with the corpus or the query set. Equal
-    scores are ordered by passage id."""
-    kind = queries.schema["query"].dataType
-    schema = T.StructType([T.StructField("query", kind), corpus.schema[key], T.StructField("score", T.DoubleType())])
-    blocks, block = [], []
-    for r in queries.select("query", "q").toLocalIterator():
-        block.append((r["query"], list(r["q"])))
-        if len(block) == QUERY_BLOCK:
-            blocks.append(_best_of_block(corpus, block, k, key, vec, schema))
-            block = []
-    if block or not blocks:
-        blocks.append(_best_of_block(corpus, block, k, key, vec, schema))
-    best = reduce(lambda a, b: a.unionByName(b), blocks)
+    Queries are dealt to blocks and passages to groups by hash; a group and
+    a block meet in one task, which multiplies their vectors and hands on at
+    most ``k`` rows per query. Neither the driver nor the plan holds the
+    queries, and the corpus is scanned once. Equal scores are ordered by
+    passage id."""
+    parts = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    passages = corpus.filter(F.col(vec).isNotNull()).select(F.col(key).alias("_p"), F.col(vec).cast("array<double>").alias("_v"))
+    asked = queries.select("query", F.col("q").cast("array<double>").alias("_v"))
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    groups = max(parts, -(-passages.count() // PASSAGE_GROUP))
+
+    def dealt(c, n):
+        return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+
+    left = asked.withColumn("_b", dealt("query", blocks)).withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    right = passages.withColumn("_g", dealt("_p", groups)).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    schema = T.StructType([queries.schema["query"], T.StructField(key, corpus.schema[key].dataType),
+                           T.StructField("score", T.DoubleType())])
+    arrow = [to_arrow_type(f.dataType) for f in schema.fields]
+
+    def vectors(table):
+        return np.asarray(table.column("_v").combine_chunks().flatten(), float).reshape(table.num_rows, -1)
+
+    def best(ask, has):
+        out = []
+        if ask.num_rows and has.num_rows:
+            x, names, keys = vectors(has), ask.column("query").to_pylist(), has.column("_p").to_pylist()
+            y = vectors(ask)
+            for lo in range(0, len(names), _STRIP):
+                # sums in the vectors' order, the same for every grouping
+                s = np.einsum("ij,kj->ki", x, y[lo:lo + _STRIP])
+                for q, row in enumerate(s):
+                    cut = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
+                    top = sorted((-float(row[i]), keys[i]) for i in np.flatnonzero(row >= cut))[:k]
+                    out += [(names[lo + q], p, -d) for d, p in top]
+        return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(arrow)], names=schema.names)
+
+    found = left.groupBy("_g", "_b").cogroup(right.groupBy("_g", "_b")).applyInArrow(best, schema)
     w = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col(key))
-    return best.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
-
-
-def _best_of_block(corpus: DataFrame, block: list, k: int, key: str, vec: str, schema: T.StructType) -> DataFrame:
-    names = [q for q, _ in block]
-    query_type = to_arrow_type(schema.fields[0].dataType)
-    matrix = np.array([v for _, v in block], float)
-
-    def score(batches):
-        top = [[] for _ in names]
-        keys_type = None
-        for batch in batches:
-            rows = batch.num_rows
-            keys_type = batch.column(0).type
-            if not rows or not names:
-                continue
-            x = np.asarray(batch.column(1).flatten(), float).reshape(rows, -1)
-            # sums in the vectors' order, the same for every batch size
-            s = np.einsum("ij,kj->ik", x, matrix)
-            keys = batch.column(0).to_pylist()
-            for q in range(len(names)):
-                cut = np.partition(s[:, q], rows - k)[rows - k] if rows > k else -np.inf
-                top[q] += [(-float(s[i, q]), keys[i]) for i in np.flatnonzero(s[:, q] >= cut)]
-                top[q] = sorted(top[q])[:k]
-        out = [(names[q], p, -s) for q in range(len(names)) for s, p in top[q]]
-        if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in out], query_type), pa.array([r[1] for r in out], keys_type),
-                 pa.array([r[2] for r in out], pa.float64())], names=schema.names)
-
-    return corpus.filter(F.col(vec).isNotNull()).select(key, F.col(vec).cast("array<double>").alias(vec)).mapInArrow(score, schema)
+    return found.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")

@@ -9,8 +9,9 @@ from skyframe.plans.flights import ROW_KEYS
 from skyframe.plans.output import present
 from skyframe.plans.q_flights import raw
 from skyframe.plans.registry import query, with_flights
-from skyframe.session import ensure_session_conf
+from skyframe.session import ensure_session_conf, scratch_path
 from skyframe.streaming import live as L
+from skyframe.streaming import stateful as ST
 from skyframe.tables import table
 
 
@@ -48,6 +49,45 @@ def q_alarm(spark, sf_dir):
     return present(L.breach_alarm(m, "error_pct", ">", 30.0, 2))
 
 
+def _streamed(spark, df, name, build):
+    """The rows of a stream over ``df``, written in chunks of ascending time, run to its end."""
+    src, out = scratch_path(spark, name), scratch_path(spark, f"{name}-out")
+    df.repartitionByRange(8, "ts").write.parquet(src)
+    stream = build(spark.readStream.schema(df.schema).parquet(src))
+    (stream.writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, f"{name}-ck"))
+     .trigger(availableNow=True).start(out).awaitTermination())
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@query("error_alarm_stream", _W5 + """
+SELECT CAST(ws AS VARCHAR) AS window_start, events, round(error_pct, 6) AS error_pct, breach,
+       CASE WHEN count(*) OVER w = 2 AND min(breach) OVER w = 1 THEN 'ALARM' ELSE 'OK' END AS state
+FROM b WHERE ws + INTERVAL 5 minute <= (SELECT max(ts) - INTERVAL 10 minute FROM events)
+WINDOW w AS (ORDER BY ws ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)""")
+def q_alarm_stream(spark, sf_dir):
+    """M8 + M10 as one streaming query: watermarked windows, then the keyed
+    run of breaches; windows that the watermark has not closed are not out."""
+    def build(stream):
+        m = L.metric_windows(stream, every="5 minutes", watermark="10 minutes").select("window_start", "events", "error_pct")
+        return ST.breach_alarm_stream(m, "error_pct", ">", 30.0, 2)
+
+    return present(_streamed(spark, events(spark, sf_dir), "alarm", build))
+
+
+@query("change_log_stream", """
+WITH l AS (SELECT user_id, event_id, ts, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS v FROM events),
+p AS (SELECT *, lag(v) OVER w AS before, row_number() OVER w AS pos FROM l
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts, v NULLS FIRST))
+SELECT user_id, event_id, round(v, 6) AS v, CASE WHEN pos = 1 THEN 'NEW_FLIGHT' ELSE 'DELAY_PREDICTED' END AS event
+FROM p WHERE pos = 1 OR (before IS NULL AND v IS NOT NULL)""")
+def q_change_log_stream(spark, sf_dir):
+    """M4 on a stream of record images (an error event has no value)."""
+    value = F.when(F.col("event_type") != "error", F.col("value"))
+    images = events(spark, sf_dir).select("user_id", "event_id", "ts", value.alias("v"))
+    out = _streamed(spark, images, "changes", lambda s: ST.change_events_stream(s, ["user_id"], "v", "ts"))
+    return present(out.select("user_id", "event_id", "v", "event"))
+
+
 @query("session_spans", """
 WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
                  OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 1 hour THEN 1 ELSE 0 END AS brk
