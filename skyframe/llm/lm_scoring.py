@@ -306,16 +306,14 @@ def _once(key: np.ndarray, text: np.ndarray, chosen: np.ndarray) -> tuple[np.nda
     return key[head], text[head], np.diff(np.append(head, len(key)))
 
 
-def score_texts(docs: DataFrame, order: int = 4, max_nodes: int | None = None, frequent: int = 300_000,
+def score_texts(docs: DataFrame, order: int = 4, frequent: int = 300_000,
                 id_col: str = "doc_id", text_col: str = "text", frequent_strings: int = 4_000_000) -> DataFrame:
     """``id_col``, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of ``docs``.
 
     The model is trained on the rows that are not held out (crc32 of the id
     as text, modulo 7, is not 2). ``score`` is the log10 probability of the
     lower-cased text with its end; ``base_score`` that of its words under
-    add-one unigrams. The order does not depend on the input, unless the
-    caller asks with ``max_nodes`` for the highest order of which the input
-    has at most so many strings.
+    add-one unigrams. The order does not depend on the input.
 
     Null and empty texts consist of the end alone; a null id counts as an
     empty one; rows that repeat an id are counted and scored each on its
@@ -335,9 +333,6 @@ def score_texts(docs: DataFrame, order: int = 4, max_nodes: int | None = None, f
     end_log, end_known = float(np.log10(texts + 1)), int(texts > 0)
 
     strings_ = counts.filter("kind = 0").select("key", "n", "every")
-    while max_nodes is not None and order > 1 and strings_.filter("n > 0").count() > max_nodes:
-        order -= 1
-        strings_ = _ending(strings_, order)
     table_path = scratch_path(spark, "lm-strings")
     _string_scores(strings_, order, totals.get(0, (0, 0))[1], path).write.parquet(table_path)
     by_string = spark.read.schema("key long, every long, log_p double").parquet(table_path)

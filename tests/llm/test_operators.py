@@ -349,13 +349,6 @@ def test_lm_scoring(spark, frequent):
         assert math.isclose(r["base_score"], w[4], abs_tol=1e-6) and math.isclose(r["score"], w[5], abs_tol=1e-6)
 
 
-def test_lm_order_falls_when_the_trie_is_large(spark):
-    df = documents(spark, ["the cat sat on the mat"] * 3 + ["ten tin men"])
-    want = dict(plain_lm([r["text"] for r in df.collect()], range(4), 1))
-    for r in lm_scoring.score_texts(df, order=4, max_nodes=1).collect():
-        assert math.isclose(r["score"], want[r["doc_id"]][5], abs_tol=1e-6)
-
-
 @pytest.mark.parametrize("frequent_strings", [0, 40, 4_000_000])
 def test_lm_keeps_its_order_when_strings_are_joined(spark, frequent_strings):
     rnd = random.Random(12)
