@@ -16,10 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from skyframe.plans import ordered
 from skyframe.session import written
 
+#: The state store that arbitrary state behind an aggregate needs.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def _ordered(pdfs, by) -> pd.DataFrame:
     return pd.concat(list(pdfs)).sort_values(list(by), kind="mergesort", na_position="first")
@@ -87,21 +91,33 @@ def breach_alarm_stream(windows: DataFrame, metric: str, op: str, threshold: flo
            "<=": F.col(metric) <= threshold}
     flagged = windows.withColumn("breach", ops[op].cast("int"))
     out = T.StructType([*flagged.schema.fields, T.StructField("state", T.StringType())])
-    state_type = T.StructType([T.StructField("flags", T.ArrayType(T.IntegerType()))])
     # without key columns all windows have one key; they are few: one a period
     flagged = flagged if keys else flagged.withColumn("_all", F.lit(0))
-    names = [f.name for f in out.fields[:-1]]
+    windows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return flagged.groupBy(*(keys or ["_all"])).transformWithStateInPandas(
+        _Run(periods, order, [f.name for f in out.fields[:-1]]), out, "Append", "None")
 
-    def step(k, pdfs, state):
-        flags = list(state.get[0]) if state.exists else []
-        pdf, states = _ordered(pdfs, [order]), []
+
+class _Run(StatefulProcessor):
+    """The last breach flags of a key."""
+
+    def __init__(self, periods: int, order: str, names: list[str]):
+        self.periods, self.order, self.names = periods, order, names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.flags = handle.getValueState("flags", "flags array<int>")
+
+    def handleInputRows(self, key, rows, timerValues):
+        flags, states = list(self.flags.get()[0]) if self.flags.exists() else [], []
+        pdf = _ordered(rows, [self.order])
         for flag in pdf["breach"].tolist():
-            flags = [*flags, 1 if flag == 1 else 0][-periods:]
-            states.append("ALARM" if len(flags) == periods and all(flags) else "OK")
-        state.update((flags,))
-        yield pdf[names].assign(state=states)
+            flags = [*flags, 1 if flag == 1 else 0][-self.periods:]
+            states.append("ALARM" if len(flags) == self.periods and all(flags) else "OK")
+        self.flags.update((flags,))
+        yield pdf[self.names].assign(state=states)
 
-    return flagged.groupBy(*(keys or ["_all"])).applyInPandasWithState(step, out, state_type, "append", GroupStateTimeout.NoTimeout)
+    def close(self) -> None:
+        pass
 
 
 # M7
