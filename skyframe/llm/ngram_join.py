@@ -579,8 +579,8 @@ def _join_shards(spark, texts, members, split, links, every: bool, need: Column,
 
     First one set of each group in the first shard of its lists; then, with
     ``every``, each set in every earlier shard that may hold a link to
-    another group. The sets sent to one shard are dealt to parts of about
-    ``shard_sets``, each with a copy of what lies there.
+    another group. The sets sent to one shard are dealt to parts of about a
+    quarter of ``shard_sets``, each with a copy of what lies there.
     """
     m = members.count()
     split = _table(spark, split, "split", m)
@@ -594,7 +594,7 @@ def _join_shards(spark, texts, members, split, links, every: bool, need: Column,
         routes = mine.filter("shard != target").groupBy("comp", "target").agg(F.min("node").alias("node")).select("node", "target")
     routes = _table(spark, routes, "routes")
     wanted = _table(spark, routes.groupBy(F.col("target").alias("shard")).agg(
-        F.ceil(F.count(F.lit(1)) / shard_sets).cast("int").alias("parts")), "wanted", m)
+        F.ceil(F.count(F.lit(1)) / max(1, shard_sets // 4)).cast("int").alias("parts")), "wanted", m)
     index = split.join(wanted, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     queries = routes.withColumnRenamed("target", "shard").join(wanted, "shard").join(split.select("node", "comp"), "node").select(
         "shard", "node", "comp", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
