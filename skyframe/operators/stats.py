@@ -134,6 +134,12 @@ def fleet_size(df, key="airline", item="tailnum"):
             .orderBy(F.col("fleet_size").desc(), key))
 
 
+def counts_by_value(df, group, col):
+    """(group, _v, c): how often each value occurs, combined map-side."""
+    values = df.select(*group, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
+    return values.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("c"))
+
+
 def group_quantiles(df, group, col, probs, num_buckets: int | None = None):
     """Exact linear-interpolated quantiles (pandas / numpy default) of
     ``col`` per group, without gathering a group's values into one task.
@@ -143,8 +149,7 @@ def group_quantiles(df, group, col, probs, num_buckets: int | None = None):
     values then tell which value holds each wanted rank, and one aggregate
     picks them: no join. Output columns ``q_i``."""
     group = list(group)
-    values = df.select(*group, F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
-    counts = written(values.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("c")), "value-counts")
+    counts = written(counts_by_value(df, group, col), "value-counts")
     run = ordered.running_sums(counts, "_v", ["c"], num_buckets, group=group)
     picks = []
     for i, p in enumerate(probs):
