@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skyframe.operators import boosting as BO
 from skyframe.operators import features as FE
 from skyframe.operators import models as M
 from skyframe.operators import relational as R
@@ -13,7 +14,7 @@ from skyframe.plans.flights import RAW_FIELDS, ROW_KEYS
 from skyframe.plans.output import present
 from skyframe.plans.q_flights import cleaned
 from skyframe.plans.registry import query, with_flights
-from skyframe.session import ensure_session_conf
+from skyframe.session import ensure_session_conf, written
 from skyframe.tables import table
 
 
@@ -105,6 +106,30 @@ def q_train_score(spark, sf_dir):
     return M.quality_gate(M.rmse(scored, "dep_delay", "prediction"), "<=", 15.0)
 
 
+@query("boosted_early_stop")
+def q_boosted(spark, sf_dir):
+    """L1 + L2 + L8 + L9: staged trees with the published penalty; the fit
+    ends 10 rounds after its best one; test rows are scored and gated."""
+    split, inputs = _feature_splits(spark, sf_dir)
+    split = written(split.withColumn("validation", F.col("split") == "validation"), "boost-split")
+    params = M.parse_params({"n_estimators": "40"})
+    model = BO.train_boosted(split.filter(F.col("split") != "test"), inputs, params=params, validation="validation")
+    scored = model.transform(split.filter(F.col("split") == "test"))
+    return M.quality_gate(M.rmse(scored, "dep_delay", "prediction"), "<=", 15.0).select(
+        "*", F.lit(len(model.trees)).alias("rounds"), F.lit(sum(n for _, n, _ in model.split_counts())).alias("splits"))
+
+
+@query("tuned_trials")
+def q_tuned(spark, sf_dir):
+    """L4: 16 seeded trials on the given split, two at a time, halved."""
+    split, inputs = _feature_splits(spark, sf_dir)
+    _, _, tried = BO.tune_boosted(split.filter(F.col("split") != "test").withColumn(
+        "validation", F.col("split") == "validation"), inputs, first_rounds=1, ranges=M.RANGES | {"num_round": (10, 20)})
+    return spark.createDataFrame([(i, float(p["eta"]), int(p["max_depth"]), float(p["colsample_bytree"]), n, e)
+                                  for i, (p, n, e) in enumerate(tried)],
+                                 "trial int, eta double, max_depth int, colsample double, rounds int, rmse double")
+
+
 @query("feature_importance")
 def q_importance(spark, sf_dir):
     """Splits per feature and gain importance of a fitted model."""

@@ -106,6 +106,11 @@ def _drop(spark: SparkSession, paths: list[str]) -> int:
     return gone
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one scratch folder whose table nothing reads any more."""
+    _drop(spark, [path])
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete every scratch folder handed out so far (results read from
     them must be consumed or written elsewhere first); the number deleted.
