@@ -48,6 +48,28 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         lo = hi
 
 
+def regrouped(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at most about ``limit`` text bytes: longer ones are cut between rows, shorter ones joined."""
+    held, size = [], 0
+    for batch in batches:
+        for part in slices(batch, column, limit):
+            n = int(buffers(part.column(column))[1][-1])
+            if held and size + n > limit:
+                yield _joined(held)
+                held, size = [], 0
+            held.append(part)
+            size += n
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    if len(parts) == 1:
+        return parts[0]
+    columns = [pa.concat_arrays([p.column(i) for p in parts]) for i in range(parts[0].num_columns)]
+    return pa.RecordBatch.from_arrays(columns, schema=parts[0].schema)
+
+
 def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` and, per text, the index of its first word.
 

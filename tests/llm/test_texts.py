@@ -67,3 +67,16 @@ def test_slices_cover_a_batch_once():
     batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(["x" * (i * 3) for i in range(50)])], names=["i", "text"])
     got = [p.column("i").to_pylist() for p in texts.slices(batch, "text", 200)]
     assert [i for g in got for i in g] == list(range(50)) and len(got) > 5
+
+
+def test_regrouped_joins_small_batches_and_cuts_large_ones():
+    rows = ["é" * (i % 9) for i in range(200)] + [None, "x" * 500, ""]
+    table = pa.table({"id": list(range(len(rows))), "text": rows})
+    got = list(texts.regrouped(iter(table.to_batches(max_chunksize=3)), "text", 100))
+    assert [t for b in got for t in b.column("text").to_pylist()] == rows
+    assert [i for b in got for i in b.column("id").to_pylist()] == list(range(len(rows)))
+    size = [int(texts.buffers(b.column("text"))[1][-1]) for b in got]
+    assert all(n <= 100 or b.num_rows == 1 for n, b in zip(size, got))
+    assert all(a + b > 100 for a, b in zip(size, size[1:]))
+    assert [b.num_rows for b in texts.regrouped(iter(table.to_batches()), "text", 1 << 20)] == [len(rows)]
+    assert list(texts.regrouped(iter([]), "text", 10)) == []
