@@ -536,3 +536,22 @@ def test_mixing_weights_and_large_rates(spark):
     df = documents(spark, ["abc"] * 200 + ["d" * 400], sources=["a"] * 200 + ["b"])
     n = Counter(r["source"] for r in mixing.replicate(df, weights={"b": 1.0}, epochs=1000.0).collect())
     assert set(n) == {"b"} and 800 < n["b"] < 4000
+
+
+def test_mixing_large_rates_and_many_sources_match_the_plain_inversion(spark, monkeypatch):
+    texts = [("t" * (1 + i % 5)) for i in range(60)] + ["u" * 9000]
+    df = documents(spark, texts, sources=[None, "a", "b", "c", "d", "e"])
+    whole = Counter(r["doc_id"] for r in mixing.replicate(df, epochs=10.0).collect())
+    rates = {r["source"]: r for r in mixing.repetition_rates(df, 0.5, 10.0).collect()}
+    assert any(r["cdf"] is None for r in rates.values()) and any(r["cdf"] for r in rates.values())
+    for i in range(len(texts)):
+        rate = rates[[None, "a", "b", "c", "d", "e"][i % 6]]["rate"]
+        u = int(hashlib.md5(f"7:{i}".encode()).hexdigest()[:13], 16) / 2 ** 52
+        n, lp, s = 0, -rate, math.exp(-rate)
+        while s <= u:
+            n += 1
+            lp += math.log(rate / n)
+            s += math.exp(lp)
+        assert whole[i] == n
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 2)
+    assert Counter(r["doc_id"] for r in mixing.replicate(df, epochs=10.0).collect()) == whole
