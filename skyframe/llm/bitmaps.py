@@ -1,4 +1,4 @@
-"""Membership in a set of keys by a broadcast bitmap of fixed size."""
+"""Membership in a set of keys by a broadcast bitmap of bounded size."""
 
 from __future__ import annotations
 
@@ -8,8 +8,15 @@ from pyspark.sql import types as T
 
 from skyframe.session import written
 
-#: 4 MB in rows of 4 KB, however many keys there are.
+#: 4 MB in rows of 4 KB: enough for two million keys at one stray flag in sixteen.
 BITS = 1 << 25
+#: 128 MB, the most that is broadcast; beyond 64 million keys more stray rows are flagged, none is missed.
+MOST_BITS = 1 << 30
+
+
+def bits_for(n: int) -> int:
+    """A power of two with sixteen bits a key, between ``BITS`` and ``MOST_BITS``."""
+    return min(MOST_BITS, max(BITS, 1 << max(16 * n - 1, 1).bit_length()))
 
 
 def flag_members(rows: DataFrame, members: DataFrame, key: list[str], name: str, bits: int = BITS) -> DataFrame:
