@@ -110,9 +110,6 @@ def q_shuffle(spark, sf_dir):
     return S.hash_rank(raw(spark, sf_dir).select(*ROW_KEYS), ROW_KEYS, SEED, rank="position", size=None)
 
 
-_LEVELS = sorted(f"nation_air_{k}_inc" for k in range(25))[1:]
-_ONE_HOT_SQL = ", ".join(
-    f"CASE WHEN replace(replace(lower(airline), ' ', '_'), '.', '') = '{v}' THEN 1 ELSE 0 END AS {v}" for v in _LEVELS)
 _FEATURE_CTES = """
 , tot AS (SELECT sum(distance) AS tot FROM clean_flights),
 pa AS (SELECT airline AS pa_airline, sum(distance) / (SELECT tot FROM tot) AS distance_ratio_by_total,
@@ -120,7 +117,14 @@ pa AS (SELECT airline AS pa_airline, sum(distance) / (SELECT tot FROM tot) AS di
 fx AS (SELECT * FROM clean_flights JOIN pa ON airline = pa_airline)"""
 
 
-@query("build_features", with_flights(_FEATURE_CTES + f"""
+AIRLINE_KEYS = sorted(f"nation_air_{k}_inc" for k in range(25))
+
+
+def build_features_sql(airlines) -> str:
+    """The twin for a table in which exactly these airlines (normalised, sorted) occur."""
+    one_hot = ", ".join(
+        f"CASE WHEN replace(replace(lower(airline), ' ', '_'), '.', '') = '{v}' THEN 1 ELSE 0 END AS {v}" for v in airlines[1:])
+    return with_flights(_FEATURE_CTES + f"""
 SELECT year, month, day, round(dep_delay, 6) AS dep_delay, round(arr_delay, 6) AS arr_delay,
        round(distance, 6) AS distance, hour, minute, round(temp, 6) AS temp, round(humid, 6) AS humid,
        round(wind_dir, 6) AS wind_dir, round(wind_speed, 6) AS wind_speed, round(precip, 6) AS precip,
@@ -128,8 +132,11 @@ SELECT year, month, day, round(dep_delay, 6) AS dep_delay, round(arr_delay, 6) A
        round(distance_ratio_by_total, 6) AS distance_ratio_by_total, aircraft_count_by_airline,
        CASE WHEN distance IS NULL OR distance <= 0 THEN -1 WHEN distance <= 500 THEN 0
             WHEN distance <= 1000 THEN 1 ELSE 2 END AS distance_category,
-       {_ONE_HOT_SQL}, {KEYS}
-FROM fx""", clean=True))
+       {one_hot}, {KEYS}
+FROM fx""", clean=True)
+
+
+@query("build_features", build_features_sql(AIRLINE_KEYS))
 def q_build_features(spark, sf_dir):
     """H11 = D4 group features + E1 lookups + H7 bins + H10 selection + H8
     one-hot (first level dropped) on the processed table."""
@@ -217,6 +224,21 @@ def q_upsert(spark, sf_dir):
                           F.sum("dep_delay").alias("delay_sum")))
 
 
+@query("upsert_creates_rows", with_flights(f"""
+, m AS (SELECT c.l_orderkey IS NULL AS created, c.airline, u.dep_delay AS dd
+        FROM clean_flights c RIGHT JOIN v_flights u USING ({KEYS}))
+SELECT created, count(*) AS rows, count(airline) AS with_airline, count(dd) AS with_delay, round(sum(dd), 6) AS delay_sum
+FROM m GROUP BY created""", clean=True))
+def q_upsert_creates(spark, sf_dir):
+    """A14's other branch: delays of all raw rows set onto the processed
+    table, which creates the rows the cleaning took out."""
+    target = cleaned(spark, sf_dir).withColumn("created", F.lit(False))
+    up = R.upsert_by_key(target, raw(spark, sf_dir), ROW_KEYS, ["dep_delay"])
+    return present(up.groupBy(F.coalesce("created", F.lit(True)).alias("created")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("airline").alias("with_airline"), F.count("dep_delay").alias("with_delay"),
+        F.sum("dep_delay").alias("delay_sum")))
+
+
 _DRIFT_MULT = {"nation_air_1_inc": 1.25, "nation_air_2_inc": 0.75}
 _DRIFT_VALUES = ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in _DRIFT_MULT.items())
 

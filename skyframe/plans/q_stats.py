@@ -210,6 +210,15 @@ def q_group_sum(spark, sf_dir):
     return present(stats.group_stat(raw(spark, sf_dir), "origin", "arr_delay", "sum"))
 
 
+@query("group_stat_custom", with_flights("""
+SELECT airline, round(sum(CASE WHEN dep_delay > 15 THEN distance ELSE 0e0 END) / sum(distance), 6) AS late_distance_share
+FROM v_flights GROUP BY airline"""))
+def q_group_custom(spark, sf_dir):
+    """C18 (an aggregate of the caller's own): the share of an airline's distance flown with a late departure."""
+    late = F.sum(F.when(F.col("dep_delay") > 15, F.col("distance")).otherwise(0.0)) / F.sum("distance")
+    return present(stats.group_stat(raw(spark, sf_dir), "airline", "late_distance_share", late))
+
+
 @query("total_distance_by_airline", with_flights("""
 SELECT airline, round(sum(distance), 6) AS total_distance FROM v_flights GROUP BY airline"""))
 def q_total_distance(spark, sf_dir):
