@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyframe.llm.bitmaps import flag_members
-from skyframe.llm.texts import buffers, mix, ragged, slices, spans_hash, window_positions, windows_hash, words
+from skyframe.llm.bitmaps import bits_for, flag_members
+from skyframe.llm.texts import buffers, column_hash, mix, ragged, slices, spans_hash, window_positions, windows_hash, words
 from skyframe.session import scratch_path
 
 ANCHOR = 8
@@ -224,7 +224,8 @@ def _look(docs: DataFrame, k: int, buckets: int) -> DataFrame:
         if found:
             keys = list(found)
             yield pa.RecordBatch.from_arrays([
-                pa.array([i % buckets for i, _ in keys], pa.int32()), pa.array([i for i, _ in keys], pa.int64()),
+                pa.array((column_hash(np.array([i for i, _ in keys], np.int64)) % buckets).astype(np.int32)),
+                pa.array([i for i, _ in keys], pa.int64()),
                 pa.array([int(t.key[x]) for _, x in keys], pa.int64()),
                 pa.array([_bytes_of(found[x]) for x in keys], pa.binary()),
                 *[pa.nulls(len(keys), pa.binary()) for _ in range(3)]], names=schema.names)
@@ -294,7 +295,7 @@ def _owners(looked: DataFrame, parts: int) -> DataFrame:
             least = np.repeat(owner[head], length)
             keep = np.repeat(length > 1, length)
             low, owner, least = low[keep], owner[keep], least[keep]
-            part = owner % parts
+            part = column_hash(owner) % parts
             o = np.lexsort((low, owner, part))
             low, owner, least, part = low[o], owner[o], least[o], part[o]
             head = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(low) else np.zeros(0, np.int64)
@@ -356,7 +357,7 @@ def _route(docs: DataFrame, marks: DataFrame, k: int, buckets: int, parts: int,
         return pa.table([pa.array(list(c), x) for c, x in zip(cols, kinds)], names=["shard", "pid", "key", "start", "words"])
 
     texts = flag_members(docs, _ids(marks), ["pid"], "__wanted").filter("__wanted").select(
-        "pid", "text", F.pmod("pid", F.lit(parts)).cast("int").alias("part"))
+        "pid", "text", F.pmod(F.hash("pid"), F.lit(parts)).cast("int").alias("part"))
     return texts.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(route, schema)
 
 
@@ -423,7 +424,7 @@ def remove_repeats(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_co
     spans.write.parquet(path)
     spans = spark.read.schema(spans.schema).parquet(path)
     per_doc = spans.groupBy("pid").agg(F.collect_list(F.struct("key", "spans")).alias("found"))
-    flagged = flag_members(base, spans, ["pid"], "__hit")
+    flagged = flag_members(base, spans, ["pid"], "__hit", bits_for(spans.count()))
     clean = flagged.filter("not __hit").select("pid", "text", F.lit(None).cast(per_doc.schema["found"].dataType).alias("found"))
     hit = flagged.filter("__hit").select("pid", "text").join(per_doc, "pid", "left").select("pid", "text", "found")
     out = _cut(clean, k, with_text).unionByName(_cut(hit, k, with_text))

@@ -110,6 +110,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def column_hash(x: np.ndarray) -> np.ndarray:
+    """What ``F.hash`` gives for a long column (Murmur3 of its two halves), so that both sides deal rows alike."""
+    def turn(v: np.ndarray, n: int) -> np.ndarray:
+        return v << np.uint32(n) | v >> np.uint32(32 - n)
+
+    bits = np.asarray(x, np.int64).view(np.uint64)
+    h = np.full(len(bits), 42, np.uint32)
+    for half in (bits & np.uint64(0xFFFFFFFF), bits >> np.uint64(32)):
+        h ^= turn(half.astype(np.uint32) * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+        h = turn(h, 13) * np.uint32(5) + np.uint32(0xE6546B64)
+    h ^= np.uint32(8)
+    h = (h ^ h >> np.uint32(16)) * np.uint32(0x85EBCA6B)
+    h = (h ^ h >> np.uint32(13)) * np.uint32(0xC2B2AE35)
+    return (h ^ h >> np.uint32(16)).view(np.int32).astype(np.int64)
+
+
 _B = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BINV = pow(_B, -1, 1 << 64)
 _CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))

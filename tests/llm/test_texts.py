@@ -80,3 +80,9 @@ def test_regrouped_joins_small_batches_and_cuts_large_ones():
     assert all(a + b > 100 for a, b in zip(size, size[1:]))
     assert [b.num_rows for b in texts.regrouped(iter(table.to_batches()), "text", 1 << 20)] == [len(rows)]
     assert list(texts.regrouped(iter([]), "text", 10)) == []
+
+
+def test_column_hash_is_that_of_a_long_column(spark):
+    ids = [0, 1, -1, 7, 1 << 20, (1 << 40) + 3, 2 ** 63 - 1, -2 ** 63, *range(0, 64000, 640)]
+    rows = spark.createDataFrame([(i,) for i in ids], "id long").selectExpr("id", "hash(id) AS h").collect()
+    assert texts.column_hash(np.array([r["id"] for r in rows], np.int64)).tolist() == [r["h"] for r in rows]
