@@ -18,10 +18,15 @@ shards are made of what can match at all:
    suffix automaton of the runs before them. Where the matching statistic is
    ``k`` or more, the window is covered; runs not covered extend the
    automaton. Documents of one id are streamed before any of them is added.
+   A passage that many tasks hold would crowd its shard. Windows of a crowded
+   shard that no second document sends are taken out (a bitmap of repeated
+   window hashes), its documents are dealt to groups of bounded size, each
+   group streams them through an automaton of its own and sends on only what
+   it did not cover, until the shards are small.
 4. The union of a document's covered spans is removed.
 
 Hashes only route; whether words repeat is decided in the automata, by
-64-bit word hashes. A shard sees a passage once from each task that holds it.
+64-bit word hashes. A shard sees a passage once from each group or task.
 """
 
 from __future__ import annotations
@@ -38,12 +43,15 @@ from pyspark.sql import types as T
 
 from skyframe.llm.bitmaps import bits_for, flag_members
 from skyframe.llm.texts import buffers, column_hash, mix, ragged, slices, spans_hash, window_positions, windows_hash, words
-from skyframe.session import scratch_path
+from skyframe.session import scratch_path, written
 
 ANCHOR = 8
 _NO_ID = np.iinfo(np.int64).max  # a null id comes after every other
 _FLUSH = 8 << 20  # text bytes a task looks at together
 _LOOK = 1 << 20  # and at a time while it hashes words
+#: Shards over either size are merged in groups first.
+CROWDED_ROWS = 8_000
+CROWDED_BYTES = 4 << 20
 
 
 class Automaton:
@@ -119,8 +127,11 @@ def _runs(flags: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(begin), np.flatnonzero(end) + 1
 
 
-def stream(runs: list[tuple[int, object, int, list[int]]], k: int) -> dict[object, list[tuple[int, int]]]:
-    """Covered spans (first word, number of words) by key, for runs (id, key, first word, word hashes)."""
+def stream(runs: list[tuple[int, object, int, list[int]]], k: int, rest: list | None = None) -> dict[object, list[tuple[int, int]]]:
+    """Covered spans (first word, number of words) by key, for runs (id, key, first word, word hashes).
+
+    The parts of the runs that are not covered are appended to ``rest``.
+    """
     automaton, out = Automaton(), {}
     runs = sorted(runs, key=lambda r: r[0])
     at = 0
@@ -128,15 +139,17 @@ def stream(runs: list[tuple[int, object, int, list[int]]], k: int) -> dict[objec
         same = at
         fresh = []
         while same < len(runs) and runs[same][0] == runs[at][0]:
-            _, key, start, string = runs[same]
+            pid, key, start, string = runs[same]
             hit = np.array(automaton.matches(string, k), bool)
             none = np.zeros(len(hit), bool)
             for a, b in zip(*_runs(hit, none)):
                 out.setdefault(key, []).append((start + int(a), int(b - a) + k - 1))
-            fresh += [string[a:b + k - 1] for a, b in zip(*_runs(~hit, none))]
+            fresh += [(pid, key, start + int(a), string[a:b + k - 1]) for a, b in zip(*_runs(~hit, none))]
             same += 1
-        for string in fresh:
-            automaton.add(string)
+        for part in fresh:
+            automaton.add(part[3])
+        if rest is not None:
+            rest += fresh
         at = same
     return out
 
@@ -387,6 +400,87 @@ def _match(routed: DataFrame, k: int) -> DataFrame:
     return routed.groupBy("shard").applyInArrow(match, "pid long, key long, spans binary")
 
 
+def _windows_of(runs: DataFrame, k: int) -> DataFrame:
+    """One row for each window of ``runs`` (shard, salt, pid, key, start, words), with its hash w."""
+    of_run = ["shard", "salt", "pid", "key"]
+    schema = "shard int, salt int, pid long, key long, start int, w long, words binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            strings = [np.frombuffer(x, np.uint64) for x in batch.column("words").to_pylist()]
+            first = np.concatenate([[0], np.cumsum([len(x) for x in strings], dtype=np.int64)]).astype(np.int64)
+            every, owner = window_positions(first, k)
+            if not len(every):
+                continue
+            word = np.concatenate(strings)
+            w = windows_hash(word, k)[every].view(np.int64)
+            begin = np.asarray(batch.column("start")).astype(np.int64)
+            for lo in range(0, len(every), 1 << 17):
+                at, of = every[lo:lo + (1 << 17)], owner[lo:lo + (1 << 17)]
+                cells = word[at[:, None] + np.arange(k)].tobytes()
+                packed = pa.Array.from_buffers(pa.binary(8 * k), len(at), [None, pa.py_buffer(cells)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).take(pa.array(of)) for c in of_run],
+                     pa.array((begin[of] + at - first[of]).astype(np.int32)), pa.array(w[lo:lo + (1 << 17)]), packed],
+                    names=[*of_run, "start", "w", "words"])
+
+    return runs.select(*of_run, "start", "words").mapInArrow(run, schema)
+
+
+def _merge(windows: DataFrame, k: int) -> DataFrame:
+    """What the automaton of each group covers (pid, key, spans), and the runs it does not cover (start, words)."""
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    names = ["shard", "pid", "key", "start", "words", "spans"]
+
+    def merge(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        pid, key, start = (np.asarray(_one(table, c)) for c in ("pid", "key", "start"))
+        o = np.lexsort((start, key, pid))
+        word = np.frombuffer(b"".join(_one(table, "words").to_pylist()), np.uint64).reshape(-1, k)[o]
+        pid, key, start = pid[o], key[o], start[o]
+        new = np.concatenate([[True], (pid[1:] != pid[:-1]) | (key[1:] != key[:-1]) | (start[1:] != start[:-1] + 1)])
+        edge = np.append(np.flatnonzero(new), len(pid))
+        runs = [(int(pid[a]), (int(pid[a]), int(key[a])), int(start[a]), word[a].tolist() + word[a + 1:b, -1].tolist())
+                for a, b in zip(edge[:-1], edge[1:])]
+        rest: list[tuple] = []
+        rows = [(shard, p, x, None, None, _bytes_of(v)) for (p, x), v in stream(runs, k, rest).items()]
+        rows += [(shard, p, x, s, np.array(string, np.uint64).tobytes(), None) for p, (_, x), s, string in rest]
+        return pa.table([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+    return windows.groupBy("shard", "salt").applyInArrow(
+        merge, "shard int, pid long, key long, start int, words binary, spans binary")
+
+
+def _thinned(routed: DataFrame, k: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Runs of shards that are no longer crowded, and the spans decided on the way.
+
+    Of the copies of a passage each group of a shard sends on one, so a level
+    divides them by the size of a group. It ends when no shard is crowded, or
+    when a shard's documents share too little for a further level to help.
+    """
+    spans: list[DataFrame] = []
+    while True:
+        sizes = routed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("words")).alias("bytes"))
+        crowded = written(sizes.filter((F.col("n") > CROWDED_ROWS) | (F.col("bytes") > CROWDED_BYTES)).select(
+            "shard", "bytes", F.ceil(F.greatest(F.col("n") / CROWDED_ROWS, F.col("bytes") / CROWDED_BYTES)).alias("groups")), "crowded")
+        before = crowded.agg(F.sum("bytes")).first()[0]
+        if before is None:
+            return routed, spans
+        many = routed.join(crowded, "shard").select(
+            *routed.columns, F.pmod(F.hash("pid"), F.col("groups")).cast("int").alias("salt"))
+        windows = written(_windows_of(many, k), "windows")
+        repeated = written(windows.groupBy("w").agg(F.min("pid").alias("least"), F.max("pid").alias("most")).filter(
+            "least < most").select("w"), "repeated")
+        merged = written(_merge(flag_members(windows, repeated, ["w"], "__again", bits_for(repeated.count())).filter(
+            "__again"), k), "merged")
+        spans.append(merged.filter("spans is not null").select("pid", "key", "spans"))
+        rest = merged.filter("words is not null").select(*routed.columns)
+        after = rest.agg(F.coalesce(F.sum(F.length("words")), F.lit(0))).first()[0]
+        routed = routed.join(crowded, "shard", "left_anti").unionByName(rest)
+        if 2 * after > before:
+            return routed, spans
+
+
 def covered_spans(docs: DataFrame, k: int) -> DataFrame:
     """pid, key, spans of documents ``docs`` (pid, text); key tells apart texts that share an id."""
     spark = docs.sparkSession
@@ -400,7 +494,10 @@ def covered_spans(docs: DataFrame, k: int) -> DataFrame:
     looked = spark.read.schema(looked.schema).parquet(path)
     near = looked.filter("spans is not null").select("pid", "key", "spans")
     marks = looked.filter("lows is not null").select("bucket", "part", "ids", "counts", "lows", "owners")
-    return near.unionByName(_match(_route(docs, marks, k, buckets, parts, shards), k))
+    routed, merged = _thinned(written(_route(docs, marks, k, buckets, parts, shards), "routed"), k)
+    for spans in merged:
+        near = near.unionByName(spans)
+    return near.unionByName(_match(routed, k))
 
 
 def remove_repeats(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str = "text",

@@ -391,8 +391,11 @@ def plain_repeats(texts, ids, k=13):
         yield (d, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept)
 
 
-@pytest.mark.parametrize("parts", [1, 6])
-def test_substring_dedup(spark, parts):
+@pytest.mark.parametrize("parts,crowded", [(1, None), (6, None), (40, 3), (290, 12)])
+def test_substring_dedup(spark, monkeypatch, parts, crowded):
+    """With small shards the copies are merged in groups, level by level; the result is the same."""
+    if crowded:
+        monkeypatch.setattr(substring_dedup, "CROWDED_ROWS", crowded)
     rnd = random.Random(9)
     vocabulary = [f"w{i}" for i in range(400)]
 
@@ -419,6 +422,24 @@ def test_substring_dedup(spark, parts):
     assert all(sum(s["length"] for s in r["spans"]) == r["n_removed"] for r in got)
 
 
+def test_a_passage_of_many_tasks_is_merged_in_levels(spark, monkeypatch):
+    rnd = random.Random(12)
+    passage = [f"p{i}" for i in range(40)]
+    strings = []
+    for i in range(400):  # the same passage between other words in each document
+        strings.append((i, [rnd.getrandbits(62) for _ in range(3)] + [hash(w) & (1 << 62) - 1 for w in passage] + [rnd.getrandbits(62) for _ in range(3)]))
+    rows = [(0, i, i, 5, bytearray(np.array(x, np.uint64).tobytes())) for i, x in strings]
+    routed = spark.createDataFrame(rows, "shard int, pid long, key long, start int, words binary")
+    monkeypatch.setattr(substring_dedup, "CROWDED_ROWS", 10)
+    left, spans = substring_dedup._thinned(routed, 13)
+    assert len(spans) >= 2 and left.count() <= 10
+    covered = {}
+    for s in [*spans, substring_dedup._match(left, 13)]:
+        for r in s.collect():
+            covered.setdefault(r["pid"], []).extend(np.frombuffer(r["spans"], "<i4").reshape(-1, 2).tolist())
+    assert {p: sorted(v) for p, v in covered.items()} == {i: [[8, 40]] for i in range(1, 400)}
+
+
 def test_automaton_finds_exactly_the_substrings():
     rnd = random.Random(10)
     for _ in range(30):
