@@ -49,9 +49,8 @@ ANCHOR = 8
 _NO_ID = np.iinfo(np.int64).max  # a null id comes after every other
 _FLUSH = 8 << 20  # text bytes a task looks at together
 _LOOK = 1 << 20  # and at a time while it hashes words
-#: Shards over either size are merged in groups first.
-CROWDED_ROWS = 8_000
-CROWDED_BYTES = 4 << 20
+#: A shard is dealt 4 MB of text, at most some 5 MB of word hashes; with more than this it is merged in groups first.
+CROWDED_BYTES = 8 << 20
 
 
 class Automaton:
@@ -460,9 +459,9 @@ def _thinned(routed: DataFrame, k: int) -> tuple[DataFrame, list[DataFrame]]:
     """
     spans: list[DataFrame] = []
     while True:
-        sizes = routed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("words")).alias("bytes"))
-        crowded = written(sizes.filter((F.col("n") > CROWDED_ROWS) | (F.col("bytes") > CROWDED_BYTES)).select(
-            "shard", "bytes", F.ceil(F.greatest(F.col("n") / CROWDED_ROWS, F.col("bytes") / CROWDED_BYTES)).alias("groups")), "crowded")
+        sizes = routed.groupBy("shard").agg(F.sum(F.length("words")).alias("bytes"))
+        crowded = written(sizes.filter(F.col("bytes") > CROWDED_BYTES).select(
+            "shard", "bytes", F.ceil(F.col("bytes") / CROWDED_BYTES).alias("groups")), "crowded")
         before = crowded.agg(F.sum("bytes")).first()[0]
         if before is None:
             return routed, spans

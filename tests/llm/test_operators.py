@@ -391,11 +391,11 @@ def plain_repeats(texts, ids, k=13):
         yield (d, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept)
 
 
-@pytest.mark.parametrize("parts,crowded", [(1, None), (6, None), (40, 3), (290, 12)])
+@pytest.mark.parametrize("parts,crowded", [(1, None), (6, None), (40, 1_000), (290, 4_000)])
 def test_substring_dedup(spark, monkeypatch, parts, crowded):
     """With small shards the copies are merged in groups, level by level; the result is the same."""
     if crowded:
-        monkeypatch.setattr(substring_dedup, "CROWDED_ROWS", crowded)
+        monkeypatch.setattr(substring_dedup, "CROWDED_BYTES", crowded)
     rnd = random.Random(9)
     vocabulary = [f"w{i}" for i in range(400)]
 
@@ -430,7 +430,7 @@ def test_a_passage_of_many_tasks_is_merged_in_levels(spark, monkeypatch):
         strings.append((i, [rnd.getrandbits(62) for _ in range(3)] + [hash(w) & (1 << 62) - 1 for w in passage] + [rnd.getrandbits(62) for _ in range(3)]))
     rows = [(0, i, i, 5, bytearray(np.array(x, np.uint64).tobytes())) for i, x in strings]
     routed = spark.createDataFrame(rows, "shard int, pid long, key long, start int, words binary")
-    monkeypatch.setattr(substring_dedup, "CROWDED_ROWS", 10)
+    monkeypatch.setattr(substring_dedup, "CROWDED_BYTES", 3_700)
     left, spans = substring_dedup._thinned(routed, 13)
     assert len(spans) >= 2 and left.count() <= 10
     covered = {}
