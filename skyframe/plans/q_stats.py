@@ -9,7 +9,7 @@ from skyframe.functions import columns as C
 from skyframe.operators import named_queries as NQ
 from skyframe.operators import stats
 from skyframe.plans.output import present
-from skyframe.plans.flights import materialise
+from skyframe.plans.flights import CORE_FIELDS, materialise, widen
 from skyframe.plans.q_flights import cleaned, raw
 from skyframe.plans.registry import query, with_flights
 
@@ -24,8 +24,9 @@ def live(spark, sf_dir):
     departure and the constant partition key ``data_type``. The stamp is
     stored, in files by stamp ranges, so a window's bounds reach the scan."""
     ts = (F.unix_date(C.make_date_col()).cast("long") * 86400 + F.col("hour") * 3600 + F.col("minute") * 60)
-    return materialise(spark, f"live{sf_dir}", lambda: raw(spark, sf_dir).withColumns(
-        {"timestamp": ts, "data_type": F.lit("FLIGHTS")}).repartitionByRange("timestamp"))
+    stored = materialise(spark, f"live{sf_dir}", lambda: raw(spark, sf_dir).withColumn("timestamp", ts).select(
+        *CORE_FIELDS, "timestamp").repartitionByRange("timestamp"))
+    return widen(stored).withColumn("data_type", F.lit("FLIGHTS"))
 
 
 LIVE_CTE = """live AS (SELECT *, CAST(date_diff('day', DATE '1970-01-01', make_date(year, month, day)) AS BIGINT) * 86400
