@@ -21,8 +21,9 @@ def write_capture(feats: DataFrame, path: str, inputs, prediction, n_inputs=None
         F.struct(F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("inferenceTime"), F.expr("uuid()").alias("eventId"))
         .alias("eventMetadata"))
     parts = [F.date_format(stamp, f).alias(c) for c, f in (("y", "yyyy"), ("m", "MM"), ("d", "dd"), ("h", "HH"))]
-    out = feats.select(rec.alias("r"), *parts).select("r.*", "y", "m", "d", "h")
-    out.repartitionByRange("y", "m", "d", "h").write.partitionBy("y", "m", "d", "h").json(path)
+    # the folders follow from day and hour: the numbers are shuffled, the texts are built behind it
+    out = feats.repartition("day", "hour").select(rec.alias("r"), *parts).select("r.*", "y", "m", "d", "h")
+    out.write.partitionBy("y", "m", "d", "h").option("compression", "gzip").json(path)
 
 
 # B24
@@ -35,11 +36,11 @@ def parse_capture(cap: DataFrame, names) -> tuple[DataFrame, DataFrame]:
     x = cap.select(parts.alias("_p"), F.col("prediction").try_cast("double").alias("prediction"))
     ok_len = F.size("_p") == len(names)
     vals = [F.when(ok_len, F.element_at("_p", i + 1).try_cast("double")).alias(n) for i, n in enumerate(names)]
-    y = x.select(ok_len.alias("_ok_len"), *vals, "prediction")
-    numeric = F.lit(True)
-    for n in names:
-        numeric = numeric & F.col(n).isNotNull()
-    good = y.filter(F.col("_ok_len") & numeric & F.col("prediction").isNotNull()).drop("_ok_len")
+    y = x.select(ok_len.alias("_ok_len"), F.forall("_p", lambda v: v.try_cast("double").isNotNull()).alias("_numeric"),
+                 *vals, "prediction")
+    # over the parts, not over the named columns: a filter on these would split the text again for each of them
+    numeric = F.col("_numeric")
+    good = y.filter(F.col("_ok_len") & numeric & F.col("prediction").isNotNull()).drop("_ok_len", "_numeric")
     dropped = y.agg(F.count_if(~F.col("_ok_len")).alias("wrong_length"),
                     F.count_if(F.col("_ok_len") & ~numeric).alias("non_numeric_feature"),
                     F.count_if(F.col("_ok_len") & numeric & F.col("prediction").isNull()).alias("bad_prediction"))
