@@ -533,6 +533,9 @@ def link_members(docs: DataFrame, classes: DataFrame, members: DataFrame, need:
     if largest > shard_sets:
         split = found.filter("split").select("node", "shard", "row")
         texts = _table(spark, _texts(docs, split.select("node", "row")).select("node", "text"), "split-texts")
+        # joins by node meet one row of a set: its lists, no more than its text has prefix shingles, are held together
+        members = members.groupBy("node").agg(F.max("n").alias("n"), F.collect_list("list").alias("lists"))
+        members = _table(spark, members.join(split.select("node"), "node", "left_semi"), "set-lists", m)
         for every in (False, True):
             links = _join_shards(spark, texts, members, split.join(links, "node"), links, every, need, k, percent,
                                  shard_sets, links_of)
@@ -560,9 +563,9 @@ def _routes(spark, mine: DataFrame, need: Column) -> DataFrame:
     there = _table(spark, there.select("list", F.col("shard").alias("target"), "lo", "hi"), "there", m)
     width = there.groupBy("list").agg((F.count(F.lit(1)) > WIDE).alias("wide"))
     mine = _table(spark, mine.drop("target").join(width, "list"), "mine-wide", m)
-    least = mine.groupBy("node").agg(F.count_if("wide").alias("w"), F.max("n").alias("n")).select(
-        "node", "w", need.alias("need"))
-    mine = _table(spark, mine.join(least, "node"), "mine-need", m)
+    sets = mine.groupBy("node", "shard", "comp").agg(F.count_if("wide").alias("w"), F.max("n").alias("n"),
+                                                     F.collect_list(F.struct("list", "wide")).alias("lists"))
+    mine = _table(spark, sets.select("node", "shard", "comp", "w", need.alias("need"), F.inline("lists")), "mine-need", m)
 
     def reached(rows, wanted):
         met = rows.join(there, "list").filter("target < shard and (lo != comp or hi != comp)")
@@ -581,10 +584,12 @@ def _join_shards(spark, texts, members, split, links, every: bool, need: Column,
     ``every``, each set in every earlier shard that may hold a link to
     another group. The sets sent to one shard are dealt to parts of about a
     quarter of ``shard_sets``, each with a copy of what lies there.
+    ``members`` has one row (node, n, lists) of each set of the split blocks.
     """
-    m = members.count()
+    m = members.agg(F.coalesce(F.sum(F.size("lists")), F.lit(0))).first()[0]
     split = _table(spark, split, "split", m)
-    mine = _table(spark, members.select("list", "node", "n").join(split.select("node", "shard", "comp"), "node"), "split-lists", m)
+    mine = members.join(split.select("node", "shard", "comp"), "node").select("node", "n", "shard", "comp", F.explode("lists").alias("list"))
+    mine = _table(spark, mine, "split-lists", m)
     apart = _table(spark, mine.groupBy("list").agg(
         F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("shard").alias("target")).filter("a != b"), "apart", m)
     mine = _table(spark, mine.join(apart, "list"), "mine", m)

@@ -81,3 +81,19 @@ def test_sets_of_one_common_list_go_only_where_they_can_link(spark):
     texts += [texts[0] + " end", texts[33] + " end"]
     got = N.near_classes(documents(spark, texts), shard_sets=3, bucket_shingles=40)
     assert {tuple(r) for r in got.collect()} == plain_classes(texts, range(len(texts)))
+
+
+def test_lists_of_a_split_block_are_joined_by_set(spark, monkeypatch):
+    """Joins by node meet one row of a set, however many lists it is in."""
+    made, table = {}, N._table
+    monkeypatch.setattr(N, "_table", lambda spark, df, name, rows=None: made.setdefault(name, df) and table(spark, df, name, rows))
+    rnd = random.Random(4)
+    common = [f"c{i}" for i in range(60)]
+    texts = [" ".join(common + [f"x{rnd.randrange(10 ** 9)}" for _ in range(12)]) for _ in range(30)]
+    got = N.near_classes(documents(spark, texts), shard_sets=3, bucket_shingles=40)
+    assert {tuple(r) for r in got.collect()} == plain_classes(texts, range(len(texts)))
+    sets = made["set-lists"].collect()
+    assert len(sets) == len({r["node"] for r in sets}) < sum(len(r["lists"]) for r in sets)
+    for name in ("split-lists", "mine-need"):       # the lists are set out behind the join, or without one
+        plan = made[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" in plan and "Join" not in plan.split("Generate")[0]
