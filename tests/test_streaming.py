@@ -95,3 +95,20 @@ def test_rate_limit_stream_equals_batch(spark):
     want = L.rate_limit(ev, "gate", "ts", 20, 86400, method="fold").select("event_id", F.col("accepted").alias("b"))
     j = got.join(want, "event_id")
     assert j.count() == ev.count() and j.filter(F.col("s") != F.col("b")).count() == 0
+
+
+def test_a_partition_of_the_scored_table_is_written_by_several_tasks(spark, tmp_path):
+    import glob
+
+    from skyframe.streaming import live as L
+    path, key = str(tmp_path / "t"), "spark.sql.adaptive.coalescePartitions.enabled"
+    rows = spark.range(0, 4000).selectExpr("id as k", "cast(id as double) as p", "2020 as y")
+    spark.conf.set(key, "false")
+    try:
+        L.upsert_batch(rows, path, ["k"], ["p"], "y", one_per=True)
+        L.upsert_batch(rows.filter("k < 10").withColumn("p", rows["p"] + 1), path, ["k"], ["p"], "y")
+    finally:
+        spark.conf.set(key, "true")
+    assert len(glob.glob(f"{path}/y=2020/*.parquet")) > 1
+    got = spark.read.schema(rows.schema).parquet(path)
+    assert {tuple(r) for r in got.collect()} == {(k, k + 1.0 if k < 10 else float(k), 2020) for k in range(4000)}
