@@ -77,7 +77,7 @@ def q_quarantine(spark, sf_dir):
     js = F.to_json(F.struct(*df.columns))
     text = df.select(F.when(F.col("l_linenumber") == 7, F.expr("substring(to_json(struct(*)), 1, 40)"))
                      .otherwise(js).alias("value"))
-    good, bad = A.quarantine(text, df.schema)
+    good, bad = A.quarantine(text, df.schema, path=scratch_path(spark, "quarantine"))
     g = good.agg(F.count(F.lit(1)).alias("parsed"), F.sum("dep_delay").alias("parsed_delay_sum"))
     b = bad.agg(F.count(F.lit(1)).alias("quarantined"))
     return present(side_by_side(g, b).select("parsed", "quarantined", "parsed_delay_sum"))

@@ -105,3 +105,38 @@ def test_landing_and_partitioned_read(spark):
     assert back.count() == ev.count()
     assert {"year", "month", "day", "hour"} <= set(back.columns)
     assert A.read_events(spark, land, ev.schema, compression="gzip").count() == ev.count()
+
+
+def test_quarantine_output_parses_a_line_once(spark):
+    lines = spark.createDataFrame([('{"a": 1, "raw": "x"}',), ('{"a": 2',), (None,), ('{"a": 1, "raw": "x"}',)], "value string")
+    schema = "a int, raw string"
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL(schema)
+    group = "quarantine-jobs"
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    counted = lines.select(F.udf(count, "string")("value").alias("value"))
+    try:
+        spark.sparkContext.setJobGroup(group, "quarantine")
+        good, bad = A.quarantine(counted, schema, path=tempfile.mkdtemp(prefix="sk-quar-") + "/t")
+        assert sorted(map(tuple, good.collect())) == [(1, "x"), (1, "x")]
+        assert sorted((r["raw"] or "") for r in bad.collect()) == ["", '{"a": 2']
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert seen.value == 4
+    plain_good, plain_bad = A.quarantine(lines, schema)
+    assert plain_good.schema == good.schema and plain_good.exceptAll(good).count() == 0 and plain_bad.count() == 2
+
+
+def test_fixed_point_text_is_the_formatter_s(spark):
+    values = [0.0, -0.0, 1.0, -1.5, 0.0000005, -0.0000005, 0.0000004, -0.0000004, 2.0000005, 1.0000015, 123456.7890125,
+              -99999999999.5, 1e11, 1e15, 1e300, -1e300, float("nan"), float("inf"), -float("inf"), None, 0.1 + 0.2]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.select(A._fixed_point("x", "%.6f").alias("a"), F.format_string("%.6f", "x").alias("b"))
+    assert [r["a"] for r in got.collect()] == [r["b"] for r in got.collect()]
+    text = "".join(got.select("a")._jdf.queryExecution().toString())
+    assert "decimal(18,6)" in text
