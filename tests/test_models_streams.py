@@ -140,3 +140,18 @@ def test_fixed_point_text_is_the_formatter_s(spark):
     assert [r["a"] for r in got.collect()] == [r["b"] for r in got.collect()]
     text = "".join(got.select("a")._jdf.queryExecution().toString())
     assert "decimal(18,6)" in text
+
+
+def test_upsert_sets_and_adds_with_one_join(spark, monkeypatch):
+    schema = "k int, d string, x int, p double"
+    path = tempfile.mkdtemp(prefix="sk-ups-") + "/t"
+    first = spark.createDataFrame([(1, "a", 10, None), (2, "a", 20, 2.0), (None, "b", 30, 3.0), (5, "c", 50, 5.0)], schema)
+    L.upsert_batch(first, path, ["k"], ["p"], "d")
+    joins = []
+    plain = type(first).join
+    monkeypatch.setattr(type(first), "join", lambda self, other, *a, **k: joins.append(a[-1]) or plain(self, other, *a, **k))
+    L.upsert_batch(spark.createDataFrame([(1, "a", 99, 1.5), (None, "b", 98, 3.5), (3, "a", 40, 4.0)], schema),
+                   path, ["k"], ["p"], "d")
+    got = sorted((tuple(r) for r in spark.read.schema(schema).parquet(path).select("k", "d", "x", "p").collect()), key=str)
+    assert got == sorted([(1, "a", 10, 1.5), (2, "a", 20, 2.0), (None, "b", 30, 3.0), (3, "a", 40, 4.0), (5, "c", 50, 5.0)], key=str)
+    assert joins == ["left_semi", "full_outer"]
